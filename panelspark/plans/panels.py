@@ -92,3 +92,47 @@ def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", F.col("r_name").alias("region"))
+
+
+# --- deterministic "models" over the nation panel -------------------------------
+NATION_TEST_PERIODS = 8
+MODEL_FEATURES = {"global_mean": 0, "entity_mean": 0, "last_value": 1, "ols_orders": 1}
+
+
+def nation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(model, entity, time, split, region, y_true, y_pred, p) for four
+    closed-form predictors fitted on the train periods of ``panel_nation``
+    (last 8 quarters are test): global mean, entity mean, previous value of
+    the entity (positional lag, first row falls back to the entity mean) and
+    a one-feature least-squares line on ``n_orders``.
+
+    Everything is an aggregate or a join; the train statistics are one-row
+    (global) or one-row-per-entity tables.
+    """
+    from pyspark.sql import Window
+
+    p = panel_nation(spark, sf_dir).select(
+        F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"),
+        F.col("avg_price").alias("y"), F.col("n_orders").alias("x"))
+    cut = p.agg((F.max("time") - NATION_TEST_PERIODS + 1).alias("cutoff"))
+    p = p.crossJoin(F.broadcast(cut)).withColumn(
+        "split", F.when(F.col("time") < F.col("cutoff"), "train").otherwise("test")).drop("cutoff")
+    train = p.where(F.col("split") == "train")
+    g = train.agg(F.avg("y").alias("gm"), F.regr_slope("y", "x").alias("b"), F.regr_intercept("y", "x").alias("a"))
+    em = train.groupBy("entity").agg(F.avg("y").alias("em"))
+    prev = F.lag("y").over(Window.partitionBy("entity").orderBy("time"))
+    base = (p.withColumn("prev", prev).crossJoin(F.broadcast(g)).join(em, "entity", "left")
+              .join(nation_regions(spark, sf_dir).select(F.col("c_nationkey").alias("entity"), "region"),
+                    "entity", "left"))
+    em_or_gm = F.coalesce(F.col("em"), F.col("gm"))
+    preds = {
+        "global_mean": F.col("gm"),
+        "entity_mean": em_or_gm,
+        "last_value": F.coalesce(F.col("prev"), em_or_gm),
+        "ols_orders": F.col("a") + F.col("b") * F.col("x"),
+    }
+    parts = F.array(*[F.struct(F.lit(m).alias("model"), e.alias("y_pred"),
+                               F.lit(MODEL_FEATURES[m]).alias("p")) for m, e in preds.items()])
+    return base.select("entity", "time", "split", "region", F.col("y").alias("y_true"),
+                       F.explode(parts).alias("m")).select(
+        "m.model", "entity", "time", "split", "region", "y_true", "m.y_pred", "m.p")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -27,27 +27,43 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Snap every floating column to a 10^-digits grid so results compare equal
-    across engines whose summation order differs.
+def snap_col(c: Column, sig: int = 10, max_dec: int = 6) -> Column:
+    """Spark side of the snap: ``sig`` significant digits, at most ``max_dec``
+    decimals (power-of-ten scales only, identical IEEE steps in both engines)."""
+    x = c.cast("double")
+    k = F.floor(F.log10(F.abs(x)))
+    d = F.least(F.lit(max_dec).cast("long"), F.lit(sig - 1) - k)
+    up = F.pow(F.lit(10.0), d.cast("double"))
+    dn = F.pow(F.lit(10.0), (-d).cast("double"))
+    return (F.when(x == 0, F.lit(0.0))
+             .when(d >= 0, F.floor(x * up + F.lit(SNAP_OFFSET)) / up)
+             .otherwise(F.floor(x / dn + F.lit(SNAP_OFFSET)) * dn) + F.lit(0.0))
 
-    Averages of 2-decimal prices over power-of-two counts end exactly on a half
-    step of the 6th decimal, where engine noise of one ulp flips a normal
-    round.  The snap uses ``floor(x * 10^d + SNAP_OFFSET)``: its boundaries
-    sit away from every short decimal or dyadic fraction.  Adding 0.0 turns
-    -0.0 into 0.0.
+
+def rounded(df: DataFrame, sig: int = 10, max_dec: int = 6) -> DataFrame:
+    """Snap every floating column so results compare equal across engines
+    whose summation order differs (see ``snap_col`` / ``rnd``).
+
+    A plain round is unsafe: averages of 2-decimal prices over power-of-two
+    counts end exactly on a half step, where one ulp of engine noise flips the
+    result.  The snap is ``floor(x * 10^d + SNAP_OFFSET) / 10^d`` whose
+    boundaries sit away from every short decimal or dyadic fraction; ``d``
+    keeps ``sig`` significant digits (at most ``max_dec`` decimals).  Adding
+    0.0 turns -0.0 into 0.0.
     """
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            scale = float(10 ** digits)
-            c = (F.floor(c.cast("double") * F.lit(scale) + F.lit(SNAP_OFFSET)) / F.lit(scale) + F.lit(0.0)).alias(f.name)
+            c = snap_col(c, sig, max_dec).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
 
-def rnd(expr: str, digits: int = 6) -> str:
-    """SQL twin of ``rounded`` (same IEEE steps: scale, round half away, unscale)."""
-    scale = "1" + "0" * digits + ".0"
-    return f"(floor(CAST(({expr}) AS DOUBLE) * {scale} + {SNAP_OFFSET}) / {scale} + 0.0)"
+def rnd(expr: str, sig: int = 10, max_dec: int = 6) -> str:
+    """SQL twin of ``snap_col``."""
+    x = f"CAST(({expr}) AS DOUBLE)"
+    d = f"least({max_dec}, {sig - 1} - CAST(floor(log10(abs({x}))) AS BIGINT))"
+    return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {d} >= 0 "
+            f"THEN floor({x} * power(10.0, {d}) + {SNAP_OFFSET}) / power(10.0, {d}) "
+            f"ELSE floor({x} / power(10.0, -{d}) + {SNAP_OFFSET}) * power(10.0, -{d}) END + 0.0)")
