@@ -74,13 +74,20 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
     brackets = brackets.withColumn("r_lo", F.floor(pos).cast("long")) \
                        .withColumn("r_hi", F.ceil(pos).cast("long")) \
                        .withColumn("frac", pos - F.floor(pos))
-    # pass 2: values below each bracket, and the candidates inside it
+    # pass 2: values below each bracket and inside it; a bracket that misses
+    # one of the two order statistics (tiny groups: the +-m band is narrower
+    # than one rank) falls back to all values of that group, which is small
     joined = long.join(brackets, keys)
-    below = joined.groupBy(*keys, "pi").agg(F.count(F.when(F.col("value") < F.col("lo"), 1)).alias("below"))
-    cand = joined.where((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+    inb = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
+    stats = joined.groupBy(*keys, "pi").agg(
+        F.count(F.when(F.col("value") < F.col("lo"), 1)).alias("below"),
+        F.count(F.when(inb, 1)).alias("inside"))
+    j2 = joined.join(stats, keys + ["pi"])
+    ok = (F.col("below") <= F.col("r_lo")) & (F.col("below") + F.col("inside") >= F.col("r_hi") + 1)
+    cand = j2.withColumn("__ok", ok).where(~F.col("__ok") | inb)
     w = Window.partitionBy(*keys, "pi").orderBy("value")
-    ranked = cand.join(below, keys + ["pi"]) \
-        .withColumn("rank", F.col("below") + F.row_number().over(w) - 1) \
+    base = F.when(F.col("__ok"), F.col("below")).otherwise(F.lit(0))
+    ranked = cand.withColumn("rank", base + F.row_number().over(w) - 1) \
         .where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
     out = ranked.groupBy(*keys, "pi", "prob", "n", "frac").agg(
         F.max(F.when(F.col("rank") == F.col("r_lo"), F.col("value"))).alias("v_lo"),
