@@ -59,20 +59,24 @@ def walk_forward_folds(df: DataFrame, time: str, min_train: int = 8, valid: int
 
     Fold i (0-based) trains on the first ``min_train + i`` distinct periods and
     validates on the next ``valid``. Raises when there are too few periods.
-    The table has (#periods x #folds) rows at most: it scales with the number
-    of periods, never with the number of rows.
+    Each period row expands to the folds it belongs to (``explode`` of an
+    integer range), so the table scales with the number of periods, never
+    with the number of rows, and no cross join is needed.
     """
     pidx = period_index(df, time)
     n = pidx.count()
     if n < min_train + valid:
         raise ValueError(f"not enough periods ({n}) for min_train={min_train} and valid={valid}")
-    n_folds = n - min_train - valid + 1
-    folds = df.sparkSession.range(n_folds).select(F.col("id").cast("int").alias("fold"))
-    t = pidx.crossJoin(folds)
-    end = F.col("fold") + F.lit(min_train)
-    role = F.when(F.col("period_rank") <= end, "train") \
-            .when(F.col("period_rank") <= end + F.lit(valid), "valid")
-    return t.withColumn("role", role).where(F.col("role").isNotNull()).select("fold", time, "role")
+    last = n - min_train - valid          # last fold index
+    r = F.col("period_rank")
+    tr_lo = F.greatest(F.lit(0), r - F.lit(min_train))
+    va_lo = F.greatest(F.lit(0), r - F.lit(min_train + valid))
+    va_hi = F.least(F.lit(last), r - F.lit(min_train + 1))
+    train = pidx.where(tr_lo <= F.lit(last)).select(
+        F.explode(F.sequence(tr_lo, F.lit(last))).alias("fold"), time, F.lit("train").alias("role"))
+    val = pidx.where(va_lo <= va_hi).select(
+        F.explode(F.sequence(va_lo, va_hi)).alias("fold"), time, F.lit("valid").alias("role"))
+    return train.unionByName(val).withColumn("fold", F.col("fold").cast("int"))
 
 
 def default_min_train(n_periods: int, cv: int) -> int:
