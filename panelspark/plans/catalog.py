@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from panelspark.plans import registry
 
-_MODULES = ["q_prep", "q_metrics", "q_explore", "q_econ", "q_sources"]
+_MODULES = ["q_prep", "q_metrics", "q_explore", "q_econ", "q_sources", "q_models"]
 
 
 def _load():
