@@ -77,11 +77,16 @@ def impute_progressive(df: DataFrame, entity: str, time: str, feature_cols: Sequ
     radii = sorted(int(r) for r in radii)
     R = radii[-1]
     labels = [f"w{r}" for r in radii]
+    # one grouped pass gives the median of every feature in every split: the
+    # train row is the fallback (D2), each split's own row the second fallback
+    split_med = medians_wide(df, feats, [split_col], method=median_method, suffix="__sm")
     if medians is None:
-        medians = train_medians(df, feats, split_col, train_value, median_method)
-    med = medians.select(*[F.col(c).alias(f"__tm_{c}") for c in feats])
-    split_med = medians_wide(df, feats, [split_col], method=median_method, suffix="__sm") \
-        .select(F.col(split_col).alias("__sm_split"), *[F.col(f"{c}__sm").alias(f"__sm_{c}") for c in feats])
+        medians = split_med.where(F.col(split_col) == F.lit(train_value)) \
+                           .select(*[F.col(f"{c}__sm").alias(c) for c in feats])
+    # exactly one row (a global aggregate) -> broadcast is bounded
+    med = medians.agg(*[F.first(c).alias(f"__tm_{c}") for c in feats])
+    split_med = split_med.select(F.col(split_col).alias("__sm_split"),
+                                 *[F.col(f"{c}__sm").alias(f"__sm_{c}") for c in feats])
 
     src = df
     part = [split_col, entity]

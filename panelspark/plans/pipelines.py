@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.operators.clean import drop_missing, filter_missingness
 from panelspark.operators.impute import impute_progressive
 from panelspark.operators.splits import temporal_split
+from panelspark.session import cut_lineage
 from panelspark.plans.panels import (
     EVENT_FEATURES, EVENT_TARGET, EVENT_TRAIN_END, panel_events,
 )
@@ -15,13 +16,21 @@ from panelspark.plans.panels import (
 
 def prepared_events(spark: SparkSession, sf_dir: str, with_method: bool = False,
                     allow_future: bool = True, max_missing: float = 0.30,
-                    count_time_as_feature: bool = True, merge: str = "conditional") -> DataFrame:
+                    count_time_as_feature: bool = True, merge: str = "conditional",
+                    materialize: bool = True) -> DataFrame:
     """Data preparation flow: merge -> drop missing target -> missingness
-    filter -> temporal split -> train medians -> progressive imputation."""
+    filter -> temporal split -> train medians -> progressive imputation.
+
+    The split panel feeds three consumers (medians, windows, fallbacks); it is
+    written once to the shared checkpoint folder (``materialize``) instead of
+    re-aggregating the raw events for each of them.
+    """
     p = panel_events(spark, sf_dir, method=merge)
     p = drop_missing(p, [EVENT_TARGET])
     p = filter_missingness(p, "user_id", EVENT_FEATURES, max_missing, count_time_as_feature)
     p = temporal_split(p, "bin", EVENT_TRAIN_END)
+    if materialize:
+        p = cut_lineage(p)
     return impute_progressive(p, "user_id", "bin", EVENT_FEATURES, split_col="split",
                               with_method=with_method, allow_future=allow_future)
 
