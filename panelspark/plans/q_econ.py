@@ -181,3 +181,37 @@ def q_fe_full(spark, sf):
     """The reference's default fits on the whole panel (leaks the test years)."""
     fe, _, _ = nation_dynamic_panel(spark, sf, train_only=False)
     return fe.coefficients(spark)
+
+
+@query("fe_r2",
+       f"WITH {FE_SQL}, w AS (SELECT y - avg(y) OVER (PARTITION BY entity) AS yw, x1 - avg(x1) OVER (PARTITION BY entity) AS x1w, "
+       "x2 - avg(x2) OVER (PARTITION BY entity) AS x2w, y, x1, x2 FROM tr), "
+       "s AS (SELECT sum((yd - c1 * x1d - c2 * x2d) * (yd - c1 * x1d - c2 * x2d)) AS sse, sum(yd * yd) AS sst, count(*) AS n FROM dm, co), "
+       "s2 AS (SELECT sum((yw - c1 * x1w - c2 * x2w) * (yw - c1 * x1w - c2 * x2w)) AS ssw, sum(yw * yw) AS stw, "
+       "var_pop(y - c1 * x1 - c2 * x2) AS vo, var_pop(y) AS vy FROM w, co) "
+       f"SELECT {_r('1 - sse / sst')} AS r2, {_r('1 - ssw / stw')} AS r2_within, {_r('1 - vo / vy')} AS r2_overall, n AS nobs FROM s, s2")
+def q_fe_r2(spark, sf):
+    """Two-way (model) R2, within (entity-demeaned) R2 and overall R2 with the same slopes."""
+    fe, _, _ = nation_dynamic_panel(spark, sf)
+    return _rounded(fe.summary(spark).select("r2", "r2_within", "r2_overall", "nobs"))
+
+
+@query("breusch_pagan",
+       f"WITH {FE_SQL}, u AS (SELECT (y - c1 * x1 - c2 * x2) * (y - c1 * x1 - c2 * x2) AS u, x1, x2 FROM tr, co), "
+       "c AS (SELECT count(*) AS n, "
+       "sum(x1 * x1) - sum(x1) * sum(x1) / count(*) AS s11, sum(x1 * x2) - sum(x1) * sum(x2) / count(*) AS s12, "
+       "sum(x2 * x2) - sum(x2) * sum(x2) / count(*) AS s22, sum(x1 * u) - sum(x1) * sum(u) / count(*) AS s1u, "
+       "sum(x2 * u) - sum(x2) * sum(u) / count(*) AS s2u, sum(u * u) - sum(u) * sum(u) / count(*) AS suu FROM u), "
+       "b AS (SELECT n, suu, (s22 * s1u - s12 * s2u) / (s11 * s22 - s12 * s12) AS b1, "
+       "(s11 * s2u - s12 * s1u) / (s11 * s22 - s12 * s12) AS b2, s1u, s2u FROM c), "
+       "r AS (SELECT n, (b1 * s1u + b2 * s2u) / suu AS r2 FROM b) "
+       f"SELECT {_r('n * r2')} AS lm_stat, {_r('exp(-n * r2 / 2)')} AS lm_pvalue, "
+       f"{_r('(r2 / 2) / ((1 - r2) / (n - 3))')} AS f_stat, n FROM r")
+def q_breusch_pagan(spark, sf):
+    """J10 with k = 2 regressors (the chi-square tail with 2 df is exp(-x/2))."""
+    fe, _, _ = nation_dynamic_panel(spark, sf)
+    res = fe.residuals("raw")
+    out = econ.breusch_pagan(res, fe.terms)
+    n = res.count()
+    return _rounded(spark.createDataFrame([(out["lm_stat"], out["lm_pvalue"], out["f_stat"], n)],
+                                          "lm_stat double, lm_pvalue double, f_stat double, n long"))
