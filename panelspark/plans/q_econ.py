@@ -64,7 +64,7 @@ def _rounded(df):
        f"{rnd('c.avg_price')} AS avg_price_prev_period FROM b LEFT JOIN b c ON c.entity = b.entity AND c.time = b.time - 1")
 def q_panel_lag(spark, sf):
     from panelspark.plans.panels import panel_nation
-    p = panel_nation(spark, sf).select(F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"), "avg_price")
+    p = panel_nation(spark, sf, materialize=True).select(F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"), "avg_price")
     p = econ.add_lag(p, "entity", "time", "avg_price", 1)
     p = econ.add_lag(p, "entity", "time", "avg_price", 1, calendar=True, out="avg_price_prev_period")
     return rounded(p)
@@ -76,7 +76,7 @@ def q_panel_lag(spark, sf):
        + " FROM np")
 def q_within(spark, sf):
     from panelspark.plans.panels import panel_nation
-    p = panel_nation(spark, sf).select("c_nationkey", "quarter", "avg_price", "n_orders")
+    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter", "avg_price", "n_orders")
     return rounded(econ.within_transform(p, "c_nationkey", ["avg_price", "n_orders"]).drop("avg_price", "n_orders"))
 
 

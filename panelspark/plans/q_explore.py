@@ -20,7 +20,8 @@ def _r(cols):
 
 
 def ex(spark, sf):
-    return panel_nation(spark, sf).join(nation_regions(spark, sf).select("c_nationkey", "region"), "c_nationkey")
+    return panel_nation(spark, sf, materialize=True).join(
+        nation_regions(spark, sf).select("c_nationkey", "region"), "c_nationkey")
 
 
 @query("yearly_evolution",

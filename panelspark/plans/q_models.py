@@ -35,7 +35,7 @@ _RUNS: dict = {}
 
 
 def model_data(spark, sf, test_periods: int = 8):
-    p = panel_nation(spark, sf)
+    p = panel_nation(spark, sf, materialize=True)
     cut = p.agg((F.max("quarter") - test_periods + 1).alias("c")).first()["c"]
     train = p.where(F.col("quarter") < cut)
     test = p.where(F.col("quarter") >= cut)
