@@ -1,12 +1,22 @@
 """Exact k-nearest-neighbour join and KNN regression.
 
-The reference side is shipped to the executors in blocks whose size is
-checked before shipping (``max_block_bytes``); each query partition scores
-its rows against the block with numpy and keeps only the k best per query,
-so a block pass emits k rows per query, never all pairs.  With several
-blocks the per-block winners (k x blocks per query, bounded) are reduced to
-the final k with a window per query.  Ties are broken by reference id, so
-the result is deterministic and exact.
+Two exact strategies, chosen by a size check on the reference side:
+
+* **broadcast** - the reference fits one block of ``max_block_bytes``: it is
+  broadcast once and each query partition scores its rows against it with
+  numpy, keeping only the k best per query;
+* **blocked co-group** - otherwise nothing passes through the driver: query
+  rows are hashed into Bq blocks and reference rows into Br blocks, each query
+  row is sent to the Br pairs (qb, *) and each reference row to the Bq pairs
+  (*, rb), and every (qb, rb) pair meets once in an ``applyInPandas`` task
+  that emits the k best per query.  Both sides are replicated only by the
+  block counts, groups are bounded by ``max_block_bytes`` and balanced by the
+  hash, so no key can be hot.
+
+Either way a task emits k rows per query, never all pairs, and the per-block
+winners (k x blocks per query, bounded) are reduced to the final k with a
+window per query.  Ties are broken by reference id: the result is exact and
+deterministic.
 """
 
 from __future__ import annotations
@@ -38,6 +48,40 @@ def _minkowski(Q: np.ndarray, R: np.ndarray, p: int) -> np.ndarray:
     return (diff ** p).sum(axis=2) ** (1.0 / p)
 
 
+def _topk(pdf, R, r_ids, r_carry, qid, rid, features, carry, k, p, exclude_self):
+    """k best reference rows per query row of ``pdf`` (numpy, chunked)."""
+    if len(pdf) == 0 or len(r_ids) == 0:
+        return None
+    Q = _matrix(pdf, features)
+    q_ids = pdf[qid].to_numpy(dtype=np.int64)
+    step = max(1, _CHUNK_ELEMS // max(1, R.shape[0] * max(1, R.shape[1])))
+    rows = []
+    for s in range(0, len(Q), step):
+        D = _minkowski(Q[s:s + step], R, p)
+        if exclude_self:
+            D = np.where(q_ids[s:s + step, None] == r_ids[None, :], np.inf, D)
+        kk = min(k, D.shape[1])
+        m = D.shape[0]
+        sel = np.argpartition(D, kk - 1, axis=1)[:, :kk] if kk < D.shape[1] else \
+            np.tile(np.arange(D.shape[1]), (m, 1))
+        dsel = np.take_along_axis(D, sel, axis=1)
+        kth = dsel.max(axis=1)
+        ties = (D <= kth[:, None]).sum(axis=1) > kk
+        for i in np.nonzero(ties)[0]:      # rare: resolve boundary ties by id
+            cand = np.nonzero(D[i] <= kth[i])[0]
+            sel[i] = cand[np.lexsort((r_ids[cand], D[i, cand]))[:kk]]
+        dsel = np.take_along_axis(D, sel, axis=1)
+        order = np.lexsort((r_ids[sel], dsel), axis=1)
+        sel = np.take_along_axis(sel, order, axis=1)
+        dsel = np.take_along_axis(dsel, order, axis=1)
+        ok = np.isfinite(dsel)
+        frame = {qid: np.repeat(q_ids[s:s + step], kk)[ok.ravel()], rid: r_ids[sel][ok], "distance": dsel[ok]}
+        for c in carry:
+            frame[c] = r_carry[c][sel][ok]
+        rows.append(pd.DataFrame(frame))
+    return pd.concat(rows, ignore_index=True) if rows else None
+
+
 def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k: int = 5, p: int = 2,
              exclude_self: bool = False, carry: Sequence[str] = (),
              max_block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
@@ -55,12 +99,9 @@ def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k
         dim = int(ref.select(F.max(F.size(features))).first()[0] or 1)
     row_bytes = 8 * (dim + 2 + len(carry))
     n_blocks = max(1, math.ceil(n_ref * row_bytes / max_block_bytes))
-    ref_b = ref.select(rid, *fcols, *carry).withColumn(
-        "__blk", F.pmod(F.xxhash64(F.col(rid)), F.lit(n_blocks)) if n_blocks > 1 else F.lit(0))
     out_schema = f"{qid} long, {rid} long, distance double" + "".join(f", `{c}` double" for c in carry)
-    parts = []
-    for b in range(n_blocks):
-        block = ref_b.where(F.col("__blk") == b).drop("__blk").toPandas()   # size checked above
+    if n_blocks == 1:
+        block = ref.select(rid, *fcols, *carry).toPandas()      # one block, size checked above
         R = _matrix(block, features)
         r_ids = block[rid].to_numpy(dtype=np.int64)
         r_carry = {c: block[c].to_numpy(dtype=float) for c in carry}
@@ -69,46 +110,41 @@ def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k
         def score(it, bc=bc):
             R, r_ids, r_carry = bc.value
             for pdf in it:
-                if len(pdf) == 0 or len(r_ids) == 0:
-                    continue
-                Q = _matrix(pdf, features)
-                q_ids = pdf[qid].to_numpy(dtype=np.int64)
-                step = max(1, _CHUNK_ELEMS // max(1, R.shape[0] * max(1, R.shape[1])))
-                rows = []
-                for s in range(0, len(Q), step):
-                    D = _minkowski(Q[s:s + step], R, p)
-                    if exclude_self:
-                        D = np.where(q_ids[s:s + step, None] == r_ids[None, :], np.inf, D)
-                    kk = min(k, D.shape[1])
-                    m = D.shape[0]
-                    sel = np.argpartition(D, kk - 1, axis=1)[:, :kk] if kk < D.shape[1] else \
-                        np.tile(np.arange(D.shape[1]), (m, 1))
-                    dsel = np.take_along_axis(D, sel, axis=1)
-                    kth = dsel.max(axis=1)
-                    ties = (D <= kth[:, None]).sum(axis=1) > kk
-                    for i in np.nonzero(ties)[0]:      # rare: resolve boundary ties by id
-                        cand = np.nonzero(D[i] <= kth[i])[0]
-                        sel[i] = cand[np.lexsort((r_ids[cand], D[i, cand]))[:kk]]
-                    dsel = np.take_along_axis(D, sel, axis=1)
-                    order = np.lexsort((r_ids[sel], dsel), axis=1)
-                    sel = np.take_along_axis(sel, order, axis=1)
-                    dsel = np.take_along_axis(dsel, order, axis=1)
-                    ok = np.isfinite(dsel)
-                    frame = {qid: np.repeat(q_ids[s:s + step], kk)[ok.ravel()], rid: r_ids[sel][ok],
-                             "distance": dsel[ok]}
-                    for c in carry:
-                        frame[c] = r_carry[c][sel][ok]
-                    rows.append(pd.DataFrame(frame))
-                if rows:
-                    yield pd.concat(rows, ignore_index=True)
-        parts.append(queries.select(F.col(qid).cast("long").alias(qid), *fcols).mapInPandas(score, out_schema))
-    u = parts[0]
-    for x in parts[1:]:
-        u = u.unionByName(x)
+                out = _topk(pdf, R, r_ids, r_carry, qid, rid, features, carry, k, p, exclude_self)
+                if out is not None:
+                    yield out
+        u = queries.select(F.col(qid).cast("long").alias(qid), *fcols).mapInPandas(score, out_schema)
+    else:
+        n_q = queries.count()
+        q_blocks = max(1, math.ceil(n_q * 8 * (dim + 1) / max_block_bytes))
+        u = _blocked(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self,
+                     q_blocks, n_blocks, out_schema)
     w = Window.partitionBy(qid).orderBy("distance", rid)
     return u.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _blocked(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self, q_blocks, r_blocks, out_schema):
+    """Blocked co-group: every (query block, reference block) pair meets once."""
+    q = queries.select(F.col(qid).cast("long").alias(qid), *fcols) \
+        .withColumn("__qb", F.pmod(F.xxhash64(F.col(qid), F.lit(1)), F.lit(q_blocks)).cast("int")) \
+        .withColumn("__rb", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
+    r = ref.select(F.col(rid).cast("long").alias(rid), *fcols, *[F.col(c).cast("double").alias(c) for c in carry]) \
+        .withColumn("__rb", F.pmod(F.xxhash64(F.col(rid), F.lit(2)), F.lit(r_blocks)).cast("int")) \
+        .withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+
+    def pair(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        R = _matrix(rpdf, features)
+        r_ids = rpdf[rid].to_numpy(dtype=np.int64)
+        r_carry = {c: rpdf[c].to_numpy(dtype=float) for c in carry}
+        out = _topk(qpdf, R, r_ids, r_carry, qid, rid, features, carry, k, p, exclude_self)
+        if out is None:
+            return pd.DataFrame({c: pd.Series(dtype="float64" if c not in (qid, rid) else "int64")
+                                 for c in [qid, rid, "distance", *carry]})
+        return out
+
+    return q.groupBy("__qb", "__rb").cogroup(r.groupBy("__qb", "__rb")).applyInPandas(pair, out_schema)
+
+
 def knn_regress(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, label: str,
                 k: int = 5, p: int = 2, exclude_self: bool = False) -> DataFrame:
     """Uniform-weight KNN prediction = mean label of the k nearest."""
