@@ -32,6 +32,16 @@ ALPHA = 0.05
 # -------------------------------------------------------------------------------
 
 
+def scalar_row(df) -> Column:
+    """A one-row aggregate as a scalar subquery: a struct of its columns.
+
+    Spark runs the subquery once and inlines the result, so no join (and no
+    cross join) is needed to attach global statistics to every row; fields
+    are read with ``s["name"]``.
+    """
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")).scalar()
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 

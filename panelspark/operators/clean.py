@@ -258,8 +258,7 @@ def snapshot(df: DataFrame, time: str, at: int | None = None) -> DataFrame:
     """Rows of the latest period (or of ``at``)."""
     if at is not None:
         return df.where(F.col(time) == F.lit(at))
-    mx = df.agg(F.max(time).alias("__mx"))
-    return df.join(mx, F.col(time) == F.col("__mx")).drop("__mx")
+    return df.where(F.col(time) == df.agg(F.max(time)).scalar())
 
 
 def entity_timeline(df: DataFrame, entity: str, time: str, value) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.quantiles import exact_quantiles
-from panelspark.functions.scalar import band_score, trend_label
+from panelspark.functions.scalar import band_score, scalar_row, trend_label
 
 # --- fixed values --------------------------------------------------------------
 STRONG_CORR_ABOVE = 0.7      # |r| threshold for "strong pairs"
@@ -95,11 +95,12 @@ def describe(df: DataFrame, cols: Sequence[str], quantile_method: str = "exact")
 def histogram(df: DataFrame, value: str, bins: int = 30, density: bool = False) -> DataFrame:
     """``bins`` equal-width bins over [min, max]; last bin closed.
 
-    The [min, max] row is a one-row aggregate (broadcast, bounded).
+    The [min, max] row is a one-row aggregate read as a scalar subquery.
     """
     v = F.col(value).cast("double")
-    rng = df.agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"), F.count(v).alias("__n"))
-    x = df.where(v.isNotNull()).select(v.alias("v")).crossJoin(F.broadcast(rng))
+    rng = scalar_row(df.agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"), F.count(v).alias("__n")))
+    x = df.where(v.isNotNull()).select(v.alias("v"), rng["__lo"].alias("__lo"), rng["__hi"].alias("__hi"),
+                                       rng["__n"].alias("__n"))
     width = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
     raw = F.floor((F.col("v") - F.col("__lo")) / width).cast("int")
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(raw, F.lit(bins - 1)))
@@ -143,9 +144,9 @@ def kde_grid(df: DataFrame, value: str, points: int = KDE_GRID_POINTS) -> DataFr
     v = F.col(value).cast("double")
     st = df.agg(F.count(v).alias("__n"), F.stddev_samp(v).alias("__sd"), F.min(v).alias("__lo"),
                 F.max(v).alias("__hi"), F.var_samp(v).alias("__var"))
-    st = st.where(F.col("__var") > F.lit(KDE_MIN_VARIANCE)) \
-           .withColumn("__h", F.pow(F.col("__n").cast("double"), F.lit(-0.2)) * F.col("__sd"))
-    x = df.where(v.isNotNull()).select(v.alias("v")).crossJoin(F.broadcast(st))
+    st = scalar_row(st.withColumn("__h", F.pow(F.col("__n").cast("double"), F.lit(-0.2)) * F.col("__sd")))
+    x = df.where(v.isNotNull() & (st["__var"] > F.lit(KDE_MIN_VARIANCE))).select(
+        v.alias("v"), *[st[c].alias(c) for c in ("__n", "__h", "__lo", "__hi")])
     step = (F.col("__hi") - F.col("__lo")) / F.lit(points - 1)
     g = x.select("v", "__n", "__h", "__lo", step.alias("__step"),
                  F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
@@ -188,8 +189,7 @@ def latest_delta(df: DataFrame, entity: str, time: str, value: str) -> DataFrame
 
 def snapshot_bands(df: DataFrame, entity: str, time: str, score: str) -> DataFrame:
     """Rows of the latest period with the band of their score."""
-    mx = df.agg(F.max(time).alias("__mx"))
-    snap = df.join(F.broadcast(mx), F.col(time) == F.col("__mx")).drop("__mx")
+    snap = df.where(F.col(time) == df.agg(F.max(time)).scalar())
     return snap.select(entity, time, score, band_score(score).alias("band"))
 
 

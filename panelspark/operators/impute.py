@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.quantiles import medians_wide
+from panelspark.functions.scalar import scalar_row
 
 METHODS = ("observed", "w1", "w2", "w4", "global")
 
@@ -83,8 +84,8 @@ def impute_progressive(df: DataFrame, entity: str, time: str, feature_cols: Sequ
     if medians is None:
         medians = split_med.where(F.col(split_col) == F.lit(train_value)) \
                            .select(*[F.col(f"{c}__sm").alias(c) for c in feats])
-    # exactly one row (a global aggregate) -> broadcast is bounded
-    med = medians.agg(*[F.first(c).alias(f"__tm_{c}") for c in feats])
+    # exactly one row (a global aggregate) -> scalar subquery
+    med = scalar_row(medians.agg(*[F.first(c).alias(f"__tm_{c}") for c in feats]))
     split_med = split_med.select(F.col(split_col).alias("__sm_split"),
                                  *[F.col(f"{c}__sm").alias(f"__sm_{c}") for c in feats])
 
@@ -117,15 +118,15 @@ def impute_progressive(df: DataFrame, entity: str, time: str, feature_cols: Sequ
             arr = F.array_sort(F.transform(vals, _field(c)))
             meds.append(F.when(F.size(arr) >= min_obs, _array_median(arr)))
         out = out.withColumn(f"__w_{c}", F.when(F.col(c).isNull(), F.array(*meds)))
-    out = out.drop("__frame").crossJoin(F.broadcast(med)) \
-             .join(F.broadcast(split_med), F.col(split_col) == F.col("__sm_split"), "left")
+    # one row per split (bounded by the number of splits) -> broadcast
+    out = out.drop("__frame").join(F.broadcast(split_med), F.col(split_col) == F.col("__sm_split"), "left")
     cols = []
     for c in df.columns:
         if c not in feats:
             cols.append(F.col(c))
             continue
         wv = [F.col(f"__w_{c}")[i] for i in range(len(radii))]
-        glob = F.coalesce(F.col(f"__tm_{c}"), F.col(f"__sm_{c}"))
+        glob = F.coalesce(med[f"__tm_{c}"], F.col(f"__sm_{c}"))
         cols.append(F.coalesce(F.col(c).cast("double"), *wv, glob).alias(c))
         if with_method:
             m = F.when(F.col(c).isNotNull(), "observed")

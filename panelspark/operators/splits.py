@@ -40,12 +40,10 @@ def split_cutoff(df: DataFrame, time: str, train_end: int | None = None, test_pe
 
 def panel_split(df: DataFrame, time: str, train_end: int | None = None, test_periods: int | None = None,
                 test_ratio: float = 0.2, split_col: str = "split") -> DataFrame:
-    """H2: label rows train (< cutoff) / test (>= cutoff); the cutoff row is a
-    one-row aggregate cross-joined in (bounded: exactly one row)."""
-    cut = split_cutoff(df, time, train_end, test_periods, test_ratio).select("cutoff")
-    return (df.crossJoin(F.broadcast(cut))
-              .withColumn(split_col, F.when(F.col(time) < F.col("cutoff"), "train").otherwise("test"))
-              .drop("cutoff"))
+    """H2: label rows train (< cutoff) / test (>= cutoff); the cutoff is a
+    one-row aggregate read as a scalar subquery."""
+    cut = split_cutoff(df, time, train_end, test_periods, test_ratio).select("cutoff").scalar()
+    return df.withColumn(split_col, F.when(F.col(time) < cut, "train").otherwise("test"))
 
 
 def period_index(df: DataFrame, time: str) -> DataFrame:
@@ -102,10 +100,11 @@ def contiguous_folds(df: DataFrame, order_cols: Sequence[str], k: int = 5, fold_
     counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__m0"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
-    total = counts.agg(F.sum("__cnt").alias("__n"))
+    total = counts.agg(F.sum("__cnt")).scalar()
     pos = F.col("__off") + F.col("__mid") - F.col("__m0")
+    # one row per partition (bounded by the partition count) -> broadcast
     x = ordered.join(F.broadcast(offsets.select("__pid", "__off", "__m0")), "__pid") \
-               .crossJoin(F.broadcast(total)).withColumn("__pos", pos)
+               .withColumn("__n", total).withColumn("__pos", pos)
     base = F.floor(F.col("__n") / F.lit(k))
     rem = F.col("__n") % F.lit(k)
     big = (base + 1) * rem

@@ -16,6 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelspark.functions.scalar import scalar_row
 from panelspark.operators.clean import outer_merge
 
 # --- fixed values --------------------------------------------------------------
@@ -122,14 +123,15 @@ def nation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = panel_nation(spark, sf_dir, materialize=True).select(
         F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"),
         F.col("avg_price").alias("y"), F.col("n_orders").alias("x"))
-    cut = p.agg((F.max("time") - NATION_TEST_PERIODS + 1).alias("cutoff"))
-    p = p.crossJoin(F.broadcast(cut)).withColumn(
-        "split", F.when(F.col("time") < F.col("cutoff"), "train").otherwise("test")).drop("cutoff")
+    cut = p.agg(F.max("time") - NATION_TEST_PERIODS + 1).scalar()
+    p = p.withColumn("split", F.when(F.col("time") < cut, "train").otherwise("test"))
     train = p.where(F.col("split") == "train")
-    g = train.agg(F.avg("y").alias("gm"), F.regr_slope("y", "x").alias("b"), F.regr_intercept("y", "x").alias("a"))
+    g = scalar_row(train.agg(F.avg("y").alias("gm"), F.regr_slope("y", "x").alias("b"),
+                             F.regr_intercept("y", "x").alias("a")))
     em = train.groupBy("entity").agg(F.avg("y").alias("em"))
     prev = F.lag("y").over(Window.partitionBy("entity").orderBy("time"))
-    base = (p.withColumn("prev", prev).crossJoin(F.broadcast(g)).join(em, "entity", "left")
+    base = (p.withColumn("prev", prev).select("*", g["gm"].alias("gm"), g["a"].alias("a"), g["b"].alias("b"))
+              .join(em, "entity", "left")
               .join(nation_regions(spark, sf_dir).select(F.col("c_nationkey").alias("entity"), "region"),
                     "entity", "left"))
     em_or_gm = F.coalesce(F.col("em"), F.col("gm"))

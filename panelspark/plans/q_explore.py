@@ -8,6 +8,7 @@ from panelspark.operators import explore
 from panelspark.plans.panels import nation_predictions, nation_regions, panel_nation
 from panelspark.plans.q_metrics import PRED_SQL
 from panelspark.plans.q_prep import _NP_SQL
+from panelspark.functions.scalar import scalar_row
 from panelspark.plans.registry import query, rnd, rounded
 
 COLS = ["avg_price", "n_orders", "avg_acctbal", "avg_qty", "avg_disc"]
@@ -161,8 +162,8 @@ _Z = "(avg_price - avg(avg_price) OVER ()) / stddev_samp(avg_price) OVER ()"
        "WHEN score <= 0.5 THEN 'moderate' WHEN score IS NOT NULL THEN 'high' END AS band FROM s")
 def q_snapshot_bands(spark, sf):
     e = ex(spark, sf)
-    st = e.agg(F.avg("avg_price").alias("__m"), F.stddev_samp("avg_price").alias("__s"))
-    z = e.crossJoin(F.broadcast(st)).withColumn("score", (F.col("avg_price") - F.col("__m")) / F.col("__s"))
+    st = scalar_row(e.agg(F.avg("avg_price").alias("__m"), F.stddev_samp("avg_price").alias("__s")))
+    z = e.withColumn("score", (F.col("avg_price") - st["__m"]) / st["__s"])
     return rounded(explore.snapshot_bands(z, "c_nationkey", "quarter", "score"))
 
 
