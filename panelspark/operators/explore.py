@@ -178,13 +178,19 @@ def mean_bias(preds: DataFrame, group_cols: Sequence[str] = ("model",), y: str =
 
 
 def latest_delta(df: DataFrame, entity: str, time: str, value: str) -> DataFrame:
-    """Per entity the latest value, the previous one, delta and trend."""
-    w = Window.partitionBy(entity).orderBy(F.col(time).desc())
-    x = df.select(entity, time, value).withColumn("__rn", F.row_number().over(w)) \
-          .withColumn("previous", F.lead(value).over(w)).where("__rn = 1")
-    return x.select(entity, F.col(time).alias("latest_time"), F.col(value).alias("latest"), "previous",
-                    (F.col(value) - F.col("previous")).alias("delta"),
-                    trend_label(F.col(value) - F.col("previous")).alias("trend"))
+    """Per entity the latest value, the previous one, delta and trend.
+
+    Two aggregates (latest row, then the latest row before it) joined on the
+    entity: partial aggregation keeps a hot entity from landing in one task.
+    """
+    last = df.groupBy(entity).agg(F.max(time).alias("latest_time"), F.max_by(value, time).alias("latest"))
+    prev = df.join(last.select(entity, "latest_time"), entity) \
+             .where(F.col(time) < F.col("latest_time")) \
+             .groupBy(entity).agg(F.max_by(value, time).alias("previous"))
+    x = last.join(prev, entity, "left")
+    return x.select(entity, "latest_time", "latest", "previous",
+                    (F.col("latest") - F.col("previous")).alias("delta"),
+                    trend_label(F.col("latest") - F.col("previous")).alias("trend"))
 
 
 def snapshot_bands(df: DataFrame, entity: str, time: str, score: str) -> DataFrame:
