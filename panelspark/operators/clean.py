@@ -261,9 +261,18 @@ def snapshot(df: DataFrame, time: str, at: int | None = None) -> DataFrame:
     return df.where(F.col(time) == df.agg(F.max(time)).scalar())
 
 
-def entity_timeline(df: DataFrame, entity: str, time: str, value) -> DataFrame:
-    """One entity, ordered by time."""
-    return df.where(F.col(entity) == F.lit(value)).orderBy(time)
+def entity_timeline(df: DataFrame, entity: str, time: str, value, newest_first: bool = False) -> DataFrame:
+    """One entity ordered by time (``newest_first`` for the raw-data view).
+
+    ``value`` may be a literal or a Column (e.g. a scalar subquery)."""
+    v = value if isinstance(value, Column) else F.lit(value)
+    return df.where(F.col(entity) == v).orderBy(F.col(time).desc() if newest_first else F.col(time))
+
+
+def sort_panel(df: DataFrame, entity: str, time: str) -> DataFrame:
+    """(entity, time) order at output; before writes use
+    ``sortWithinPartitions`` instead (see ``sources.sinks``)."""
+    return df.orderBy(entity, time)
 
 
 def successful_rows(df: DataFrame, error_col: str = "error") -> DataFrame:

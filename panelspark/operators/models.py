@@ -1,13 +1,14 @@
 """Regression models as distributed Spark jobs, parameter search and the
 train-all orchestration (I1-I19, H3/H4/H7).
 
-* Random forest and the two boosting variants are Spark ML estimators.
-* Elastic net is Spark ML ``LinearRegression`` with the parity transform of
+* Random forest (I2) and the two boosting variants (I3 regularised, I4
+  gradient boosting) are Spark ML estimators.
+* Elastic net (I5) is Spark ML ``LinearRegression`` with the parity transform of
   the survey (population-std scaling, label scaled by its population std,
   penalties re-expressed), so coefficients match the usual
   ``alpha * (l1 * |w|_1 + (1 - l1) / 2 * |w|_2^2)`` objective.
-* KNN regression uses the exact k-nearest-neighbour join (``operators.knn``).
-* SVR and MLP are data-parallel: each iteration sums per-partition gradients
+* KNN regression (I7) uses the exact k-nearest-neighbour join (``operators.knn``).
+* SVR (I6) and MLP (I8) are data-parallel: each iteration sums per-partition gradients
   (``mapInPandas`` -> grouped sum over parameter indices, partially
   aggregated map-side) and the driver applies the Adam step to a
   parameter-sized vector.  Non-linear SVR kernels are explicit feature maps
@@ -677,6 +678,14 @@ def results_table(spark: SparkSession, runs: Sequence[ModelRun]) -> DataFrame:
                                        "seconds double, error string")
 
 
+def top_features(imp: DataFrame, n: int = 10, model: str = "model", by: str = "importance") -> DataFrame:
+    """The ``n`` most important features of every model (top-k per
+    group with a window; ties broken by feature name)."""
+    from pyspark.sql import Window
+    w = Window.partitionBy(model).orderBy(F.col(by).desc(), F.col("feature"))
+    return imp.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
 def feature_importance(spark: SparkSession, runs: Sequence[ModelRun]) -> DataFrame:
     """(model, feature, importance) for the tree models, sorted desc per model."""
     rows = [(r.model, f, float(v)) for r in runs if r.fitted and r.fitted.importances

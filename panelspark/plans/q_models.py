@@ -179,3 +179,9 @@ def q_learning_curve(spark, sf):
     return df.groupBy("fraction").agg(F.avg("train_r2").alias("train_mean"), F.stddev_pop("train_r2").alias("train_std"),
                                       F.avg("valid_r2").alias("valid_mean"), F.stddev_pop("valid_r2").alias("valid_std"))
 
+
+
+@query("top_features")
+def q_top_features(spark, sf):
+    """Top-10 features per tree model."""
+    return models.top_features(models.feature_importance(spark, _runs(spark, sf)), 10)

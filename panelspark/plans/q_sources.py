@@ -242,3 +242,26 @@ def q_learning_sample(spark, sf):
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
+
+
+@query("entity_timeline",
+       f"WITH {_NP_SQL} SELECT c_nationkey, quarter, {rnd('avg_price')} AS avg_price FROM np "
+       "WHERE c_nationkey = (SELECT min(c_nationkey) FROM np)")
+def q_entity_timeline(spark, sf):
+    """One entity's rows, newest first (the entity is the smallest key,
+    found by a scalar subquery)."""
+    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter", "avg_price")
+    first = p.agg(F.min("c_nationkey")).scalar()
+    return rounded(clean.entity_timeline(p, "c_nationkey", "quarter", first, newest_first=True))
+
+
+@query("full_panel_union",
+       _impute_sql(final="SELECT user_id, bin, split, " + ", ".join(f"{rnd(c)} AS {c}" for c in ["purchase"] + FEATS)
+                   + " FROM imp"))
+def q_full_panel(spark, sf):
+    """A6 + A8 + G1: write the prepared panel by split, read train and test
+    back separately (partition pruning) and union them into the full panel."""
+    path = os.path.join(checkpoint_dir(spark), "panelspark-sinks", uuid.uuid4().hex)
+    sinks.write_processed(prepared_events(spark, sf), path, sort_cols=["user_id", "bin"])
+    full = files.full_panel(files.read_processed(spark, path, "train"), files.read_processed(spark, path, "test"))
+    return rounded(full)

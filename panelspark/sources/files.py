@@ -137,6 +137,11 @@ def read_processed(spark: SparkSession, path: str, split: str | None = None,
     return df.drop(*drop)
 
 
+def full_panel(train: DataFrame, test: DataFrame) -> DataFrame:
+    """G1: train + test -> full panel (by name; a missing column is an error)."""
+    return train.unionByName(test)
+
+
 def validated_panel(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Fail early when required columns are missing or the table is empty."""
     missing = [c for c in required if c not in df.columns]

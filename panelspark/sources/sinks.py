@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 
 def write_processed(df: DataFrame, path: str, split_col: str = "split",
                     sort_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """One dataset partitioned by split (train/test directories, the
-    union of both is the full panel); rows sorted within partitions so the
+    """One dataset partitioned by split (train/test directories, the
+    union of both is the full panel, G1); rows sorted within partitions so the
     files keep (entity, time) order without a global sort."""
     w = df.repartition(split_col, *sort_cols[:1]) if sort_cols else df
     if sort_cols:
