@@ -34,9 +34,21 @@ def _load():
         importlib.import_module(f"panelspark.plans.{m}")
 
 
+def _shipped(fn):
+    def run(spark, sf_dir):
+        from panelspark.session import ship_package
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def queries():
+    """Registered builders; each first makes the package importable on the
+    executors of the session it is given."""
     _load()
-    return dict(registry.QUERIES)
+    return {k: _shipped(v) for k, v in registry.QUERIES.items()}
 
 
 def oracle_sql():

@@ -7,8 +7,11 @@ the setting is absent (local tests).
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +35,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -50,3 +54,47 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``panelspark`` importable in the Python workers (pandas UDFs,
+    ``mapInPandas`` and ``applyInPandas`` closures refer to it).
+
+    The package is zipped once per SparkContext into the shared checkpoint
+    folder and registered with ``addPyFile``, which is how Spark distributes
+    Python code to executors on a cluster.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    target = os.path.join(checkpoint_dir(spark), f"panelspark-{uuid.uuid4().hex}.zip")
+    if target.startswith("file:"):
+        target = target[len("file:"):]
+    if "://" in target:
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(path, True)
+        out.write(bytearray(buf.getvalue()))
+        out.close()
+    else:
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        with open(target, "wb") as fh:
+            fh.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
