@@ -25,7 +25,7 @@ PANEL_SQL = (
 _NULLS = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in FEATS)
 KEEP_SQL = (
     "t AS (SELECT * FROM p WHERE purchase IS NOT NULL), "
-    f"sh AS (SELECT user_id, count(*) AS n_rows, sum({_NULLS}) AS n_missing, "
+    f"sh AS (SELECT user_id, count(*) AS n_rows, CAST(sum({_NULLS}) AS BIGINT) AS n_missing, "
     f"sum({_NULLS}) / (count(*) * 5.0) AS missing_share FROM t GROUP BY user_id), "
     f"s AS (SELECT t.*, CASE WHEN bin <= {EVENT_TRAIN_END} THEN 'train' ELSE 'test' END AS split "
     "FROM t WHERE user_id IN (SELECT user_id FROM sh WHERE missing_share <= 0.30))"
@@ -99,8 +99,8 @@ def q_impute_provenance(spark, sf):
 
 
 _REMAIN_FINAL = (
-    "SELECT split, sum(" + " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in FEATS)
-    + ") AS remaining_nulls, count(*) AS n_rows FROM imp GROUP BY split"
+    "SELECT split, CAST(sum(" + " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in FEATS)
+    + ") AS BIGINT) AS remaining_nulls, count(*) AS n_rows FROM imp GROUP BY split"
 )
 
 
@@ -110,7 +110,7 @@ def q_remaining_nulls(spark, sf):
 
 
 @query("remaining_nulls_raw",
-       f"WITH {PANEL_SQL}, {KEEP_SQL} SELECT split, sum({_NULLS}) AS remaining_nulls, count(*) AS n_rows "
+       f"WITH {PANEL_SQL}, {KEEP_SQL} SELECT split, CAST(sum({_NULLS}) AS BIGINT) AS remaining_nulls, count(*) AS n_rows "
        "FROM s GROUP BY split")
 def q_remaining_nulls_raw(spark, sf):
     p = clean.filter_missingness(clean.drop_missing(panel_events(spark, sf), [EVENT_TARGET]), "user_id", FEATS)
