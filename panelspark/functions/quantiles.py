@@ -10,9 +10,11 @@ every distinct value in one JVM.  ``exact_quantiles`` instead:
    so the exact order statistics sit inside the bracket);
 2. one pass that counts values below each bracket and keeps only the values
    inside it (about ``2 m n`` rows, a bounded share of the data);
-3. a row_number over that small candidate set turns positions into exact
-   ranks; linear interpolation between the two neighbouring order statistics
-   gives the same answer as pandas ``median`` / DuckDB ``quantile_cont``.
+3. exact ranks of the candidates: a per-group window when every candidate
+   set holds at most ``window_limit`` rows, otherwise a distributed range
+   sort with per-partition offsets (no group lands in one task); linear
+   interpolation between the two neighbouring order statistics gives the same
+   answer as pandas ``median`` / DuckDB ``quantile_cont``.
 
 ``method="builtin"`` uses Spark's exact ``percentile`` (fine for small groups),
 ``method="approx"`` returns the sketch value directly.
@@ -25,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.session import cut_lineage
+
 
 def to_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
             name_col: str = "column", value_col: str = "value") -> DataFrame:
@@ -36,9 +40,13 @@ def to_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str]
 
 def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float] = (0.5,),
                     group_cols: Sequence[str] = (), method: str = "exact",
-                    accuracy: int = 100_000, margin: float = 8.0) -> DataFrame:
+                    accuracy: int = 100_000, margin: float = 8.0,
+                    window_limit: int = 2_000_000) -> DataFrame:
     """Long result: group..., ``column``, ``prob``, ``value``, ``n``.
 
+    ``window_limit``: largest candidate set ranked by a per-group window;
+    larger ones are ranked with a distributed range sort.
+
     Groups/columns without any non-null value yield no row (callers left-join).
     """
     g = list(group_cols)
@@ -74,6 +82,8 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
     brackets = brackets.withColumn("r_lo", F.floor(pos).cast("long")) \
                        .withColumn("r_hi", F.ceil(pos).cast("long")) \
                        .withColumn("frac", pos - F.floor(pos))
+    # one row per (group, column, probability): small, written once
+    brackets = cut_lineage(brackets)
     # pass 2: values below each bracket and inside it; a bracket that misses
     # one of the two order statistics (tiny groups: the +-m band is narrower
     # than one rank) falls back to all values of that group, which is small
@@ -82,13 +92,30 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
     stats = joined.groupBy(*keys, "pi").agg(
         F.count(F.when(F.col("value") < F.col("lo"), 1)).alias("below"),
         F.count(F.when(inb, 1)).alias("inside"))
-    j2 = joined.join(stats, keys + ["pi"])
     ok = (F.col("below") <= F.col("r_lo")) & (F.col("below") + F.col("inside") >= F.col("r_hi") + 1)
-    cand = j2.withColumn("__ok", ok).where(~F.col("__ok") | inb)
-    w = Window.partitionBy(*keys, "pi").orderBy("value")
+    stats = cut_lineage(stats.join(brackets.select(*keys, "pi", "r_lo", "r_hi"), keys + ["pi"])
+                        .withColumn("__ok", ok).select(*keys, "pi", "below", "inside", "__ok"))
+    widest = stats.agg(F.max(F.when(F.col("__ok"), F.col("inside")))).first()[0] or 0
+    cand = joined.join(stats, keys + ["pi"]).where(~F.col("__ok") | inb)
     base = F.when(F.col("__ok"), F.col("below")).otherwise(F.lit(0))
-    ranked = cand.withColumn("rank", base + F.row_number().over(w) - 1) \
-        .where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
+    if widest <= window_limit:
+        # every group's candidate set is bounded by ``window_limit`` rows
+        w = Window.partitionBy(*keys, "pi").orderBy("value")
+        ranked = cand.withColumn("rank", base + F.row_number().over(w) - 1)
+    else:
+        # large candidate sets: distributed ranking.  A range sort spreads a
+        # big group over many tasks; ranks are per-partition offsets (one row
+        # per partition and group) plus the position inside the partition.
+        srt = cand.withColumn("__base", base).repartitionByRange(*keys, "pi", "value") \
+                  .sortWithinPartitions(*keys, "pi", "value") \
+                  .withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
+        srt = cut_lineage(srt)          # freeze partition ids and positions
+        cnt = srt.groupBy("__pid", *keys, "pi").agg(F.count(F.lit(1)).alias("__c"), F.min("__mid").alias("__m0"))
+        wo = Window.partitionBy(*keys, "pi").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+        off = cnt.withColumn("__off", F.coalesce(F.sum("__c").over(wo), F.lit(0))).drop("__c")
+        ranked = srt.join(off, ["__pid", *keys, "pi"]) \
+                    .withColumn("rank", F.col("__base") + F.col("__off") + F.col("__mid") - F.col("__m0"))
+    ranked = ranked.where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
     out = ranked.groupBy(*keys, "pi", "prob", "n", "frac").agg(
         F.max(F.when(F.col("rank") == F.col("r_lo"), F.col("value"))).alias("v_lo"),
         F.max(F.when(F.col("rank") == F.col("r_hi"), F.col("value"))).alias("v_hi"))

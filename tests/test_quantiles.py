@@ -34,3 +34,14 @@ def test_medians_wide_empty_column(spark):
     df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
     row = medians_wide(df, ["a", "b"]).first()
     assert row["a"] == 2.0 and row["b"] is None
+
+
+def test_exact_quantiles_distributed_ranking(spark):
+    # a tiny window limit forces the range-sort ranking path
+    rng = np.random.default_rng(7)
+    g = np.repeat(["a", "b"], [30000, 3])
+    x = np.round(rng.normal(size=len(g)), 3)          # many ties
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "x": x}))
+    got = exact_quantiles(df, ["x"], (0.1, 0.5, 0.9), ["g"], accuracy=2000, window_limit=50).toPandas()
+    for (grp, p), v in got.set_index(["g", "prob"])["value"].items():
+        assert v == pytest.approx(np.quantile(x[g == grp], p), rel=1e-12, abs=1e-12)
