@@ -44,8 +44,10 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
                     window_limit: int = 2_000_000) -> DataFrame:
     """Long result: group..., ``column``, ``prob``, ``value``, ``n``.
 
-    ``window_limit``: largest candidate set ranked by a per-group window;
-    larger ones are ranked with a distributed range sort.
+    ``window_limit``: groups up to this size are ranked directly with a
+    per-group window; for larger ones only the bracket candidates are ranked
+    (per-group window when the candidates fit the limit, otherwise a
+    distributed range sort).
 
     Groups/columns without any non-null value yield no row (callers left-join).
     """
@@ -84,6 +86,13 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
                        .withColumn("frac", pos - F.floor(pos))
     # one row per (group, column, probability): small, written once
     brackets = cut_lineage(brackets)
+    largest = brackets.agg(F.max("n")).first()[0] or 0
+    if largest <= window_limit:
+        # every group is small enough to rank all of its values in one task
+        w = Window.partitionBy(*keys, "pi").orderBy("value")
+        ranked = long.join(brackets, keys).withColumn("rank", F.row_number().over(w) - 1) \
+                     .where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
+        return _interpolate(ranked, keys)
     # pass 2: values below each bracket and inside it; a bracket that misses
     # one of the two order statistics (tiny groups: the +-m band is narrower
     # than one rank) falls back to all values of that group, which is small
@@ -116,6 +125,10 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
         ranked = srt.join(off, ["__pid", *keys, "pi"]) \
                     .withColumn("rank", F.col("__base") + F.col("__off") + F.col("__mid") - F.col("__m0"))
     ranked = ranked.where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
+    return _interpolate(ranked, keys)
+
+
+def _interpolate(ranked: DataFrame, keys: list[str]) -> DataFrame:
     out = ranked.groupBy(*keys, "pi", "prob", "n", "frac").agg(
         F.max(F.when(F.col("rank") == F.col("r_lo"), F.col("value"))).alias("v_lo"),
         F.max(F.when(F.col("rank") == F.col("r_hi"), F.col("value"))).alias("v_hi"))
