@@ -215,3 +215,12 @@ def q_breusch_pagan(spark, sf):
     n = res.count()
     return _rounded(spark.createDataFrame([(out["lm_stat"], out["lm_pvalue"], out["f_stat"], n)],
                                           "lm_stat double, lm_pvalue double, f_stat double, n long"))
+
+
+@query("hausman")
+def q_hausman(spark, sf):
+    """FE (two-way, unadjusted) vs RE (Swamy-Arora) Hausman statistic."""
+    fe, _, _ = nation_dynamic_panel(spark, sf)
+    h = econ.hausman(fe, econ.fit_random_effects(fe.sample, "entity", NATION_Y, TERMS))
+    return spark.createDataFrame([(h["test"], h["statistic"], h["df"], h["p_value"], h["conclusion"])],
+                                 "test string, statistic double, df int, p_value double, conclusion string")
