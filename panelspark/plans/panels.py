@@ -118,8 +118,6 @@ def nation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Everything is an aggregate or a join; the train statistics are one-row
     (global) or one-row-per-entity tables.
     """
-    from pyspark.sql import Window
-
     p = panel_nation(spark, sf_dir, materialize=True).select(
         F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"),
         F.col("avg_price").alias("y"), F.col("n_orders").alias("x"))
@@ -129,8 +127,8 @@ def nation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = scalar_row(train.agg(F.avg("y").alias("gm"), F.regr_slope("y", "x").alias("b"),
                              F.regr_intercept("y", "x").alias("a")))
     em = train.groupBy("entity").agg(F.avg("y").alias("em"))
-    prev = F.lag("y").over(Window.partitionBy("entity").orderBy("time"))
-    base = (p.withColumn("prev", prev).select("*", g["gm"].alias("gm"), g["a"].alias("a"), g["b"].alias("b"))
+    from panelspark.operators.econ import add_lag
+    base = (add_lag(p, "entity", "time", "y", 1, out="prev").select("*", g["gm"].alias("gm"), g["a"].alias("a"), g["b"].alias("b"))
               .join(em, "entity", "left")
               .join(nation_regions(spark, sf_dir).select(F.col("c_nationkey").alias("entity"), "region"),
                     "entity", "left"))
