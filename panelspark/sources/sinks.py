@@ -34,3 +34,10 @@ def load_model(path: str):
     """A10: reload a model saved by ``save_model`` (raises when absent)."""
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+def write_panel_summary(spark, fe, path: str, fmt: str = "csv") -> None:
+    """The fitted panel model's coefficient table (J1/J2) and one-row
+    summary (J12) written next to each other."""
+    write_results(fe.coefficients(spark), path + "/coefficients", fmt)
+    write_results(fe.summary(spark), path + "/summary", fmt)

@@ -70,3 +70,18 @@ def test_long_index_source(spark):
                                "indexCode string, country string, year string, value string")
     out = files.long_index_source(df, "indexCode", "HDI", "country", "year", "value", "hdi").collect()
     assert [(r.entity, r.time, r.hdi) for r in out] == [("A", 2000, 0.5)]
+
+
+def test_result_and_panel_summary_sinks(spark, tmp_path):
+    import numpy as np
+    import pandas as pd
+    from panelspark.operators import econ
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame([(e, t, rng.normal(), rng.normal()) for e in range(5) for t in range(6)],
+                       columns=["e", "t", "y", "x"])
+    fe = econ.fit_twoway_fe(spark.createDataFrame(pdf), "e", "t", "y", ["x"])
+    sinks.write_panel_summary(spark, fe, str(tmp_path / "panel"))
+    coefs = spark.read.csv(str(tmp_path / "panel/coefficients"), header=True)
+    summ = spark.read.csv(str(tmp_path / "panel/summary"), header=True).first()
+    assert coefs.count() == 1 and coefs.first().term == "x"
+    assert int(summ.nobs) == 30 and summ.model == "Dynamic Panel (FE)"
