@@ -133,7 +133,13 @@ def q_model_predictions(spark, sf):
 
 @query("search_space")
 def q_search_space(spark, sf):
-    return models.search_space_table(spark)
+    """I19 + I13: every model's search space, with the best value the
+    walk-forward search found on the nation panel (elastic net here)."""
+    sr = _search(spark, sf)
+    best = spark.createDataFrame([(sr.model, k, str(v)) for k, v in sr.best_params.items()],
+                                 "model string, parameter string, best_value string")
+    return models.search_space_table(spark).join(best, ["model", "parameter"], "left") \
+                 .withColumn("cv_score", F.when(F.col("best_value").isNotNull(), F.lit(sr.cv_score)))
 
 
 def _search(spark, sf):
