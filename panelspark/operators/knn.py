@@ -48,12 +48,51 @@ def _minkowski(Q: np.ndarray, R: np.ndarray, p: int) -> np.ndarray:
     return (diff ** p).sum(axis=2) ** (1.0 / p)
 
 
+def _topk_euclid(Q, q_ids, R, r_ids, k, exclude_self, rn):
+    """Euclidean top-k of each row of ``Q``: (selected columns, distances) sorted by
+    (distance, id), or None for rows with no finite candidate.
+
+    A matrix product screens the candidates (squared distance = |q|^2 + |r|^2
+    - 2 q.r); every reference row whose screened value lies within a margin of
+    the k-th screened value is re-scored with the exact difference formula.
+    The margin (1e-9 of the squared norms) is far above the rounding error of
+    the product, so the candidate set holds every true neighbour and all ties
+    at the k-th distance: the result equals brute force exactly.
+    """
+    qn = np.einsum("ij,ij->i", Q, Q)
+    D2 = qn[:, None] + rn[None, :] - 2.0 * (Q @ R.T)
+    if exclude_self:
+        D2[q_ids[:, None] == r_ids[None, :]] = np.inf
+    kk = min(k, D2.shape[1])
+    kth = np.partition(D2, kk - 1, axis=1)[:, kk - 1]
+    margin = 1e-9 * (qn + rn.max()) + 1e-300
+    ri, ci = np.nonzero((D2 <= (kth + margin)[:, None]) & np.isfinite(D2))
+    diff = Q[ri] - R[ci]
+    dist = np.sqrt((diff * diff).sum(axis=1))
+    order = np.lexsort((r_ids[ci], dist, ri))
+    ri, ci, dist = ri[order], ci[order], dist[order]
+    starts = np.searchsorted(ri, ri, side="left")
+    keep = (np.arange(len(ri)) - starts) < kk
+    return ri[keep], ci[keep], dist[keep]
+
+
 def _topk(pdf, R, r_ids, r_carry, qid, rid, features, carry, k, p, exclude_self):
     """k best reference rows per query row of ``pdf`` (numpy, chunked)."""
     if len(pdf) == 0 or len(r_ids) == 0:
         return None
     Q = _matrix(pdf, features)
     q_ids = pdf[qid].to_numpy(dtype=np.int64)
+    if p == 2:
+        rn = np.einsum("ij,ij->i", R, R)
+        step = max(1, _CHUNK_ELEMS // max(1, R.shape[0]))
+        rows = []
+        for s in range(0, len(Q), step):
+            qi, ci, dist = _topk_euclid(Q[s:s + step], q_ids[s:s + step], R, r_ids, k, exclude_self, rn)
+            frame = {qid: q_ids[s:s + step][qi], rid: r_ids[ci], "distance": dist}
+            for c in carry:
+                frame[c] = r_carry[c][ci]
+            rows.append(pd.DataFrame(frame))
+        return pd.concat(rows, ignore_index=True) if rows else None
     step = max(1, _CHUNK_ELEMS // max(1, R.shape[0] * max(1, R.shape[1])))
     rows = []
     for s in range(0, len(Q), step):
@@ -94,9 +133,11 @@ def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k
     spark = queries.sparkSession
     fcols = [features] if isinstance(features, str) else list(features)
     dim = 1 if isinstance(features, str) else len(fcols)
-    n_ref = ref.count()
     if isinstance(features, str):
-        dim = int(ref.select(F.max(F.size(features))).first()[0] or 1)
+        n_ref, dim = ref.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
+        dim = int(dim or 1)
+    else:
+        n_ref = ref.count()
     row_bytes = 8 * (dim + 2 + len(carry))
     n_blocks = max(1, math.ceil(n_ref * row_bytes / max_block_bytes))
     out_schema = f"{qid} long, {rid} long, distance double" + "".join(f", `{c}` double" for c in carry)

@@ -35,3 +35,24 @@ def test_knn_array_column(spark):
     got = knn.knn_join(q, df.withColumnRenamed("id", "r"), "q", "r", "v", k=2, exclude_self=True).toPandas()
     assert sorted(got[got.q == 0].r) == [1, 2]
     assert sorted(got[got.q == 5].r) == [4, 6]
+
+
+@pytest.mark.parametrize("block", [1 << 30, 600])
+def test_knn_euclid_ties_match_bruteforce(spark, block):
+    """Integer grid points give many equal distances and exact duplicates:
+    the screened Euclidean path must keep every tie and break it by id."""
+    rng = np.random.default_rng(7)
+    X = rng.integers(0, 4, size=(90, 3)).astype(float)
+    pdf = pd.DataFrame({"id": np.arange(90) * 3 + 1, **{f"f{i}": X[:, i] for i in range(3)}})
+    df = spark.createDataFrame(pdf)
+    feats = ["f0", "f1", "f2"]
+    got = knn.knn_join(df.withColumnRenamed("id", "qid"), df.withColumnRenamed("id", "rid"), "qid", "rid",
+                       feats, k=6, p=2, exclude_self=True, max_block_bytes=block).toPandas()
+    ids = pdf.id.to_numpy()
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(D, np.inf)
+    for i in range(90):
+        exp = np.lexsort((ids, D[i]))[:6]
+        g = got[got.qid == ids[i]].sort_values("rank")
+        assert list(g.rid) == list(ids[exp])
+        assert np.array_equal(g.distance.to_numpy(), D[i, exp])
