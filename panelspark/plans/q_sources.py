@@ -14,7 +14,7 @@ from panelspark.plans.panels import nation_regions, panel_nation, table, event_b
 from panelspark.plans.pipelines import prepared_events
 from panelspark.plans.q_prep import FEATS, _BIN, _NP_SQL, _impute_sql
 from panelspark.plans.registry import query, rnd, rounded
-from panelspark.session import checkpoint_dir
+from panelspark.session import checkpoint_dir, cut_lineage
 from panelspark.sources import files, sinks
 
 # demonstration alias map for B9 (alias -> canonical), applied after the merge
@@ -265,3 +265,63 @@ def q_full_panel(spark, sf):
     sinks.write_processed(prepared_events(spark, sf), path, sort_cols=["user_id", "bin"])
     full = files.full_panel(files.read_processed(spark, path, "train"), files.read_processed(spark, path, "test"))
     return rounded(full)
+
+
+# ---------------------------------------------------------------- A1-A4 + C1 on files
+# manifest of the indicator files written and read back by ``indicator_manifest_merge``;
+# the first entry is the target, "not_shipped" is listed but never written (A3)
+MANIFEST = [files.IndicatorSpec("price", "avg_price"), files.IndicatorSpec("orders", "n_orders"),
+            files.IndicatorSpec("not_shipped", "unused"), files.IndicatorSpec("acctbal", "avg_acctbal")]
+INDICATOR_METADATA = ['"Data Source","panel indicators",', "", '"Last Updated Date","2024-01-01",', ""]
+
+_MANIFEST_SQL = (
+    f"WITH {_NP_SQL}, y AS (SELECT n_name, 'N' || CAST(c_nationkey AS VARCHAR) AS code, r_name, "
+    "CAST(floor(quarter / 4) AS INTEGER) AS year, avg(avg_price) AS ap, sum(n_orders) AS no, avg(avg_acctbal) AS ab "
+    "FROM np JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3, 4), "
+    "y0 AS (SELECT min(year) AS y0 FROM y), "
+    "grid AS (SELECT n.n_name, n.code, n.r_name, t.year FROM (SELECT DISTINCT n_name, code, r_name FROM y) n, "
+    "(SELECT DISTINCT year FROM y) t) "
+    f"SELECT grid.n_name AS entity, grid.code AS \"Country Code\", grid.year AS time, {rnd('y.ap')} AS avg_price, "
+    f"CASE WHEN grid.r_name IN ({_KEEP}) THEN {rnd('y.no')} END AS n_orders, "
+    f"CASE WHEN grid.year >= y0 + 2 THEN {rnd('y.ab')} END AS avg_acctbal "
+    "FROM grid CROSS JOIN y0 LEFT JOIN y ON grid.n_name = y.n_name AND grid.year = y.year"
+)
+
+
+@query("indicator_manifest_merge", _MANIFEST_SQL)
+def q_manifest_merge(spark, sf):
+    """The reference's loading flow run on files derived from
+    the given tables.  Yearly nation indicators are written into the shared
+    folder as published-style wide CSVs (metadata lines above the header, one
+    column per year) - the price file for every nation, the orders file for the
+    nations of three regions - and the account balance as a long Parquet file
+    next to a conflicting CSV copy (format precedence must pick Parquet).  The
+    manifest also lists a file that does not exist.  Everything is loaded back
+    through the manifest and merged with the N-way full outer join."""
+    folder = os.path.join(checkpoint_dir(spark), "panelspark-sources", uuid.uuid4().hex)
+    p = panel_nation(spark, sf, materialize=True).join(nation_regions(spark, sf), "c_nationkey")
+    yearly = p.groupBy("n_name", F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("code"), "region",
+                       F.floor(F.col("quarter") / 4).cast("int").alias("year")).agg(
+        F.avg("avg_price").alias("avg_price"), F.sum("n_orders").alias("n_orders"),
+        F.avg("avg_acctbal").alias("avg_acctbal"))
+    yearly = cut_lineage(yearly)
+    years = sorted(r[0] for r in yearly.select("year").distinct().collect())   # bounded by the calendar
+
+    def wide(src, value):
+        w = src.groupBy(F.col("n_name").alias("Country Name"), F.col("code").alias("Country Code")) \
+               .pivot("year", years).agg(F.first(value))
+        return w.select("Country Name", "Country Code",
+                        F.lit(value).alias("Indicator Name"), F.lit(value.upper()).alias("Indicator Code"),
+                        *[F.col(str(y)) for y in years])
+
+    sinks.write_indicator_csv(wide(yearly, "avg_price"), os.path.join(folder, "price.csv"), INDICATOR_METADATA)
+    sinks.write_indicator_csv(wide(yearly.where(F.col("region").isin(KEEP_REGIONS)), "n_orders"),
+                              os.path.join(folder, "orders.csv"), INDICATOR_METADATA)
+    bal = yearly.where(F.col("year") >= years[0] + 2).select(
+        F.col("n_name").alias("Country Name"), F.col("year").alias("Year"), "avg_acctbal")
+    bal.write.mode("overwrite").parquet(os.path.join(folder, "acctbal.parquet"))
+    sinks.write_indicator_csv(bal.withColumn("avg_acctbal", -F.col("avg_acctbal")),
+                              os.path.join(folder, "acctbal.csv"), INDICATOR_METADATA)
+    tables = files.load_manifest(spark, folder, MANIFEST)
+    merged = clean.outer_merge(tables, ["entity", "time"], code_col="Country Code")
+    return rounded(merged)

@@ -37,20 +37,55 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _header_names(line: str) -> list[str]:
+    """Column names from one header line, named the way Spark's CSV reader
+    names them: empty -> ``_c<i>``, repeated -> name + position."""
+    import csv
+    raw = next(csv.reader([line])) if line else []
+    names = [n if n != "" else f"_c{i}" for i, n in enumerate(raw)]
+    seen = {n: names.count(n) for n in names}
+    return [f"{n}{i}" if seen[n] > 1 else n for i, n in enumerate(names)]
+
+
 def read_csv_skip(spark: SparkSession, path: str, skip: int = DEFAULT_SKIP_LINES,
                   header: bool = True) -> DataFrame:
-    """A1: CSV with ``skip`` metadata lines above the header.
-
-    Spark's CSV reader has no skip-rows option, so lines are numbered with
-    ``zipWithIndex`` (a distributed index, no collect) and the first ``skip``
-    dropped before the CSV parser sees them.  Every column is read as text;
+    """A1: CSV with ``skip`` metadata lines above the header, in every file.
+
+    Spark's CSV reader has no skip-rows option.  The file (or every part file
+    of a directory) is scanned as text, split like any text source; the first
+    lines of a file are the ones in its split starting at byte 0
+    (``_metadata.file_block_start``), and ``monotonically_increasing_id`` numbers
+    lines consecutively in scan order within a split.  A one-row-per-file
+    aggregate gives each file's first id; lines below ``first + skip`` are
+    metadata and the line at ``first + skip`` is that file's header.  The
+    header of one file names the columns (driver reads one line); all lines
+    are parsed on the executors with ``from_csv``.  Every column is text;
     numbers go through the tolerant cast later (B7).  Skipping is explicit,
-    never guessed (S11).
+    never guessed (S11), and counts raw lines, blank ones included.
     """
-    lines = spark.sparkContext.textFile(path)
-    if skip:
-        lines = lines.zipWithIndex().filter(lambda kv: kv[1] >= skip).keys()
-    return spark.read.csv(lines, header=header, inferSchema=False)
+    raw = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("__f"),
+        (F.col("_metadata.file_block_start") == 0).alias("__head"),
+        F.monotonically_increasing_id().alias("__i"))
+    n_top = skip + (1 if header else 0)
+    if n_top:
+        # one row per file: bounded by the file listing the driver already holds
+        first = F.broadcast(raw.where("__head").groupBy("__f").agg(F.min("__i").alias("__i0")))
+        raw = raw.join(first, "__f", "left").withColumn(
+            "__pos", F.when(F.col("__head"), F.col("__i") - F.col("__i0")))
+    if header:
+        hdr = raw.where(F.col("__pos") == skip).select("value").first()
+        names = _header_names(hdr[0] if hdr else "")
+    else:
+        sample = raw.where(F.col("__pos").isNull() | (F.col("__pos") >= n_top)).select("value").first()
+        names = [f"_c{i}" for i in range(len(_header_names(sample[0] if sample else "")))]
+    if not names:
+        return spark.createDataFrame([], "value string").select()
+    body = raw.where(F.col("__pos").isNull() | (F.col("__pos") >= n_top)) if n_top else raw
+    body = body.where(F.length("value") > 0)           # blank lines carry no record (CSV reader rule)
+    ddl = ", ".join("`{}` string".format(n.replace("`", "``")) for n in names)
+    rec = F.from_csv(F.col("value"), ddl)
+    return body.select(*[rec[n].alias(n) for n in names])
 
 
 def resolve_source(spark: SparkSession, base: str, precedence: Sequence[str] = FORMAT_PRECEDENCE) -> str | None:

@@ -1,10 +1,12 @@
-"""Sinks (A6, A7, A10, A12): processed panels, result tables, fitted models."""
+"""Sinks (A6, A7, A10, A12): processed panels, result tables, fitted models,
+and wide indicator CSVs in the layout the A1 reader expects."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_processed(df: DataFrame, path: str, split_col: str = "split",
@@ -19,6 +21,35 @@ def write_processed(df: DataFrame, path: str, split_col: str = "split",
        .options(**({"header": "true"} if fmt == "csv" else {})).save(path))
 
 
+def write_indicator_csv(df: DataFrame, path: str, metadata: Sequence[str]) -> None:
+    """Wide indicator table -> CSV part files, each opening with the
+    ``metadata`` lines and the header, as published indicator files do.
+
+    Records are formatted on the executors (``to_csv``); a per-partition step
+    puts the metadata lines and header in front of the partition's first
+    record, so every part file is a complete indicator file of its own and
+    the data is never gathered into one task.
+    """
+    import csv
+    import io
+
+    buf = io.StringIO()
+    csv.writer(buf, lineterminator="").writerow(df.columns)
+    top = list(metadata) + [buf.getvalue()]
+    lines = df.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+
+    def prepend(batches):
+        import pandas as pd
+        pending = True
+        for pdf in batches:
+            if pending and len(pdf):
+                pending = False
+                yield pd.DataFrame({"value": top})
+            yield pdf
+
+    lines.mapInPandas(prepend, "value string").write.mode("overwrite").text(path)
+
+
 def write_results(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Leaderboard / summary tables (small) as CSV with header."""
     (df.coalesce(1).write.mode("overwrite").format(fmt)
