@@ -150,3 +150,21 @@ def q_results_union(spark, sf):
        f"SELECT {rnd('min(rmse)')} AS min_rmse, {rnd('min(CASE WHEN mae > 0 THEN mae END)')} AS min_pos_mae FROM mm")
 def q_min_errors(spark, sf):
     return rounded(metrics.min_errors(_model_metrics(spark, sf)))
+
+
+@query("results_sink_roundtrip",
+       f"WITH {PRED_SQL}, {metrics_sql('preds', ['model', 'split'])} SELECT model, split, n, p, {_r(_MCOLS)} FROM mm")
+def q_results_sink(spark, sf):
+    """The metrics table written as a results CSV (header line) into the
+    shared folder and read back with its schema; values survive the text
+    round trip unchanged."""
+    import os
+    import uuid
+
+    from panelspark.session import checkpoint_dir
+    from panelspark.sources import sinks
+
+    m = rounded(_model_metrics(spark, sf))
+    path = os.path.join(checkpoint_dir(spark), "panelspark-results", uuid.uuid4().hex)
+    sinks.write_results(m, path, fmt="csv")
+    return spark.read.schema(m.schema).option("header", "true").csv(path)

@@ -191,3 +191,37 @@ def q_learning_curve(spark, sf):
 def q_top_features(spark, sf):
     """Top-10 features per tree model."""
     return models.top_features(models.feature_importance(spark, _runs(spark, sf)), 10)
+
+
+_SAVE_SIG = 8
+
+
+@query("model_save_load",
+       "WITH " + __import__("panelspark.plans.q_prep", fromlist=["_NP_SQL"])._NP_SQL + ", "
+       "cut AS (SELECT max(quarter) - 8 + 1 AS c FROM np), "
+       "fit AS (SELECT regr_intercept(avg_price, n_orders) AS a, regr_slope(avg_price, n_orders) AS b "
+       "FROM np, cut WHERE quarter < c) "
+       f"SELECT c_nationkey, quarter, {rnd('a + b * n_orders', _SAVE_SIG)} AS y_pred FROM np, cut, fit WHERE quarter >= c")
+def q_model_save_load(spark, sf):
+    """A fitted pipeline (assembler + least squares on ``n_orders``)
+    is saved to the shared folder, loaded back and used to score the test
+    quarters; the reloaded model must predict what the fitted one does."""
+    import os
+    import uuid
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from panelspark.session import checkpoint_dir
+    from panelspark.sources import sinks
+
+    train, test = model_data(spark, sf)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["n_orders"], outputCol="features"),
+                            LinearRegression(featuresCol="features", labelCol=NATION_TARGET, solver="normal",
+                                             regParam=0.0, elasticNetParam=0.0)])
+    path = os.path.join(checkpoint_dir(spark), "panelspark-models", uuid.uuid4().hex)
+    sinks.save_model(pipe.fit(train), path)
+    loaded = sinks.load_model(path)
+    pred = loaded.transform(test).select("c_nationkey", "quarter", F.col("prediction").alias("y_pred"))
+    return rounded(pred, sig=_SAVE_SIG)

@@ -325,3 +325,23 @@ def q_manifest_merge(spark, sf):
     tables = files.load_manifest(spark, folder, MANIFEST)
     merged = clean.outer_merge(tables, ["entity", "time"], code_col="Country Code")
     return rounded(merged)
+
+
+@query("panel_source_validated",
+       f"WITH {_NP_SQL} SELECT c_nationkey, quarter, "
+       + ", ".join(f"{rnd(c)} AS {c}" for c in ["avg_price", "n_orders", "avg_acctbal", "avg_qty", "avg_disc"])
+       + " FROM np")
+def q_panel_source(spark, sf):
+    """A panel file (the nation panel written to
+    the shared folder) read and validated (required columns present, not
+    empty); the time column is inferred, predictors are the numeric columns
+    other than the keys and the target, the wanted columns that exist are
+    projected, and the panel is sorted by (entity, time) at output."""
+    path = os.path.join(checkpoint_dir(spark), "panelspark-sources", uuid.uuid4().hex)
+    panel_nation(spark, sf).write.mode("overwrite").parquet(path)
+    df = files.validated_panel(spark.read.parquet(path), ["c_nationkey", "quarter", "avg_price"])
+    time = clean.infer_time_column(df, ("time", "Year", "year", "quarter"))
+    keys = ["c_nationkey", time, "avg_price"]
+    preds = [c for c in clean.predictors_by_exclusion(df, keys) if c in clean.numeric_columns(df, keys)]
+    out = clean.existing_columns(df, keys + preds + ["not_in_panel"])
+    return rounded(clean.sort_panel(out, "c_nationkey", time))
