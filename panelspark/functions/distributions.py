@@ -77,10 +77,23 @@ def betainc(a, b, x):
 
 def gammainc_lower(a, x):
     """Regularised lower incomplete gamma P(a, x), elementwise."""
+    return _gammainc(a, x, upper=False)
+
+
+def gammainc_upper(a, x):
+    """Regularised upper incomplete gamma Q(a, x) = 1 - P(a, x), elementwise.
+
+    Taken straight from the continued fraction where that converges
+    (x >= a + 1), so small tail probabilities keep full relative precision
+    instead of being formed as 1 - (1 - Q)."""
+    return _gammainc(a, x, upper=True)
+
+
+def _gammainc(a, x, upper: bool):
     a, x = np.broadcast_arrays(np.asarray(a, float), np.asarray(x, float))
     out = np.full(x.shape, np.nan)
     ok = np.isfinite(a) & np.isfinite(x) & (a > 0) & (x >= 0)
-    out[ok & (x == 0)] = 0.0
+    out[ok & (x == 0)] = 1.0 if upper else 0.0
     m = ok & (x > 0)
     if not m.any():
         return out
@@ -98,7 +111,8 @@ def gammainc_lower(a, x):
             s += dl
             if np.all(np.abs(dl) < np.abs(s) * _EPS):
                 break
-        res[ser] = s * np.exp(-xx + aa * np.log(xx) - gln[ser])
+        lower = s * np.exp(-xx + aa * np.log(xx) - gln[ser])
+        res[ser] = 1.0 - lower if upper else lower
     cf = ~ser
     if cf.any():
         aa, xx = am[cf], xm[cf]
@@ -118,7 +132,8 @@ def gammainc_lower(a, x):
             h *= delta
             if np.all(np.abs(delta - 1.0) < _EPS):
                 break
-        res[cf] = 1.0 - np.exp(-xx + aa * np.log(xx) - gln[cf]) * h
+        q = np.exp(-xx + aa * np.log(xx) - gln[cf]) * h
+        res[cf] = q if upper else 1.0 - q
     out[m] = res
     return out
 
@@ -138,7 +153,7 @@ def t_sf2(t, df):
 
 def chi2_sf(x, k):
     """P(X > x) for chi-square with k degrees of freedom."""
-    return 1.0 - gammainc_lower(np.asarray(k, float) / 2.0, np.asarray(x, float) / 2.0)
+    return gammainc_upper(np.asarray(k, float) / 2.0, np.asarray(x, float) / 2.0)
 
 
 def _clean(v: np.ndarray) -> pd.Series:

@@ -168,14 +168,6 @@ def q_diagnostics(spark, sf):
     return econ.diagnostics(fe, spark)
 
 
-@query("re_coeffs")
-def q_re(spark, sf):
-    fe, _, _ = nation_dynamic_panel(spark, sf)
-    re = econ.fit_random_effects(fe.sample, "entity", NATION_Y, TERMS)
-    rows = [(t, float(b), float(s)) for t, b, s in zip(TERMS, re.params, re.cov.diagonal() ** 0.5)]
-    return spark.createDataFrame(rows, "term string, coef double, se double")
-
-
 @query("fe_full_panel_coeffs")
 def q_fe_full(spark, sf):
     """The reference's default fits on the whole panel (leaks the test years)."""
@@ -217,10 +209,84 @@ def q_breusch_pagan(spark, sf):
                                           "lm_stat double, lm_pvalue double, f_stat double, n long"))
 
 
-@query("hausman")
+def _solve2(s: str, out: str) -> str:
+    """SQL for a 2 x 2 least-squares solve from the sums ``<s>11, <s>12, <s>22,
+    <s>y1, <s>y2, <s>yy`` of one row: coefficients, residual sum of squares
+    (clipped at 0, as in the solver) and the determinant."""
+    det = f"({s}11 * {s}22 - {s}12 * {s}12)"
+    b1 = f"(({s}22 * {s}y1 - {s}12 * {s}y2) / {det})"
+    b2 = f"(({s}11 * {s}y2 - {s}12 * {s}y1) / {det})"
+    return (f"{out} AS (SELECT *, {b1} AS {out}_b1, {b2} AS {out}_b2, {det} AS {out}_det, "
+            f"greatest({s}yy - 2 * ({b1} * {s}y1 + {b2} * {s}y2) + {b1} * {b1} * {s}11 "
+            f"+ 2 * {b1} * {b2} * {s}12 + {b2} * {b2} * {s}22, 0) AS {out}_sse FROM {out}_in)")
+
+
+# Random effects (no constant) on the FE sample, every step a 2 x 2 closed form
+RE_SQL = (
+    f"{FE_SQL}, "
+    "gr AS (SELECT count(*) AS n, sum(y * y) AS ryy, sum(y * x1) AS ry1, sum(y * x2) AS ry2, "
+    "sum(x1 * x1) AS r11, sum(x1 * x2) AS r12, sum(x2 * x2) AS r22 FROM tr), "
+    "en AS (SELECT entity, count(*) AS ni, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2 FROM tr GROUP BY entity), "
+    "ge AS (SELECT count(*) AS ne, sum(1.0 / ni) AS sinv, "
+    "sum(ni * my * my) AS myy, sum(ni * my * m1) AS my1, sum(ni * my * m2) AS my2, "
+    "sum(ni * m1 * m1) AS m11, sum(ni * m1 * m2) AS m12, sum(ni * m2 * m2) AS m22, "
+    "sum(my * my) AS uyy, sum(my * m1) AS uy1, sum(my * m2) AS uy2, "
+    "sum(m1 * m1) AS u11, sum(m1 * m2) AS u12, sum(m2 * m2) AS u22 FROM en), "
+    "wi_in AS (SELECT n, ne, sinv, ryy - myy AS wyy, ry1 - my1 AS wy1, ry2 - my2 AS wy2, "
+    "r11 - m11 AS w11, r12 - m12 AS w12, r22 - m22 AS w22, uyy, uy1, uy2, u11, u12, u22 FROM gr, ge), "
+    + _solve2("w", "wi") + ", "
+    "bt_in AS (SELECT * FROM wi), " + _solve2("u", "bt") + ", "
+    "vc AS (SELECT wi_sse / greatest(n - ne - 2, 1) AS s2e, "
+    "greatest(0, bt_sse / greatest(ne - 2, 1) - (wi_sse / greatest(n - ne - 2, 1)) / (ne / sinv)) AS s2u FROM bt), "
+    "th AS (SELECT en.*, ni * (1 - sqrt(s2e / (ni * s2u + s2e))) * (2 - (1 - sqrt(s2e / (ni * s2u + s2e)))) AS wq "
+    "FROM en, vc), "
+    "gq AS (SELECT sum(wq * my * my) AS qyy, sum(wq * my * m1) AS qy1, sum(wq * my * m2) AS qy2, "
+    "sum(wq * m1 * m1) AS q11, sum(wq * m1 * m2) AS q12, sum(wq * m2 * m2) AS q22 FROM th), "
+    "re_in AS (SELECT n, ryy - qyy AS syy, ry1 - qy1 AS sy1, ry2 - qy2 AS sy2, "
+    "r11 - q11 AS s11, r12 - q12 AS s12, r22 - q22 AS s22 FROM gr, gq), "
+    + _solve2("s", "re") + ", "
+    "rv AS (SELECT re_b1, re_b2, re_sse / greatest(n - 2, 1) * s22 / re_det AS rv11, "
+    "re_sse / greatest(n - 2, 1) * s11 / re_det AS rv22, -re_sse / greatest(n - 2, 1) * s12 / re_det AS rv12 FROM re)"
+)
+
+# Hausman with the unadjusted FE covariance; the chi-square tail with 2 df is exp(-x/2)
+HAUSMAN_SQL = (
+    f"{RE_SQL}, "
+    "fd AS (SELECT count(DISTINCT entity) AS nn, count(DISTINCT time) AS tt, count(*) AS nobs FROM tr), "
+    "fy AS (SELECT sum(yd * yd) AS syy FROM dm), "
+    "fv AS (SELECT c1, c2, a11, a12, a22, det, greatest(syy - 2 * (c1 * b1 + c2 * b2) + c1 * c1 * a11 "
+    "+ 2 * c1 * c2 * a12 + c2 * c2 * a22, 0) / greatest(nobs - 2 - (nn - 1) - (tt - 1), 1) AS f FROM co, fy, fd), "
+    "hv AS (SELECT c1 - re_b1 AS d1, c2 - re_b2 AS d2, f * a22 / det - rv11 AS v11, f * a11 / det - rv22 AS v22, "
+    "-f * a12 / det - rv12 AS v12 FROM fv, rv), "
+    "hs AS (SELECT (v22 * d1 * d1 - 2 * v12 * d1 * d2 + v11 * d2 * d2) / (v11 * v22 - v12 * v12) AS stat FROM hv), "
+    "hp AS (SELECT stat, CASE WHEN stat >= 0 THEN exp(-stat / 2) ELSE 1.0 END AS p FROM hs)"
+)
+
+
+def _re_query_sql() -> str:
+    return (f"WITH {RE_SQL} SELECT 'n_orders' AS term, {_r('re_b1')} AS coef, {_r('sqrt(rv11)')} AS se FROM rv "
+            f"UNION ALL SELECT '{NATION_LAG}', {_r('re_b2')}, {_r('sqrt(rv22)')} FROM rv")
+
+
+def _hausman_query_sql() -> str:
+    return (f"WITH {HAUSMAN_SQL} SELECT 'Hausman (unadjusted cov)' AS test, {_r('stat')} AS statistic, "
+            f"CAST(2 AS INTEGER) AS df, {_r('p')} AS p_value, "
+            "CASE WHEN p < 0.05 THEN 'Prefer FE (RE rejected)' ELSE 'RE acceptable' END AS conclusion FROM hp")
+
+
+@query("re_coeffs", _re_query_sql())
+def q_re(spark, sf):
+    """Random effects (Swamy-Arora variance components, no constant)."""
+    fe, _, _ = nation_dynamic_panel(spark, sf)
+    re = econ.fit_random_effects(fe.sample, "entity", NATION_Y, TERMS)
+    rows = [(t, float(b), float(s)) for t, b, s in zip(TERMS, re.params, re.cov.diagonal() ** 0.5)]
+    return _rounded(spark.createDataFrame(rows, "term string, coef double, se double"))
+
+
+@query("hausman", _hausman_query_sql())
 def q_hausman(spark, sf):
     """FE (two-way, unadjusted) vs RE (Swamy-Arora) Hausman statistic."""
     fe, _, _ = nation_dynamic_panel(spark, sf)
     h = econ.hausman(fe, econ.fit_random_effects(fe.sample, "entity", NATION_Y, TERMS))
-    return spark.createDataFrame([(h["test"], h["statistic"], h["df"], h["p_value"], h["conclusion"])],
-                                 "test string, statistic double, df int, p_value double, conclusion string")
+    return _rounded(spark.createDataFrame([(h["test"], h["statistic"], h["df"], h["p_value"], h["conclusion"])],
+                                          "test string, statistic double, df int, p_value double, conclusion string"))

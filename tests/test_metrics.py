@@ -60,3 +60,15 @@ def test_tail_functions_match_jvm(spark, x, d1, d2):
     assert D.f_sf(x, d1, d2) == pytest.approx(1 - jvm.FDistribution(float(d1), float(d2)).cumulativeProbability(x), abs=1e-12)
     assert D.t_sf2(x, d2) == pytest.approx(2 * (1 - jvm.TDistribution(float(d2)).cumulativeProbability(x)), abs=1e-12)
     assert D.chi2_sf(x, d1) == pytest.approx(1 - jvm.ChiSquaredDistribution(float(d1)).cumulativeProbability(x), abs=1e-12)
+
+
+def test_chi2_tail_keeps_relative_precision():
+    """Tiny upper tails come straight from the continued fraction, not 1 - P:
+    closed forms for k = 2 (exp(-x/2)) and k = 4 ((1 + x/2) exp(-x/2))."""
+    import numpy as np
+
+    from panelspark.functions.distributions import chi2_sf
+    x = np.array([0.3, 2.0, 9.0, 45.6, 120.0, 400.0, 900.0])
+    for k, exact in [(2, np.exp(-x / 2)), (4, (1 + x / 2) * np.exp(-x / 2))]:
+        got = chi2_sf(x, k)
+        assert np.all(np.abs(got - exact) <= 1e-12 * exact)
