@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from panelspark.operators import econ
 from panelspark.plans.pipelines import NATION_LAG, NATION_X, NATION_Y, nation_dynamic_panel, nation_lagged_split
 from panelspark.plans.q_prep import _NP_SQL
-from panelspark.plans.registry import query, rnd, rounded
+from panelspark.plans.registry import erfc_sql, query, rnd, rounded
 
 SIG = 8   # econometric outputs compared at 8 significant digits
 
@@ -47,6 +47,16 @@ FE_SQL = (
     "(a11 * b2 - a12 * b1) / (a11 * a22 - a12 * a12) AS c2 FROM g)"
 )
 TERMS = NATION_X + [NATION_LAG]
+# the reference's default run fits on the whole panel (S15): same chain without the train filter
+FE_FULL_SQL = FE_SQL.replace("WHERE split = 'train' AND y IS NOT NULL", "WHERE y IS NOT NULL")
+# entity-clustered covariance of the two slopes (J2), on top of either chain
+CLUSTER_SQL = (
+    "sc AS (SELECT entity, sum(x1d * (yd - c1 * x1d - c2 * x2d)) AS s1, "
+    "sum(x2d * (yd - c1 * x1d - c2 * x2d)) AS s2 FROM dm, co GROUP BY entity), "
+    "mt AS (SELECT sum(s1 * s1) AS m11, sum(s1 * s2) AS m12, sum(s2 * s2) AS m22 FROM sc), "
+    "v AS (SELECT c1, c2, (a22 * a22 * m11 - 2 * a22 * a12 * m12 + a12 * a12 * m22) / (det * det) AS v11, "
+    "(a12 * a12 * m11 - 2 * a11 * a12 * m12 + a11 * a11 * m22) / (det * det) AS v22 FROM co, mt)"
+)
 
 
 def _r(e: str) -> str:
@@ -150,10 +160,17 @@ def q_ar1(spark, sf):
     return _rounded(spark.createDataFrame([(out["rho"], out["t_stat"], out["n"])], "rho double, t_stat double, n long"))
 
 
-@query("persistence")
+@query("persistence",
+       f"WITH {FE_SQL}, {CLUSTER_SQL}, pz AS (SELECT c2 AS a, abs(c2 / sqrt(v22)) / sqrt(2) AS zx FROM v), "
+       f"pp AS (SELECT a, {erfc_sql('zx')} AS p FROM pz) "
+       f"SELECT '{NATION_LAG}' AS term, {_r('a')} AS coefficient, {_r('p')} AS p_value, p < 0.05 AS significant, "
+       f"{_r('CASE WHEN a > 0 AND a < 1 THEN -ln(2) / ln(a) END')} AS half_life, "
+       "CASE WHEN a > 0 AND a < 1 THEN CASE WHEN a > 0.7 THEN 'STRONG' WHEN a > 0.4 THEN 'MODERATE' ELSE 'WEAK' END "
+       "END AS interpretation FROM pp")
 def q_persistence(spark, sf):
+    """J5 with the entity-clustered standard error (two-sided normal p)."""
     fe, _, _ = nation_dynamic_panel(spark, sf)
-    return econ.persistence(fe, NATION_LAG, spark)
+    return _rounded(econ.persistence(fe, NATION_LAG, spark))
 
 
 @query("fe_summary")
@@ -168,11 +185,16 @@ def q_diagnostics(spark, sf):
     return econ.diagnostics(fe, spark)
 
 
-@query("fe_full_panel_coeffs")
+@query("fe_full_panel_coeffs",
+       f"WITH {FE_FULL_SQL}, {CLUSTER_SQL}, "
+       "tz AS (SELECT 'n_orders' AS term, c1 AS b, sqrt(v11) AS s FROM v "
+       f"UNION ALL SELECT '{NATION_LAG}', c2, sqrt(v22) FROM v), "
+       "tp AS (SELECT term, b, s, abs(b / s) / sqrt(2) AS zx FROM tz) "
+       f"SELECT term, {_r('b')} AS coef, {_r('s')} AS se, {_r('b / s')} AS t_stat, {_r(erfc_sql('zx'))} AS p_value FROM tp")
 def q_fe_full(spark, sf):
     """The reference's default fits on the whole panel (leaks the test years)."""
     fe, _, _ = nation_dynamic_panel(spark, sf, train_only=False)
-    return fe.coefficients(spark)
+    return _rounded(fe.coefficients(spark))
 
 
 @query("fe_r2",

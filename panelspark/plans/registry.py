@@ -67,3 +67,22 @@ def rnd(expr: str, sig: int = 10, max_dec: int = 6) -> str:
     return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {d} >= 0 "
             f"THEN floor({x} * power(10.0, {d}) + {SNAP_OFFSET}) / power(10.0, {d}) "
             f"ELSE floor({x} / power(10.0, -{d}) + {SNAP_OFFSET}) * power(10.0, -{d}) END + 0.0)")
+
+
+def erfc_sql(x: str, terms: int = 50, depth: int = 40) -> str:
+    """DuckDB has no ``erf``: complementary error function of the column
+    ``x`` (>= 0) as SQL.  A ``terms``-term Taylor series of erf in Horner form
+    for x <= 3, a continued fraction of depth ``depth`` beyond; absolute error
+    below 1e-12 (p-values are compared at 1e-6).  ``x`` should be a plain
+    column name: it is repeated inside the expression."""
+    import math
+    lit = lambda v: f"CAST({float(v)!r} AS DOUBLE)"          # noqa: E731
+    coef = [(-1) ** n / (math.factorial(n) * (2 * n + 1)) for n in range(terms)]
+    horner = lit(coef[-1])
+    for c in reversed(coef[:-1]):
+        horner = f"({lit(c)} + ({x} * {x}) * {horner})"
+    cf = x
+    for n in range(depth, 0, -1):
+        cf = f"({x} + {lit(n / 2)} / {cf})"
+    return (f"(CASE WHEN {x} <= 3 THEN 1 - 2 / sqrt(pi()) * {x} * {horner} "
+            f"ELSE exp(-{x} * {x}) / sqrt(pi()) / {cf} END)")
