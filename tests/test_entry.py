@@ -23,8 +23,13 @@ def _norm(v):
     return round(v, 6) + 0.0 if isinstance(v, float) else v
 
 
+def _key(row):
+    return tuple((v is None, v if v is not None else 0) for v in row)
+
+
 @pytest.mark.parametrize("name", ["prep_pipeline", "impute_provenance", "metrics_by_model", "describe",
-                                  "fe_clustered_se", "knn_exact", "walk_forward_folds", "kde_grid"])
+                                  "fe_clustered_se", "knn_exact", "walk_forward_folds", "kde_grid",
+                                  "indicator_manifest_merge", "model_save_load", "hausman", "persistence"])
 def test_query_matches_oracle_sf0001(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -34,7 +39,7 @@ def test_query_matches_oracle_sf0001(spark, name):
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
     order = sorted(sdf.columns)
-    a = sorted(tuple(_norm(r[c]) for c in order) for r in sdf.collect())
+    a = sorted((tuple(_norm(r[c]) for c in order) for r in sdf.collect()), key=_key)
     drows = res.fetchall()
-    b = sorted(tuple(_norm(r[dcols.index(c)]) for c in order) for r in drows)
+    b = sorted((tuple(_norm(r[dcols.index(c)]) for c in order) for r in drows), key=_key)
     assert a == b
