@@ -34,9 +34,16 @@ FIXED = {
 _RUNS: dict = {}
 
 
-def model_data(spark, sf, test_periods: int = 8):
+def model_data(spark, sf, test_periods: int = 8, complete: bool = True):
+    """(train, test) of the nation panel, split at the last ``test_periods``
+    quarters of the calendar.  ``complete`` keeps the rows that have the
+    target and every feature (B8): models train and score on a panel without
+    missing values (a quarter whose orders have no line items has no mean
+    quantity or discount)."""
     p = panel_nation(spark, sf, materialize=True)
     cut = p.agg((F.max("quarter") - test_periods + 1).alias("c")).first()["c"]
+    if complete:
+        p = p.na.drop(subset=NATION_FEATURES + [NATION_TARGET])
     train = p.where(F.col("quarter") < cut)
     test = p.where(F.col("quarter") >= cut)
     return train, test
@@ -216,7 +223,7 @@ def q_model_save_load(spark, sf):
     from panelspark.session import checkpoint_dir
     from panelspark.sources import sinks
 
-    train, test = model_data(spark, sf)
+    train, test = model_data(spark, sf, complete=False)     # its only feature, n_orders, is never missing
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["n_orders"], outputCol="features"),
                             LinearRegression(featuresCol="features", labelCol=NATION_TARGET, solver="normal",
                                              regParam=0.0, elasticNetParam=0.0)])
