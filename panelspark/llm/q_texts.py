@@ -1 +1,20 @@
-"""Queries on texts, pages and vectors."""
+"""Queries on texts and pages: op3 (HTML), op5 (language)."""
+
+from __future__ import annotations
+
+from panelspark.llm import html_text, language_id
+from panelspark.llm.catalog import query
+from panelspark.llm.common import table
+
+
+@query("op3_html_text")
+def op3(spark, sf_dir):
+    """Main text of every page."""
+    got = html_text.main_text(table(spark, sf_dir, "pages"))
+    return got.select("page_id", "url", "text", "n_chars", "n_blocks", "n_kept")
+
+
+@query("op5_language_id")
+def op5(spark, sf_dir):
+    """Language of every text by PPM code length."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
