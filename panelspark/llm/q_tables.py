@@ -1,10 +1,10 @@
-"""Queries on sources and urls: op4 (mixing), op10 (URL filters)."""
+"""Queries on sources, urls and vectors: op4 (mixing), op8 (top-k), op10 (URL filters)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelspark.llm import mixing, url_filter
+from panelspark.llm import mixing, url_filter, vector_search
 from panelspark.llm.catalog import query
 from panelspark.llm.common import table
 
@@ -87,3 +87,23 @@ def op10(spark, sf_dir):
     outcomes = labels.select(F.col("doc_id").alias("page_id"), F.coalesce(bad, F.lit(0)).alias("bad"))
     got = url_filter.judge_urls(table(spark, sf_dir, "pages"), outcomes)
     return got.select("page_id", "host", "path", "rule", "verdict")
+
+
+TOP_SQL = r"""
+WITH ok AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM ok q JOIN ok r ON q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM pairs)
+SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rn <= 20
+"""
+
+
+@query("op8_top_k", TOP_SQL)
+def op8(spark, sf_dir):
+    """The 20 best rows of every 20th vector."""
+    rows = vector_search.scaled(table(spark, sf_dir, "embeddings"))
+    return vector_search.top_k(rows.filter(F.col("vec_id") % 20 == 0), rows)
