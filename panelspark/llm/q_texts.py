@@ -1,8 +1,8 @@
-"""Queries on texts and pages: op3 (HTML), op5 (language)."""
+"""Queries on texts and pages: op3 (HTML), op5 (language), op9 (near duplicates)."""
 
 from __future__ import annotations
 
-from panelspark.llm import html_text, language_id
+from panelspark.llm import html_text, language_id, near_dup
 from panelspark.llm.catalog import query
 from panelspark.llm.common import table
 
@@ -18,3 +18,10 @@ def op3(spark, sf_dir):
 def op5(spark, sf_dir):
     """Language of every text by PPM code length."""
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op9_near_dup")
+def op9(spark, sf_dir):
+    """Near-duplicate component of every document."""
+    got = near_dup.near_dup_classes(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_shingles", "component_id", "kept")
