@@ -1,12 +1,18 @@
-"""Queries on texts and pages: op3 (HTML), op5 (language), op9 (near duplicates)."""
+"""Queries on texts and pages: op1 (decontamination), op3 (HTML), op5 (language), op9 (near duplicates)."""
 
 from __future__ import annotations
 
-from panelspark.llm import html_text, language_id, near_dup
+from panelspark.llm import decontaminate, html_text, language_id, near_dup
 from panelspark.llm.catalog import query
 from panelspark.llm.common import table
 
 
+@query("op1_decontaminate")
+def op1(spark, sf_dir):
+    """Every document and benchmark item it holds, with the best window."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op3_html_text")
 def op3(spark, sf_dir):
     """Main text of every page."""
