@@ -9,7 +9,8 @@ statistics frozen, the exact code length of a text is a sum of table entries,
 taken for all languages at once; the shortest code wins.
 
 The training rows are a documented sample: the ``SAMPLE_DOCS`` documents with
-the smallest id hashes per language, whole, up to ``SAMPLE_BYTES`` bytes.  So the
+the smallest id hashes per language (out of a hash share of about four times as
+many), whole, up to ``SAMPLE_BYTES`` bytes.  So the
 counts on the driver and the broadcast table have a fixed bound, whatever
 the input.  All texts are scored whole.
 
@@ -40,6 +41,12 @@ def training_sample(docs: DataFrame) -> DataFrame:
     """(lang, text) of the bounded training sample; ``docs`` has doc_id, lang, text."""
     d = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     thin = d.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.octet_length("text").alias("b"))
+    # a first cut by the hash, so that no more than a few thousand rows a language are ranked
+    share = thin.groupBy("lang").agg((F.lit(4.0 * SAMPLE_DOCS) / F.count("*")).alias("share"))
+    if share.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    thin = thin.join(F.broadcast(share), "lang").filter(
+        F.shiftrightunsigned("h", 11) < F.col("share") * float(1 << 53)).drop("share")
     first = Window.partitionBy("lang").orderBy("h", "doc_id", "b")
     best = thin.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= SAMPLE_DOCS)
     run = F.sum("b").over(first.rowsBetween(Window.unboundedPreceding, 0))
@@ -174,8 +181,6 @@ def fit(labelled: DataFrame) -> Tree:
     counts = (sample.mapInArrow(_count_grams, "lang string, k int, gram bigint, n bigint")
               .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
     rows = [tuple(r) for r in counts.collect()]          # bounded by the sample: SAMPLE_BYTES a language
-    if len({r[0] for r in rows}) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
     return Tree(sorted(rows))
 
 
