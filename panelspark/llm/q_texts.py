@@ -1,8 +1,8 @@
-"""Queries on texts and pages: op1 (decontamination), op3 (HTML), op5 (language), op9 (near duplicates)."""
+"""Queries on texts and pages: op1 (decontamination), op3 (HTML), op5 (language), op7 (language model), op9 (near duplicates)."""
 
 from __future__ import annotations
 
-from panelspark.llm import decontaminate, html_text, language_id, near_dup
+from panelspark.llm import decontaminate, html_text, language_id, lm_score, near_dup
 from panelspark.llm.catalog import query
 from panelspark.llm.common import table
 
@@ -26,6 +26,12 @@ def op5(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op7_lm_score")
+def op7(spark, sf_dir):
+    """Model and base score of every text."""
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op9_near_dup")
 def op9(spark, sf_dir):
     """Near-duplicate component of every document."""
