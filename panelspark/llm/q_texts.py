@@ -1,8 +1,8 @@
-"""Queries on texts and pages: op1 (decontamination), op3 (HTML), op5 (language), op7 (language model), op9 (near duplicates)."""
+"""Queries on texts and pages: op1 (decontamination), op2 (repeated words), op3 (HTML), op5 (language), op7 (language model), op9 (near duplicates)."""
 
 from __future__ import annotations
 
-from panelspark.llm import decontaminate, html_text, language_id, lm_score, near_dup
+from panelspark.llm import debruijn, decontaminate, html_text, language_id, lm_score, near_dup
 from panelspark.llm.catalog import query
 from panelspark.llm.common import table
 
@@ -13,6 +13,13 @@ def op1(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_repeated_words")
+def op2(spark, sf_dir):
+    """What is left of every document without repeated windows of 20 words."""
+    got = debruijn.dedup_words(table(spark, sf_dir, "documents"), ["doc_id"])
+    return got.withColumnRenamed("kept", "kept_sha256")
+
+
 @query("op3_html_text")
 def op3(spark, sf_dir):
     """Main text of every page."""

@@ -1,8 +1,8 @@
 """Super-windows: the thin carrier both substring operators share.
 
 Every fixed-size window of a sequence (20 words, 100 bytes) contains a
-smallest ``k``-gram hash, its anchor.  Consecutive windows with the same anchor
-form one super-window, so a sequence is covered by few of them (about
+smallest ``k``-gram hash, its anchor (the right-most, if it occurs repeatedly).
+Consecutive windows with the anchor at the same place form one super-window, so a sequence is covered by few of them (about
 ``2 / (window - k + 2)`` per position) and equal windows always share the
 anchor hash and the offset to it.  A super-window is described by the range of
 window starts, the anchor hash and two hashes of its content.
@@ -50,43 +50,56 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return x
 
 
-def super_windows(values: np.ndarray, seq_starts: np.ndarray, window: int, k: int):
-    """Super-windows of every sequence in the concatenated ``values`` (uint64).
-
-    Returns (seq, lo, hi, anchor, h1, h2): sequence number, first and last
-    window start relative to the sequence, anchor hash and content hashes.
-    Equal super-windows (same content, same range) have equal hashes.
-    """
-    empty = np.zeros(0, np.int64)
-    n = len(values)
-    if n < window:
-        u = np.zeros(0, np.uint64)
-        return empty, empty, empty, u, u, u
+def _runs(values: np.ndarray, seq_starts: np.ndarray, window: int, k: int):
+    """First and last start and anchor of every super-window, and the prefix sums."""
     p1 = Prefix(values, MULT1)
-    p2 = Prefix(mix64(values + MIX_A), MULT2)
-    g = mix64(p1.grams(k))
-    low = sliding_min(g, window - k + 1)                     # one per window start
-    ends = np.repeat(seq_starts[1:], np.diff(seq_starts))    # end of the sequence a start lies in
-    m = n - window + 1
-    ok = np.arange(m) + window <= ends[:m]
+    grams = mix64(p1.grams(k))
+    low = sliding_min(grams, window - k + 1)                 # one per window start
+    m = len(low)
+    ok = np.zeros(m + 1, np.int64)                           # +1 / -1 where valid starts begin and end
+    full = np.flatnonzero(np.diff(seq_starts) >= window)
+    np.add.at(ok, seq_starts[full], 1)
+    np.add.at(ok, seq_starts[full + 1] - window + 1, -1)
+    ok = np.cumsum(ok[:m]) > 0
     brk = np.ones(m, bool)
     # a change of the minimum, of validity or of the sequence ends a super-window
     brk[1:] = (low[1:] != low[:-1]) | (ok[1:] != ok[:-1])
-    s0 = seq_starts[:-1]
-    brk[s0[s0 < m]] = True
+    brk[seq_starts[full]] = True
+    # of equal smallest grams the right-most is the anchor: so does a new one
+    brk |= grams[window - k:] == low
     first = np.flatnonzero(brk)
     last = np.append(first[1:], m) - 1
     keep = ok[first]
-    first, last = first[keep], last[keep]
+    return first[keep], last[keep], low[first[keep]], p1
+
+
+def anchors(values: np.ndarray, seq_starts: np.ndarray, window: int, k: int) -> np.ndarray:
+    """Anchor of every super-window."""
+    if len(values) < window:
+        return np.zeros(0, np.uint64)
+    return _runs(values, seq_starts, window, k)[2]
+
+
+def super_windows(values: np.ndarray, seq_starts: np.ndarray, window: int, k: int):
+    """Super-windows of every sequence in the concatenated ``values`` (uint64).
+
+    Returns (seq, lo, hi, anchor, h): sequence number, first and last window
+    start relative to the sequence, anchor hash and content hash.  Equal
+    super-windows (same content, same range) have equal hashes; together with the
+    anchor the content is known by 128 bits.
+    """
+    if len(values) < window:
+        none, u = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, none, none, u, u
+    first, last, low, p1 = _runs(values, seq_starts, window, k)
+    h = mix64(p1.ranges(first, last + window) + (last - first).astype(np.uint64) * MIX_A)
     seq = np.searchsorted(seq_starts, first, "right") - 1
-    hi = last + window
-    h1 = mix64(p1.ranges(first, hi) + (last - first).astype(np.uint64))
-    h2 = mix64(p2.ranges(first, hi) ^ (last - first).astype(np.uint64))
+    # empty sequences share a start; the right-most one with that start holds it
     base = seq_starts[seq]
-    return seq, first - base, last - base, low[first], h1, h2
+    return seq, first - base, last - base, low, h
 
 
 def window_hashes(values: np.ndarray, window: int):
-    """Two content hashes of every window of one sequence."""
+    """Two independent content hashes of every window of one sequence."""
     p1, p2 = Prefix(values, MULT1), Prefix(mix64(values + MIX_A), MULT2)
     return mix64(p1.grams(window)), mix64(p2.grams(window))
