@@ -8,13 +8,15 @@ bin with the smallest value of all shingles, so ``2 * BINS`` rounds always
 suffice.  ``BANDS`` bands of ``BINS / BANDS`` coordinates give the buckets: a pair
 of similarity 0.75 shares at least one with probability 1 - 5e-6.
 
-Documents with equal sets are one class and stand as one node.  In a bucket
-every member is compared with the smallest one (a star, never all pairs), first
-each node with its smallest partner over all buckets, then what is not yet in
-one component.  Buckets whose members still lie in different components go
-through further rounds with more pivots until every pair of different components
-in a bucket has been compared.  A link counts only if the full shingle sets
-of the two texts meet the threshold.
+Documents with equal sets are one class and stand as one node.  First every node
+is verified against its smallest partner over all buckets (a star, never all
+pairs), which joins most groups.  Buckets whose members still lie in different
+components are then settled in full: their members are dealt into chunks of
+``CHUNK`` and each task holds two chunks of a bucket, counts all common shingles of
+their texts at once and returns only the links that join components, never
+pairs.  A link counts only if the full shingle sets of the two texts meet the
+threshold.  The work inside such a bucket grows with the square of its size
+(spread over tasks); buckets that lie in one component cost nothing.
 
 Defined cases: null and empty texts have no shingles and are linked with
 nothing; fewer than five words form one shingle; rows that share a doc_id are
@@ -30,7 +32,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import lower_ascii, mix64, staged, text_chunks, word_hashes, word_spans
@@ -43,7 +45,9 @@ BINS = 128
 BANDS = 32
 GROUP = 256                 # partners compared in one task with one pivot
 MAX_BROADCAST_IDS = 1_000_000
-PIVOTS = (16, 256, 4096)
+CHUNK = 256                 # members of a bucket compared with as many others in one task
+TASK_ROWS = 1500            # members a task of the full comparison reads
+COLUMNS = 4096              # shared shingles counted at once
 
 
 def shingle_sets(buf: np.ndarray, starts: np.ndarray, shingle: int = SHINGLE) -> list[np.ndarray]:
@@ -144,9 +148,70 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return members.unionByName(pivots).groupBy("a", "part").applyInPandas(_verify, "a bigint, b bigint")
 
 
-def _labelled(rows: DataFrame, comp: DataFrame, node: str, label: str) -> DataFrame:
-    c = comp.select(F.col("node").alias(node), F.col("root").alias(label))
-    return rows.join(c, node, "left").withColumn(label, F.coalesce(label, node))
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of slabs of the 0/1 matrix
+    of the shingles that at least two sets hold."""
+    n = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), n)
+    o = np.argsort(flat, kind="stable")
+    flat, owner = flat[o], owner[o]
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])
+    col = np.cumsum(new) - 1
+    shared = np.bincount(col)[col] > 1
+    owner, col = owner[shared], col[shared]
+    col = np.unique(col, return_inverse=True)[1]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, int(col[-1]) + 1 if len(col) else 0, COLUMNS):
+        part = slice(*np.searchsorted(col, [lo, lo + COLUMNS]))
+        slab = np.zeros((len(sets), COLUMNS), np.float32)
+        slab[owner[part], col[part] - lo] = 1
+        out += slab @ slab.T
+    return out
+
+
+def _grid(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links that join components, within pairs of chunks (h, i, j)."""
+    texts = pdf.drop_duplicates("id")
+    found: list[np.ndarray] = []
+    for _, starts, buf in text_chunks(pa.array(texts["text"].tolist(), pa.large_string())):
+        found += shingle_sets(buf, starts)
+    sets = dict(zip(texts["id"].tolist(), found))
+    out: list = []
+    for _, part in pdf.groupby(["h", "i", "j"]):
+        if part["c"].nunique() < 2:
+            continue
+        ids, c = part["id"].tolist(), part["c"].tolist()
+        own = [sets[x] for x in ids]
+        n = np.array([len(x) for x in own])
+        both = common_counts(own)
+        near = 100 * both >= PERCENT * (n[:, None] + n[None, :] - both)
+        joined: dict = {}
+
+        def top(x):
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+        for x, y in np.argwhere(np.triu(near, 1)).tolist():
+            a, b = top(c[x]), top(c[y])
+            if a != b:
+                joined[max(a, b)] = min(a, b)
+                out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return pd.DataFrame(sorted(set(out)), columns=["a", "b"]).astype("int64")
+
+
+def bucket_links(cells: DataFrame, comp: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components inside the buckets ``cells`` (h, id)."""
+    c = cells.join(comp.select(F.col("node").alias("id"), F.col("root").alias("c")), "id", "left")
+    c = staged(c.withColumn("c", F.coalesce("c", "id")), "cells")
+    mixed = c.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n"))
+    mixed = staged(mixed.filter("lo < hi").select("h", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "mixed")
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    c = c.join(mixed, "h").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    c = staged(c.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "c"), "chunks")
+    tasks = max(1, c.count() // TASK_ROWS)
+    return (c.join(texts, "id").withColumn("task", F.pmod(F.xxhash64("h", "i", "j"), F.lit(tasks)))
+            .groupBy("task").applyInPandas(_grid, "a bigint, b bigint"))
 
 
 def near_dup_classes(docs: DataFrame) -> DataFrame:
@@ -156,12 +221,13 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
     sk = staged(d.mapInArrow(_sketch, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"), "sketch")
     thin = sk.select("doc_id", "n_shingles", "set_key")
     first = thin.filter("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("class_id"))
+    first = staged(first, "classes")        # written, so that the joins below have plain exchanges they can split
     members = staged(thin.join(first, "set_key", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")), "members")
     # one row per class and band; the key tells apart two texts of one id
     ones = sk.join(first.withColumnRenamed("class_id", "doc_id"), ["set_key", "doc_id"], "left_semi")
     cells = ones.select(F.col("doc_id").alias("id"), F.explode("bands").alias("h"))
-    heads = cells.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z")
+    heads = staged(cells.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z"), "heads")
     cells = staged(cells.join(heads, "h").select("h", "a", "id").distinct(), "cells")
     stars = staged(cells.filter("a < id").select("a", F.col("id").alias("b")).distinct(), "stars")
     ids = cells.select("id").distinct()
@@ -172,40 +238,11 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
     ids = F.broadcast(ids) if n_ids <= MAX_BROADCAST_IDS else ids
     texts = staged(d.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").distinct(), "texts")
 
-    done = staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = staged(verified(done, texts), "links")
+    nearest = staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
+    links = staged(verified(nearest, texts), "links")
     comp = components(links)
-    rest = _labelled(_labelled(stars.join(done, ["a", "b"], "left_anti"), comp, "a", "ca"), comp, "b", "cb")
-    rest = staged(rest.filter("ca <> cb").select("a", "b"), "pairs")
-    links = staged(links.unionByName(verified(rest, texts)), "links")
-    comp = components(links)
-
-    # buckets that still hold several components: every pair of different
-    # components there is compared, pivots by rank; round 0 compared the smallest
-    level, done_rank = 0, 1
-    open_cells = cells
-    while True:
-        c = _labelled(open_cells, comp, "id", "c")
-        mixed = c.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
-        if "nth" not in open_cells.columns:
-            c = c.filter("id <> a")                         # the smallest has met all others
-            mixed = c.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("h")
-        c = c.join(mixed, "h", "left_semi")
-        if "nth" not in open_cells.columns:
-            c = c.withColumn("nth", F.row_number().over(Window.partitionBy("h").orderBy("id")))
-        c = staged(c.select("h", "id", "c", "nth"), "open")
-        if c.isEmpty():
-            break
-        upto = PIVOTS[min(level, len(PIVOTS) - 1)] + done_rank
-        piv = c.filter((F.col("nth") >= done_rank) & (F.col("nth") < upto)).select(
-            "h", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("nth").alias("na"))
-        pairs = (piv.join(c, "h").filter((F.col("nth") > F.col("na")) & (F.col("ca") != F.col("c")))
-                 .select("a", F.col("id").alias("b")).distinct())
-        links = staged(links.unionByName(verified(staged(pairs, "pairs"), texts)), "links")
-        comp = components(links)
-        open_cells = c.filter(F.col("nth") >= upto).select("h", "id", "nth")
-        level, done_rank = level + 1, upto
-    return _finish(members, comp)
+    more = bucket_links(cells.select("h", "id"), comp, texts)
+    return _finish(members, components(staged(links.unionByName(more), "links")))
 
 
 def _finish(members: DataFrame, comp: DataFrame | None) -> DataFrame:
