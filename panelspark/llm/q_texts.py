@@ -1,8 +1,8 @@
-"""Queries on texts and pages: op1 (decontamination), op2 (repeated words), op3 (HTML), op5 (language), op7 (language model), op9 (near duplicates)."""
+"""Queries on texts and pages: op1 (decontamination), op2 (repeated words), op3 (HTML), op5 (language), op6 (repeated bytes), op7 (language model), op9 (near duplicates)."""
 
 from __future__ import annotations
 
-from panelspark.llm import debruijn, decontaminate, html_text, language_id, lm_score, near_dup
+from panelspark.llm import debruijn, decontaminate, html_text, language_id, lm_score, near_dup, suffix_dedup
 from panelspark.llm.catalog import query
 from panelspark.llm.common import table
 
@@ -33,6 +33,12 @@ def op5(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op6_repeated_bytes")
+def op6(spark, sf_dir):
+    """What is left of every text without repeated strings of 100 bytes."""
+    return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query("op7_lm_score")
 def op7(spark, sf_dir):
     """Model and base score of every text."""
