@@ -109,7 +109,8 @@ def _keep_words(with_text: bool):
                     total.append(n)
                     gone.append(n - len(words))
                     if with_text:
-                        text.append(kept.decode("utf-8", "replace") if out is not None else None)
+                        whole = raw[starts[j]:starts[j + 1]] if out is None else kept
+                        text.append(whole.decode("utf-8", "replace"))
                     else:
                         digest.append(hashlib.sha256(kept).hexdigest())
             names = [c for c in batch.schema.names if c.startswith("k_")]
@@ -121,7 +122,8 @@ def _keep_words(with_text: bool):
 
 def dedup_words(docs: DataFrame, keep: list[str], with_text: bool = False) -> DataFrame:
     """``keep`` columns, n_words, n_removed and kept: the hash of the kept words,
-    or with ``with_text`` their text (null where nothing is removed)."""
+    or with ``with_text`` what is left of the text (kept words joined by one
+    space; the text itself where nothing is removed, empty for null)."""
     d = keyed(docs, keep)
     repeated, open_ = classify(d, "word", WINDOW, GRAM)
     ranges = repeated.unionByName(repeated_paths(d, open_))

@@ -35,6 +35,7 @@ SAMPLE_DOCS = 400
 SAMPLE_BYTES = 2_000_000
 MAX_LANGS = 500
 UNKNOWN = "und"
+REJECT_SLACK = 64.0
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
@@ -175,6 +176,30 @@ def _scorer(shared):
     return score
 
 
+def _keeper(shared):
+    def keep(batches):
+        tree = shared.value
+        for batch in batches:
+            ok = np.array(batch.column("__has_letter").to_pylist(), bool)
+            if tree.langs:
+                for i, starts, buf in text_chunks(batch.column("text"), 1 << 19):
+                    bits = tree.code_lengths(buf, starts).min(1)
+                    ok[i:i + len(bits)] &= bits < 8.0 * np.diff(starts) + REJECT_SLACK
+            yield batch.filter(pa.array(ok)).drop_columns(["__has_letter"])
+    return keep
+
+
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose language is known: not those
+    without a letter, nor those that the best language codes no shorter than
+    plain bytes (``REJECT_SLACK`` bits in favour of short texts).  Trained like
+    ``identify``; without any labelled document only the first rule holds."""
+    tree = fit(docs.select("doc_id", "lang", "text").filter(doc_bucket(F.col("doc_id"), 3) != 1))
+    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn("__has_letter", letters).mapInArrow(_keeper(shared), docs.schema)
+
+
 def fit(labelled: DataFrame) -> Tree:
     """Context trees of the languages of ``labelled`` (doc_id, lang, text)."""
     sample = training_sample(labelled)

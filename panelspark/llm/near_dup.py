@@ -32,7 +32,7 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import lower_ascii, mix64, staged, text_chunks, word_hashes, word_spans
@@ -253,3 +253,19 @@ def _finish(members: DataFrame, comp: DataFrame | None) -> DataFrame:
         joined = members.join(comp, members["class_id"] == comp["node"], "left")
     return joined.select("doc_id", "n_shingles", own.alias("component_id"),
                          F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"), "class_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) without near duplicates: one document of each
+    component stays, and one row of it.  Rows without an id all stay."""
+    classes = staged(near_dup_classes(docs).select("doc_id", "kept"), "kept")
+    gone = classes.filter("not kept and doc_id is not null").select("doc_id").distinct()
+    n = gone.count()
+    # ids are counted first: a bounded list is broadcast, a longer one is joined by shuffle
+    left = docs.join(F.broadcast(gone) if n <= MAX_BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = classes.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if again.isEmpty():
+        return left
+    # rows that share an id: the one with the smallest text hash
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return left.withColumn("__nth", F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(nth)).filter("__nth = 1").drop("__nth")
