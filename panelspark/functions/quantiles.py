@@ -32,8 +32,8 @@ from panelspark.session import cut_lineage
 
 def to_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
             name_col: str = "column", value_col: str = "value") -> DataFrame:
-    """(group..., column, value) with NULL values removed; values cast to double."""
-    casted = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in value_cols])
+    """(group..., column, value) with NULL and NaN values removed; values cast to double."""
+    casted = df.select(*group_cols, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in value_cols])
     long = casted.unpivot(list(group_cols), list(value_cols), name_col, value_col)
     return long.where(F.col(value_col).isNotNull())
 

@@ -6,6 +6,7 @@ Column names are always passed in by the caller; nothing assumes countries.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from panelspark.functions.scalar import try_double
 
 # --- fixed values --------------------------------------------------------------
 # spellings tried, in this order, when standardising the entity column (B2)
-ENTITY_SPELLINGS = ["Country Name", "Country", "country", "country_name", "Entity"]
+ENTITY_SPELLINGS = ["Country Name", "Country", "Country name", "country_name", "country"]
 # metadata columns dropped from indicator files when present
 METADATA_COLUMNS = ["Indicator Name", "Indicator Code"]
 # column names never taken as a time column even when numeric-looking
@@ -49,20 +50,21 @@ def drop_metadata(df: DataFrame, cols: Sequence[str] = METADATA_COLUMNS) -> Data
     return df.drop(*cols)
 
 
+def _whole_number(header) -> int | None:
+    """Whole part of a header that spells a finite number, else None."""
+    try:
+        value = float(header)
+    except (TypeError, ValueError):
+        return None
+    return int(value) if math.isfinite(value) else None
+
+
 def detect_time_columns(columns: Sequence[str], reserved: Sequence[str] = RESERVED_NAMES,
                         lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> list[str]:
-    """B4 (driver, over column *names*): headers whose float value lies in [lo, hi]."""
-    out = []
-    for c in columns:
-        if c in reserved:
-            continue
-        try:
-            v = float(str(c).strip())
-        except ValueError:
-            continue
-        if lo <= v <= hi:
-            out.append(c)
-    return out
+    """B4 (driver, over column *names*): headers that spell a number whose whole
+    part lies in [lo, hi] (``2018``, ``2018.0``); reserved names never count."""
+    numbers = {c: _whole_number(c) for c in columns if c not in reserved}
+    return [c for c, n in numbers.items() if n is not None and lo <= n <= hi]
 
 
 def wide_to_long(df: DataFrame, id_cols: Sequence[str], value_name: str,
@@ -82,13 +84,6 @@ def wide_to_long(df: DataFrame, id_cols: Sequence[str], value_name: str,
     return long.withColumn(time, t).where(F.col(time).isNotNull())
 
 
-def long_passthrough(df: DataFrame, id_cols: Sequence[str], time: str, value_col: str,
-                     value_name: str) -> DataFrame:
-    """An already long table, projected to the canonical columns."""
-    return df.select(*id_cols, F.col(time).try_cast("double").cast("int").alias("time"),
-                     try_double(value_col).alias(value_name)).where(F.col("time").isNotNull())
-
-
 def cast_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Tolerant cast of many columns (bad text and NaN -> NULL)."""
     return df.select(*[try_double(F.col(f"`{c}`")).alias(c) if c in cols else F.col(f"`{c}`")
@@ -158,59 +153,79 @@ def infer_time_column(df: DataFrame, candidates: Sequence[str] = ("time", "Year"
 
 
 # ---------------------------------------------------------------- C1
+def _keys_unique(tables: Sequence[DataFrame], keys: Sequence[str]) -> bool:
+    """No key occurs twice within a table (one aggregate over all tables)."""
+    u = None
+    for i, t in enumerate(tables):
+        t = t.select(*keys, F.lit(i).alias("__src"))
+        u = t if u is None else u.unionByName(t)
+    return u.groupBy(*keys, "__src").count().where("count > 1").isEmpty()
+
+
 def outer_merge(tables: Sequence[DataFrame], keys: Sequence[str], method: str = "auto",
                 code_col: str | None = None) -> DataFrame:
     """N-way full outer equi-merge of indicator tables on ``keys``.
 
-    ``join``  : fold of full outer joins (N-1 shuffles; exact pandas semantics
-                also for duplicated keys).
-    ``pivot`` : union of long rows + one ``groupBy(keys)`` (one shuffle; keys
-                must be unique per table, which indicator tables are).
-    ``auto``  : pivot from three tables on.
+    ``join``  : fold of full outer joins (N-1 shuffles).  A key that occurs
+                repeatedly yields every combination of its rows, as repeated merges do.
+    ``pivot`` : union of long rows + one ``groupBy(keys)`` (one shuffle); raises
+                when a key occurs twice within a table.
+    ``auto``  : pivot when all keys are unique, else join.  Both give the same
+                rows and types then, for any number of tables; NULL keys are equal
+                to each other in either.
     ``code_col`` (optional, e.g. a country code carried by some tables) is
     coalesced across tables in table order, never used as a key (S9).
     """
     if not tables:
         raise ValueError("nothing to merge")
     keys = list(keys)
-    if method == "auto":
-        method = "pivot" if len(tables) >= 3 else "join"
-    values = []
-    for t in tables:
-        values.append([c for c in t.columns if c not in keys and c != code_col])
-    if method == "join":
-        out = None
-        for i, t in enumerate(tables):
-            cols = keys + values[i] + ([code_col] if code_col and code_col in t.columns else [])
-            t = t.select(*cols)
-            if code_col and code_col in t.columns:
-                t = t.withColumnRenamed(code_col, f"__code{i}")
-            out = t if out is None else out.join(t, keys, "full_outer")
-        codes = [c for c in out.columns if c.startswith("__code")]
-        if codes:
-            out = out.withColumn(code_col, F.coalesce(*codes)).drop(*codes)
-        return out
-    if method != "pivot":
+    if method not in ("auto", "join", "pivot"):
         raise ValueError(f"unknown merge method {method!r}")
-    all_vals = [v for vs in values for v in vs]
-    parts = []
+    if method != "join":
+        unique = _keys_unique(tables, keys)
+        if method == "pivot" and not unique:
+            raise ValueError(f"a key of {keys} occurs twice within a table")
+        method = "pivot" if unique else "join"
+    values = [[c for c in t.columns if c not in keys and c != code_col] for t in tables]
+    if method == "join":
+        return _merge_by_joins(tables, keys, values, code_col)
+    types = {v: tables[i].schema[v].dataType for i, vs in enumerate(values) for v in vs}
+    u = None
     for i, t in enumerate(tables):
-        proj = [F.col(k) for k in keys]
-        proj += [F.col(v).cast("double").alias(v) if v in values[i] else F.lit(None).cast("double").alias(v)
-                 for v in all_vals]
-        proj.append((F.col(code_col) if code_col and code_col in t.columns else F.lit(None).cast("string"))
-                    .alias("__code"))
-        proj.append(F.lit(i).alias("__src"))
-        parts.append(t.select(*proj))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    aggs = [F.max(F.col(v)).alias(v) for v in all_vals]
+        cols = [F.col(v) if v in values[i] else F.lit(None).cast(d).alias(v) for v, d in types.items()]
+        code = F.col(code_col) if code_col and code_col in t.columns else F.lit(None).cast("string")
+        t = t.select(*keys, *cols, code.alias("__code"), F.lit(i).alias("__src"))
+        u = t if u is None else u.unionByName(t)
+    # one row per key and table: the only non-null value is the value
+    aggs = [F.max(F.col(v)).alias(v) for v in types]
     if code_col:
         aggs.append(F.min_by("__code", F.when(F.col("__code").isNotNull(), F.col("__src"))).alias(code_col))
     return u.groupBy(*keys).agg(*aggs)
 
 
+def _merge_by_joins(tables, keys, values, code_col) -> DataFrame:
+    out, codes = None, []
+    for i, t in enumerate(tables):
+        has_code = bool(code_col) and code_col in t.columns
+        t = t.select(*keys, *values[i], *([F.col(code_col).alias(f"__code{i}")] if has_code else []))
+        codes += [f"__code{i}"] if has_code else []
+        if out is None:
+            out = t
+            continue
+        right = t.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in t.columns if c not in keys],
+                         F.lit(True).alias("__right"))
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        j = out.withColumn("__left", F.lit(True)).join(right, same, "full_outer")
+        picked = [F.when(F.col("__left"), F.col(k)).otherwise(F.col(f"__r_{k}")).alias(k) for k in keys]
+        rest = [c for c in [*out.columns, *t.columns] if c not in keys]
+        out = j.select(*picked, *rest)
+    if codes:
+        out = out.withColumn(code_col, F.coalesce(*codes)).drop(*codes)
+    return out
+
+
 # ---------------------------------------------------------------- D1
 def missing_share(df: DataFrame, entity: str, feature_cols: Sequence[str],
                   count_time_as_feature: bool = True) -> DataFrame:
@@ -282,7 +297,3 @@ def successful_rows(df: DataFrame, error_col: str = "error") -> DataFrame:
 
 def failed_rows(df: DataFrame, error_col: str = "error") -> DataFrame:
     return df.where(F.col(error_col).isNotNull())
-
-
-def as_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

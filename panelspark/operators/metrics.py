@@ -30,8 +30,10 @@ def regression_metrics(df: DataFrame, y: str = "y_true", yhat: str = "y_pred", n
 
     adj_r2 needs n > p+1; F needs also p > 0 and 0 <= r2 < 1 (else NULL).
     ``n_features`` is an int or the name of a column constant within a group.
+    Only rows with both values count (n, errors and the variance of the truth alike).
     """
     g = list(group_cols)
+    df = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())
     e = F.col(y) - F.col(yhat)
     pcol = _lit_or_col(n_features)
     agg = df.groupBy(*g).agg(

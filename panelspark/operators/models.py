@@ -122,7 +122,7 @@ GAPS = {
 
 def sample_params(model: str, rng) -> dict:
     out = {}
-    for k, p in SPACES[model].items():
+    for k, p in (SPACES[model] if model in SPACES else REGISTRY[model][1]).items():
         cond = CONDITIONAL.get((model, k))
         if cond and out.get(cond[0]) not in cond[1]:
             continue
@@ -150,6 +150,7 @@ class Fitted:
     intercept: float | None = None
     spark_model: object | None = None
     state: dict = field(default_factory=dict)
+    reference: DataFrame | None = None           # rows a neighbour model predicts from
 
     def predict(self, df: DataFrame, out: str = "y_pred") -> DataFrame:
         """Adds ``out``; every input column (keys included) is kept."""
@@ -161,8 +162,10 @@ class Fitted:
         spark = SparkSession.getActiveSession()
         if self.spark_model is not None:
             self.spark_model.write().overwrite().save(path + "/spark")
+        if self.reference is not None:
+            self.reference.write.mode("overwrite").parquet(path + "/reference")
         meta = {"name": self.name, "params": self.params, "features": self.features, "label": self.label,
-                "coefficients": self.coefficients, "intercept": self.intercept,
+                "coefficients": self.coefficients, "intercept": self.intercept, "importances": self.importances,
                 "state": {k: (v.tolist() if isinstance(v, np.ndarray) else v) for k, v in self.state.items()}}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(path + "/meta")
 
@@ -177,10 +180,14 @@ def load_fitted(spark: SparkSession, path: str) -> Fitted:
         scale = meta["state"].get("y_scale", 1.0)
         stats = meta["state"].get("zstats")
         f = Fitted(name, meta["params"], meta["features"], meta["label"], None,
-                   coefficients=meta["coefficients"], intercept=meta["intercept"], spark_model=pm,
+                   importances=meta.get("importances"), coefficients=meta["coefficients"],
+                   intercept=meta["intercept"], spark_model=pm,
                    state=meta["state"])
         f.predict_fn = _spark_predict(pm, meta["features"], scale, stats)
         return f
+    if name == "knn":
+        return _knn_model(meta["params"], meta["features"], meta["label"], meta["state"]["zstats"],
+                          spark.read.parquet(path + "/reference"))
     state = {k: (np.array(v) if isinstance(v, list) else v) for k, v in meta["state"].items()}
     return _rebuild_own(name, meta["params"], meta["features"], meta["label"], state)
 
@@ -311,6 +318,9 @@ class _Adam:
         return w - self.lr * mh / (np.sqrt(vh) + self.eps)
 
 
+MAX_MONOMIALS = 5000
+
+
 def _feature_map(kind: str, k: int, gamma: float, degree: int, seed: int = SEED, n_rff: int = 200):
     """Explicit feature maps for the SVR kernels (linear / rbf / poly)."""
     if kind == "linear":
@@ -320,11 +330,15 @@ def _feature_map(kind: str, k: int, gamma: float, degree: int, seed: int = SEED,
         W = rng.normal(0.0, math.sqrt(2 * gamma), size=(k, n_rff))
         b = rng.uniform(0, 2 * math.pi, size=n_rff)
         return (lambda X: math.sqrt(2.0 / n_rff) * np.cos(X @ W + b)), {"W": W, "b": b}
-    combos = [c for d in range(1, degree + 1) for c in itertools.combinations_with_replacement(range(k), d)]
+    # (gamma x.z)^degree: monomials of exactly that degree, each with the root of its multinomial count
+    if math.comb(k + degree - 1, degree) > MAX_MONOMIALS:
+        raise ValueError(f"polynomial kernel of degree {degree} on {k} features needs more than {MAX_MONOMIALS} monomials")
+    combos = list(itertools.combinations_with_replacement(range(k), degree))
+    weight = [math.sqrt(gamma ** degree * math.factorial(degree)
+                        / math.prod(math.factorial(c.count(i)) for i in set(c))) for c in combos]
 
     def poly(X):
-        cols = [np.prod(X[:, list(c)], axis=1) * (gamma ** (len(c) / 2.0)) for c in combos]
-        return np.column_stack(cols) if cols else X
+        return np.column_stack([np.prod(X[:, list(c)], axis=1) * w for c, w in zip(combos, weight)])
     return poly, {}
 
 
@@ -333,8 +347,15 @@ def _prepare(train: DataFrame, features: list[str], label: str, stats: dict) ->
     return cut_lineage(d)
 
 
-def _fit_svr(params: dict, train: DataFrame, features: list[str], label: str, max_iter: int = 1000,
+def _fit_svr(params: dict, train: DataFrame, features: list[str], label: str, max_iter: int = 3000,
              tol: float = 1e-4) -> Fitted:
+    """Support vector regression on explicit kernel features.
+
+    The label is standardised inside: ``C`` and ``epsilon`` are in units of its
+    standard deviation, so the fit does not depend on the label's scale.  Steps
+    go on until the best objective gains less than ``tol`` (relative) over 25
+    steps; ``state["converged"]`` says whether that happened before ``max_iter``.
+    """
     stats = _fit_stats(train, features)
     data = _prepare(train, features, label, stats)
     k = len(features)
@@ -345,30 +366,33 @@ def _fit_svr(params: dict, train: DataFrame, features: list[str], label: str, ma
     d = phi(np.zeros((1, k))).shape[1]
     C, eps = float(params["C"]), float(params["epsilon"])
     n = data.count()
-    ymean = float(data.agg(F.avg("__y")).first()[0])
+    y_mu, y_sd = data.agg(F.avg("__y"), F.stddev_pop("__y")).first()
+    y_mu, y_sd = float(y_mu), float(y_sd or 0.0) or 1.0
     w = np.zeros(d + 1)
-    w[-1] = ymean
     opt = _Adam(d + 1, lr=0.05)
 
-    hist: list[float] = []
-    for _ in range(max_iter):
+    best, best_w, converged = [], w.copy(), False
+    for it in range(max_iter):
         cur = w.copy()
+        opt.lr = 0.05 / (1 + it / 100)
 
         def grad(X, y, cur=cur):
             Z = phi(X)
-            r = y - Z @ cur[:-1] - cur[-1]
+            r = (y - y_mu) / y_sd - Z @ cur[:-1] - cur[-1]
             s = np.where(np.abs(r) > eps, np.sign(r), 0.0)
             loss = np.maximum(np.abs(r) - eps, 0.0).sum()
             return np.concatenate([-C * (Z.T @ s), [-C * s.sum()], [C * loss]])
         gl = _grad_sum(data, d + 2, grad) / n
         g, obj = gl[:-1], gl[-1] + 0.5 * float(w[:-1] @ w[:-1]) / n
         g[:-1] += w[:-1] / n
+        if not best or obj < best[-1]:
+            best_w = cur
+        best.append(min(obj, best[-1]) if best else obj)
         w = opt.step(w, g)
-        hist.append(obj)
-        # stop when the objective improved by less than tol (relative) over the last 10 steps
-        if len(hist) > 10 and hist[-11] - min(hist[-10:]) <= tol * max(abs(hist[-11]), 1e-12):
+        if it >= 25 and best[-26] - best[-1] <= tol * max(abs(best[-26]), 1e-12):
+            converged = True
             break
-    state = {"w": w, "zstats_mean": np.array([stats[c][0] for c in features]),
+    state = {"w": best_w, "y_mu": y_mu, "y_sd": y_sd, "converged": converged, "zstats_mean": np.array([stats[c][0] for c in features]),
              "zstats_std": np.array([stats[c][1] for c in features]), "gamma": gamma, **extra}
     return _rebuild_own("svr", params, features, label, state)
 
@@ -483,7 +507,7 @@ def _rebuild_own(name: str, params: dict, features: list[str], label: str, state
             phi, _ = _feature_map(kernel, k, float(state["gamma"]), int(params.get("degree", 3)))
 
         def score(X):
-            return phi(X) @ w[:-1] + w[-1]
+            return (phi(X) @ w[:-1] + w[-1]) * state["y_sd"] + state["y_mu"]
     else:
         shapes = _mlp_shapes(k, params.get("hidden_layer_sizes", "100"))
         layers = _mlp_unpack(w, shapes)
@@ -506,20 +530,37 @@ def _rebuild_own(name: str, params: dict, features: list[str], label: str, state
     return Fitted(name, params, features, label, predict, state=state)
 
 
-def _fit_knn(params: dict, train: DataFrame, features: list[str], label: str) -> Fitted:
-    from panelspark.operators.knn import knn_regress
+def _fit_knn(params: dict, train: DataFrame, features: list[str], label: str, key_cols: Sequence[str] = ()) -> Fitted:
     stats = _fit_stats(train, features)
-    ref = cut_lineage(train.select(F.monotonically_increasing_id().alias("__rid"),
-                                   *_zscore_exprs(features, stats), F.col(label).cast("double").alias("__y")))
+    # neighbours at equal distance are ranked by a hash of the row's keys, not by its partition
+    ref = cut_lineage(train.select(F.xxhash64(*(key_cols or [*features, label])).alias("__rid"),
+                                   *_zscore_exprs(features, stats), F.col(label).cast("double").alias("__y")).na.drop())
+    return _knn_model(params, features, label, stats, ref)
+
+
+def _knn_model(params: dict, features: list[str], label: str, stats: dict, ref: DataFrame) -> Fitted:
+    from panelspark.operators.knn import knn_regress
     k, p = int(params["n_neighbors"]), int(params.get("p", 2))
 
     def predict(df: DataFrame) -> DataFrame:
         q = df.withColumn("__qid", F.monotonically_increasing_id())
         q = cut_lineage(q)
-        qs = q.select("__qid", *_zscore_exprs(features, stats))
-        pred = knn_regress(qs, ref, "__qid", "__rid", features, "__y", k=k, p=p)
-        return q.join(pred, "__qid").drop("__qid")
-    return Fitted("knn", params, features, label, predict, state={"zstats": stats})
+        qs = q.select("__qid", *_zscore_exprs(features, stats)).na.drop()
+        pred = knn_regress(qs, ref, "__qid", "__rid", features, "__y", k=k, p=p).select("__qid", "y_pred")
+        return q.join(pred, "__qid", "left").drop("__qid")          # rows with a missing feature: no prediction
+    return Fitted("knn", params, features, label, predict, state={"zstats": stats}, reference=ref)
+
+
+# families added by the caller: name -> (fit function, search space)
+REGISTRY: dict[str, tuple[Callable, dict]] = {}
+
+
+def register_model(name: str, fit_fn: Callable, space: dict) -> None:
+    """Add a model family: ``fit_fn(params, train, features, label, key_cols)``
+    returns a ``Fitted``; ``space`` maps parameters to search ranges."""
+    if name in SPACES or name in REGISTRY:
+        raise ValueError(f"model {name} exists")
+    REGISTRY[name] = (fit_fn, dict(space))
 
 
 def fit(name: str, params: dict, train: DataFrame, features: list[str], label: str,
@@ -529,11 +570,13 @@ def fit(name: str, params: dict, train: DataFrame, features: list[str], label: s
     if name in ("random_forest", "gradient_boosting", "boosted_trees", "elastic_net"):
         return _fit_spark(name, params, train, features, label)
     if name == "knn":
-        return _fit_knn(params, train, features, label)
+        return _fit_knn(params, train, features, label, key_cols)
     if name == "svr":
         return _fit_svr(params, train, features, label)
     if name == "mlp":
         return _fit_mlp(params, train, features, label, key_cols)
+    if name in REGISTRY:
+        return REGISTRY[name][0](params, train, features, label, key_cols)
     raise ValueError(f"unknown model {name}")
 
 
@@ -563,8 +606,12 @@ class SearchResult:
 
 def search(name: str, train: DataFrame, features: list[str], label: str, time: str,
            n_trials: int = 100, cv: int = 5, seed: int = SEED, workers: int = 4,
-           n_startup: int = 10, key_cols: Sequence[str] = ()) -> SearchResult:
-    """Seeded random search maximising the mean walk-forward R2.
+           n_startup: int = 10, key_cols: Sequence[str] = (), splitter: Callable | None = None) -> SearchResult:
+    """Seeded random search maximising the mean validation R2.
+
+    Folds: ``splitter(train)`` if given (a list of (train, valid) conditions), else
+    expanding walk-forward folds over the periods, else, with too few
+    periods, ``cv`` shuffled folds by a hash of the row's keys (H4).
 
     Pruning (from the ``n_startup + 1``-th trial on): after each fold the
     running mean is compared with the median of earlier trials' running means
@@ -574,15 +621,21 @@ def search(name: str, train: DataFrame, features: list[str], label: str, time: s
     train = cut_lineage(train)
     n_periods = train.select(time).distinct().count()
     from panelspark.operators.splits import default_min_train
-    folds = time_folds(train, time, default_min_train(n_periods, cv))
+    first = default_min_train(n_periods, cv)
+    if splitter is not None:
+        folds = list(splitter(train))
+    elif n_periods > first:
+        folds = [(F.col(time) <= F.lit(end), F.col(time).between(F.lit(lo), F.lit(hi)))
+                 for end, lo, hi in time_folds(train, time, first)]
+    else:
+        part = F.pmod(F.xxhash64(F.lit(seed), *(key_cols or [*features, label])), F.lit(cv))
+        folds = [(part != i, part == i) for i in range(cv)]
     rng = np.random.default_rng(seed)
     history: list[list[float]] = []
     trials = []
 
     def run_fold(params, f):
-        tr_end, va_lo, va_hi = f
-        tr = train.where(F.col(time) <= F.lit(tr_end))
-        va = train.where((F.col(time) >= F.lit(va_lo)) & (F.col(time) <= F.lit(va_hi)))
+        tr, va = train.where(f[0]), train.where(f[1])
         m = fit(name, params, tr, features, label, key_cols)
         return r2_score(m.predict(va), label)
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.session import cut_lineage
+
 
 def temporal_split(df: DataFrame, time: str, train_end: int, split_col: str = "split") -> DataFrame:
     """H1: ``time <= train_end`` -> train, ``> train_end`` -> test; NULL time in neither (dropped)."""
@@ -93,10 +95,12 @@ def contiguous_folds(df: DataFrame, order_cols: Sequence[str], k: int = 5, fold_
 
     Global positions come from a distributed sort plus per-partition offsets
     (``spark_partition_id`` counts: one row per partition), not from a
-    single-partition window.
+    single-partition window.  The sorted rows are written once: offsets and
+    rows must come from one and the same sort, whose range borders and
+    partition numbers can differ from run to run.
     """
-    ordered = df.orderBy(*order_cols).withColumn("__pid", F.spark_partition_id()) \
-                .withColumn("__mid", F.monotonically_increasing_id())
+    ordered = cut_lineage(df.orderBy(*order_cols).withColumn("__pid", F.spark_partition_id())
+                            .withColumn("__mid", F.monotonically_increasing_id()))
     counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__m0"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))

@@ -67,7 +67,10 @@ def panel_events(spark: SparkSession, sf_dir: str, method: str = "conditional")
     return outer_merge(event_type_tables(spark, sf_dir), ["user_id", "bin"], method=method)
 
 
-def panel_nation(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+NATION_COLUMNS = ("avg_price", "n_orders", "avg_acctbal", "avg_qty", "avg_disc")
+
+
+def panel_nation(spark: SparkSession, sf_dir: str, materialize: bool = False, columns=None) -> DataFrame:
     """(c_nationkey, quarter, avg_price, n_orders, avg_acctbal, avg_qty, avg_disc).
 
     Line items are pre-aggregated per order before the join (one row per
@@ -75,20 +78,23 @@ def panel_nation(spark: SparkSession, sf_dir: str, materialize: bool = False) ->
     ``materialize`` writes the (small, aggregated) panel once to the shared
     checkpoint folder for plans with several consumers; otherwise every
     consumer would re-aggregate orders and line items (their column pruning
-    differs, so Spark cannot reuse the exchanges).
+    differs, so Spark cannot reuse the exchanges).  ``columns`` (besides the keys)
+    are selected before that cut, so that tables and aggregates nobody reads are
+    never scanned: without the line-item columns the join is left out.
     """
+    want = list(columns) if columns is not None else list(NATION_COLUMNS)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("sq"), F.count(F.lit(1)).alias("nl"), F.sum("l_discount").alias("sd"))
     q = (F.year("o_orderdate") * 4 + F.quarter("o_orderdate") - 1).cast("int")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(li, o.o_orderkey == li.l_orderkey, "left")
-    out = j.groupBy("c_nationkey", q.alias("quarter")).agg(
-        F.avg("o_totalprice").alias("avg_price"),
-        F.count(F.lit(1)).cast("double").alias("n_orders"),
-        F.avg("c_acctbal").alias("avg_acctbal"),
-        (F.sum("sq") / F.sum("nl")).alias("avg_qty"),
-        (F.sum("sd") / F.sum("nl")).alias("avg_disc"))
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    if {"avg_qty", "avg_disc"} & set(want):
+        j = j.join(li, o.o_orderkey == li.l_orderkey, "left")
+    aggs = {"avg_price": F.avg("o_totalprice"), "n_orders": F.count(F.lit(1)).cast("double"),
+            "avg_acctbal": F.avg("c_acctbal"), "avg_qty": F.sum("sq") / F.sum("nl"), "avg_disc": F.sum("sd") / F.sum("nl")}
+    out = j.groupBy("c_nationkey", q.alias("quarter")).agg(*[aggs[c].alias(c) for c in want or ["n_orders"]])
+    out = out.select("c_nationkey", "quarter", *want)
     if materialize:
         from panelspark.session import cut_lineage
         out = cut_lineage(out)
@@ -118,7 +124,7 @@ def nation_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     Everything is an aggregate or a join; the train statistics are one-row
     (global) or one-row-per-entity tables.
     """
-    p = panel_nation(spark, sf_dir, materialize=True).select(
+    p = panel_nation(spark, sf_dir, materialize=True, columns=["avg_price", "n_orders"]).select(
         F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"),
         F.col("avg_price").alias("y"), F.col("n_orders").alias("x"))
     cut = p.agg(F.max("time") - NATION_TEST_PERIODS + 1).scalar()

@@ -74,7 +74,7 @@ def _rounded(df):
        f"{rnd('c.avg_price')} AS avg_price_prev_period FROM b LEFT JOIN b c ON c.entity = b.entity AND c.time = b.time - 1")
 def q_panel_lag(spark, sf):
     from panelspark.plans.panels import panel_nation
-    p = panel_nation(spark, sf, materialize=True).select(F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"), "avg_price")
+    p = panel_nation(spark, sf, materialize=True, columns=["avg_price"]).select(F.col("c_nationkey").alias("entity"), F.col("quarter").alias("time"), "avg_price")
     p = econ.add_lag(p, "entity", "time", "avg_price", 1)
     p = econ.add_lag(p, "entity", "time", "avg_price", 1, calendar=True, out="avg_price_prev_period")
     return rounded(p)
@@ -86,7 +86,7 @@ def q_panel_lag(spark, sf):
        + " FROM np")
 def q_within(spark, sf):
     from panelspark.plans.panels import panel_nation
-    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter", "avg_price", "n_orders")
+    p = panel_nation(spark, sf, materialize=True, columns=["avg_price", "n_orders"])
     return rounded(econ.within_transform(p, "c_nationkey", ["avg_price", "n_orders"]).drop("avg_price", "n_orders"))
 
 
@@ -157,7 +157,7 @@ def q_nickell(spark, sf):
 def q_ar1(spark, sf):
     fe, _, _ = nation_dynamic_panel(spark, sf)
     out = econ.ar1_test(fe.residuals("raw"), "entity", "time")
-    return _rounded(spark.createDataFrame([(out["rho"], out["t_stat"], out["n"])], "rho double, t_stat double, n long"))
+    return _rounded(spark.createDataFrame([(out.extra["rho"], out.extra["t_stat"], out.extra["n"])], "rho double, t_stat double, n long"))
 
 
 @query("persistence",
@@ -227,7 +227,7 @@ def q_breusch_pagan(spark, sf):
     res = fe.residuals("raw")
     out = econ.breusch_pagan(res, fe.terms)
     n = res.count()
-    return _rounded(spark.createDataFrame([(out["lm_stat"], out["lm_pvalue"], out["f_stat"], n)],
+    return _rounded(spark.createDataFrame([(out.statistic, out.p_value, out.extra["f_stat"], n)],
                                           "lm_stat double, lm_pvalue double, f_stat double, n long"))
 
 
@@ -291,9 +291,9 @@ def _re_query_sql() -> str:
 
 
 def _hausman_query_sql() -> str:
-    return (f"WITH {HAUSMAN_SQL} SELECT 'Hausman (unadjusted cov)' AS test, {_r('stat')} AS statistic, "
+    return (f"WITH {HAUSMAN_SQL} SELECT 'hausman' AS test, {_r('stat')} AS statistic, "
             f"CAST(2 AS INTEGER) AS df, {_r('p')} AS p_value, "
-            "CASE WHEN p < 0.05 THEN 'Prefer FE (RE rejected)' ELSE 'RE acceptable' END AS conclusion FROM hp")
+            "p < 0.05 AS rejected FROM hp")
 
 
 @query("re_coeffs", _re_query_sql())
@@ -310,5 +310,5 @@ def q_hausman(spark, sf):
     """FE (two-way, unadjusted) vs RE (Swamy-Arora) Hausman statistic."""
     fe, _, _ = nation_dynamic_panel(spark, sf)
     h = econ.hausman(fe, econ.fit_random_effects(fe.sample, "entity", NATION_Y, TERMS))
-    return _rounded(spark.createDataFrame([(h["test"], h["statistic"], h["df"], h["p_value"], h["conclusion"])],
-                                          "test string, statistic double, df int, p_value double, conclusion string"))
+    return _rounded(spark.createDataFrame([(h.name, h.statistic, h.extra["df"], h.p_value, h.rejected)],
+                                          "test string, statistic double, df int, p_value double, rejected boolean"))

@@ -20,8 +20,8 @@ def _r(cols):
     return ", ".join(f"{rnd(c)} AS {c}" for c in cols)
 
 
-def ex(spark, sf):
-    return panel_nation(spark, sf, materialize=True).join(
+def ex(spark, sf, *columns):
+    return panel_nation(spark, sf, materialize=True, columns=columns).join(
         nation_regions(spark, sf).select("c_nationkey", "region"), "c_nationkey")
 
 
@@ -29,7 +29,7 @@ def ex(spark, sf):
        f"WITH {EX_SQL} SELECT quarter, {rnd('sum(avg_price)')} AS total, count(avg_price) AS n, "
        f"{rnd('avg(avg_price)')} AS mean FROM ex GROUP BY quarter")
 def q_yearly(spark, sf):
-    return rounded(explore.period_summary(ex(spark, sf), "quarter", "avg_price"))
+    return rounded(explore.period_summary(ex(spark, sf, "avg_price"), "quarter", "avg_price"))
 
 
 @query("evolution_summary",
@@ -41,7 +41,7 @@ def q_yearly(spark, sf):
        f"{rnd('arg_max(mean, quarter) - arg_min(mean, quarter)')} AS total_change, {rnd('avg(n)')} AS mean_count, "
        "min(quarter) AS first_time, max(quarter) AS last_time FROM y")
 def q_evolution_summary(spark, sf):
-    y = explore.period_summary(ex(spark, sf), "quarter", "avg_price")
+    y = explore.period_summary(ex(spark, sf, "avg_price"), "quarter", "avg_price")
     return rounded(explore.evolution_summary(y, "quarter"))
 
 
@@ -49,7 +49,7 @@ def q_evolution_summary(spark, sf):
        f"WITH {EX_SQL} SELECT region, quarter, {rnd('avg(avg_price)')} AS mean, {rnd('stddev_samp(avg_price)')} AS std, "
        "count(avg_price) AS n FROM ex GROUP BY region, quarter")
 def q_region_year(spark, sf):
-    return rounded(explore.group_period_stats(ex(spark, sf), "region", "quarter", "avg_price"))
+    return rounded(explore.group_period_stats(ex(spark, sf, "avg_price"), "region", "quarter", "avg_price"))
 
 
 @query("region_change",
@@ -58,7 +58,7 @@ def q_region_year(spark, sf):
        f"{rnd('arg_max(mean, quarter)')} AS last_mean, {rnd('arg_max(mean, quarter) - arg_min(mean, quarter)')} AS change "
        "FROM s GROUP BY region HAVING count(*) >= 2")
 def q_region_change(spark, sf):
-    s = explore.group_period_stats(ex(spark, sf), "region", "quarter", "avg_price")
+    s = explore.group_period_stats(ex(spark, sf, "avg_price"), "region", "quarter", "avg_price")
     return rounded(explore.group_change(s, "region", "quarter"))
 
 
@@ -76,12 +76,12 @@ def _corr_sql(where: str = "") -> str:
 
 @query("corr_matrix", _corr_sql())
 def q_corr(spark, sf):
-    return rounded(explore.correlation_long(ex(spark, sf), COLS))
+    return rounded(explore.correlation_long(ex(spark, sf, *COLS), COLS))
 
 
 @query("strong_pairs", _corr_sql("WHERE ia < ib AND abs(r) > 0.7"))
 def q_strong_pairs(spark, sf):
-    return rounded(explore.strong_pairs(explore.correlation_long(ex(spark, sf), COLS)))
+    return rounded(explore.strong_pairs(explore.correlation_long(ex(spark, sf, *COLS), COLS)))
 
 
 @query("describe",
@@ -91,7 +91,7 @@ def q_strong_pairs(spark, sf):
            f"{rnd(f'quantile_cont({c}, 0.25)')} AS q25, {rnd(f'quantile_cont({c}, 0.5)')} AS q50, "
            f"{rnd(f'quantile_cont({c}, 0.75)')} AS q75 FROM ex" for c in COLS))
 def q_describe(spark, sf):
-    return rounded(explore.describe(ex(spark, sf), COLS))
+    return rounded(explore.describe(ex(spark, sf, *COLS), COLS))
 
 
 def _hist_sql(bins: int, density: bool) -> str:
@@ -106,12 +106,12 @@ def _hist_sql(bins: int, density: bool) -> str:
 
 @query("histogram", _hist_sql(30, False))
 def q_histogram(spark, sf):
-    return rounded(explore.histogram(ex(spark, sf), "avg_price", 30))
+    return rounded(explore.histogram(ex(spark, sf, "avg_price"), "avg_price", 30))
 
 
 @query("density_histogram", _hist_sql(50, True))
 def q_density_histogram(spark, sf):
-    return rounded(explore.histogram(ex(spark, sf), "avg_price", 50, density=True))
+    return rounded(explore.histogram(ex(spark, sf, "avg_price"), "avg_price", 50, density=True))
 
 
 @query("boxplot_stats",
@@ -124,7 +124,7 @@ def q_density_histogram(spark, sf):
        f"{rnd('max(CASE WHEN inside THEN value END)')} AS whisker_hi, {rnd('avg(value)')} AS mean, "
        "count(CASE WHEN NOT inside THEN 1 END) AS n_outliers, count(*) AS n FROM j GROUP BY 1, q1, median, q3, iqr")
 def q_boxplot(spark, sf):
-    return rounded(explore.boxplot_stats(ex(spark, sf), COLS))
+    return rounded(explore.boxplot_stats(ex(spark, sf, *COLS), COLS))
 
 
 @query("kde_grid",
@@ -135,7 +135,7 @@ def q_boxplot(spark, sf):
        + rnd("sum(exp(-0.5 * ((lo + i * step - avg_price) / h) * ((lo + i * step - avg_price) / h))) / (n * h * sqrt(2 * pi()))")
        + " AS density FROM ex, st2, range(100) t(i) WHERE avg_price IS NOT NULL GROUP BY i, lo, step, n, h")
 def q_kde(spark, sf):
-    return rounded(explore.kde_grid(ex(spark, sf), "avg_price"))
+    return rounded(explore.kde_grid(ex(spark, sf, "avg_price"), "avg_price"))
 
 
 @query("kpis",
@@ -149,7 +149,7 @@ def q_kpis(spark, sf):
        f"WITH {EX_SQL} SELECT count(DISTINCT c_nationkey) AS N, count(DISTINCT quarter) AS T, count(*) AS nobs "
        "FROM ex WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in COLS))
 def q_panel_dims(spark, sf):
-    return explore.panel_dims(ex(spark, sf), "c_nationkey", "quarter", COLS)
+    return explore.panel_dims(ex(spark, sf, *COLS), "c_nationkey", "quarter", COLS)
 
 
 _Z = "(avg_price - avg(avg_price) OVER ()) / stddev_samp(avg_price) OVER ()"
@@ -161,7 +161,7 @@ _Z = "(avg_price - avg(avg_price) OVER ()) / stddev_samp(avg_price) OVER ()"
        f"SELECT c_nationkey, quarter, {rnd('score')} AS score, CASE WHEN score < -1.0 THEN 'low' "
        "WHEN score <= 0.5 THEN 'moderate' WHEN score IS NOT NULL THEN 'high' END AS band FROM s")
 def q_snapshot_bands(spark, sf):
-    e = ex(spark, sf)
+    e = ex(spark, sf, "avg_price")
     st = scalar_row(e.agg(F.avg("avg_price").alias("__m"), F.stddev_samp("avg_price").alias("__s")))
     z = e.withColumn("score", (F.col("avg_price") - st["__m"]) / st["__s"])
     return rounded(explore.snapshot_bands(z, "c_nationkey", "quarter", "score"))
@@ -175,7 +175,7 @@ def q_snapshot_bands(spark, sf):
        f"{rnd('avg_price - previous')} AS delta, CASE WHEN avg_price - previous > 0 THEN 'up' "
        "WHEN avg_price - previous < 0 THEN 'down' WHEN avg_price - previous = 0 THEN 'flat' END AS trend FROM w WHERE rn = 1")
 def q_latest_delta(spark, sf):
-    return rounded(explore.latest_delta(ex(spark, sf), "c_nationkey", "quarter", "avg_price"))
+    return rounded(explore.latest_delta(ex(spark, sf, "avg_price"), "c_nationkey", "quarter", "avg_price"))
 
 
 @query("error_bias",

@@ -50,7 +50,7 @@ def model_data(spark, sf, test_periods: int = 8, complete: bool = True):
 
 
 def _runs(spark, sf):
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         train, test = model_data(spark, sf)
         _RUNS[key] = models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter",
@@ -150,7 +150,7 @@ def q_search_space(spark, sf):
 
 
 def _search(spark, sf):
-    key = ("search", id(spark), sf)
+    key = ("search", spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         train, _ = model_data(spark, sf)
         _RUNS[key] = models.search("elastic_net", train, NATION_FEATURES, NATION_TARGET, "quarter",

@@ -37,7 +37,7 @@ def panel_wide(spark, sf, as_text: bool = False, bad_year: int | None = None):
     target).  The pivot values come from a distinct-years aggregate (one row
     per calendar year).  ``as_text`` turns cells into strings, and the
     ``bad_year`` column into the token 'n/a' (B7 / B1 inputs)."""
-    p = panel_nation(spark, sf, materialize=True).join(nation_regions(spark, sf), "c_nationkey")
+    p = panel_nation(spark, sf, materialize=True, columns=["avg_price"]).join(nation_regions(spark, sf), "c_nationkey")
     long = p.groupBy("n_name", F.floor(F.col("quarter") / 4).cast("int").alias("year")) \
             .agg(F.avg("avg_price").alias("v"))
     years = sorted(r[0] for r in long.select("year").distinct().collect())
@@ -160,7 +160,7 @@ _ZC = ["avg_price", "n_orders", "avg_acctbal"]
        + ", ".join(f"{rnd(f'CASE WHEN stddev_pop({c}) OVER () > 0 THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () ELSE 0.0 END')} AS {c}_z"
                    for c in _ZC) + " FROM np")
 def q_zscore(spark, sf):
-    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter", *_ZC)
+    p = panel_nation(spark, sf, materialize=True, columns=_ZC)
     return rounded(features.zscore(p, _ZC, suffix="_z").drop(*_ZC))
 
 
@@ -170,7 +170,7 @@ def q_zscore(spark, sf):
        "SELECT CAST(f.i AS INTEGER) AS fold, quarter, CASE WHEN r <= 8 + f.i THEN 'train' ELSE 'valid' END AS role "
        "FROM per, nf, range(0, 1000) f(i) WHERE f.i < nf.n AND r <= 8 + f.i + 1")
 def q_walk_forward(spark, sf):
-    p = panel_nation(spark, sf, materialize=True)
+    p = panel_nation(spark, sf, materialize=True, columns=[])
     n = p.select("quarter").distinct().count()
     return splits.walk_forward_folds(p, "quarter", min_train=splits.default_min_train(n, 5), valid=1)
 
@@ -179,7 +179,7 @@ def q_walk_forward(spark, sf):
        f"WITH {_NP_SQL} SELECT c_nationkey, quarter, "
        f"CAST(ntile({FOLDS}) OVER (ORDER BY c_nationkey, quarter) - 1 AS INTEGER) AS fold FROM np")
 def q_kfold(spark, sf):
-    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter")
+    p = panel_nation(spark, sf, materialize=True, columns=[])
     return splits.contiguous_folds(p, ["c_nationkey", "quarter"], FOLDS)
 
 
@@ -213,7 +213,7 @@ def _cv_fold_scores(spark, sf):
     Per-fold sufficient statistics are one aggregate; the training statistics
     of fold f are totals minus fold f (a 5-row table), so no fold copies the
     data."""
-    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter", F.col("avg_price").alias("y"),
+    p = panel_nation(spark, sf, materialize=True, columns=["avg_price", "n_orders"]).select("c_nationkey", "quarter", F.col("avg_price").alias("y"),
                                                          F.col("n_orders").alias("x"))
     f = splits.contiguous_folds(p, ["c_nationkey", "quarter"], FOLDS)
     s = f.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
@@ -250,7 +250,7 @@ def q_learning_sample(spark, sf):
 def q_entity_timeline(spark, sf):
     """One entity's rows, newest first (the entity is the smallest key,
     found by a scalar subquery)."""
-    p = panel_nation(spark, sf, materialize=True).select("c_nationkey", "quarter", "avg_price")
+    p = panel_nation(spark, sf, materialize=True, columns=["avg_price"])
     first = p.agg(F.min("c_nationkey")).scalar()
     return rounded(clean.entity_timeline(p, "c_nationkey", "quarter", first, newest_first=True))
 
@@ -299,7 +299,8 @@ def q_manifest_merge(spark, sf):
     manifest also lists a file that does not exist.  Everything is loaded back
     through the manifest and merged with the N-way full outer join."""
     folder = os.path.join(checkpoint_dir(spark), "panelspark-sources", uuid.uuid4().hex)
-    p = panel_nation(spark, sf, materialize=True).join(nation_regions(spark, sf), "c_nationkey")
+    p = panel_nation(spark, sf, materialize=True, columns=["avg_price", "n_orders", "avg_acctbal"]).join(
+        nation_regions(spark, sf), "c_nationkey")
     yearly = p.groupBy("n_name", F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("code"), "region",
                        F.floor(F.col("quarter") / 4).cast("int").alias("year")).agg(
         F.avg("avg_price").alias("avg_price"), F.sum("n_orders").alias("n_orders"),

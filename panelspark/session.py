@@ -44,6 +44,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster; a scratch one only when unset."""
     d = spark.conf.get(_CKPT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise ValueError(f"set {_CKPT_KEY} to a folder all executors share (master {master})")
         d = tempfile.mkdtemp(prefix="panelspark-ckpt-")
         spark.conf.set(_CKPT_KEY, d)
     if not spark.sparkContext.getCheckpointDir():

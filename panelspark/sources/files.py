@@ -58,8 +58,8 @@ def read_csv_skip(spark: SparkSession, path: str, skip: int = DEFAULT_SKIP_LINES
     lines consecutively in scan order within a split.  A one-row-per-file
     aggregate gives each file's first id; lines below ``first + skip`` are
     metadata and the line at ``first + skip`` is that file's header.  The
-    header of one file names the columns (driver reads one line); all lines
-    are parsed on the executors with ``from_csv``.  Every column is text;
+    header names the columns (driver reads it; part files whose headers differ are
+    refused); all lines are parsed on the executors with ``from_csv``.  Every column is text;
     numbers go through the tolerant cast later (B7).  Skipping is explicit,
     never guessed (S11), and counts raw lines, blank ones included.
     """
@@ -74,8 +74,10 @@ def read_csv_skip(spark: SparkSession, path: str, skip: int = DEFAULT_SKIP_LINES
         raw = raw.join(first, "__f", "left").withColumn(
             "__pos", F.when(F.col("__head"), F.col("__i") - F.col("__i0")))
     if header:
-        hdr = raw.where(F.col("__pos") == skip).select("value").first()
-        names = _header_names(hdr[0] if hdr else "")
+        heads = raw.where(F.col("__pos") == skip).select("value").distinct().take(2)
+        if len(heads) > 1:
+            raise ValueError(f"part files of {path} have different headers: {[h[0] for h in heads]}")
+        names = _header_names(heads[0][0] if heads else "")
     else:
         sample = raw.where(F.col("__pos").isNull() | (F.col("__pos") >= n_top)).select("value").first()
         names = [f"_c{i}" for i in range(len(_header_names(sample[0] if sample else "")))]
@@ -111,9 +113,9 @@ def load_indicator(spark: SparkSession, path: str, name: str, entity: str = "ent
     """A2: one indicator file -> long (entity[, code], time, <name>).
 
     Wide files (one column per year) are melted (B4/B5); long files with a
-    ``time``/``Year`` column pass through (B6).  All-empty columns are
-    dropped (B1), metadata columns removed (B3).  Raises when the file type
-    is unsupported or no time column exists.
+    ``time``/``Year`` column and a column called ``name`` pass through (B6).
+    All-empty columns are dropped (B1), metadata columns removed (B3).  Raises
+    when the file type is unsupported or the time or value column is missing.
     """
     df = standardize_entity(drop_metadata(read_any(spark, path, skip)), entity)
     years = detect_time_columns(df.columns)
@@ -125,9 +127,10 @@ def load_indicator(spark: SparkSession, path: str, name: str, entity: str = "ent
     tcol = next((c for c in ("time", "Year", "year") if c in df.columns), None)
     if tcol is None:
         raise ValueError(f"no time columns in {path}")
-    vcol = name if name in df.columns else next(c for c in df.columns if c not in ids and c != tcol)
+    if name not in df.columns:
+        raise ValueError(f"no column {name} in {path}")
     return df.select(*ids, F.col(tcol).try_cast("double").cast("int").alias("time"),
-                     try_double(vcol).alias(name)).where(F.col("time").isNotNull())
+                     try_double(name).alias(name)).where(F.col("time").isNotNull())
 
 
 @dataclass(frozen=True)
@@ -190,15 +193,24 @@ def validated_panel(df: DataFrame, required: Sequence[str]) -> DataFrame:
 def source_inventory(spark: SparkSession, folder: str, expected: Sequence[str]) -> DataFrame:
     """Which expected sources exist, their format and size.
 
-    ``binaryFile`` only opens a file when its ``content`` column is selected,
-    so this is a metadata listing done by the executors.
+    A source is a file or a directory of part files right below ``folder``; of
+    several formats with one base name the one that would be read (A4) is
+    reported, with its size.  ``binaryFile`` only opens a file when its
+    ``content`` column is selected, so this is a metadata listing done by
+    the executors.
     """
+    fs, p = _fs(spark, folder)
+    root = fs.makeQualified(p).toUri().getPath().rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder) \
-        .select("path", "length")
-    files = files.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1)) \
+        .select(F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "").alias("path"), "length")
+    name = F.substring_index(F.substring(F.col("path"), len(root) + 1, 1 << 20), "/", 1)
+    files = files.withColumn("name", name) \
                  .withColumn("base", F.regexp_extract("name", r"^(.*?)(\.[^.]*)?$", 1)) \
                  .withColumn("format", F.regexp_extract("name", r"\.([^.]+)$", 1))
+    per = files.groupBy("base", "format").agg(F.sum("length").alias("bytes"))
+    order = F.array_position(F.array(*[F.lit(x.lstrip(".")) for x in FORMAT_PRECEDENCE]), F.col("format"))
+    order = F.when(order > 0, order).otherwise(len(FORMAT_PRECEDENCE) + 1)
+    best = per.groupBy("base").agg(F.min(F.struct(order, "format", "bytes")).alias("f"))
     man = spark.createDataFrame([(e,) for e in expected], "base string")
-    return man.join(files, "base", "left").groupBy("base").agg(
-        (F.count("path") > 0).alias("found"), F.first("format", ignorenulls=True).alias("format"),
-        F.sum("length").alias("bytes"))
+    return man.join(best, "base", "left").select("base", F.col("f").isNotNull().alias("found"),
+                                                 F.col("f.format").alias("format"), F.col("f.bytes").alias("bytes"))

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 def write_processed(df: DataFrame, path: str, split_col: str = "split",
                     sort_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
     """One dataset partitioned by split (train/test directories, the
-    union of both is the full panel, G1); rows sorted within partitions so the
-    files keep (entity, time) order without a global sort."""
-    w = df.repartition(split_col, *sort_cols[:1]) if sort_cols else df
+    union of both is the full panel, G1); rows range-partitioned by split and
+    the sort columns and sorted within partitions, so files keep (entity, time)
+    order without one sorted file, and a hot entity is spread over several."""
+    w = df
     if sort_cols:
-        w = w.sortWithinPartitions(*sort_cols)
+        w = df.repartitionByRange(split_col, *sort_cols).sortWithinPartitions(split_col, *sort_cols)
     (w.write.mode("overwrite").partitionBy(split_col).format(fmt)
        .options(**({"header": "true"} if fmt == "csv" else {})).save(path))
 
@@ -52,7 +53,7 @@ def write_indicator_csv(df: DataFrame, path: str, metadata: Sequence[str]) -> No
 
 def write_results(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Leaderboard / summary tables (small) as CSV with header."""
-    (df.coalesce(1).write.mode("overwrite").format(fmt)
+    (df.repartition(1).write.mode("overwrite").format(fmt)
        .options(**({"header": "true"} if fmt == "csv" else {})).save(path))
 
 

@@ -67,3 +67,24 @@ def test_scalar_ladders(spark):
 def test_drop_null_columns(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "a int, b double")
     assert clean.drop_null_columns(df).columns == ["a"]
+
+
+def test_outer_merge_of_repeated_keys_does_not_depend_on_the_number_of_tables(spark):
+    a = spark.createDataFrame([("X", 1, 1.0), ("X", 1, 2.0), (None, 2, 3.0)], "entity string, time int, a double")
+    b = spark.createDataFrame([("X", 1, "p"), (None, 2, "q")], "entity string, time int, b string")
+    c = spark.createDataFrame([("Y", 3, 7)], "entity string, time int, c int")
+    two = clean.outer_merge([a, b], ["entity", "time"])
+    three = clean.outer_merge([a, b, c], ["entity", "time"])
+    assert sorted(map(str, two.collect())) == sorted(map(str, three.where("c is null").drop("c").collect()))
+    assert three.count() == 4 and two.where("entity is null").first().b == "q"
+    with pytest.raises(ValueError):
+        clean.outer_merge([a, b, c], ["entity", "time"], method="pivot")
+    unique = a.where("a <> 2")
+    p = clean.outer_merge([unique, b, c], ["entity", "time"], method="pivot")
+    j = clean.outer_merge([unique, b, c], ["entity", "time"], method="join").select(p.columns)
+    assert p.dtypes == j.dtypes and sorted(map(str, p.collect())) == sorted(map(str, j.collect()))
+
+
+def test_time_columns_follow_the_number_rule():
+    cols = ["2018", " 2019 ", "2020.0", "1899", "2101", "Year", "abc", "20.18", "-2000", "2e3", "nan", "inf"]
+    assert clean.detect_time_columns(cols) == ["2018", " 2019 ", "2020.0", "2e3"]

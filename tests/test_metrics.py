@@ -72,3 +72,9 @@ def test_chi2_tail_keeps_relative_precision():
     for k, exact in [(2, np.exp(-x / 2)), (4, (1 + x / 2) * np.exp(-x / 2))]:
         got = chi2_sf(x, k)
         assert np.all(np.abs(got - exact) <= 1e-12 * exact)
+
+
+def test_metrics_count_complete_rows_only(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (3.0, 2.5), (None, 1.0), (9.0, None)], "y_true double, y_pred double")
+    r = metrics.regression_metrics(df).first()
+    assert r.n == 2 and abs(r.mse - 0.25) < 1e-12 and abs(r.r2 - 0.75) < 1e-12

@@ -45,7 +45,7 @@ def test_elastic_net_parity(spark, reg, alpha, l1):
     assert np.allclose(m.coefficients, w, atol=2e-4)
 
 
-@pytest.mark.parametrize("name", ["random_forest", "gradient_boosting", "knn", "elastic_net"])
+@pytest.mark.parametrize("name", ["random_forest", "gradient_boosting", "boosted_trees", "knn", "elastic_net", "svr", "mlp"])
 def test_model_contract_and_save_load(spark, reg, name, tmp_path):
     _, train, test = reg
     params = {"random_forest": {"n_estimators": 20, "max_depth": 5, "min_samples_split": 2, "min_samples_leaf": 1,
@@ -53,17 +53,21 @@ def test_model_contract_and_save_load(spark, reg, name, tmp_path):
               "gradient_boosting": {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3, "min_samples_split": 2,
                                     "min_samples_leaf": 1, "subsample": 1.0, "max_features": 0.7},
               "knn": {"n_neighbors": 5, "p": 2},
+              "boosted_trees": {"n_estimators": 20, "max_depth": 3, "learning_rate": 0.2, "subsample": 1.0,
+                                "colsample_bytree": 1.0, "gamma": 0.0, "min_child_weight": 1},
+              "svr": {"kernel": "rbf", "C": 10.0, "epsilon": 0.05, "gamma": "scale"},
+              "mlp": {"hidden_layer_sizes": "20", "activation": "tanh", "alpha": 1e-4,
+                      "learning_rate_init": 2e-2, "max_iter": 120},
               "elastic_net": {"alpha": 0.01, "l1_ratio": 0.5, "max_iter": 1000}}[name]
     m = models.fit(name, params, train, FEATS, "target")
     pred = m.predict(test)
     assert pred.count() == 30 and "k" in pred.columns              # keys carried (C5)
     assert models.r2_score(pred, "target") > 0.5
-    if name != "knn":
-        m.save(str(tmp_path / name))
-        back = models.load_fitted(spark, str(tmp_path / name))
-        a = sorted((r.k, r.y_pred) for r in m.predict(test).collect())
-        b = sorted((r.k, r.y_pred) for r in back.predict(test).collect())
-        assert np.allclose([x[1] for x in a], [x[1] for x in b])
+    m.save(str(tmp_path / name))
+    back = models.load_fitted(spark, str(tmp_path / name))
+    a = sorted((r.k, r.y_pred) for r in m.predict(test).collect())
+    b = sorted((r.k, r.y_pred) for r in back.predict(test).collect())
+    assert np.allclose([x[1] for x in a], [x[1] for x in b])
     if name in ("random_forest", "gradient_boosting"):
         assert len(m.importances) == 5 and m.importances[0] == max(m.importances)
 
@@ -82,6 +86,59 @@ def test_svr_and_mlp_learn(spark, reg):
     assert models.r2_score(mlp.predict(test), "target") > 0.8
 
 
+def test_svr_does_not_depend_on_the_scale_of_the_label(spark, reg):
+    from pyspark.sql import functions as F
+    _, train, test = reg
+    big = [d.withColumn("target", F.col("target") * 1e4 + 5e5) for d in (train, test)]
+    svr = models.fit("svr", {"kernel": "linear", "C": 10.0, "epsilon": 0.05}, big[0], FEATS, "target")
+    assert svr.state["converged"] and models.r2_score(svr.predict(big[1]), "target") > 0.9
+
+
+def test_poly_features_are_the_kernel():
+    rng = np.random.default_rng(0)
+    x, z = rng.normal(size=(2, 4, 3))
+    for degree in (1, 2, 3):
+        phi, _ = models._feature_map("poly", 3, 0.7, degree)
+        assert np.allclose(phi(x) @ phi(z).T, (0.7 * x @ z.T) ** degree)
+
+
+def test_knn_keeps_rows_with_missing_features(spark, reg):
+    from pyspark.sql import functions as F
+    _, train, test = reg
+    m = models.fit("knn", {"n_neighbors": 5, "p": 2}, train, FEATS, "target", ["k"])
+    holed = test.withColumn("f0", F.when(F.col("k") % 2 == 0, F.col("f0")))
+    got = {r.k: r.y_pred for r in m.predict(holed).collect()}
+    assert len(got) == 30 and all((v is None) == (k % 2 == 1) for k, v in got.items())
+    again = {r.k: r.y_pred for r in m.predict(holed.repartition(7)).collect()}
+    assert again == got
+
+
+def test_search_falls_back_and_takes_a_splitter(spark, reg):
+    from pyspark.sql import functions as F
+    _, train, _ = reg
+    few = train.where("t < 3")
+    res = models.search("elastic_net", few, FEATS, "target", "t", n_trials=2, cv=3, key_cols=["k"])
+    assert all(len(t["fold_scores"]) == 3 for t in res.trials)
+    own = models.search("elastic_net", train, FEATS, "target", "t", n_trials=2,
+                        splitter=lambda d: [(F.col("k") < 60, F.col("k") >= 60)])
+    assert all(len(t["fold_scores"]) == 1 for t in own.trials)
+
+
+def test_registered_family(spark, reg):
+    _, train, test = reg
+    def mean_model(params, df, features, label, key_cols):
+        from pyspark.sql import functions as F
+        v = float(df.agg(F.avg(label)).first()[0]) * params["scale"]
+        return models.Fitted("mean", params, features, label, lambda d: d.withColumn("y_pred", F.lit(v)))
+    models.register_model("mean", mean_model, {"scale": models.FloatP(0.5, 1.5)})
+    try:
+        res = models.search("mean", train, FEATS, "target", "t", n_trials=2)
+        assert 0.5 <= res.best_params["scale"] <= 1.5
+        assert models.fit("mean", {"scale": 1.0}, train, FEATS, "target").predict(test).count() == 30
+    finally:
+        models.REGISTRY.pop("mean")
+
+
 def test_search_walk_forward_and_pruning(spark, reg):
     _, train, _ = reg
     res = models.search("elastic_net", train, FEATS, "target", "t", n_trials=14, cv=5, n_startup=3, workers=4)

@@ -45,3 +45,8 @@ def test_exact_quantiles_distributed_ranking(spark):
     got = exact_quantiles(df, ["x"], (0.1, 0.5, 0.9), ["g"], accuracy=2000, window_limit=50).toPandas()
     for (grp, p), v in got.set_index(["g", "prob"])["value"].items():
         assert v == pytest.approx(np.quantile(x[g == grp], p), rel=1e-12, abs=1e-12)
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (float("nan"),)], "v double")
+    assert [r.value for r in exact_quantiles(df, ["v"]).collect()] == [1.5]

@@ -80,8 +80,13 @@ def test_processed_roundtrip_and_inventory(spark, tmp_path):
     sinks.write_processed(df, str(tmp_path / "proc"), sort_cols=["entity", "time"])
     back = files.read_processed(spark, str(tmp_path / "proc"), "train")
     assert [(r.entity, r.time) for r in back.collect()] == [("A", 1)]
-    inv = {r.base: r for r in files.source_inventory(spark, str(tmp_path / "proc"), ["part-x", "absent"]).collect()}
-    assert inv["absent"].found is False
+    sinks.write_processed(df, str(tmp_path / "all" / "gdp.parquet"), sort_cols=["entity", "time"])
+    (tmp_path / "all" / "gdp.csv").write_text("x" * 10)
+    (tmp_path / "all" / "rate.csv").write_text("y" * 7)
+    inv = {r.base: r for r in files.source_inventory(spark, str(tmp_path / "all"), ["gdp", "rate", "absent"]).collect()}
+    assert inv["absent"].found is False and inv["absent"].bytes is None
+    assert (inv["gdp"].found, inv["gdp"].format) == (True, "parquet") and inv["gdp"].bytes > 10
+    assert (inv["rate"].format, inv["rate"].bytes) == ("csv", 7)
     with pytest.raises(ValueError):
         files.validated_panel(df, ["entity", "nope"])
     with pytest.raises(ValueError):
@@ -130,3 +135,24 @@ def test_indicator_csv_sink_roundtrip(spark, tmp_path):
         exp[(name, 2019)] = a
         exp[(name, 2020)] = b
     assert got == exp
+
+
+def test_part_files_with_other_headers_are_refused(spark, tmp_path):
+    d = tmp_path / "x.csv"
+    d.mkdir()
+    (d / "a.csv").write_text("m\nCountry Name,2018,2019\nA,1,2\n")
+    (d / "b.csv").write_text("m\nCountry Name,2019,2018\nB,3,4\n")
+    with pytest.raises(ValueError):
+        files.read_csv_skip(spark, str(d), 1)
+
+
+def test_missing_value_column_is_refused(spark, tmp_path):
+    spark.createDataFrame([("A", 2000, "yes")], "Country string, Year int, flag string").write.json(str(tmp_path / "gdp.json"))
+    with pytest.raises(ValueError):
+        files.load_indicator(spark, str(tmp_path / "gdp.json"), "gdp")
+
+
+def test_entity_spelling_with_lower_case_name(spark):
+    from panelspark.operators import clean
+    df = spark.createDataFrame([("Europe", "A", "1")], "Region string, `Country name` string, `2018` string")
+    assert clean.standardize_entity(df).columns == ["Region", "entity", "2018"]

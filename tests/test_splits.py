@@ -54,3 +54,15 @@ def test_hash_folds_deterministic(spark):
     a = [r.fold for r in splits.hash_folds(df, ["k"], 5).orderBy("k").collect()]
     b = [r.fold for r in splits.hash_folds(df.repartition(7), ["k"], 5).orderBy("k").collect()]
     assert a == b and set(a) == {0, 1, 2, 3, 4}
+
+
+def test_contiguous_folds_are_exact_on_many_rows(spark):
+    from pyspark.sql import functions as F
+    n = 1_000_003
+    df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(n)).alias("k"), "id", (F.col("id") * 3).alias("x"),
+                               F.sha2(F.col("id").cast("string"), 256).alias("text")).repartition(9)
+    f = splits.contiguous_folds(df, ["k", "id"], 5)
+    rows = f.groupBy("fold").agg(F.count("*").alias("n"), F.min(F.struct("k", "id")).alias("lo"),
+                                 F.max(F.struct("k", "id")).alias("hi")).orderBy("fold").collect()
+    assert [r.n for r in rows] == [200001, 200001, 200001, 200000, 200000]
+    assert all(tuple(a.hi) < tuple(b.lo) for a, b in zip(rows, rows[1:]))
