@@ -33,7 +33,10 @@ FURNITURE_WORDS = frozenset("nav navbar navigation menu footer foot sidebar asid
                             "advertising banner promo promoted sponsor sponsored cookie cookies consent gdpr notice notices "
                             "alert popup modal overlay newsletter subscribe subscription share sharing social related "
                             "recommended breadcrumb breadcrumbs comment comments reply replies respond disqus login "
-                            "signup widget toolbar pagination pager copyright legal".split())
+                            "signup widget toolbar pagination pager copyright legal complementary contentinfo search "
+                            "searchform".split())
+# an article element is furniture only by these, the page's body and main part never by class
+NO_ARTICLE_WORDS = frozenset("comment comments reply replies related recommended promo ad ads advert sponsored teaser".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 CONTENT_WORDS = frozenset("article post entry story content main body text".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -57,9 +60,10 @@ def _kind(tag: str, attr: str, in_article: bool) -> tuple[bool, bool, bool]:
     if attr and "=" in attr:
         for m in _NAMED.finditer(attr):
             names.update(_WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
-    furniture = tag in FURNITURE_TAGS or bool(names & FURNITURE_WORDS)
+    words = NO_ARTICLE_WORDS if tag == "article" else frozenset() if tag in ("body", "main") else FURNITURE_WORDS
+    furniture = tag in FURNITURE_TAGS or bool(names & words)
     header = tag == "header" or bool(names & HEADER_WORDS)
-    article = tag in ("article", "main") or (bool(names & CONTENT_WORDS) and tag in ("div", "section") and not furniture)
+    article = (tag in ("article", "main") and not furniture) or (bool(names & CONTENT_WORDS) and tag in ("div", "section") and not furniture)
     if header and not in_article and not article:
         return True, False, False
     return furniture, header, article
@@ -71,7 +75,7 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
     parts: list[str] = []
     link_parts: list[str] = []
-    in_link = heading = has_article = False
+    in_link = heading = has_article = own_furniture = False
 
     def close() -> None:
         if parts:
@@ -80,7 +84,7 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                 words = len(text.split(" "))
                 linked = len(html.unescape("".join(link_parts)).split()) if link_parts else 0
                 _, furniture, header, article = stack[-1]
-                out.append([text, words, min(1.0, linked / words), furniture or (header and not heading), article, heading])
+                out.append([text, words, min(1.0, linked / words), furniture or own_furniture or (header and not heading), article, heading])
             parts.clear()
             link_parts.clear()
 
@@ -111,6 +115,8 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                 pass
             continue
         close()
+        # a paragraph, list item or heading may be marked itself
+        own_furniture = (not m["end"] and tag not in CONTAINERS and bool(m["attr"]) and _kind(tag, m["attr"], True)[0])
         if tag in HEADINGS:
             heading = not m["end"]
         elif tag in CONTAINERS:

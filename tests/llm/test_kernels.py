@@ -93,7 +93,7 @@ def test_tree_tables_give_a_distribution_per_byte():
 
 
 def test_word_model_is_a_distribution():
-    model = lm_score.Mixer([np.zeros(2 << b, np.float32) for b in lm_score.TABLE_BITS])
+    model = lm_score.Mixer([np.zeros(2 << b, np.float32) for b in lm_score.TABLE_BITS]).freeze()
     words = pa.array([b"", b"a", b"ab" * 50], pa.binary())
     assert model.log10_prob(words) == pytest.approx([-8 * 0.30103 * n for n in (1, 2, 101)], rel=1e-3)
 
@@ -106,6 +106,15 @@ def test_blocks_of_odd_pages():
     assert f("") == [] and f("<html><head><title>t</title></head></html>") == []
 
 
+def test_marked_blocks_are_furniture():
+    page = """<body class="has-sidebar"><article class="post legal"><h1>T</h1><p>one</p><p class="ad">buy</p><p>two</p>
+      <div id="comments"><article class="comment"><p>me too</p></article></div></article>
+      <article class="related teaser"><p>more</p></article><section role="complementary"><p>side</p></section></body>"""
+    marks = [(t, x[6], x[7]) for t, x in html_text.blocks_of(page)]
+    assert [t for t, furniture, article in marks if article and not furniture] == ["T", "one", "two"]
+    assert [t for t, furniture, _ in marks if furniture] == ["buy", "me too", "more", "side"]
+
+
 def test_search_block_big_numbers_and_ties():
     q = np.array([[3], [2 ** 40]])
     rows = np.array([[1, 1, 5], [2 ** 20, 2 ** 20, -1]])
