@@ -10,8 +10,8 @@ every distinct value in one JVM.  ``exact_quantiles`` instead:
    so the exact order statistics sit inside the bracket);
 2. one pass that counts values below each bracket and keeps only the values
    inside it (about ``2 m n`` rows, a bounded share of the data);
-3. exact ranks of the candidates: a per-group window when every candidate
-   set holds at most ``window_limit`` rows, otherwise a distributed range
+3. exact ranks of the candidates (only they are shuffled): a per-group window when
+   every candidate set holds at most ``window_limit`` rows, otherwise a distributed range
    sort with per-partition offsets (no group lands in one task); linear
    interpolation between the two neighbouring order statistics gives the same
    answer as pandas ``median`` / DuckDB ``quantile_cont``.
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from panelspark.session import cut_lineage
 
+MAX_BROADCAST_BRACKETS = 200_000      # rows (group, column, probability)
+
 
 def to_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
             name_col: str = "column", value_col: str = "value") -> DataFrame:
@@ -41,13 +43,14 @@ def to_long(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str]
 def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[float] = (0.5,),
                     group_cols: Sequence[str] = (), method: str = "exact",
                     accuracy: int = 100_000, margin: float = 8.0,
-                    window_limit: int = 2_000_000) -> DataFrame:
+                    window_limit: int = 2_000_000, direct_limit: int = 500_000) -> DataFrame:
     """Long result: group..., ``column``, ``prob``, ``value``, ``n``.
 
-    ``window_limit``: groups up to this size are ranked directly with a
-    per-group window; for larger ones only the bracket candidates are ranked
-    (per-group window when the candidates fit the limit, otherwise a
-    distributed range sort).
+    Inputs of at most ``direct_limit`` values are ranked as they are.  Beyond, only the
+    candidates inside the brackets are shuffled: they are picked on the map side
+    with the brackets broadcast (up to ``MAX_BROADCAST_BRACKETS`` rows, counted
+    first), and ranked per group (``window_limit`` candidates at most) or by a
+    distributed range sort.
 
     Groups/columns without any non-null value yield no row (callers left-join).
     """
@@ -86,17 +89,17 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
                        .withColumn("frac", pos - F.floor(pos))
     # one row per (group, column, probability): small, written once
     brackets = cut_lineage(brackets)
-    largest = brackets.agg(F.max("n")).first()[0] or 0
-    if largest <= window_limit:
-        # every group is small enough to rank all of its values in one task
+    size = brackets.agg(F.sum(F.when(F.col("pi") == 0, F.col("n"))).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    bounds_of = F.broadcast(brackets) if size["rows"] <= MAX_BROADCAST_BRACKETS else brackets
+    if (size["n"] or 0) <= min(direct_limit, window_limit):
         w = Window.partitionBy(*keys, "pi").orderBy("value")
-        ranked = long.join(brackets, keys).withColumn("rank", F.row_number().over(w) - 1) \
+        ranked = long.join(bounds_of, keys).withColumn("rank", F.row_number().over(w) - 1) \
                      .where((F.col("rank") == F.col("r_lo")) | (F.col("rank") == F.col("r_hi")))
         return _interpolate(ranked, keys)
     # pass 2: values below each bracket and inside it; a bracket that misses
     # one of the two order statistics (tiny groups: the +-m band is narrower
     # than one rank) falls back to all values of that group, which is small
-    joined = long.join(brackets, keys)
+    joined = long.join(bounds_of, keys)
     inb = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
     stats = joined.groupBy(*keys, "pi").agg(
         F.count(F.when(F.col("value") < F.col("lo"), 1)).alias("below"),
@@ -105,7 +108,7 @@ def exact_quantiles(df: DataFrame, value_cols: Sequence[str], probs: Sequence[fl
     stats = cut_lineage(stats.join(brackets.select(*keys, "pi", "r_lo", "r_hi"), keys + ["pi"])
                         .withColumn("__ok", ok).select(*keys, "pi", "below", "inside", "__ok"))
     widest = stats.agg(F.max(F.when(F.col("__ok"), F.col("inside")))).first()[0] or 0
-    cand = joined.join(stats, keys + ["pi"]).where(~F.col("__ok") | inb)
+    cand = joined.join(F.broadcast(stats) if size["rows"] <= MAX_BROADCAST_BRACKETS else stats, keys + ["pi"]).where(~F.col("__ok") | inb)
     base = F.when(F.col("__ok"), F.col("below")).otherwise(F.lit(0))
     if widest <= window_limit:
         # every group's candidate set is bounded by ``window_limit`` rows
