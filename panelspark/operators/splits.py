@@ -84,9 +84,16 @@ def default_min_train(n_periods: int, cv: int) -> int:
     return max(5, min(8, max(5, n_periods - cv)))
 
 
+def key_hash(key_cols: Sequence[str], seed: int):
+    """48-bit hash of the key values and a seed: leading hex digits of an md5, which
+    every engine computes alike."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 12), 16, 10).cast("long")
+
+
 def hash_folds(df: DataFrame, key_cols: Sequence[str], k: int, seed: int = 42, fold_col: str = "fold") -> DataFrame:
     """H4 fallback: deterministic shuffled k-fold label from a key hash."""
-    return df.withColumn(fold_col, F.pmod(F.xxhash64(F.lit(seed), *key_cols), F.lit(k)).cast("int"))
+    return df.withColumn(fold_col, F.pmod(key_hash(key_cols, seed), F.lit(k)).cast("int"))
 
 
 def contiguous_folds(df: DataFrame, order_cols: Sequence[str], k: int = 5, fold_col: str = "fold") -> DataFrame:
@@ -119,4 +126,4 @@ def contiguous_folds(df: DataFrame, order_cols: Sequence[str], k: int = 5, fold_
 
 def sample_fraction(df: DataFrame, key_cols: Sequence[str], frac: float, seed: int = 42) -> DataFrame:
     """H6: deterministic hash sample of ``frac`` of the rows (learning curves)."""
-    return df.where(F.pmod(F.xxhash64(F.lit(seed + 1), *key_cols), F.lit(1000)) < F.lit(int(round(1000 * frac))))
+    return df.where(F.pmod(key_hash(key_cols, seed + 1), F.lit(1000)) < F.lit(int(round(1000 * frac))))

@@ -227,15 +227,24 @@ def _cv_fold_scores(spark, sf):
     return m.select("fold", "r2")
 
 
-@query("hash_folds")
+def _key_hash_sql(seed: int) -> str:
+    return (f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', CAST(c_nationkey AS VARCHAR), "
+            "CAST(quarter AS VARCHAR))), 1, 12) AS BIGINT)")
+
+
+@query("hash_folds",
+       f"WITH {_NP_SQL} SELECT CAST({_key_hash_sql(42)} % {FOLDS} AS INTEGER) AS fold, count(*) AS count FROM np GROUP BY 1")
 def q_hash_folds(spark, sf):
-    p = panel_nation(spark, sf).select("c_nationkey", "quarter")
+    p = panel_nation(spark, sf, columns=[])
     return splits.hash_folds(p, ["c_nationkey", "quarter"], FOLDS).groupBy("fold").count()
 
 
-@query("learning_curve_sample")
+@query("learning_curve_sample",
+       f"WITH {_NP_SQL}, h AS (SELECT {_key_hash_sql(43)} % 1000 AS b FROM np), "
+       "f AS (SELECT unnest([0.2::DOUBLE, 0.4::DOUBLE, 0.6::DOUBLE, 0.8::DOUBLE, 1.0::DOUBLE]) AS fraction) "
+       "SELECT (SELECT count(*) FROM h WHERE b < round(1000 * fraction)) AS n, fraction FROM f")
 def q_learning_sample(spark, sf):
-    p = panel_nation(spark, sf).select("c_nationkey", "quarter")
+    p = panel_nation(spark, sf, columns=[])
     parts = [splits.sample_fraction(p, ["c_nationkey", "quarter"], fr).agg(F.count(F.lit(1)).alias("n"))
              .withColumn("fraction", F.lit(fr)) for fr in (0.2, 0.4, 0.6, 0.8, 1.0)]
     out = parts[0]
