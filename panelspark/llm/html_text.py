@@ -6,8 +6,10 @@ around it.  A decision tree (Spark ML) trained on a small labelled table of
 pages (``LABELLED_PAGES``) tells article blocks from the rest; its splits become
 one Column expression, so blocks never leave their page's row.
 
-Defined cases: a null or empty page has empty text; unclosed tags, comments and
-scripts run to the end of the page; repeated rows and ids stay as they are;
+Defined cases: a null or empty page has empty text; unclosed comments, scripts and styles
+run to the end of the page, other dropped elements without an end tag lose their tag only
+(a title its text too); a self-closed dropped element is empty; a head ends at its end tag, at the
+body or at the first block-level tag; repeated rows and ids stay as they are;
 very long pages are parsed whole; other columns are ignored.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: element names and the words of class and id that mark page furniture
-DROPPED = "script style noscript template svg iframe object canvas audio video select button textarea title head math"
+DROPPED = "script style noscript template svg iframe object canvas audio video select button textarea title math"
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr input".split())
 CONTAINERS = frozenset("nav header footer aside form section div article main ul ol dl table tr td th body "
@@ -45,11 +47,13 @@ FEATURES = ("words", "links", "prev_words", "prev_links", "next_words", "next_li
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<drop>" + "|".join(DROPPED.split()) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=drop)\s*>|\Z)"
+    r"|<(?P<drop>" + "|".join(DROPPED.split()) + r")(?=[\s/>])(?:(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*>)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attr>(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[a-z][^<>]*>|<[!?/][^<>]*>",
     re.I | re.S)
-_HEAD = re.compile(r"<head(?=[\s>])", re.I)
+_SELF_CLOSED = re.compile(r"<[a-z]+(?:\s+[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]++))?)*+\s*/>", re.I)
+_ENDS = {t: re.compile(rf"</{t}\s*>", re.I) for t in [*DROPPED.split(), "head"]}
+IN_HEAD = frozenset("html head meta link base".split())
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[a-z0-9]+")
 
@@ -69,13 +73,45 @@ def _kind(tag: str, attr: str, in_article: bool) -> tuple[bool, bool, bool]:
     return furniture, header, article
 
 
+class _EndTags:
+    """Where the next end tag of a dropped element (or the head) ends; every tag is looked for once per end tag."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.found: dict = {}
+
+    def after(self, tag: str, at: int) -> int | None:
+        start, end = self.found.get(tag, (-1, -1))
+        if start is not None and start < at:
+            m = _ENDS[tag].search(self.page, at)
+            start, end = self.found[tag] = m.span() if m else (None, None)
+        return end
+
+
+def _dropped_to(page: str, m: re.Match, ends: _EndTags) -> int:
+    """Where the dropped element that starts with ``m`` ends."""
+    tag = m["drop"].lower()
+    if m[0].endswith("/>") and _SELF_CLOSED.fullmatch(m[0]):
+        return m.end()
+    end = ends.after(tag, m.end())
+    if end is not None:
+        return end
+    if tag in ("script", "style"):
+        return len(page)
+    if tag == "title":
+        end = page.find("<", m.end())
+        return end if end >= 0 else len(page)
+    return m.end()
+
+
 def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     """(text, features) of every text block of a page, in order."""
     out: list[list] = []                # text, words, links, furniture, article, heading
     stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
     parts: list[str] = []
     link_parts: list[str] = []
-    in_link = heading = has_article = own_furniture = False
+    in_link = heading = has_article = own_furniture = in_head = False
+    ends = _EndTags(page)
 
     def close() -> None:
         if parts:
@@ -89,20 +125,22 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
             link_parts.clear()
 
     def add(piece: str) -> None:
-        if piece:
+        if piece and not in_head:
             parts.append(piece)
             if in_link:
                 link_parts.append(piece)
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    while (m := _TOKEN.search(page, at)) is not None:
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
-            if m["drop"] is not None and m["drop"].lower() not in ("button", "svg", "math", "object"):
-                close()
+            if m["drop"] is not None:
+                at = _dropped_to(page, m, ends)
+                if m["drop"].lower() not in ("button", "svg", "math", "object"):
+                    close()
             continue
         tag = tag.lower()
         if tag == "br":
@@ -115,6 +153,10 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
                 pass
             continue
         close()
+        if tag == "head":
+            in_head = not m["end"] and ends.after("head", at) is not None
+        elif tag not in IN_HEAD:
+            in_head = False
         # a paragraph, list item or heading may be marked itself
         own_furniture = (not m["end"] and tag not in CONTAINERS and bool(m["attr"]) and _kind(tag, m["attr"], True)[0])
         if tag in HEADINGS:

@@ -4,7 +4,7 @@ import collections
 
 import numpy as np
 
-from panelspark.llm import lm_score
+from panelspark.llm import html_text, lm_score
 from panelspark.llm.common import prepare
 
 
@@ -45,3 +45,20 @@ def test_op7_counts_of_all_contexts(spark, monkeypatch):
     total = sum(n * (len(w) + 1) * 8 for w, n in words.items())
     learned = [np.frombuffer(b.column("seen")[0].as_buffer()).sum() for b in lm_score._learn(chunks.toArrow().to_batches())]
     assert learned == [total]
+
+
+def test_op3_dropped_elements_without_end_tag():
+    f = lambda p: [t for t, _ in html_text.blocks_of(p)]                              # noqa: E731
+    body = "<article><p>one</p><p>two</p></article>"
+    assert f("<html><head><title>t</title><body>" + body) == ["one", "two"]
+    assert f("<html><head><title>t</title><meta charset=x>" + body) == ["one", "two"]
+    assert f("<html><head><title>t</title>words <b>and</b> more") == ["words and more"]
+    assert f("<head><title>t<body>" + body) == ["one", "two"]
+    assert f("<head>junk<script>'<p>'</script>junk</head>" + body) == ["one", "two"]
+    assert f("<head>junk<body>" + body + "<p>x</head>y") == ["one", "two", "x", "y"]
+    for empty in ("<svg/>", "<svg a='>' b />", '<iframe src="a"/>', "<iframe src=a />", "<IFRAME src=a>", "<svg>", "<math hidden/>", "<script src='a'/>"):
+        assert f(f"<article><p>one</p><p>{empty}two</p></article>") == ["one", "two"], empty
+    # an unquoted value may end in a slash; elements that have their end tag go as before
+    assert f("<p>one<script src=a/>two</script><svg><text>no</text></svg> three") == ["one", "three"]
+    assert f("<p>one<script>two<p>three") == ["one"] == f("<p>one<style>two<p>three") == f("<p>one<!-- two<p>three")
+    assert f("<p>a" + "<iframe src=x>" * 20000 + "b") == ["a", "b"]
