@@ -11,6 +11,9 @@ item of their length have similarity 0 and are not fingerprinted.
 
 A shingle weighs ``64 / (1 + ln df)`` (rounded), ``df`` being the number of
 benchmark items that hold it; shingles that occur in no item or one weigh 64.
+Fingerprints follow the cosine, the check the weighted Jaccard measure: shingles enter a
+fingerprint with the square root of their weight, so that similarity s means a cosine of
+at least 2 s / (1 + s), whatever the weights.
 
 The benchmark is the stated query set: it is cut into blocks of bounded
 size, and each block is broadcast and held against all documents in one pass
@@ -71,6 +74,11 @@ def _signs(grams: np.ndarray) -> np.ndarray:
     return np.unpackbits(h.view(np.uint8), axis=1).astype(np.int32) * 2 - 1
 
 
+def _root(weights: np.ndarray) -> np.ndarray:
+    """Weights in a fingerprint: square roots in sixteenths."""
+    return np.rint(16 * np.sqrt(weights)).astype(np.int32)
+
+
 def _fingerprint(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Packed bits and their four-bit blocks."""
     packed = np.packbits(sums > 0, axis=1)
@@ -106,7 +114,7 @@ class Index:
         self.filter[(self.grams >> np.uint64(44)).astype(np.int64)] = True
         self.by_len = {}
         for n, items in by_len.items():
-            prints = [_fingerprint((_signs(g) * w[:, None]).sum(0)[None, :]) for _, g, w in items]
+            prints = [_fingerprint((_signs(g) * _root(w)[:, None]).sum(0)[None, :]) for _, g, w in items]
             packed = np.concatenate([p[0] for p in prints])
             cells = np.concatenate([p[1] for p in prints])
             table = np.zeros((BITS // 4, 16, len(items)), bool)      # block, value -> items
@@ -157,7 +165,7 @@ class Index:
         own = g[base:starts[-1] + width]
         weight = self.weight(own)
         sums = np.zeros((len(own) + 1, BITS), np.int32)
-        np.cumsum(_signs(own) * weight[:, None].astype(np.int32), axis=0, out=sums[1:])
+        np.cumsum(_signs(own) * _root(weight)[:, None], axis=0, out=sums[1:])
         prints, cells = _fingerprint(sums[starts - base + width] - sums[starts - base])
         some = table[np.arange(BITS // 4)[None, :], cells].any(1)            # windows x items
         w, i = np.nonzero(some)

@@ -4,8 +4,9 @@ import collections
 
 import numpy as np
 
-from panelspark.llm import html_text, lm_score
-from panelspark.llm.common import prepare
+from panelspark.llm import decontaminate, html_text, lm_score
+from panelspark.llm.common import prepare, word_hashes, word_spans
+from tests.llm import brute
 
 
 def test_op7_counts_of_all_contexts(spark, monkeypatch):
@@ -62,3 +63,23 @@ def test_op3_dropped_elements_without_end_tag():
     assert f("<p>one<script src=a/>two</script><svg><text>no</text></svg> three") == ["one", "three"]
     assert f("<p>one<script>two<p>three") == ["one"] == f("<p>one<style>two<p>three") == f("<p>one<!-- two<p>three")
     assert f("<p>a" + "<iframe src=x>" * 20000 + "b") == ["a", "b"]
+
+
+def test_op1_items_with_a_shared_prompt():
+    prompt = " ".join(f"p{i}" for i in range(196))
+    items = [(k, f"{prompt} " + " ".join(f"u{k}x{i}" for i in range(5))) for k in range(200)]
+    docs = [(d, items[d][1].replace(f"u{d}x0", "edit")) for d in range(10)]
+    want = brute.leaks(docs, items)
+    assert len(want) == 2000 and {v[0] for v in want.values()} == {0.75}       # 192 shingles of weight 10, five of 64
+    rows = []
+    for k, t in items:
+        buf = np.frombuffer(t.encode(), np.uint8)
+        a, b, _ = word_spans(buf, np.array([0, len(buf)]))
+        g = decontaminate._grams(word_hashes(buf, a, b), 5)
+        rows.append((k, len(a), g.astype(np.int64), [200] * 192 + [1] * 5))
+    index = decontaminate.Index(rows)
+    text = [t.encode() for _, t in docs]
+    got = index.scan(np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)]))
+    found = {(d, k): (v[0], -v[1]) for d, own in got.items() for k, v in own.items()}
+    assert all(want[p] == v for p, v in found.items())
+    assert len(found) >= 0.99 * len(want)
