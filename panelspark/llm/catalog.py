@@ -8,7 +8,7 @@ from panelspark.llm.common import prepare
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
-_MODULES = ["q_tables", "q_texts"]
+_MODULES = ["q_tables", "q_texts", "q_units"]
 
 
 def query(name: str, sql: str | None = None):
