@@ -14,16 +14,16 @@ to r - m + 1 (m substrings): by the pigeonhole principle a code within r is with
 substring.  The buckets within a substring's threshold are enumerated by masks of few bits, or, when the
 block occupies fewer buckets than there are masks, among the occupied ones.  Rows found are checked
 on their full code, and those within r are scored on the original vectors in double precision.
-*Radius.*  Every query has its own: the scores of its ``k`` best rows so far (at first those of the sample) say
-at which angle a better row must lie, and the sample's near pairs say how far codes at that angle
-are apart (binomial spread, calibrated to all but ``MISS`` of the pairs).  Small radii are probed first, and the radius
+*Radius.*  Every query has its own: a score that its ``k``-th best row very likely reaches (at first from the ranks of the
+sample, see ``safe_rank``; then from the rows found) says at which angle a better row must lie, and the sample's near pairs say
+how far codes of the ``k`` nearest are apart at most (in binomial deviations, calibrated to all but ``MISS`` of the pairs).  Small radii are probed first, and the radius
 still to be reached shrinks as better rows are found, so
 queries with close neighbours probe few buckets, and it is the whole code as long as fewer than ``k`` rows are known.
 
 All rows are indexed; the sample (``SAMPLE`` rows by hash, ``SAMPLE_BYTES`` at most) only fits rotations and spread.
 
 A task holds one block of queries and one shard of rows and returns at most ``k`` rows a query, only
-such as reach the ``k``-th score the sample gave; the sample's own best rows join at the end.
+such as reach that first score; the sample's own best rows join at the end.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components take no part; shorter
 vectors count as padded with zeros; ties go to the smaller id; a row never meets rows with its own id;
@@ -35,10 +35,12 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,10 +52,12 @@ SUBSTRING = 16
 SAMPLE = 4096               # rows that rotations and spread are fitted on
 SAMPLE_BYTES = 32 << 20
 ITERATIONS = 20             # rounds of iterative quantisation
-MISS = 0.01                 # share of the sample's near pairs beyond the calibrated distance
+MISS = 0.05                 # share of the sample's near pairs beyond the calibrated distance
+SURE = 0.95
+PROBE_COST = 32             # looking a bucket up costs as much as comparing so many occupied ones
 BLOCK_ROWS = 8192           # rows of one index block (and of a task)
 BLOCK_QUERIES = 4096        # queries of a task
-ROUNDS = (0.125, 0.25, 0.375)   # shares of the code that are probed before a query's full radius
+ROUNDS = (0.125, 0.25)   # shares of the code that are probed before a query's full radius
 CHUNK = 64                  # queries compared at once inside a task
 SEEDS = "seeds array<struct<query_id:bigint,vec_id:bigint,score:double>>"
 
@@ -144,13 +148,26 @@ def fit_codes(sample: np.ndarray, top: float, mean: np.ndarray, k: int = TOP, bi
         return codes
     near = np.argpartition(-s, k - 1, axis=1)[:, :k]
     qi = np.repeat(np.arange(len(q)), k)
-    p = codes.angle(q[qi], s[qi, near.ravel()])
+    # how far the codes of the k nearest lie beyond the expected distance of the k-th, in its deviations
+    p = codes.angle(q, np.take_along_axis(s, near, 1).min(1))[qi]
     h = distances(codes.queries(q)[qi], codes.rows(sample)[near.ravel()])
     z = (h - codes.bits * p) / np.sqrt(np.maximum(codes.bits * p * (1 - p), 1.0))
-    codes.spread = max(2.0, float(np.quantile(z, 1 - MISS)))
+    codes.spread = max(0.0, float(np.quantile(z, 1 - MISS)))
     return codes
 
 
+def safe_rank(k: int, share: float) -> int:
+    """Rank in a sample of that share of the rows whose score the k-th best of all rows very likely reaches: the
+    number of the k best rows that fall into the sample is at most this with probability ``SURE`` (Poisson)."""
+    mean, j = k * share, 0
+    term = total = math.exp(-mean)
+    while total < SURE and j < k:
+        j += 1
+        term *= mean / j
+        total += term
+    return max(1, min(k, j + 1)) if share < 1 else k
+
+
 # ------------------------------------------------------------------ index and search
 
 def masks_within(width: int, t: int) -> np.ndarray:
@@ -169,12 +186,14 @@ class Index:
     rows in value order."""
 
     def __init__(self, codes: np.ndarray):
-        self.codes = codes
+        self.codes, self.words = codes, np.ascontiguousarray(np.ascontiguousarray(codes).view(np.uint64).T)
+        self.columns = np.ascontiguousarray(codes.T)
         self.parts = []
         for j in range(codes.shape[1]):
             order = np.argsort(codes[:, j], kind="stable")
-            values, first = np.unique(codes[order, j], return_index=True)
-            self.parts.append((order, values, np.append(first, len(order))))
+            values, bucket_of = np.unique(codes[:, j], return_inverse=True)
+            size = np.bincount(bucket_of, minlength=len(values))
+            self.parts.append((order, values, np.append(0, np.cumsum(size)), bucket_of))
 
     def within(self, code: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, row, distance) of every code within the query's radius."""
@@ -182,38 +201,37 @@ class Index:
         found = np.zeros((len(code), len(self.codes)), bool)
         # thresholds that sum to radius - m + 1; a substring of threshold -1 is not probed
         base, more = np.divmod(radius - m + 1, m)
-        for j, (order, values, first) in enumerate(self.parts):
+        for j, (order, values, first, bucket_of) in enumerate(self.parts):
             t = np.minimum(base + (j < more), SUBSTRING)
             for limit in np.unique(t[t >= 0]).tolist():
                 who = np.flatnonzero(t == limit)
-                n_masks = sum(_choose(c) for c in range(limit + 1))
-                if n_masks < len(values):
-                    masks = _MASKS.setdefault(limit, masks_within(SUBSTRING, limit))
-                    probe = code[who, j][:, None] ^ masks[None, :]
+                if PROBE_COST * sum(math.comb(SUBSTRING, c) for c in range(limit + 1)) < len(values):
+                    if limit not in _MASKS:
+                        _MASKS[limit] = masks_within(SUBSTRING, limit)
+                    probe = code[who, j][:, None] ^ _MASKS[limit][None, :]
                     at = np.minimum(np.searchsorted(values, probe), len(values) - 1)
                     qi, bi = np.nonzero(values[at] == probe)
                     bucket = at[qi, bi]
-                else:
-                    qi, bucket = np.nonzero(np.bitwise_count(code[who, j][:, None] ^ values[None, :]) <= limit)
-                n = first[bucket + 1] - first[bucket]
-                pos = np.repeat(first[bucket], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                found[np.repeat(who[qi], n), order[pos]] = True
-        qi, ri = np.nonzero(found)
-        far = distances(code[qi], self.codes[ri])
-        near = far <= radius[qi]
-        return qi[near], ri[near], far[near]
-
-
-def _choose(c: int, n: int = SUBSTRING) -> int:
-    out = 1
-    for i in range(c):
-        out = out * (n - i) // (i + 1)
-    return out
-
-
-def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of paired rows; the same sum for the same pair wherever it is computed."""
-    return np.einsum("ij,ij->i", a, b)
+                    n = first[bucket + 1] - first[bucket]
+                    pos = np.repeat(first[bucket], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                    found[np.repeat(who[qi], n), order[pos]] = True
+                elif 2 * len(values) < len(self.codes):
+                    near = np.bitwise_count(code[who, j][:, None] ^ values[None, :]) <= limit
+                    found[who] |= np.take(near, bucket_of, axis=1)
+                else:                       # most buckets hold one row
+                    found[who] |= np.bitwise_count(code[who, j][:, None] ^ self.columns[j][None, :]) <= limit
+        # full codes of what was found
+        far = np.zeros(found.shape, np.uint16)
+        own = code.view(np.uint64)
+        for w, rows in enumerate(self.words):
+            far += np.bitwise_count(own[:, w][:, None] ^ rows[None, :])
+        qi, ri = np.nonzero(found & (far <= radius[:, None]))
+        return qi, ri, far[qi, ri].astype(np.int64)
+
+
+def inner(rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of rows with one vector; the same sum for the same pair wherever it is computed."""
+    return np.einsum("ij,j->i", rows, q)
 
 
 def best_of(qi, ids, score, k: int):
@@ -246,7 +264,7 @@ def seeds(qids, q, ids, rows, k: int = TOP):
         kk = min(4 * k, s.shape[1])
         near = np.argpartition(-s, kk - 1, axis=1)[:, :kk]
         qi = np.repeat(np.arange(len(s)), kk)
-        score = inner(q[lo + qi], rows[near.ravel()])
+        score = np.concatenate([inner(rows[n], v) for n, v in zip(near, q[lo:lo + CHUNK])])
         ok = ids[near.ravel()] != qids[lo + qi]
         a, b, c = best_of(qi[ok], ids[near.ravel()][ok], score[ok], k)
         out.append((a + lo, b, c))
@@ -274,10 +292,8 @@ def search_block(codes: Codes, qids, q, low, ids, rows, row_codes, k: int = TOP,
             done = np.maximum(done, radius)
             if stats is not None:
                 stats["scored"] = stats.get("scored", 0) + len(qi)
-            score = np.zeros(len(qi))
-            for a in range(0, len(qi), 1 << 16):
-                z = slice(a, a + (1 << 16))
-                score[z] = inner(some[qi[z]], rows[ri[z]])
+            at_q = np.searchsorted(qi, np.arange(len(some) + 1))
+            score = np.concatenate([inner(rows[ri[a:b]], v) for a, b, v in zip(at_q[:-1], at_q[1:], some)])
             ok = (ids[ri] != own[qi]) & (score >= floor[qi])
             found = best_of(*[np.concatenate(x) for x in zip(found, (qi[ok], ids[ri][ok], score[ok]))], k)
             floor = np.maximum(floor, kth(found[0], found[2], len(some), k))
@@ -291,14 +307,16 @@ def search_block(codes: Codes, qids, q, low, ids, rows, row_codes, k: int = TOP,
 
 def _pack(codes: Codes, dims: int):
     """Rows (vec_id, v) -> blocks: ids, vectors, codes."""
-    def block(ids, mats):
-        m = np.vstack(mats)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()),
-             pa.array([codes.rows(m).tobytes()], pa.binary())], ["ids", "block", "codes"])
-
     def run(batches):
+        part, nth = TaskContext.get().partitionId(), 0
         ids, mats, held = [], [], 0
+
+        def block(ids, mats):
+            m = np.vstack(mats)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([m.tobytes()], pa.binary()),
+                 pa.array([codes.rows(m).tobytes()], pa.binary()), pa.array([part], pa.int64()), pa.array([nth], pa.int64())],
+                ["ids", "block", "codes", "part", "nth"])
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -307,20 +325,20 @@ def _pack(codes: Codes, dims: int):
             held += batch.num_rows
             if held >= BLOCK_ROWS:
                 yield block(ids, mats)
-                ids, mats, held = [], [], 0
+                ids, mats, held, nth = [], [], 0, nth + 1
         if held:
             yield block(ids, mats)
     return run
 
 
-def _pack_queries(sample_ids: np.ndarray, sample: np.ndarray, dims: int, k: int):
+def _pack_queries(sample_ids: np.ndarray, sample: np.ndarray, dims: int, k: int, rank: int):
     def run(group: pa.Table) -> pa.Table:
         ids = group["vec_id"].to_numpy().astype(np.int64)
         q = matrix(group["v"].combine_chunks(), dims)
         qi, vec, score = seeds(ids, q, sample_ids, sample, k)
         first = pa.StructArray.from_arrays([pa.array(ids[qi]), pa.array(vec), pa.array(score)], ["query_id", "vec_id", "score"])
         return pa.table({"ids": pa.array([ids.tobytes()], pa.binary()), "block": pa.array([q.tobytes()], pa.binary()),
-                         "codes": pa.array([kth(qi, score, len(q), k).tobytes()], pa.binary()),
+                         "codes": pa.array([kth(qi, score, len(q), rank).tobytes()], pa.binary()),
                          "qblock": pa.array([group["qblock"][0].as_py()], pa.int32()),
                          "seeds": pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), first)})
     return run
@@ -345,11 +363,11 @@ def _search(codes: Codes, dims: int, k: int):
 
 
 def learn(rows: DataFrame, k: int = TOP, bits: int = BITS):
-    """(codes, dims, sample ids, sample) for ``rows``, or None for an empty table.
+    """(codes, dims, sample ids, sample, number of rows) for ``rows``, or None for an empty table.
 
     One aggregate for the components, one bounded sample, one aggregate for the
     greatest length of all rows."""
-    dims = rows.agg(F.max(F.size("v"))).first()[0]
+    dims, count = rows.agg(F.max(F.size("v")), F.count("*")).first()
     if not dims:
         return None
     n = max(2, min(SAMPLE, SAMPLE_BYTES // (8 * dims)))
@@ -360,7 +378,7 @@ def learn(rows: DataFrame, k: int = TOP, bits: int = BITS):
     shift = F.array(*[F.lit(float(x)) for x in mean])
     gap = F.zip_with("v", shift, lambda a, b: F.coalesce(a, F.lit(0.0)) - b)
     far = rows.select(F.aggregate(gap, F.lit(0.0), lambda acc, x: acc + x * x).alias("far")).agg(F.max("far")).first()[0]
-    return fit_codes(sample, float(np.sqrt(far)) * (1 + 1e-12), mean, k, bits), dims, ids, sample
+    return fit_codes(sample, float(np.sqrt(far)) * (1 + 1e-12), mean, k, bits), dims, ids, sample, count
 
 
 def nearest(queries: DataFrame, rows: DataFrame, k: int = TOP, bits: int = BITS) -> DataFrame:
@@ -373,18 +391,19 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = TOP, bits: int = BITS)
     model = learn(rows, k, bits)
     if model is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    codes, dims, ids, sample = model
+    codes, dims, ids, sample, count = model
     packed = "ids binary, block binary, codes binary"
     one = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     groups = max(1, -(-queries.count() // BLOCK_QUERIES))
     qb = staged(one.withColumn("qblock", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
-                .groupBy("qblock").applyInArrow(_pack_queries(ids, sample, dims, k), packed + ", qblock int, " + SEEDS), "nn-queries")
-    rb = staged(rows.mapInArrow(_pack(codes, dims), packed), "nn-rows")
-    shards = max(1, rb.count())
-    shard = F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int")
+                .groupBy("qblock").applyInArrow(_pack_queries(ids, sample, dims, k, safe_rank(k, len(ids) / count)), packed + ", qblock int, " + SEEDS), "nn-queries")
+    rb = staged(rows.mapInArrow(_pack(codes, dims), packed + ", part bigint, nth bigint"), "nn-rows")
+    shards, parts = rb.agg(F.count("*"), F.max("part") + 1).first()
+    # blocks of all partitions in turn, so that shards hold about one block each
+    shard = F.pmod(F.col("nth") * F.lit(parts) + F.col("part"), F.lit(shards)).cast("int")
     known = qb.select(F.inline("seeds"))
     grid_q = qb.drop("seeds").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("is_query", F.lit(True))
-    grid_r = (rb.withColumn("shard", shard).withColumn("is_query", F.lit(False))
+    grid_r = (rb.withColumn("shard", shard).drop("part", "nth").withColumn("is_query", F.lit(False))
               .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))))
     found = (grid_q.unionByName(grid_r).groupBy("qblock", "shard")
              .applyInPandas(_search(codes, dims, k), "query_id bigint, vec_id bigint, score double"))
