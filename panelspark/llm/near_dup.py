@@ -172,17 +172,17 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 def _grid(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links that join components, within pairs of chunks (h, i, j)."""
-    texts = pdf.drop_duplicates("id")
+    texts = pdf.drop_duplicates(["id", "text"])             # an id may stand for several texts
     found: list[np.ndarray] = []
     for _, starts, buf in text_chunks(pa.array(texts["text"].tolist(), pa.large_string())):
         found += shingle_sets(buf, starts)
-    sets = dict(zip(texts["id"].tolist(), found))
+    sets = dict(zip(zip(texts["id"].tolist(), texts["text"].tolist()), found))
     out: list = []
     for _, part in pdf.groupby(["h", "i", "j"]):
         if part["c"].nunique() < 2:
             continue
         ids, c = part["id"].tolist(), part["c"].tolist()
-        own = [sets[x] for x in ids]
+        own = [sets[x] for x in zip(ids, part["text"].tolist())]
         n = np.array([len(x) for x in own])
         both = common_counts(own)
         near = 100 * both >= PERCENT * (n[:, None] + n[None, :] - both)
@@ -226,6 +226,7 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")), "members")
     # one row per class and band; the key tells apart two texts of one id
     ones = sk.join(first.withColumnRenamed("class_id", "doc_id"), ["set_key", "doc_id"], "left_semi")
+    own_links, several = shared_ids(members)
     cells = ones.select(F.col("doc_id").alias("id"), F.explode("bands").alias("h"))
     heads = staged(cells.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z"), "heads")
     cells = staged(cells.join(heads, "h").select("h", "a", "id").distinct(), "cells")
@@ -233,20 +234,36 @@ def near_dup_classes(docs: DataFrame) -> DataFrame:
     ids = cells.select("id").distinct()
     n_ids = ids.count()
     if n_ids == 0:
-        return _finish(members, None)
+        return _finish(members, components(own_links) if own_links is not None else None, several)
     # ids are counted first: a bounded list is broadcast, a longer one is joined by shuffle
     ids = F.broadcast(ids) if n_ids <= MAX_BROADCAST_IDS else ids
     texts = staged(d.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi").distinct(), "texts")
 
     nearest = staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    links = staged(verified(nearest, texts), "links")
+    links = verified(nearest, texts)
+    links = staged(links if own_links is None else links.unionByName(own_links), "links")
     comp = components(links)
     more = bucket_links(cells.select("h", "id"), comp, texts)
-    return _finish(members, components(staged(links.unionByName(more), "links")))
+    return _finish(members, components(staged(links.unionByName(more), "links")), several)
 
 
-def _finish(members: DataFrame, comp: DataFrame | None) -> DataFrame:
+def shared_ids(members: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Ids whose rows differ in class or lack a set: links between all classes of an id (a, b), and
+    the class that stands for the id (doc_id, id_class).  None without such ids."""
+    per = members.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min("class_id").alias("id_class"), F.max("class_id").alias("top"), F.count("class_id").alias("sets"), F.count("*").alias("n"))
+    per = staged(per.filter("n > 1 and sets > 0 and (id_class < top or sets < n)").select("doc_id", "id_class"), "shared-ids")
+    if per.isEmpty():
+        return None, None
+    links = members.join(per, "doc_id").filter("class_id > id_class").select(F.col("id_class").alias("a"), F.col("class_id").alias("b"))
+    return staged(links.distinct(), "own-links"), per
+
+
+def _finish(members: DataFrame, comp: DataFrame | None, several: DataFrame | None) -> DataFrame:
     own = F.coalesce("root", "class_id", "doc_id")
+    if several is not None:
+        # rows of one id share its component, also those without a set
+        members = members.join(several, "doc_id", "left").withColumn("class_id", F.coalesce("id_class", "class_id")).drop("id_class")
     if comp is None:
         joined = members.withColumn("root", F.lit(None).cast("long"))
     else:
