@@ -16,8 +16,11 @@ are hit, until each group holds the suffixes with one Lyndon prefix; one scan th
 emits the order inside the groups, without renaming or recursion.
 
 Anchors with more than ``HOT`` classes (a very common line in many surroundings) are
-not put in one task: their windows are counted one by one, by content hash, with
-the sums combined before the shuffle.
+not put in one task.  Their super-windows are cut into pieces by where the anchor lies in a window
+(ranges of 17 places, five pieces at most), and a piece's key are the bytes that all windows of its range share.  Pieces of
+equal content meet in an aggregate, combined before the shuffle: all but the earliest repeat it.  Keys that still hold
+more than ``HOT`` different pieces are cut again, by ever smaller ranges; at the last, a piece is one window and its key all of it.
+The suffix arrays settle all keys that are not crowded.
 
 Defined cases: null and empty texts have no bytes; texts shorter than a window are
 kept whole; overlapping repeats count; matches never cross rows; rows that
@@ -28,6 +31,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -36,14 +40,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import mix64, release, staged, text_chunks
+from panelspark.llm.common import mix64, release, staged
 from panelspark.llm.repeats import classify, covered, keyed, per_document
-from panelspark.llm.supers import MULT1, MULT2, Prefix, window_hashes
+from panelspark.llm.supers import MULT1, MULT2, Prefix
 
 WINDOW = 100                # fixed value: bytes
 GRAM = 32                   # bytes of an anchor
 CELL = 17                   # (WINDOW - GRAM) / 4: four cells fill a window beside its anchor
-HOT = 1024                  # classes of an anchor settled in one task
+HOT = 1024                  # pieces of a key settled in one task; a crowded key is split further
+WIDTHS = (17, 9, 5, 3, 2, 1)    # places of the anchor in a piece, level by level
 TASK_ROWS = 2048            # super-windows a task reads
 
 
@@ -128,7 +133,7 @@ def suffix_order(s: list[int]) -> list[int]:
     return out
 
 
-def _anchored(raw: np.ndarray, off: np.ndarray, span: np.ndarray, m: np.ndarray):
+def _anchored(raw: np.ndarray, off: np.ndarray, m: np.ndarray):
     """Place of the anchor in every super-window: the right-most gram equal to ``m``
     in its first window."""
     g = mix64(Prefix(raw.astype(np.uint64), MULT1).grams(GRAM))
@@ -146,7 +151,7 @@ def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
     ids, th, m = pdf["id"].to_numpy(np.int64), pdf["th"].to_numpy(np.int64), pdf["m"].to_numpy(np.int64).astype(np.uint64)
     raw = np.frombuffer(b"".join(pieces), np.uint8)
     off = np.concatenate([[0], np.cumsum([len(x) for x in pieces])]).astype(np.int64)
-    anchor = _anchored(raw, off, span, m)
+    anchor = _anchored(raw, off, m)
     values = raw.astype(np.uint64) + np.uint64(1)
     p1, p2 = Prefix(values, MULT1), Prefix(mix64(values), MULT2)
     # cells: whole ones to the left and right of the anchor, the anchor itself between
@@ -215,52 +220,83 @@ def _cut(batches):
     for batch in batches:
         ids, th = batch.column("id").to_pylist(), batch.column("th").to_pylist()
         spans, text = batch.column("spans").to_pylist(), batch.column("text")
-        out: dict = {c: [] for c in ("m", "id", "th", "lo", "hi", "hot", "bytes")}
+        out: dict = {c: [] for c in ("m", "id", "th", "lo", "hi", "bytes")}
         for i in range(batch.num_rows):
             raw = text[i].as_buffer().to_pybytes()
             for s in spans[i]:
-                for c in ("m", "lo", "hi", "hot"):
+                for c in ("m", "lo", "hi"):
                     out[c].append(s[c])
                 out["id"].append(ids[i]), out["th"].append(th[i])
                 out["bytes"].append(raw[s["lo"]:s["hi"] + WINDOW])
         yield pa.RecordBatch.from_arrays(
             [pa.array(out["m"], pa.int64()), pa.array(out["id"], pa.int64()), pa.array(out["th"], pa.int64()),
-             pa.array(out["lo"], pa.int32()), pa.array(out["hi"], pa.int32()), pa.array(out["hot"], pa.bool_()),
-             pa.array(out["bytes"], pa.binary())], list(out))
+             pa.array(out["lo"], pa.int32()), pa.array(out["hi"], pa.int32()), pa.array(out["bytes"], pa.binary())], list(out))
 
 
-def _single(batches):
-    """Hot super-windows as single windows: two content hashes and coordinates."""
-    for batch in batches:
-        ids, th = batch.column("id").to_numpy(zero_copy_only=False), batch.column("th").to_numpy(zero_copy_only=False)
-        lo = batch.column("lo").to_numpy(zero_copy_only=False)
-        for i, starts, buf in text_chunks(batch.column("bytes")):
-            h1, h2 = window_hashes(buf.astype(np.uint64) + np.uint64(1), WINDOW)
-            n = np.diff(starts) - WINDOW + 1
-            own = np.repeat(np.arange(len(n)), n)
-            rel = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-            at = starts[own] + rel
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[at].astype(np.int64)), pa.array(h2[at].astype(np.int64)), pa.array(ids[i + own]),
-                 pa.array(th[i + own]), pa.array((lo[i + own] + rel).astype(np.int32))], ["h1", "h2", "id", "th", "at"])
+PIECE = "key bigint, m bigint, id bigint, th bigint, lo int, hi int, a int, b int, bytes binary"
+
+
+def _split(width: int):
+    """Pieces of a crowded key by ranges of ``width`` places of the anchor, keyed by the bytes that
+    all windows of the range share."""
+    def run(batches):
+        for batch in batches:
+            rows = batch.to_pylist()
+            out: dict = {c.split()[0]: [] for c in PIECE.split(", ")}
+            if rows:
+                pieces = [r["bytes"] for r in rows]
+                off = np.concatenate([[0], np.cumsum([len(x) for x in pieces])]).astype(np.int64)
+                m = np.array([r["m"] for r in rows], np.int64).astype(np.uint64)
+                anchor = _anchored(np.frombuffer(b"".join(pieces), np.uint8), off, m)
+                for r, at in zip(rows, anchor.tolist()):
+                    for lo in range(r["a"], r["b"] + 1, width):
+                        hi = min(lo + width - 1, r["b"])
+                        # windows of the piece whose anchor has lo..hi bytes to its left
+                        first, last = max(0, at - hi), min(r["hi"] - r["lo"], at - lo)
+                        if first > last:
+                            continue
+                        shared = r["bytes"][at - lo:at - hi + WINDOW]
+                        head = hashlib.blake2b(shared, digest_size=8, person=bytes([lo, hi])).digest()
+                        for c, v in (("key", int.from_bytes(head, "big", signed=True)), ("m", r["m"]), ("id", r["id"]), ("th", r["th"]),
+                                     ("lo", r["lo"] + first), ("hi", r["lo"] + last), ("a", lo), ("b", hi),
+                                     ("bytes", r["bytes"][first:last + WINDOW])):
+                            out[c].append(v)
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out))
+    return run
+
+
+def _settled(pieces: DataFrame) -> DataFrame:
+    tasks = max(1, pieces.count() // TASK_ROWS)
+    return (pieces.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks)))
+            .groupBy("task").applyInPandas(_settle, "id bigint, th bigint, lo int, hi int"))
 
 
 def repeated_windows(docs: DataFrame, open_: DataFrame) -> DataFrame:
     """(id, th, lo, hi) of the repeated window starts of the open super-windows."""
-    spans = per_document(open_.withColumn("hot", F.col("classes") > HOT), "m", "lo", "hi", "hot")
+    spans = per_document(open_, "m", "lo", "hi")
     cut = (docs.select("id", "th", F.col("text").cast("binary").alias("text")).join(spans, ["id", "th"])
-           .mapInArrow(_cut, "m bigint, id bigint, th bigint, lo int, hi int, hot boolean, bytes binary"))
-    cut = staged(cut.distinct(), "cut")
+           .mapInArrow(_cut, "m bigint, id bigint, th bigint, lo int, hi int, bytes binary"))
+    names = [c.split()[0] for c in PIECE.split(", ")]
+    level = staged(cut.distinct().withColumn("key", F.col("m")).withColumn("a", F.lit(0))
+                   .withColumn("b", F.lit(WINDOW - GRAM)).select(*names), "cut")
     release(docs.sparkSession)
-    tasks = max(1, cut.filter("not hot").count() // TASK_ROWS)
-    usual = (cut.filter("not hot").withColumn("task", F.pmod(F.xxhash64("m"), F.lit(tasks)))
-             .groupBy("task").applyInPandas(_settle, "id bigint, th bigint, lo int, hi int"))
-    one = staged(cut.filter("hot").mapInArrow(_single, "h1 bigint, h2 bigint, id bigint, th bigint, at int"), "single")
-    source = one.groupBy("h1", "h2").agg(F.min(F.struct("id", "at")).alias("s"), F.count("*").alias("n")).filter("n > 1")
-    source = staged(source.select("h1", "h2", F.col("s.id").alias("sid"), F.col("s.at").alias("sat")), "single-source")
-    hot = (one.join(source, ["h1", "h2"]).filter((F.col("id") != F.col("sid")) | (F.col("at") != F.col("sat")))
-           .select("id", "th", F.col("at").alias("lo"), F.col("at").alias("hi")))
-    return usual.unionByName(hot)
+    found = []
+    for width in WIDTHS:
+        crowded = staged(level.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), "crowded")
+        if crowded.isEmpty():
+            return functools.reduce(DataFrame.unionByName, [*found, _settled(level)])
+        found.append(_settled(staged(level.join(crowded, "key", "left_anti"), "settled")))
+        parts = staged(level.join(crowded, "key", "left_semi").select(*names).mapInArrow(_split(width), PIECE)
+                       .withColumn("same", F.md5("bytes")), "parts")
+        # pieces of one content repeat the earliest of them, which alone goes on
+        source = staged(parts.groupBy("key", "same").agg(F.min(F.struct("id", "lo")).alias("s")), "source")
+        told = staged(parts.join(source.select("key", "same", F.col("s.id").alias("sid"), F.col("s.lo").alias("slo")), ["key", "same"]), "told")
+        is_source = (F.col("id") == F.col("sid")) & (F.col("lo") == F.col("slo"))
+        found.append(told.filter(~is_source).select("id", "th", "lo", "hi"))
+        level = told.filter(is_source).select(*names)
+    # single windows that share all their bytes have met: nothing is left to compare
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def _keep_bytes(batches):
