@@ -5,18 +5,21 @@ Two exact strategies, chosen by a size check on the reference side:
 * **broadcast** - the reference fits one block of ``max_block_bytes``: it is
   broadcast once and each query partition scores its rows against it with
   numpy, keeping only the k best per query;
-* **blocked co-group** - otherwise nothing passes through the driver: query
-  rows are hashed into Bq blocks and reference rows into Br blocks, each query
-  row is sent to the Br pairs (qb, *) and each reference row to the Bq pairs
-  (*, rb), and every (qb, rb) pair meets once in an ``applyInPandas`` task
-  that emits the k best per query.  Both sides are replicated only by the
-  block counts, groups are bounded by ``max_block_bytes`` and balanced by the
-  hash, so no key can be hot.
-
-Either way a task emits k rows per query, never all pairs, and the per-block
-winners (k x blocks per query, bounded) are reduced to the final k with a
-window per query.  Ties are broken by reference id: the result is exact and
-deterministic.
+* **pivots** - otherwise nothing passes through the driver but a bounded sample of
+  reference rows, the pivots.  Every reference row belongs to the cell of its nearest
+  pivot; a cell is known by its size and radius (greatest distance to the pivot).  A
+  query first visits its own cell.  The distance of its k-th neighbour there, or a bound from sizes and radii,
+  is an upper limit ``tau`` for the k-th neighbour overall, and by the triangle inequality a cell whose pivot is farther than
+  ``tau`` plus its radius (or farther than the own pivot by more than ``2 tau``) can hold none: the query visits the other cells only.
+  Inside a cell, rows lie in order of their distance to the pivot, and only the ring ``tau`` around the query's own distance is scored.
+  This holds for every Minkowski order from 1 on.  Large cells are dealt into blocks of
+  ``max_block_bytes``, many queries of one cell into blocks of their own, and every pair of blocks
+  meets once in an ``applyInPandas`` co-group, so no cell is hot.
+
+Either way a task emits k rows per query, never all pairs, and the winners of the visited
+blocks are reduced to the final k with a window per query.  Ties are broken by
+reference id: the result is exact and deterministic.  ``probe`` turns the second strategy
+into the approximate join: a query visits its ``probe`` nearest cells and no others.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelspark.session import cut_lineage
+
 DEFAULT_BLOCK_BYTES = 128 * 1024 * 1024
 _CHUNK_ELEMS = 4_000_000
 
@@ -123,12 +128,14 @@ def _topk(pdf, R, r_ids, r_carry, qid, rid, features, carry, k, p, exclude_self)
 
 def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k: int = 5, p: int = 2,
              exclude_self: bool = False, carry: Sequence[str] = (),
-             max_block_bytes: int = DEFAULT_BLOCK_BYTES) -> DataFrame:
+             max_block_bytes: int = DEFAULT_BLOCK_BYTES, probe: int | None = None, stats: dict | None = None) -> DataFrame:
     """(qid, rid, distance, rank [, carry...]) for the k nearest reference rows.
 
     ``features``: list of numeric columns, or the name of one array column.
     ``exclude_self``: drop pairs with equal ids (leave-one-out on one table).
     ``carry``: reference columns returned with each neighbour (e.g. a label).
+    ``probe``: approximate form, cells visited per query (by pivots, whatever the size).
+    ``stats``: filled with the pairs in visited cells and all pairs (costs an aggregate; pivots only).
     """
     spark = queries.sparkSession
     fcols = [features] if isinstance(features, str) else list(features)
@@ -141,7 +148,10 @@ def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k
     row_bytes = 8 * (dim + 2 + len(carry))
     n_blocks = max(1, math.ceil(n_ref * row_bytes / max_block_bytes))
     out_schema = f"{qid} long, {rid} long, distance double" + "".join(f", `{c}` double" for c in carry)
-    if n_blocks == 1:
+    if n_ref and (probe is not None or n_blocks > 1):
+        u = _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self, n_ref, dim,
+                       max(16, max_block_bytes // row_bytes), out_schema, probe, stats)
+    else:
         block = ref.select(rid, *fcols, *carry).toPandas()      # one block, size checked above
         R = _matrix(block, features)
         r_ids = block[rid].to_numpy(dtype=np.int64)
@@ -155,39 +165,147 @@ def knn_join(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, k
                 if out is not None:
                     yield out
         u = queries.select(F.col(qid).cast("long").alias(qid), *fcols).mapInPandas(score, out_schema)
-    else:
-        n_q = queries.count()
-        q_blocks = max(1, math.ceil(n_q * 8 * (dim + 1) / max_block_bytes))
-        u = _blocked(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self,
-                     q_blocks, n_blocks, out_schema)
     w = Window.partitionBy(qid).orderBy("distance", rid)
     return u.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _blocked(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self, q_blocks, r_blocks, out_schema):
-    """Blocked co-group: every (query block, reference block) pair meets once."""
-    q = queries.select(F.col(qid).cast("long").alias(qid), *fcols) \
-        .withColumn("__qb", F.pmod(F.xxhash64(F.col(qid), F.lit(1)), F.lit(q_blocks)).cast("int")) \
-        .withColumn("__rb", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1))))
-    r = ref.select(F.col(rid).cast("long").alias(rid), *fcols, *[F.col(c).cast("double").alias(c) for c in carry]) \
-        .withColumn("__rb", F.pmod(F.xxhash64(F.col(rid), F.lit(2)), F.lit(r_blocks)).cast("int")) \
-        .withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+MAX_PIVOTS = 1024
+PIVOT_BYTES = 16 * 1024 * 1024
+SLACK = 1e-6                # bounds give way by this share of the lengths, far above rounding
+
+
+def _distances(X: np.ndarray, P: np.ndarray, p: int) -> np.ndarray:
+    """Distances of rows to pivots, to within ``SLACK`` of the lengths."""
+    if p == 2:
+        sq = np.einsum("ij,ij->i", X, X)[:, None] + np.einsum("ij,ij->i", P, P)[None, :] - 2.0 * (X @ P.T)
+        return np.sqrt(np.maximum(sq, 0.0))
+    step = max(1, _CHUNK_ELEMS // max(1, P.size))
+    return np.vstack([_minkowski(X[s:s + step], P, p) for s in range(0, len(X), step)]) if len(X) else np.zeros((0, len(P)))
+
+
+def _slack(X: np.ndarray, P: np.ndarray) -> float:
+    return SLACK * float(np.abs(X).max(initial=0.0) + np.abs(P).max(initial=0.0)) * X.shape[1] + 1e-300
+
+
+def _pivots(ref: DataFrame, rid: str, fcols, features, n_ref: int, dim: int) -> np.ndarray:
+    """About sqrt(n) different reference rows by hash of their id, at most ``MAX_PIVOTS`` and ``PIVOT_BYTES``."""
+    m = int(min(MAX_PIVOTS, max(1, PIVOT_BYTES // (8 * dim)), max(1, math.isqrt(n_ref))))
+    rows = ref.select(rid, *fcols).orderBy(F.xxhash64(F.lit(3), F.col(rid)), rid).limit(m).toPandas()
+    return np.unique(_matrix(rows, features), axis=0)
+
+
+def _upper_limit(D: np.ndarray, size: np.ndarray, radius: np.ndarray, k: int) -> np.ndarray:
+    """Upper limit of the k-th distance: the cells with the smallest farthest point that hold k rows."""
+    far = D + radius[None, :]
+    order = np.argsort(far, axis=1)
+    enough = np.cumsum(size[order], axis=1) >= k
+    first = np.argmax(enough, axis=1)
+    at = far[np.arange(len(D)), order[np.arange(len(D)), first]]
+    return np.where(enough.any(axis=1), at, np.inf)
+
+
+def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self, n_ref, dim, block_rows, out_schema, probe, stats):
+    P = _pivots(ref, rid, fcols, features, n_ref, dim)
+    types = dict(ref.select(*fcols).dtypes)
+    spec = ", ".join(f"`{c}` {types[c]}" for c in fcols)
+
+    def assign(it):
+        for pdf in it:
+            D = _distances(_matrix(pdf, features), P, p)
+            own = D.argmin(axis=1) if len(D) else np.zeros(0, int)
+            yield pdf.assign(cell=own.astype(np.int32), at=D[np.arange(len(D)), own])
+    rows = ref.select(F.col(rid).cast("long").alias(rid), *fcols, *[F.col(c).cast("double").alias(c) for c in carry])
+    rows = cut_lineage(rows.mapInPandas(assign, f"`{rid}` long, {spec}" + "".join(f", `{c}` double" for c in carry) + ", cell int, at double"))
+    size, radius = np.zeros(len(P), np.int64), np.full(len(P), -np.inf)
+    for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("r")).collect():       # one row a pivot
+        size[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
+    blocks = np.maximum(1, -(-size // block_rows))
+    need = k + (1 if exclude_self else 0)
+    first_visits = probe or 1
+
+    def open_visits(it):
+        """The query's nearest cells, with its distance to their pivots and a first limit."""
+        for pdf in it:
+            X = _matrix(pdf, features)
+            if not len(X):
+                continue
+            D = np.where(size[None, :] > 0, _distances(X, P, p), np.inf)
+            tau = _upper_limit(D, size, radius, need) + _slack(X, P)
+            n = min(first_visits, int((size > 0).sum()))
+            near = np.argsort(D, axis=1, kind="stable")[:, :n]
+            at = np.repeat(np.arange(len(X)), n)
+            yield pdf.iloc[at].assign(cell=near.ravel().astype(np.int32), at=D[at, near.ravel()],
+                                      tau=np.inf if probe else tau[at])
+
+    def other_visits(it):
+        """All cells that can hold a row within the limit, but for the one visited first."""
+        for pdf in it:
+            X = _matrix(pdf, features)
+            if not len(X):
+                continue
+            D, slack = _distances(X, P, p), _slack(X, P)
+            own, tau = pdf["cell"].to_numpy(), pdf["tau"].to_numpy(dtype=float)
+            bound = np.maximum(D - radius[None, :], (D - D[np.arange(len(X)), own][:, None]) / 2)
+            may = (bound <= tau[:, None] + slack) & (size[None, :] > 0)
+            may[np.arange(len(X)), own] = False
+            qi, ci = np.nonzero(may)
+            yield pdf.iloc[qi].assign(cell=ci.astype(np.int32), at=D[qi, ci], tau=tau[qi] + slack)
+
+    visit_schema = f"`{qid}` long, {spec}, cell int, at double, tau double"
 
     def pair(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        R = _matrix(rpdf, features)
-        r_ids = rpdf[rid].to_numpy(dtype=np.int64)
+        none = pd.DataFrame({c: pd.Series(dtype="float64" if c not in (qid, rid) else "int64") for c in [qid, rid, "distance", *carry]})
+        if not len(qpdf) or not len(rpdf):
+            return none
+        rpdf, qpdf = rpdf.sort_values("at", kind="stable"), qpdf.sort_values("at", kind="stable")
+        ring, q_at, tau = rpdf["at"].to_numpy(), qpdf["at"].to_numpy(), qpdf["tau"].to_numpy()
+        R, r_ids = _matrix(rpdf, features), rpdf[rid].to_numpy(dtype=np.int64)
         r_carry = {c: rpdf[c].to_numpy(dtype=float) for c in carry}
-        out = _topk(qpdf, R, r_ids, r_carry, qid, rid, features, carry, k, p, exclude_self)
-        if out is None:
-            return pd.DataFrame({c: pd.Series(dtype="float64" if c not in (qid, rid) else "int64")
-                                 for c in [qid, rid, "distance", *carry]})
-        return out
+        slack = _slack(R, P)
+        out = []
+        for s in range(0, len(qpdf), 64):
+            z = slice(s, s + 64)
+            lo = np.searchsorted(ring, (q_at[z] - tau[z]).min() - slack, "left")
+            hi = np.searchsorted(ring, (q_at[z] + tau[z]).max() + slack, "right")
+            got = _topk(qpdf.iloc[z], R[lo:hi], r_ids[lo:hi], {c: v[lo:hi] for c, v in r_carry.items()},
+                        qid, rid, features, carry, k, p, exclude_self) if hi > lo else None
+            if got is not None and len(got):
+                limit = pd.Series(tau[z], index=qpdf[qid].iloc[z].to_numpy(dtype=np.int64))
+                out.append(got[got["distance"].to_numpy() <= got[qid].map(limit[~limit.index.duplicated()]).to_numpy()])
+        return pd.concat(out, ignore_index=True) if out else none
+
+    def visited(visits: DataFrame) -> DataFrame:
+        many = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("qb"))
+        rb = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
+        # one row a cell: at most MAX_PIVOTS
+        q = visits.join(F.broadcast(many), "cell").withColumn("__q", F.pmod(F.xxhash64(F.lit(1), qid), F.col("qb")).cast("int")) \
+            .withColumn("__r", F.explode(F.sequence(F.lit(0), rb - 1))).drop("qb")
+        r = rows.join(F.broadcast(many), "cell").withColumn("__r", F.pmod(F.xxhash64(F.lit(2), rid), rb).cast("int")) \
+            .withColumn("__q", F.explode(F.sequence(F.lit(0), F.col("qb") - 1))).drop("qb")
+        return q.groupBy("cell", "__q", "__r").cogroup(r.groupBy("cell", "__q", "__r")).applyInPandas(pair, out_schema)
 
-    return q.groupBy("__qb", "__rb").cogroup(r.groupBy("__qb", "__rb")).applyInPandas(pair, out_schema)
+    qs = queries.select(F.col(qid).cast("long").alias(qid), *fcols)
+    visits = cut_lineage(qs.mapInPandas(open_visits, visit_schema))
+    found = visited(visits)
+    others = None
+    if probe is None:
+        found = cut_lineage(found)
+        # k rows of the first cell limit the rest
+        w = Window.partitionBy(qid).orderBy("distance", rid)
+        kth = found.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == k).select(qid, F.col("distance").alias("__kth"))
+        limits = visits.join(kth, qid, "left").withColumn("tau", F.least("tau", F.coalesce("__kth", F.lit(float("inf")))))
+        others = cut_lineage(limits.select(qid, *fcols, "cell", "tau").mapInPandas(other_visits, visit_schema))
+        found = found.unionByName(visited(others))
+    if stats is not None:
+        n_cell = F.element_at(F.array(*[F.lit(int(n)) for n in size]), F.col("cell") + 1)
+        both = visits if others is None else visits.unionByName(others)
+        stats["pairs"] = int(both.agg(F.sum(n_cell)).first()[0] or 0)
+        stats["all"] = queries.count() * n_ref
+    return found
 
 
 def knn_regress(queries: DataFrame, ref: DataFrame, qid: str, rid: str, features, label: str,
-                k: int = 5, p: int = 2, exclude_self: bool = False) -> DataFrame:
+                k: int = 5, p: int = 2, exclude_self: bool = False, probe: int | None = None) -> DataFrame:
     """Uniform-weight KNN prediction = mean label of the k nearest."""
-    nb = knn_join(queries, ref, qid, rid, features, k, p, exclude_self, carry=[label])
+    nb = knn_join(queries, ref, qid, rid, features, k, p, exclude_self, carry=[label], probe=probe)
     return nb.groupBy(qid).agg(F.avg(label).alias("y_pred"), F.count(F.lit(1)).alias("n_neighbors"))

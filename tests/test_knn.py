@@ -56,3 +56,46 @@ def test_knn_euclid_ties_match_bruteforce(spark, block):
         g = got[got.qid == ids[i]].sort_values("rank")
         assert list(g.rid) == list(ids[exp])
         assert np.array_equal(g.distance.to_numpy(), D[i, exp])
+
+
+@pytest.mark.parametrize("p", [1, 2, 3])
+def test_pivots_prune_and_stay_exact(spark, p):
+    """Low-dimensional rows in clusters, one of them with a third of all rows and many copies: exact, and
+    most cells are never visited."""
+    rng = np.random.default_rng(p)
+    X = np.vstack([rng.normal(size=(400, 3)) * 0.2 + c for c in rng.uniform(-20, 20, size=(10, 3))])
+    X[:1300] = np.round(X[:1300] * 2) / 2                        # ties and equal rows
+    pdf = pd.DataFrame({"id": rng.permutation(len(X)), "x": X[:, 0], "y": X[:, 1], "z": X[:, 2]})
+    df = spark.createDataFrame(pdf).repartition(6)
+    feats, stats = ["x", "y", "z"], {}
+    q = df.where("id % 20 = 0").withColumnRenamed("id", "q")
+    got = knn.knn_join(q, df.withColumnRenamed("id", "r"), "q", "r", feats, k=7, p=p, exclude_self=True,
+                       max_block_bytes=8000, stats=stats).toPandas()
+    ids, M = pdf.id.to_numpy(), pdf[feats].to_numpy()
+    for i in np.flatnonzero(ids % 20 == 0):
+        D = knn._minkowski(M[i:i + 1], M, p)[0]
+        D[i] = np.inf
+        exp = np.lexsort((ids, D))[:7]
+        g = got[got.q == ids[i]].sort_values("rank")
+        assert list(g.r) == list(ids[exp]) and np.allclose(g.distance, D[exp])
+    assert stats["pairs"] < 0.25 * stats["all"]
+
+
+def test_probe_is_approximate_with_high_recall(spark):
+    rng = np.random.default_rng(5)
+    X = np.vstack([rng.normal(size=(150, 8)) * 0.4 + c for c in rng.uniform(-3, 3, size=(12, 8))])
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(X)), "v": list(X)}), "id long, v array<double>")
+    args = (df.withColumnRenamed("id", "q"), df.withColumnRenamed("id", "r"), "q", "r", "v")
+    want = {(r.q, r.r) for r in knn.knn_join(*args, k=5, exclude_self=True).collect()}
+    stats = {}
+    some = {(r.q, r.r) for r in knn.knn_join(*args, k=5, exclude_self=True, probe=8, stats=stats).collect()}
+    assert len(some & want) / len(want) >= 0.9 and stats["pairs"] < 0.5 * stats["all"]
+
+
+def test_pivots_with_few_rows(spark):
+    df = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(40)], "id long, v array<double>")
+    got = knn.knn_join(df.withColumnRenamed("id", "q"), df.withColumnRenamed("id", "r"), "q", "r", "v", k=60, exclude_self=True,
+                       max_block_bytes=200)
+    assert got.count() == 40 * 39
+    assert knn.knn_join(df.limit(0).withColumnRenamed("id", "q"), df.withColumnRenamed("id", "r"), "q", "r", "v",
+                        max_block_bytes=200).count() == 0
