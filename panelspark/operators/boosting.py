@@ -167,6 +167,9 @@ def row_blocks(df: DataFrame, features: Sequence[str], label: str, borders: list
     rows = df.where(F.col(label).isNotNull()).select(
         *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)], F.col(label).cast("double").alias("y"),
         (F.col(period).cast("double") if period else F.lit(0.0)).alias("period"), key.alias("rid"))
+    tasks = -(-rows.count() // BLOCK_ROWS)
+    if tasks < rows.rdd.getNumPartitions():
+        rows = rows.coalesce(max(1, tasks))             # a task a block, no empty ones
     return _written(rows.mapInArrow(_blocks(len(features), borders), BLOCK), "rows")
 
 
@@ -316,6 +319,12 @@ def _refreshed(ensembles: list[Ensemble], since: int, k: int):
     return run
 
 
+def _level(blocks: DataFrame, one_task: bool, histograms, splits) -> DataFrame:
+    if one_task:
+        return blocks.mapInArrow(lambda batches: splits(histograms(batches)), SPLIT)
+    return blocks.mapInArrow(histograms, HISTOGRAM).repartition("job", "node", "feature").mapInArrow(splits, SPLIT)
+
+
 def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = REFRESH) -> DataFrame:
     """Grow all ensembles in lockstep; returns the blocks with their final predictions.
 
@@ -323,6 +332,7 @@ def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = RE
     for e, mean in zip(ensembles, _base_values(blocks, k, [e.until for e in ensembles])):
         e.base, e.trees = mean, []
     since = 0
+    one_task = blocks.rdd.getNumPartitions() == 1       # its histograms are whole already
     rounds = max((int(e.params.get("n_estimators", 100)) for e in ensembles), default=0)
     params = {j: e.params for j, e in enumerate(ensembles)}
     for t in range(rounds):
@@ -336,8 +346,7 @@ def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = RE
         frontier = {j: [0] for j in active}
         depth = 0
         while frontier:
-            hist = blocks.mapInArrow(_histograms(ensembles, since, t, current, frontier, k), HISTOGRAM)
-            rows = hist.repartition("job", "node", "feature").mapInArrow(_splits(params), SPLIT).collect()
+            rows = _level(blocks, one_task, _histograms(ensembles, since, t, current, frontier, k), _splits(params)).collect()
             per: dict = {}
             for r in rows:
                 per.setdefault((r["job"], r["node"]), []).append(r)

@@ -8,12 +8,11 @@ train-all orchestration (I1-I19, H3/H4/H7).
   penalties re-expressed), so coefficients match the usual
   ``alpha * (l1 * |w|_1 + (1 - l1) / 2 * |w|_2^2)`` objective.
 * KNN regression (I7) uses the exact k-nearest-neighbour join (``operators.knn``).
-* SVR (I6) and MLP (I8) are data-parallel: each iteration sums per-partition gradients
+* SVR (I6) solves the kernel dual by parallel block minimisation (``operators.svr``).
+* MLP (I8) is data-parallel: each iteration sums per-partition gradients
   (``mapInPandas`` -> grouped sum over parameter indices, partially
   aggregated map-side) and the driver applies the Adam step to a
-  parameter-sized vector.  Non-linear SVR kernels are explicit feature maps
-  (random Fourier features for rbf, monomials for poly), so cost stays linear
-  in the rows.
+  parameter-sized vector.
 
 The search samples parameters with a seeded generator on the driver; every
 trial fits on the walk-forward folds (each fit a Spark job, folds run
@@ -22,7 +21,6 @@ concurrently in a small thread pool) and the median rule prunes weak trials.
 
 from __future__ import annotations
 
-import itertools
 import json
 import math
 import time as _time
@@ -186,6 +184,8 @@ def load_fitted(spark: SparkSession, path: str) -> Fitted:
     if name == "knn":
         return _knn_model(meta["params"], meta["features"], meta["label"], meta["state"]["zstats"],
                           spark.read.parquet(path + "/reference"))
+    if name == "svr":
+        return _svr_model(meta["params"], meta["features"], meta["label"], meta["state"], spark.read.parquet(path + "/reference"))
     state = {k: (np.array(v) if isinstance(v, list) else v) for k, v in meta["state"].items()}
     return _rebuild_own(name, meta["params"], meta["features"], meta["label"], state)
 
@@ -309,83 +309,41 @@ class _Adam:
         return w - self.lr * mh / (np.sqrt(vh) + self.eps)
 
 
-MAX_MONOMIALS = 5000
-
-
-def _feature_map(kind: str, k: int, gamma: float, degree: int, seed: int = SEED, n_rff: int = 200):
-    """Explicit feature maps for the SVR kernels (linear / rbf / poly)."""
-    if kind == "linear":
-        return lambda X: X, {}
-    if kind == "rbf":
-        rng = np.random.default_rng(seed)
-        W = rng.normal(0.0, math.sqrt(2 * gamma), size=(k, n_rff))
-        b = rng.uniform(0, 2 * math.pi, size=n_rff)
-        return (lambda X: math.sqrt(2.0 / n_rff) * np.cos(X @ W + b)), {"W": W, "b": b}
-    # (gamma x.z)^degree: monomials of exactly that degree, each with the root of its multinomial count
-    if math.comb(k + degree - 1, degree) > MAX_MONOMIALS:
-        raise ValueError(f"polynomial kernel of degree {degree} on {k} features needs more than {MAX_MONOMIALS} monomials")
-    combos = list(itertools.combinations_with_replacement(range(k), degree))
-    weight = [math.sqrt(gamma ** degree * math.factorial(degree)
-                        / math.prod(math.factorial(c.count(i)) for i in set(c))) for c in combos]
-
-    def poly(X):
-        return np.column_stack([np.prod(X[:, list(c)], axis=1) * w for c, w in zip(combos, weight)])
-    return poly, {}
-
-
-def _prepare(train: DataFrame, features: list[str], label: str, stats: dict) -> DataFrame:
-    d = train.select(*_zscore_exprs(features, stats), F.col(label).cast("double").alias("__y")).na.drop()
-    return cut_lineage(d)
-
-
-def _fit_svr(params: dict, train: DataFrame, features: list[str], label: str, max_iter: int = 3000,
-             tol: float = 1e-4) -> Fitted:
-    """Support vector regression on explicit kernel features.
+def _fit_svr(params: dict, train: DataFrame, features: list[str], label: str, key_cols: Sequence[str] = (),
+             tol: float = 1e-3) -> Fitted:
+    """Kernel support-vector regression (``operators.svr``), exact dual solution to within ``tol``.
 
     The label is standardised inside: ``C`` and ``epsilon`` are in units of its
-    standard deviation, so the fit does not depend on the label's scale.  Steps
-    go on until the best objective gains less than ``tol`` (relative) over 25
-    steps; ``state["converged"]`` says whether that happened before ``max_iter``.
+    standard deviation, so the fit does not depend on the label's scale.
+    ``state["converged"]`` says whether the optimality conditions hold on all rows.
     """
+    from panelspark.operators import svr
     stats = _fit_stats(train, features)
-    data = _prepare(train, features, label, stats)
-    k = len(features)
-    var_x = np.mean([1.0 if s > 0 else 0.0 for _, s in stats.values()]) or 1.0
-    kernel = params.get("kernel", "linear")
-    gamma = 1.0 / (k * var_x) if params.get("gamma", "scale") == "scale" else 1.0 / k
-    phi, extra = _feature_map(kernel, k, gamma, int(params.get("degree", 3)))
-    d = phi(np.zeros((1, k))).shape[1]
-    C, eps = float(params["C"]), float(params["epsilon"])
-    n = data.count()
-    y_mu, y_sd = data.agg(F.avg("__y"), F.stddev_pop("__y")).first()
+    names = [f"x{i}" for i in range(len(features))]
+    rows = train.select(*[e.alias(x) for x, e in zip(names, _zscore_exprs(features, stats))], F.col(label).cast("double").alias("y")).na.drop()
+    rows = cut_lineage(rows.withColumn("id", F.monotonically_increasing_id()))
+    y_mu, y_sd = rows.agg(F.avg("y"), F.stddev_pop("y")).first()
     y_mu, y_sd = float(y_mu), float(y_sd or 0.0) or 1.0
-    w = np.zeros(d + 1)
-    opt = _Adam(d + 1, lr=0.05)
+    var_x = np.mean([1.0 if s > 0 else 0.0 for _, s in stats.values()]) or 1.0
+    kernel = {"kernel": params.get("kernel", "linear"), "degree": int(params.get("degree", 3)),
+              "gamma": 1.0 / (len(features) * var_x) if params.get("gamma", "scale") == "scale" else 1.0 / len(features)}
+    vectors, intercept, info = svr.fit(rows.withColumn("y", (F.col("y") - y_mu) / y_sd), names, kernel, float(params["C"]),
+                                       float(params["epsilon"]), tol)
+    state = {"kernel": kernel, "intercept": intercept, "y_mu": y_mu, "y_sd": y_sd, "zstats": stats, **info}
+    return _svr_model(params, features, label, state, vectors)
 
-    best, best_w, converged = [], w.copy(), False
-    for it in range(max_iter):
-        cur = w.copy()
-        opt.lr = 0.05 / (1 + it / 100)
-
-        def grad(X, y, cur=cur):
-            Z = phi(X)
-            r = (y - y_mu) / y_sd - Z @ cur[:-1] - cur[-1]
-            s = np.where(np.abs(r) > eps, np.sign(r), 0.0)
-            loss = np.maximum(np.abs(r) - eps, 0.0).sum()
-            return np.concatenate([-C * (Z.T @ s), [-C * s.sum()], [C * loss]])
-        gl = _grad_sum(data, d + 2, grad) / n
-        g, obj = gl[:-1], gl[-1] + 0.5 * float(w[:-1] @ w[:-1]) / n
-        g[:-1] += w[:-1] / n
-        if not best or obj < best[-1]:
-            best_w = cur
-        best.append(min(obj, best[-1]) if best else obj)
-        w = opt.step(w, g)
-        if it >= 25 and best[-26] - best[-1] <= tol * max(abs(best[-26]), 1e-12):
-            converged = True
-            break
-    state = {"w": best_w, "y_mu": y_mu, "y_sd": y_sd, "converged": converged, "zstats_mean": np.array([stats[c][0] for c in features]),
-             "zstats_std": np.array([stats[c][1] for c in features]), "gamma": gamma, **extra}
-    return _rebuild_own("svr", params, features, label, state)
+
+def _svr_model(params: dict, features: list[str], label: str, state: dict, vectors: DataFrame) -> Fitted:
+    from panelspark.operators import svr
+    names = [f"x{i}" for i in range(len(features))]
+
+    def predict(df: DataFrame) -> DataFrame:
+        q = cut_lineage(df.withColumn("__qid", F.monotonically_increasing_id()))
+        x = q.select(F.col("__qid").alias("id"), *[e.alias(n) for n, e in zip(names, _zscore_exprs(features, state["zstats"]))]).na.drop()
+        got = svr.kernel_sums(x, vectors, names, state["kernel"]).select(
+            F.col("id").alias("__qid"), ((F.col("s") + state["intercept"]) * state["y_sd"] + state["y_mu"]).alias("y_pred"))
+        return q.join(got, "__qid", "left").drop("__qid")           # rows with a missing feature: no prediction
+    return Fitted("svr", params, features, label, predict, state=state, reference=vectors)
 
 
 def _mlp_shapes(k: int, hidden: str) -> list[tuple[int, int]]:
@@ -482,30 +440,16 @@ def _fit_mlp(params: dict, train: DataFrame, features: list[str], label: str,
 
 
 def _rebuild_own(name: str, params: dict, features: list[str], label: str, state: dict) -> Fitted:
-    """Scoring closures for the numpy-parameter models (SVR, MLP)."""
+    """Scoring closure of the perceptron from its numpy parameters."""
     mu, sd = np.asarray(state["zstats_mean"]), np.asarray(state["zstats_std"])
     w = np.asarray(state["w"])
     k = len(features)
-    if name == "svr":
-        kernel = params.get("kernel", "linear")
-        if kernel == "rbf" and "W" in state:
-            W, b = np.asarray(state["W"]), np.asarray(state["b"])
-            n_rff = W.shape[1]
-
-            def phi(X):
-                return math.sqrt(2.0 / n_rff) * np.cos(X @ W + b)
-        else:
-            phi, _ = _feature_map(kernel, k, float(state["gamma"]), int(params.get("degree", 3)))
-
-        def score(X):
-            return (phi(X) @ w[:-1] + w[-1]) * state["y_sd"] + state["y_mu"]
-    else:
-        shapes = _mlp_shapes(k, params.get("hidden_layer_sizes", "100"))
-        layers = _mlp_unpack(w, shapes)
-        act = params.get("activation", "relu")
+    shapes = _mlp_shapes(k, params.get("hidden_layer_sizes", "100"))
+    layers = _mlp_unpack(w, shapes)
+    act = params.get("activation", "relu")
 
-        def score(X):
-            return _mlp_forward(X, layers, act)[-1][:, 0] * state["y_sd"] + state["y_mu"]
+    def score(X):
+        return _mlp_forward(X, layers, act)[-1][:, 0] * state["y_sd"] + state["y_mu"]
 
     def predict(df: DataFrame) -> DataFrame:
         schema = StructType(list(df.schema.fields) + [StructField("y_pred", DoubleType())])
@@ -578,7 +522,7 @@ def fit(name: str, params: dict, train: DataFrame, features: list[str], label: s
     if name == "knn":
         return _fit_knn(params, train, features, label, key_cols)
     if name == "svr":
-        return _fit_svr(params, train, features, label)
+        return _fit_svr(params, train, features, label, key_cols)
     if name == "mlp":
         return _fit_mlp(params, train, features, label, key_cols)
     if name in REGISTRY:
@@ -602,6 +546,23 @@ def time_folds(df: DataFrame, time: str, min_train: int, valid: int = 1) -> list
     return [(periods[i - 1], periods[i], periods[i + valid - 1]) for i in range(min_train, len(periods) - valid + 1)]
 
 
+def cross_validate(name: str, params: dict, train: DataFrame, features: list[str], label: str, time: str, cv: int = 5,
+                   workers: int = 4, key_cols: Sequence[str] = ()) -> list[float]:
+    """Walk-forward R2 of one parameter set, fold by fold (see ``search`` for the folds)."""
+    from panelspark.operators.joint_search import SCORERS as joint
+    from panelspark.operators.splits import default_min_train
+    train = cut_lineage(train)
+    windows = time_folds(train, time, default_min_train(train.select(time).distinct().count(), cv))
+    if name in joint:
+        return joint[name](train, features, label, time, windows, [params], key_cols)[0]
+
+    def run_fold(w):
+        m = fit(name, params, train.where(F.col(time) <= F.lit(w[0])), features, label, key_cols)
+        return r2_score(m.predict(train.where(F.col(time).between(F.lit(w[1]), F.lit(w[2])))), label)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        return list(pool.map(run_fold, windows))
+
+
 @dataclass
 class SearchResult:
     model: str
@@ -708,6 +669,13 @@ class ModelRun:
     metrics: dict | None
     seconds: float
     error: str | None = None
+    fold_scores: list[float] | None = None       # of fixed parameters
+
+    @property
+    def cv_score(self) -> float | None:
+        if self.search:
+            return self.search.cv_score
+        return float(np.mean(self.fold_scores)) if self.fold_scores else None
 
 
 def train_all(train: DataFrame, test: DataFrame, features: list[str], label: str, time: str,
@@ -716,7 +684,8 @@ def train_all(train: DataFrame, test: DataFrame, features: list[str], label: str
     """Search -> refit on all train rows (I10) -> test metrics.
 
     A failing model becomes a row with ``error`` instead of stopping the run.
-    ``fixed_params[model]`` skips the search for that model.
+    ``fixed_params[model]`` skips the search for that model; its parameters are
+    cross-validated on the same folds, so that every model has a CV score and gap.
     """
     runs = []
     train = cut_lineage(train)
@@ -727,13 +696,15 @@ def train_all(train: DataFrame, test: DataFrame, features: list[str], label: str
             if fixed_params and name in fixed_params:
                 sr = None
                 params = fixed_params[name]
+                scores = cross_validate(name, params, train, features, label, time, cv, key_cols=key_cols)
             else:
+                scores = None
                 sr = search(name, train, features, label, time, n_trials=n_trials, cv=cv, key_cols=key_cols)
                 params = sr.best_params
             m = fit(name, params, train, features, label, key_cols)
             tr_score = r2_score(m.predict(train), label)
             met = regression_metrics(m.predict(test), label, "y_pred", len(features), with_pvalue=True).first().asDict()
-            runs.append(ModelRun(name, m, sr, tr_score, met, _time.time() - t0))
+            runs.append(ModelRun(name, m, sr, tr_score, met, _time.time() - t0, fold_scores=scores))
         except Exception as exc:  # noqa: BLE001
             runs.append(ModelRun(name, None, None, None, None, _time.time() - t0, f"{type(exc).__name__}: {exc}"))
     return runs
@@ -744,7 +715,7 @@ def results_table(spark: SparkSession, runs: Sequence[ModelRun]) -> DataFrame:
     rows = []
     for r in runs:
         m = r.metrics or {}
-        cv = r.search.cv_score if r.search else None
+        cv = r.cv_score
         gap = (r.train_score - cv) if (r.train_score is not None and cv is not None) else None
         rows.append((r.model, r.train_score, cv, gap, (gap > 0.1) if gap is not None else None,
                      m.get("r2"), m.get("adj_r2"), m.get("f_stat"), m.get("f_pvalue"), m.get("rmse"), m.get("mae"),

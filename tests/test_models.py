@@ -94,14 +94,6 @@ def test_svr_does_not_depend_on_the_scale_of_the_label(spark, reg):
     assert svr.state["converged"] and models.r2_score(svr.predict(big[1]), "target") > 0.9
 
 
-def test_poly_features_are_the_kernel():
-    rng = np.random.default_rng(0)
-    x, z = rng.normal(size=(2, 4, 3))
-    for degree in (1, 2, 3):
-        phi, _ = models._feature_map("poly", 3, 0.7, degree)
-        assert np.allclose(phi(x) @ phi(z).T, (0.7 * x @ z.T) ** degree)
-
-
 def test_knn_keeps_rows_with_missing_features(spark, reg):
     from pyspark.sql import functions as F
     _, train, test = reg
