@@ -166,13 +166,13 @@ def outer_merge(tables: Sequence[DataFrame], keys: Sequence[str], method: str =
                 code_col: str | None = None) -> DataFrame:
     """N-way full outer equi-merge of indicator tables on ``keys``.
 
-    ``join``  : fold of full outer joins (N-1 shuffles).  A key that occurs
+    ``auto``  : one exchange: all tables meet in one ``groupBy(keys)`` that keeps an
+                array of rows per table; the arrays are multiplied out.  A key that occurs
                 repeatedly yields every combination of its rows, as repeated merges do.
-    ``pivot`` : union of long rows + one ``groupBy(keys)`` (one shuffle); raises
-                when a key occurs twice within a table.
-    ``auto``  : pivot when all keys are unique, else join.  Both give the same
-                rows and types then, for any number of tables; NULL keys are equal
-                to each other in either.
+    ``join``  : fold of full outer joins (N-1 shuffles), the same rows.
+    ``pivot`` : union of long rows + one ``groupBy(keys)`` of plain maxima; raises
+                when a key occurs twice within a table (one more aggregate to tell).
+    All give the same rows and types for any number of tables; NULL keys are equal to each other.
     ``code_col`` (optional, e.g. a country code carried by some tables) is
     coalesced across tables in table order, never used as a key (S9).
     """
@@ -181,14 +181,13 @@ def outer_merge(tables: Sequence[DataFrame], keys: Sequence[str], method: str =
     keys = list(keys)
     if method not in ("auto", "join", "pivot"):
         raise ValueError(f"unknown merge method {method!r}")
-    if method != "join":
-        unique = _keys_unique(tables, keys)
-        if method == "pivot" and not unique:
-            raise ValueError(f"a key of {keys} occurs twice within a table")
-        method = "pivot" if unique else "join"
+    if method == "pivot" and not _keys_unique(tables, keys):
+        raise ValueError(f"a key of {keys} occurs twice within a table")
     values = [[c for c in t.columns if c not in keys and c != code_col] for t in tables]
     if method == "join":
         return _merge_by_joins(tables, keys, values, code_col)
+    if method == "auto":
+        return _merge_by_arrays(tables, keys, values, code_col)
     types = {v: tables[i].schema[v].dataType for i, vs in enumerate(values) for v in vs}
     u = None
     for i, t in enumerate(tables):
@@ -203,6 +202,25 @@ def outer_merge(tables: Sequence[DataFrame], keys: Sequence[str], method: str =
     return u.groupBy(*keys).agg(*aggs)
 
 
+def _merge_by_arrays(tables, keys, values, code_col) -> DataFrame:
+    """All tables in one exchange: an array of rows per key and table, multiplied out inside the key."""
+    n, u = len(tables), None
+    codes = [i for i, t in enumerate(tables) if code_col and code_col in t.columns]
+    rows = [F.struct(F.lit(True).alias("__row"), *[F.col(v) for v in values[i]],
+                     *([F.col(code_col).alias("__code")] if i in codes else [])) for i in range(n)]
+    types = [t.select(rows[i].alias("s")).schema["s"].dataType for i, t in enumerate(tables)]
+    for i, t in enumerate(tables):
+        t = t.select(*keys, *[(rows[j] if j == i else F.lit(None).cast(types[j])).alias(f"__s{j}") for j in range(n)])
+        u = t if u is None else u.unionByName(t)
+    out = u.groupBy(*keys).agg(*[F.collect_list(f"__s{i}").alias(f"__s{i}") for i in range(n)])
+    for i in range(n):
+        out = out.withColumn(f"__s{i}", F.explode_outer(f"__s{i}"))
+    picked = [F.col(f"__s{i}")[v].alias(v) for i in range(n) for v in values[i]]
+    if codes:
+        picked.append(F.coalesce(*[F.col(f"__s{i}")["__code"] for i in codes]).alias(code_col))
+    return out.select(*keys, *picked)
+
+
 def _merge_by_joins(tables, keys, values, code_col) -> DataFrame:
     out, codes = None, []
     for i, t in enumerate(tables):

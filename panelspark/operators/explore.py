@@ -136,35 +136,21 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], quantile_method: str = "ex
 def kde_grid(df: DataFrame, value: str, points: int = KDE_GRID_POINTS) -> DataFrame:
     """Gaussian kernel density at ``points`` grid points over [min, max].
 
-    Bandwidth: Scott's rule ``n^(-1/5) * sample std``.  Every Arrow batch adds its
-    rows to the ``points`` kernel sums at once and sends ``points`` numbers: no row is
-    multiplied.  Skipped (no rows) when the variance is <= 1e-10.
+    Bandwidth: Scott's rule ``n^(-1/5) * sample std``.  One aggregate of ``points``
+    kernel sums, combined map-side: no row is multiplied and none leaves the JVM.  Skipped (no
+    rows) when the variance is <= 1e-10.
     """
     v = F.col(value).cast("double")
-    st = df.agg(F.count(v).alias("__n"), F.stddev_samp(v).alias("__sd"), F.min(v).alias("__lo"),
-                F.max(v).alias("__hi"), F.var_samp(v).alias("__var"))
-    st = scalar_row(st.withColumn("__h", F.pow(F.col("__n").cast("double"), F.lit(-0.2)) * F.col("__sd")))
-    x = df.where(v.isNotNull() & (st["__var"] > F.lit(KDE_MIN_VARIANCE))).select(
-        v.alias("v"), *[st[c].alias(c) for c in ("__n", "__h", "__lo", "__hi")])
-    sums = x.mapInPandas(_kernel_sums(points), "i int, x double, n long, h double, k double")
-    norm = F.first("n") * F.first("h") * F.lit(math.sqrt(2 * math.pi))
-    return sums.groupBy("i").agg(F.first("x").alias("x"), (F.sum("k") / norm).alias("density"))
-
-
-def _kernel_sums(points: int):
-    def run(batches):
-        import numpy as np
-        import pandas as pd
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            lo, hi, h = (float(pdf[c].iloc[0]) for c in ("__lo", "__hi", "__h"))
-            i = np.arange(points)
-            grid = lo + i * ((hi - lo) / (points - 1))
-            z = (grid[None, :] - pdf["v"].to_numpy()[:, None]) / h
-            yield pd.DataFrame({"i": i.astype(np.int32), "x": grid, "n": int(pdf["__n"].iloc[0]), "h": h,
-                                "k": np.exp(-0.5 * z * z).sum(0)})
-    return run
+    st = df.agg(F.count(v).alias("n"), F.stddev_samp(v).alias("sd"), F.min(v).alias("lo"),
+                F.max(v).alias("hi"), F.var_samp(v).alias("var"))
+    st = scalar_row(st.withColumn("h", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd"))
+                    .withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(points - 1)))
+    x = df.where(v.isNotNull()).select(v.alias("v"), *[st[c].alias(c) for c in ("lo", "step", "h")])
+    z = [(F.col("lo") + F.lit(float(i)) * F.col("step") - F.col("v")) / F.col("h") for i in range(points)]
+    sums = x.agg(F.array(*[F.sum(F.exp(F.lit(-0.5) * a * a)) for a in z]).alias("k"))
+    rows = sums.where(st["var"] > F.lit(KDE_MIN_VARIANCE)).select(F.posexplode("k").alias("i", "k"))
+    return rows.select("i", (st["lo"] + F.col("i") * st["step"]).alias("x"),
+                       (F.col("k") / (st["n"] * st["h"] * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
 
 
 def kpis(df: DataFrame, entity: str, time: str) -> DataFrame:

@@ -213,12 +213,12 @@ def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_sel
         for pdf in it:
             D = _distances(_matrix(pdf, features), P, p)
             own = D.argmin(axis=1) if len(D) else np.zeros(0, int)
-            yield pdf.assign(cell=own.astype(np.int32), at=D[np.arange(len(D)), own])
+            yield pdf.assign(__cell=own.astype(np.int32), __at=D[np.arange(len(D)), own])
     rows = ref.select(F.col(rid).cast("long").alias(rid), *fcols, *[F.col(c).cast("double").alias(c) for c in carry])
-    rows = cut_lineage(rows.mapInPandas(assign, f"`{rid}` long, {spec}" + "".join(f", `{c}` double" for c in carry) + ", cell int, at double"))
+    rows = cut_lineage(rows.mapInPandas(assign, f"`{rid}` long, {spec}" + "".join(f", `{c}` double" for c in carry) + ", __cell int, __at double"))
     size, radius = np.zeros(len(P), np.int64), np.full(len(P), -np.inf)
-    for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("r")).collect():       # one row a pivot
-        size[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
+    for r in rows.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"), F.max("__at").alias("r")).collect():       # one row a pivot
+        size[r["__cell"]], radius[r["__cell"]] = r["n"], r["r"]
     blocks = np.maximum(1, -(-size // block_rows))
     need = k + (1 if exclude_self else 0)
     first_visits = probe or 1
@@ -234,8 +234,8 @@ def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_sel
             n = min(first_visits, int((size > 0).sum()))
             near = np.argsort(D, axis=1, kind="stable")[:, :n]
             at = np.repeat(np.arange(len(X)), n)
-            yield pdf.iloc[at].assign(cell=near.ravel().astype(np.int32), at=D[at, near.ravel()],
-                                      tau=np.inf if probe else tau[at])
+            yield pdf.iloc[at].assign(__cell=near.ravel().astype(np.int32), __at=D[at, near.ravel()],
+                                      __tau=np.inf if probe else tau[at])
 
     def other_visits(it):
         """All cells that can hold a row within the limit, but for the one visited first."""
@@ -244,21 +244,21 @@ def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_sel
             if not len(X):
                 continue
             D, slack = _distances(X, P, p), _slack(X, P)
-            own, tau = pdf["cell"].to_numpy(), pdf["tau"].to_numpy(dtype=float)
+            own, tau = pdf["__cell"].to_numpy(), pdf["__tau"].to_numpy(dtype=float)
             bound = np.maximum(D - radius[None, :], (D - D[np.arange(len(X)), own][:, None]) / 2)
             may = (bound <= tau[:, None] + slack) & (size[None, :] > 0)
             may[np.arange(len(X)), own] = False
             qi, ci = np.nonzero(may)
-            yield pdf.iloc[qi].assign(cell=ci.astype(np.int32), at=D[qi, ci], tau=tau[qi] + slack)
+            yield pdf.iloc[qi].assign(__cell=ci.astype(np.int32), __at=D[qi, ci], __tau=tau[qi] + slack)
 
-    visit_schema = f"`{qid}` long, {spec}, cell int, at double, tau double"
+    visit_schema = f"`{qid}` long, {spec}, __cell int, __at double, __tau double"
 
     def pair(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({c: pd.Series(dtype="float64" if c not in (qid, rid) else "int64") for c in [qid, rid, "distance", *carry]})
         if not len(qpdf) or not len(rpdf):
             return none
-        rpdf, qpdf = rpdf.sort_values("at", kind="stable"), qpdf.sort_values("at", kind="stable")
-        ring, q_at, tau = rpdf["at"].to_numpy(), qpdf["at"].to_numpy(), qpdf["tau"].to_numpy()
+        rpdf, qpdf = rpdf.sort_values("__at", kind="stable"), qpdf.sort_values("__at", kind="stable")
+        ring, q_at, tau = rpdf["__at"].to_numpy(), qpdf["__at"].to_numpy(), qpdf["__tau"].to_numpy()
         R, r_ids = _matrix(rpdf, features), rpdf[rid].to_numpy(dtype=np.int64)
         r_carry = {c: rpdf[c].to_numpy(dtype=float) for c in carry}
         slack = _slack(R, P)
@@ -275,14 +275,14 @@ def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_sel
         return pd.concat(out, ignore_index=True) if out else none
 
     def visited(visits: DataFrame) -> DataFrame:
-        many = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("qb"))
-        rb = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
+        many = visits.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__qb"))
+        rb = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("__cell") + 1)
         # one row a cell: at most MAX_PIVOTS
-        q = visits.join(F.broadcast(many), "cell").withColumn("__q", F.pmod(F.xxhash64(F.lit(1), qid), F.col("qb")).cast("int")) \
-            .withColumn("__r", F.explode(F.sequence(F.lit(0), rb - 1))).drop("qb")
-        r = rows.join(F.broadcast(many), "cell").withColumn("__r", F.pmod(F.xxhash64(F.lit(2), rid), rb).cast("int")) \
-            .withColumn("__q", F.explode(F.sequence(F.lit(0), F.col("qb") - 1))).drop("qb")
-        return q.groupBy("cell", "__q", "__r").cogroup(r.groupBy("cell", "__q", "__r")).applyInPandas(pair, out_schema)
+        q = visits.join(F.broadcast(many), "__cell").withColumn("__qblock", F.pmod(F.xxhash64(F.lit(1), qid), F.col("__qb")).cast("int")) \
+            .withColumn("__rblock", F.explode(F.sequence(F.lit(0), rb - 1))).drop("__qb")
+        r = rows.join(F.broadcast(many), "__cell").withColumn("__rblock", F.pmod(F.xxhash64(F.lit(2), rid), rb).cast("int")) \
+            .withColumn("__qblock", F.explode(F.sequence(F.lit(0), F.col("__qb") - 1))).drop("__qb")
+        return q.groupBy("__cell", "__qblock", "__rblock").cogroup(r.groupBy("__cell", "__qblock", "__rblock")).applyInPandas(pair, out_schema)
 
     qs = queries.select(F.col(qid).cast("long").alias(qid), *fcols)
     visits = cut_lineage(qs.mapInPandas(open_visits, visit_schema))
@@ -292,12 +292,12 @@ def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_sel
         found = cut_lineage(found)
         # k rows of the first cell limit the rest
         w = Window.partitionBy(qid).orderBy("distance", rid)
-        kth = found.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == k).select(qid, F.col("distance").alias("__kth"))
-        limits = visits.join(kth, qid, "left").withColumn("tau", F.least("tau", F.coalesce("__kth", F.lit(float("inf")))))
-        others = cut_lineage(limits.select(qid, *fcols, "cell", "tau").mapInPandas(other_visits, visit_schema))
+        kth = found.withColumn("__nth", F.row_number().over(w)).where(F.col("__nth") == k).select(qid, F.col("distance").alias("__kth"))
+        limits = visits.join(kth, qid, "left").withColumn("__tau", F.least("__tau", F.coalesce("__kth", F.lit(float("inf")))))
+        others = cut_lineage(limits.select(qid, *fcols, "__cell", "__tau").mapInPandas(other_visits, visit_schema))
         found = found.unionByName(visited(others))
     if stats is not None:
-        n_cell = F.element_at(F.array(*[F.lit(int(n)) for n in size]), F.col("cell") + 1)
+        n_cell = F.element_at(F.array(*[F.lit(int(n)) for n in size]), F.col("__cell") + 1)
         both = visits if others is None else visits.unionByName(others)
         stats["pairs"] = int(both.agg(F.sum(n_cell)).first()[0] or 0)
         stats["all"] = queries.count() * n_ref

@@ -98,6 +98,61 @@ def q_knn_exact(spark, sf):
     return rounded(pred.select(F.col("__q").alias("vec_id"), "y_pred", "n_neighbors"))
 
 
+@query("knn_pivots",
+       _KNN_SQL + f"SELECT q AS vec_id, nb AS neighbor, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= {K}")
+def q_knn_pivots(spark, sf):
+    """The same neighbours through pivots (blocks of 64 rows, as if the table were large)."""
+    e = _emb(spark, sf)
+    nb = knn.knn_join(e.select(F.col("vec_id").alias("__q"), "embedding"), e.select(F.col("vec_id").alias("__r"), "embedding"),
+                      "__q", "__r", "embedding", k=K, exclude_self=True, max_block_bytes=64 * 66 * 8)
+    return nb.select(F.col("__q").alias("vec_id"), F.col("__r").alias("neighbor"), F.col("rank").cast("int"))
+
+
+# ---------------------------------------------------------------- one round of regularised boosting
+ROUND = {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.3, "reg_alpha": 5000.0, "reg_lambda": 3.0, "min_child_weight": 20, "gamma": 0.0}
+_T = "(sign({0}) * greatest(abs({0}) - 5000.0, 0))"
+_STUMP_SQL = (
+    "WITH " + _NP_SQL + ", cut AS (SELECT max(quarter) - 8 + 1 AS c FROM np), "
+    "tr AS (SELECT np.* FROM np, cut WHERE quarter < c AND " + " AND ".join(f"{x} IS NOT NULL" for x in (*NATION_FEATURES, NATION_TARGET)) + "), "
+    f"b AS (SELECT avg({NATION_TARGET}) AS base FROM tr), "
+    "long AS (" + " UNION ALL ".join(f"SELECT {i} AS f, '{x}' AS feature, CAST({x} AS DOUBLE) AS x, base - {NATION_TARGET} AS g FROM tr, b"
+                                    for i, x in enumerate(NATION_FEATURES)) + "), "
+    "v AS (SELECT f, feature, x, sum(g) AS g, count(*) AS h FROM long GROUP BY f, feature, x), "
+    "s AS (SELECT f, feature, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY f) AS tg, "
+    "sum(h) OVER (PARTITION BY f) AS th FROM v WINDOW w AS (PARTITION BY f ORDER BY x)), "
+    f"q AS (SELECT *, power({_T.format('gl')}, 2) / (hl + 3.0) + power({_T.format('(tg - gl)')}, 2) / (th - hl + 3.0) "
+    f"- power({_T.format('tg')}, 2) / (th + 3.0) AS gain FROM s WHERE hl >= 20 AND th - hl >= 20), "
+    "best AS (SELECT * FROM q ORDER BY gain DESC, f, x LIMIT 1), "
+    f"m AS (SELECT feature, x AS threshold, gain, base, -{_T.format('gl')} / (hl + 3.0) * 0.3 AS wl, "
+    f"-{_T.format('(tg - gl)')} / (th - hl + 3.0) * 0.3 AS wr FROM best, b) ")
+
+
+def _round(spark, sf):
+    train, test = model_data(spark, sf)
+    return boosting.fit(train, NATION_FEATURES, NATION_TARGET, ROUND, ["c_nationkey", "quarter"], max_bins=4096), test
+
+
+@query("boosted_split",
+       _STUMP_SQL + f"SELECT feature, {rnd('threshold', 8)} AS threshold, {rnd('gain', 8)} AS gain, {rnd('base', 8)} AS base, "
+       f"{rnd('wl', 8)} AS left_weight, {rnd('wr', 8)} AS right_weight FROM m")
+def q_boosted_split(spark, sf):
+    """The first split with leaf penalties (L1, L2) and least child weight."""
+    (e, borders), _ = _round(spark, sf)
+    t = e.trees[0]
+    row = (NATION_FEATURES[t.feature[0]], float(borders[t.feature[0]][t.bin[0] - 1]), t.gain[0], e.base, t.weight[t.left[0]], t.weight[t.right[0]])
+    return rounded(spark.createDataFrame([row], "feature string, threshold double, gain double, base double, left_weight double, "
+                                                "right_weight double"), sig=8)
+
+
+@query("boosted_round",
+       _STUMP_SQL + f"SELECT c_nationkey, quarter, {rnd('base + CASE WHEN CASE feature ' + ' '.join(f'WHEN {chr(39)}{x}{chr(39)} THEN {x}' for x in NATION_FEATURES) + ' END <= threshold THEN wl ELSE wr END', 8)} AS y_pred "
+       "FROM np, cut, m WHERE quarter >= c AND " + " AND ".join(f"{x} IS NOT NULL" for x in (*NATION_FEATURES, NATION_TARGET)))
+def q_boosted_round(spark, sf):
+    """Predictions of that one round on the test quarters."""
+    (e, borders), test = _round(spark, sf)
+    return rounded(boosting.predict(test, NATION_FEATURES, e, borders).select("c_nationkey", "quarter", "y_pred"), sig=8)
+
+
 # ---------------------------------------------------------------- fitted models (rows-only)
 def _model_query(name):
     def q(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelspark.operators import clean, impute, splits
 from panelspark.plans.panels import (
-    EVENT_FEATURES, EVENT_TARGET, EVENT_TRAIN_END, EVENT_TYPES, panel_events, panel_nation,
+    EVENT_FEATURES, EVENT_TARGET, EVENT_TRAIN_END, EVENT_TYPES, panel_events, panel_nation, table, event_bin,
 )
 from panelspark.plans.pipelines import prepared_events
 from panelspark.plans.registry import query, rnd, rounded
@@ -149,7 +149,26 @@ def q_panel_outer_merge(spark, sf):
 
 @query("panel_union_pivot", _MERGE_SQL)
 def q_panel_union_pivot(spark, sf):
-    return rounded(panel_events(spark, sf, method="pivot"))
+    return rounded(panel_events(spark, sf, method="auto"))
+
+
+_SOME = EVENT_TYPES[:3]
+_REPEAT_SQL = (
+    "WITH " + ", ".join(f"t_{t} AS (SELECT DISTINCT user_id, {_BIN} AS bin, CAST(floor(value) AS BIGINT) % 3 AS {t} FROM events "
+                        f"WHERE event_type = '{t}')" for t in _SOME)
+    + f" SELECT coalesce({', '.join(f't_{t}.user_id' for t in _SOME)}) AS user_id, coalesce({', '.join(f't_{t}.bin' for t in _SOME)}) AS bin, "
+    + ", ".join(_SOME) + f" FROM t_{_SOME[0]}"
+    + "".join(f" FULL OUTER JOIN t_{t} ON t_{t}.user_id = coalesce({', '.join(f't_{x}.user_id' for x in _SOME[:i])}) "
+              f"AND t_{t}.bin = coalesce({', '.join(f't_{x}.bin' for x in _SOME[:i])})" for i, t in enumerate(_SOME) if i))
+
+
+@query("merge_repeated_keys", _REPEAT_SQL)
+def q_merge_repeated(spark, sf):
+    """Keys that occur up to three times in every table give all combinations, in one exchange."""
+    ev = table(spark, sf, "events")
+    tables = [ev.where(F.col("event_type") == t).select("user_id", event_bin().alias("bin"),
+                                                        (F.floor("value") % 3).cast("long").alias(t)).distinct() for t in _SOME]
+    return clean.outer_merge(tables, ["user_id", "bin"])
 
 
 @query("panel_conditional_agg", f"WITH {PANEL_SQL} SELECT user_id, bin, {_r(EVENT_TYPES)} FROM p")

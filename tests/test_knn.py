@@ -68,9 +68,9 @@ def test_pivots_prune_and_stay_exact(spark, p):
     pdf = pd.DataFrame({"id": rng.permutation(len(X)), "x": X[:, 0], "y": X[:, 1], "z": X[:, 2]})
     df = spark.createDataFrame(pdf).repartition(6)
     feats, stats = ["x", "y", "z"], {}
-    q = df.where("id % 20 = 0").withColumnRenamed("id", "q")
-    got = knn.knn_join(q, df.withColumnRenamed("id", "r"), "q", "r", feats, k=7, p=p, exclude_self=True,
-                       max_block_bytes=8000, stats=stats).toPandas()
+    q = df.where("id % 20 = 0").withColumnRenamed("id", "__q")       # names near the ones used inside
+    got = knn.knn_join(q, df.withColumnRenamed("id", "__r"), "__q", "__r", feats, k=7, p=p, exclude_self=True,
+                       max_block_bytes=8000, stats=stats).toPandas().rename(columns={"__q": "q", "__r": "r"})
     ids, M = pdf.id.to_numpy(), pdf[feats].to_numpy()
     for i in np.flatnonzero(ids % 20 == 0):
         D = knn._minkowski(M[i:i + 1], M, p)[0]
