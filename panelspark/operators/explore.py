@@ -145,12 +145,13 @@ def kde_grid(df: DataFrame, value: str, points: int = KDE_GRID_POINTS) -> DataFr
                 F.max(v).alias("hi"), F.var_samp(v).alias("var"))
     st = scalar_row(st.withColumn("h", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd"))
                     .withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(points - 1)))
-    x = df.where(v.isNotNull()).select(v.alias("v"), *[st[c].alias(c) for c in ("lo", "step", "h")])
+    spread = st["var"] > F.lit(KDE_MIN_VARIANCE)
+    x = df.where(v.isNotNull() & spread).select(v.alias("v"), *[st[c].alias(c) for c in ("lo", "step", "h")])
     z = [(F.col("lo") + F.lit(float(i)) * F.col("step") - F.col("v")) / F.col("h") for i in range(points)]
     sums = x.agg(F.array(*[F.sum(F.exp(F.lit(-0.5) * a * a)) for a in z]).alias("k"))
-    rows = sums.where(st["var"] > F.lit(KDE_MIN_VARIANCE)).select(F.posexplode("k").alias("i", "k"))
+    rows = sums.where(spread).select(F.posexplode("k").alias("i", "k"))
     return rows.select("i", (st["lo"] + F.col("i") * st["step"]).alias("x"),
-                       (F.col("k") / (st["n"] * st["h"] * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+                       F.try_divide("k", st["n"] * st["h"] * F.lit(math.sqrt(2 * math.pi))).alias("density"))
 
 
 def kpis(df: DataFrame, entity: str, time: str) -> DataFrame:

@@ -55,16 +55,20 @@ def model_data(spark, sf, test_periods: int = 8, complete: bool = True):
 CURVE = {"alpha": 0.1, "l1_ratio": 0.5, "max_iter": 1000}      # elastic net of the learning curve
 
 
-def _runs(spark, sf):
-    """All families, fitted once per session and table folder (the queries below show sides of one run)."""
-    key = (spark.sparkContext.applicationId, sf)
+def _run(spark, sf, name):
+    """One family, fitted once per session and table folder (the queries below show sides of one run)."""
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _RUNS:
         train, test = model_data(spark, sf)
-        _RUNS[key] = models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter",
-                                      fixed_params=FIXED, key_cols=["c_nationkey", "quarter"])
+        _RUNS[key] = models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter", models=[name],
+                                      fixed_params=FIXED, key_cols=["c_nationkey", "quarter"])[0]
     return _RUNS[key]
 
 
+def _runs(spark, sf, names=tuple(models.SPACES)):
+    return [_run(spark, sf, name) for name in names]
+
+
 # ---------------------------------------------------------------- exact KNN on embeddings
 _KNN_SQL = (
     "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS DOUBLE) AS label FROM embeddings), "
@@ -156,8 +160,7 @@ def q_boosted_round(spark, sf):
 # ---------------------------------------------------------------- fitted models (rows-only)
 def _model_query(name):
     def q(spark, sf):
-        run = next(r for r in _runs(spark, sf) if r.model == name)
-        return models.results_table(spark, [run])
+        return models.results_table(spark, [_run(spark, sf, name)])
     return q
 
 
@@ -182,8 +185,7 @@ def q_importance_table(spark, sf):
 
 @query("coefficients")
 def q_coefficients(spark, sf):
-    run = next(r for r in _runs(spark, sf) if r.model == "elastic_net")
-    return models.coefficients_table(spark, run.fitted)
+    return models.coefficients_table(spark, _run(spark, sf, "elastic_net").fitted)
 
 
 @query("model_predictions")
@@ -210,14 +212,13 @@ def q_search_space(spark, sf):
     return models.search_space_table(spark).join(best, ["model", "parameter"], "left")
 
 
-def _searched(spark, sf):
-    return [r for r in _runs(spark, sf) if r.search is not None]
+SEARCHED = [m for m in models.SPACES if m not in FIXED]
 
 
 @query("search_trials")
 def q_search_trials(spark, sf):
     """All trials of the searched families, with fold scores and pruning."""
-    tables = [models.trials_table(spark, r.search) for r in _searched(spark, sf)]
+    tables = [models.trials_table(spark, r.search) for r in _runs(spark, sf, SEARCHED)]
     return functools.reduce(DataFrame.unionByName, tables)
 
 
