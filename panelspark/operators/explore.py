@@ -141,17 +141,17 @@ def kde_grid(df: DataFrame, value: str, points: int = KDE_GRID_POINTS) -> DataFr
     rows) when the variance is <= 1e-10.
     """
     v = F.col(value).cast("double")
-    st = df.agg(F.count(v).alias("n"), F.stddev_samp(v).alias("sd"), F.min(v).alias("lo"),
-                F.max(v).alias("hi"), F.var_samp(v).alias("var"))
-    st = scalar_row(st.withColumn("h", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd"))
-                    .withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(points - 1)))
-    spread = st["var"] > F.lit(KDE_MIN_VARIANCE)
-    x = df.where(v.isNotNull() & spread).select(v.alias("v"), *[st[c].alias(c) for c in ("lo", "step", "h")])
-    z = [(F.col("lo") + F.lit(float(i)) * F.col("step") - F.col("v")) / F.col("h") for i in range(points)]
-    sums = x.agg(F.array(*[F.sum(F.exp(F.lit(-0.5) * a * a)) for a in z]).alias("k"))
-    rows = sums.where(spread).select(F.posexplode("k").alias("i", "k"))
-    return rows.select("i", (st["lo"] + F.col("i") * st["step"]).alias("x"),
-                       F.try_divide("k", st["n"] * st["h"] * F.lit(math.sqrt(2 * math.pi))).alias("density"))
+    st = df.agg(F.count(v).alias("n"), F.stddev_samp(v).alias("sd"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+                F.var_samp(v).alias("var")).first()
+    if not (st["var"] or 0.0) > KDE_MIN_VARIANCE:
+        return df.sparkSession.createDataFrame([], "i int, x double, density double")
+    h, step = float(st["n"]) ** -0.2 * st["sd"], (st["hi"] - st["lo"]) / (points - 1)
+    grid = [st["lo"] + i * step for i in range(points)]
+    z = [(F.lit(x) - F.col("v")) / F.lit(h) for x in grid]
+    sums = df.where(v.isNotNull()).select(v.alias("v")).agg(F.array(*[F.sum(F.exp(F.lit(-0.5) * a * a)) for a in z]).alias("k"))
+    rows = sums.select(F.posexplode("k").alias("i", "k"))
+    return rows.select("i", F.element_at(F.array(*[F.lit(x) for x in grid]), F.col("i") + 1).alias("x"),
+                       (F.col("k") / F.lit(st["n"] * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def kpis(df: DataFrame, entity: str, time: str) -> DataFrame:
