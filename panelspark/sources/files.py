@@ -10,13 +10,14 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.scalar import try_double
 from panelspark.operators.clean import (
     detect_time_columns, drop_metadata, drop_null_columns, standardize_entity, wide_to_long,
 )
+from panelspark.session import cut_lineage
 
 # --- fixed values --------------------------------------------------------------
 # extension precedence when several files share a base name (A4)
@@ -62,9 +63,11 @@ def read_csv_skip(spark: SparkSession, path: str, skip: int = DEFAULT_SKIP_LINES
     refused); all lines are parsed on the executors with ``from_csv``.  Every column is text;
     numbers go through the tolerant cast later (B7).  Skipping is explicit,
     never guessed (S11), and counts raw lines, blank ones included.
+
+    A quoted field may hold line breaks, also across splits (``_joined_lines``); the header is one line.
     """
     raw = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("__f"),
+        "value", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__block"),
         (F.col("_metadata.file_block_start") == 0).alias("__head"),
         F.monotonically_increasing_id().alias("__i"))
     n_top = skip + (1 if header else 0)
@@ -84,12 +87,42 @@ def read_csv_skip(spark: SparkSession, path: str, skip: int = DEFAULT_SKIP_LINES
     if not names:
         return spark.createDataFrame([], "value string").select()
     body = raw.where(F.col("__pos").isNull() | (F.col("__pos") >= n_top)) if n_top else raw
-    body = body.where(F.length("value") > 0)           # blank lines carry no record (CSV reader rule)
+    body = _joined_lines(body).where(F.length("value") > 0)          # blank lines carry no record (CSV reader rule)
     ddl = ", ".join("`{}` string".format(n.replace("`", "``")) for n in names)
     rec = F.from_csv(F.col("value"), ddl)
     return body.select(*[rec[n].alias(n) for n in names])
 
 
+def _joined_lines(lines: DataFrame) -> DataFrame:
+    """Lines (value, __f, __block, __i) with those of one record joined by a line break.
+
+    A line goes on with a record if an odd number of quotes stands before it in its file.  Quotes are summed per split,
+    added up over the splits of a file (one row a split), then along the lines of a split; a record is
+    named by its first line.  Files without an odd line, and files whose quotes do not come in pairs, stay as they are."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    splits = lines.groupBy("__f", "__block").agg(F.sum(quotes).alias("__n"), F.max(quotes % 2).alias("__odd"))
+    w = Window.partitionBy("__f").orderBy("__block")
+    splits = splits.withColumn("__before", F.sum("__n").over(w) - F.col("__n")) \
+        .withColumn("__torn", (F.max("__odd").over(Window.partitionBy("__f")) == 1) & (F.sum("__n").over(Window.partitionBy("__f")) % 2 == 0))
+    splits = cut_lineage(splits.where("__torn").select("__f", "__block", "__before"))
+    if splits.isEmpty():
+        return lines.select("value")
+    along = Window.partitionBy("__f", "__block").orderBy("__i")
+    torn = lines.join(splits, ["__f", "__block"]).withColumn("__q", quotes)
+    torn = torn.withColumn("__starts", (F.col("__before") + F.sum("__q").over(along) - F.col("__q")) % 2 == 0)
+    own = F.last(F.when(F.col("__starts"), F.col("__i")), ignorenulls=True)
+    torn = cut_lineage(torn.withColumn("__rec", own.over(along)))
+    # the last record begun in the splits before: for the lines a split starts with
+    ends = torn.groupBy("__f", "__block").agg(F.max("__rec").alias("__end"))
+    earlier = F.last("__end", ignorenulls=True).over(Window.partitionBy("__f").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    torn = torn.join(ends.select("__f", "__block", earlier.alias("__prior")), ["__f", "__block"])
+    whole = torn.groupBy("__f", F.coalesce("__rec", "__prior").alias("__rec")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("__block").alias("b"), F.col("__i").alias("i"), F.col("value").alias("v")))).alias("l"))
+    whole = whole.select(F.array_join(F.transform("l", lambda x: x["v"]), "\n").alias("value"))
+    rest = lines.join(splits.select("__f").distinct(), "__f", "left_anti").select("value")
+    return rest.unionByName(whole)
+
+
 def resolve_source(spark: SparkSession, base: str, precedence: Sequence[str] = FORMAT_PRECEDENCE) -> str | None:
     """A4: first existing ``base + ext`` in precedence order."""
     for ext in precedence:

@@ -156,3 +156,34 @@ def test_entity_spelling_with_lower_case_name(spark):
     from panelspark.operators import clean
     df = spark.createDataFrame([("Europe", "A", "1")], "Region string, `Country name` string, `2018` string")
     assert clean.standardize_entity(df).columns == ["Region", "entity", "2018"]
+
+
+@pytest.mark.parametrize("split", [1 << 20, 64])
+def test_quoted_line_breaks(spark, tmp_path, split):
+    """Records over several lines, blank lines inside a quoted field and escaped quotes, in one split and in many."""
+    import csv
+    import io
+    import pandas as pd
+    d = tmp_path / "parts"
+    d.mkdir()
+    want = set()
+    for f in range(3):
+        rows = [(f"E{f}_{i}" + ("\nsecond line" if i % 3 == 0 else "\n\nthird, line" if i % 7 == 0 else ""), f"C{i}", str(i), str(i / 4))
+                for i in range(25)] if f else [(f"P{i}", f"C{i}", str(i), "1") for i in range(25)]
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows(rows)
+        text = "meta \"one\n\nmeta\n\nName,Code,2019,2020\n" + out.getvalue()
+        (d / f"part-{f}.csv").write_text(text)
+        ref = pd.read_csv(io.StringIO(text), skiprows=4, quoting=csv.QUOTE_MINIMAL) if f == 0 else pd.read_csv(
+            io.StringIO(text.split("\n", 4)[4]))
+        assert len(ref) == 25
+        want |= set(rows)
+    (d / "part-9.csv").write_text('m\n\nm\n\nName,Code,2019,2020\nTube 5" wide,X,1,2\n')        # no pair: stays a line
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        got = [tuple(r) for r in files.read_csv_skip(spark, str(d), 4).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 76 and want <= set(got)
+    assert ('Tube 5" wide', "X", "1", "2") in got
