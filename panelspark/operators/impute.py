@@ -98,7 +98,7 @@ def impute_progressive(df: DataFrame, entity: str, time: str, feature_cols: Sequ
         lo_b = F.floor((t - (R if allow_future else 0) + half) / W)
         hi_b = F.floor((t + R + half) / W)
         src = (df.withColumn("__home", home)
-                 .withColumn("__pb", F.explode(F.array_distinct(F.array(home, lo_b, hi_b)))))
+                 .withColumn("__pb", F.explode(F.coalesce(F.sequence(lo_b, hi_b), F.array(home)))))
         # keep the hash partitioning on all three keys so a hot entity is split by bucket
         src = src.repartition(F.col(split_col), F.col(entity), F.col("__pb"))
         part = [split_col, entity, "__pb"]
@@ -108,7 +108,7 @@ def impute_progressive(df: DataFrame, entity: str, time: str, feature_cols: Sequ
     rec = F.struct(F.col(time).alias("t"), *[F.col(c).cast("double").alias(c) for c in feats])
     src = src.withColumn("__frame", F.collect_list(rec).over(w))
     if time_bucket:
-        src = src.where(F.col("__pb") == F.col("__home")).drop("__pb", "__home")
+        src = src.where(F.col("__pb").eqNullSafe(F.col("__home"))).drop("__pb", "__home")
 
     out = src
     for c in feats:

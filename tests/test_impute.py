@@ -55,3 +55,11 @@ def test_provenance_and_remaining(spark):
     prov = {(r["column"], r["method"]): r["n"] for r in provenance_counts(imp, ["v"]).collect()}
     assert prov == {("v", "w1"): 1}
     assert remaining_nulls(imp, ["v"]).first()["remaining_nulls"] == 0
+
+
+def test_radius_wider_than_a_bucket(spark):
+    """The halo reaches over every bucket between: the result does not depend on the bucket."""
+    rows = [("A", t, None if t % 6 else float(t * t), "train" if t < 30 else "test") for t in range(50)] + [("B", None, None, "train"), ("B", 3, 2.0, "train")]
+    df = spark.createDataFrame(rows, "e string, t int, x double, split string")
+    got = [sorted(map(str, impute_progressive(df, "e", "t", ["x"], radii=(1, 5, 13), time_bucket=b).collect())) for b in (None, 2, 3, 4096)]
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) == 52
