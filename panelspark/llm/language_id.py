@@ -4,20 +4,23 @@ Per language a byte context tree of orders 0..``ORDER`` is counted on labelled
 documents.  A symbol seen in a context costs ``log2((n + d) / c)`` bits, an
 escape to the next shorter context ``log2((n + d) / d)`` (n symbols, d of them
 distinct); below order 0 every byte costs 8 bits.  Contexts seen fewer than
-``MIN_COUNT`` times are not nodes of the tree (its order varies).  With the
-statistics frozen, the exact code length of a text is a sum of table entries,
-taken for all languages at once; the shortest code wins.
-
-The training rows are a documented sample: the ``SAMPLE_DOCS`` documents with
-the smallest id hashes per language (out of a hash share of about four times as
-many), whole, up to ``SAMPLE_BYTES`` bytes.  So the
-counts on the driver and the broadcast table have a fixed bound, whatever
-the input.  All texts are scored whole.
+``MIN_COUNT`` times are not nodes of the language's tree (its order varies).  With the
+statistics frozen, the exact code length of a text is a sum of table entries;
+the shortest code wins.  Languages are scored ``LANG_BLOCK`` at a time, in one pass
+over the texts each; the best so far stays with its row, so any number of languages
+needs the memory of one block.
+
+The training rows are a documented sample: the ``SAMPLE_DOCS`` documents of up to
+``SAMPLE_DOC_BYTES`` bytes with the smallest id hashes per language (out of a hash share of
+about four times as many), whole, up to ``SAMPLE_BYTES`` bytes.  A language whose documents
+are all longer is learned from its shortest one.  So the counts of a block on the driver
+and its broadcast table have a bound that the number of rows does not move.  All texts are scored whole.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-without any labelled document every text is ``und``; ties go to the first language
-in code point order; repeated rows are scored alike; rows with null ids count
-as hash bucket of the empty text.
+without any labelled document every text is ``und``; an empty table gives no rows; ties go to
+the first language in code point order; repeated rows are scored alike; rows with null ids count
+as hash bucket of the empty text and are not learned from; very long texts are scored in
+one piece inside their batch; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,35 +30,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import doc_bucket, text_chunks
+from panelspark.llm.common import doc_bucket, staged, text_chunks
 
 ORDER = 3
 MIN_COUNT = 6
 SAMPLE_DOCS = 400
 SAMPLE_BYTES = 2_000_000
-MAX_LANGS = 500
+SAMPLE_DOC_BYTES = 50_000
+LANG_BLOCK = 8              # languages whose tables are held at a time
+BROADCAST_LANGS = 1000      # languages up to which the sample's ids are broadcast
 UNKNOWN = "und"
 REJECT_SLACK = 64.0
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
     """(lang, text) of the bounded training sample; ``docs`` has doc_id, lang, text."""
-    d = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
+    d = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     thin = d.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.octet_length("text").alias("b"))
+    short = F.col("b") <= SAMPLE_DOC_BYTES
+    per = staged(thin.groupBy("lang").agg(F.count_if(short).alias("n_short"),
+                                          F.min(F.struct("b", "h")).alias("shortest")), "ppm-languages")
+    small = F.broadcast if per.count() <= BROADCAST_LANGS else (lambda side: side)
     # a first cut by the hash, so that no more than a few thousand rows a language are ranked
-    share = thin.groupBy("lang").agg((F.lit(4.0 * SAMPLE_DOCS) / F.count("*")).alias("share"))
-    if share.count() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    thin = thin.join(F.broadcast(share), "lang").filter(
-        F.shiftrightunsigned("h", 11) < F.col("share") * float(1 << 53)).drop("share")
+    in_share = F.shiftrightunsigned("h", 11) * F.col("n_short") < 4.0 * SAMPLE_DOCS * float(1 << 53)
+    only = (F.col("n_short") == 0) & (F.struct("b", "h") == F.col("shortest"))
+    thin = thin.join(small(per), "lang").filter((short & in_share) | only).select("lang", "doc_id", "h", "b").distinct()
     first = Window.partitionBy("lang").orderBy("h", "doc_id", "b")
-    best = thin.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= SAMPLE_DOCS)
     run = F.sum("b").over(first.rowsBetween(Window.unboundedPreceding, 0))
-    best = best.withColumn("run", run).filter((F.col("run") <= SAMPLE_BYTES) | (F.col("nth") == 1))
-    # at most SAMPLE_DOCS thin rows a language: the broadcast side is bounded
-    ids = best.select("lang", "doc_id", "b").distinct()
-    return d.select("lang", "doc_id", "text", F.octet_length("text").alias("b")).join(
-        F.broadcast(ids), ["lang", "doc_id", "b"], "left_semi").select("lang", "text")
+    best = (thin.withColumn("nth", F.row_number().over(first)).withColumn("run", run)
+                .filter((F.col("nth") <= SAMPLE_DOCS) & ((F.col("run") <= SAMPLE_BYTES) | (F.col("nth") == 1))))
+    # at most SAMPLE_DOCS thin rows a language
+    ids = best.select("lang", "doc_id", "b")
+    return (d.select("lang", "doc_id", "text", F.octet_length("text").alias("b"))
+             .join(small(ids), ["lang", "doc_id", "b"], "left_semi")
+             .groupBy("lang", "doc_id", "b").agg(F.min("text").alias("text")).select("lang", "text"))
 
 
 def _count_grams(batches):
@@ -111,14 +119,15 @@ class Tree:
             deeper = nodes if order == 0 else np.tile(nodes, width)  # suffix context drops the oldest byte
             deeper = deeper.astype(np.int32)
             for ctx, entries in by_ctx[order].items():
-                if order and sum(e[2] for e in entries) < MIN_COUNT:
-                    continue
-                cost = (below[0] if order == 0 else rows[deeper[ctx]]).astype(np.float64).copy()
                 c = np.zeros((width, n_lang))
                 for lang, sym, n in entries:
                     c[sym, lang] = n
+                used = c.sum(0) >= (MIN_COUNT if order else 1)
+                if not used.any():
+                    continue
+                c[:, ~used] = 0
+                cost = (below[0] if order == 0 else rows[deeper[ctx]]).astype(np.float64).copy()
                 total, kinds = c.sum(0), (c > 0).sum(0)
-                used = total > 0
                 esc = np.where(used, np.log2(np.maximum(total + kinds, 1) / np.maximum(kinds, 1)), 0.0)
                 cost = np.where(c > 0, np.log2(np.maximum(total + kinds, 1) / np.maximum(c, 1)), cost + esc)
                 if order == 0 and not rows:
@@ -152,41 +161,43 @@ class Tree:
         return out
 
 
-def _scorer(shared):
-    def score(batches):
+def _coder(shared):
+    """Takes the block's languages into the best so far: ``__bits`` of the shortest code,
+    ``__lang`` that gives it, ``__total`` of 2**-gap over all languages so far."""
+    def code(batches):
         tree = shared.value
+        names = np.array(tree.langs, object)
         for batch in batches:
-            letters = np.array(batch.column("has_letter").to_pylist(), bool)
-            n = len(letters)
-            pred = np.full(n, UNKNOWN, object)
-            conf = np.zeros(n)
-            if tree.langs:
-                for i, starts, buf in text_chunks(batch.column("text"), 1 << 19):
-                    bits = tree.code_lengths(buf, starts)
-                    best = bits.argmin(1)
-                    gap = bits - bits.min(1, keepdims=True)
-                    conf[i:i + len(best)] = 1.0 / np.exp2(-np.minimum(gap, 1000.0)).sum(1)
-                    pred[i:i + len(best)] = np.array(tree.langs, object)[best]
-            pred[~letters] = UNKNOWN
-            conf[pred == UNKNOWN] = 0.0
-            keep = [batch.column(c) for c in batch.schema.names if c not in ("text", "has_letter")]
-            names = [c for c in batch.schema.names if c not in ("text", "has_letter")]
-            yield pa.RecordBatch.from_arrays(
-                keep + [pa.array(pred.tolist(), pa.string()), pa.array(conf)], names + ["lang_pred", "score"])
-    return score
-
-
-def _keeper(shared):
-    def keep(batches):
-        tree = shared.value
-        for batch in batches:
-            ok = np.array(batch.column("__has_letter").to_pylist(), bool)
-            if tree.langs:
-                for i, starts, buf in text_chunks(batch.column("text"), 1 << 19):
-                    bits = tree.code_lengths(buf, starts).min(1)
-                    ok[i:i + len(bits)] &= bits < 8.0 * np.diff(starts) + REJECT_SLACK
-            yield batch.filter(pa.array(ok)).drop_columns(["__has_letter"])
-    return keep
+            best = np.array(batch.column("__bits"), float)
+            total = np.array(batch.column("__total"), float)
+            lang = np.array(batch.column("__lang").to_pylist(), object)
+            for i, starts, buf in text_chunks(batch.column("text"), 1 << 19):
+                bits = tree.code_lengths(buf, starts)
+                at = slice(i, i + len(bits))
+                least = bits.min(1)
+                now = np.minimum(best[at], least)
+                gap = np.minimum(bits - now[:, None], 1000.0)
+                total[at] = total[at] * np.exp2(-np.minimum(best[at] - now, 1000.0)) + np.exp2(-gap).sum(1)
+                lang[at] = np.where(least < best[at], names[bits.argmin(1)], lang[at])
+                best[at] = now
+            new = {"__bits": pa.array(best), "__lang": pa.array(lang.tolist(), pa.string()), "__total": pa.array(total)}
+            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names],
+                                             batch.schema.names)
+    return code
+
+
+def with_best(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``docs`` with ``__bits``, ``__lang``, ``__total`` (see ``_coder``) over all languages of
+    ``labelled``; infinite, null and 0 without any."""
+    counts = gram_counts(labelled)
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())        # one name a language
+    d = docs.withColumns({"__bits": F.lit(float("inf")), "__lang": F.lit(None).cast("string"), "__total": F.lit(0.0)})
+    for i in range(0, len(langs), LANG_BLOCK):
+        if i:
+            d = staged(d, "ppm-best")           # one block's table in memory at a time
+        shared = docs.sparkSession.sparkContext.broadcast(fit_block(counts, langs[i:i + LANG_BLOCK]))
+        d = d.mapInArrow(_coder(shared), d.schema)
+    return d
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
@@ -194,33 +205,30 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     without a letter, nor those that the best language codes no shorter than
     plain bytes (``REJECT_SLACK`` bits in favour of short texts).  Trained like
     ``identify``; without any labelled document only the first rule holds."""
-    tree = fit(docs.select("doc_id", "lang", "text").filter(doc_bucket(F.col("doc_id"), 3) != 1))
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("__has_letter", letters).mapInArrow(_keeper(shared), docs.schema)
+    d = with_best(docs, docs.select("doc_id", "lang", "text").filter(doc_bucket(F.col("doc_id"), 3) != 1))
+    coded = F.col("__lang").isNull() | (F.col("__bits") < 8.0 * F.octet_length("text") + REJECT_SLACK)
+    return d.filter(letters & coded).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def fit(labelled: DataFrame) -> Tree:
-    """Context trees of the languages of ``labelled`` (doc_id, lang, text)."""
-    sample = training_sample(labelled)
-    counts = (sample.mapInArrow(_count_grams, "lang string, k int, gram bigint, n bigint")
+def gram_counts(labelled: DataFrame) -> DataFrame:
+    """(lang, k, gram, n) over the training sample of ``labelled`` (doc_id, lang, text)."""
+    counts = (training_sample(labelled).mapInArrow(_count_grams, "lang string, k int, gram bigint, n bigint")
               .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
-    rows = [tuple(r) for r in counts.collect()]          # bounded by the sample: SAMPLE_BYTES a language
-    return Tree(sorted(rows))
+    return staged(counts, "ppm-counts")
 
 
-def predict(docs: DataFrame, tree: Tree, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` plus lang_pred and score for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    d = docs.select(*keep, F.col("text").alias("text"), letters.alias("has_letter"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields if f.name in keep)
-    return d.mapInArrow(_scorer(shared), f"{types}, lang_pred string, score double")
+def fit_block(counts: DataFrame, langs: list[str]) -> Tree:
+    """Context trees of ``langs``."""
+    rows = [tuple(r) for r in counts.filter(F.col("lang").isin(langs)).collect()]    # bounded by their samples
+    return Tree(sorted(rows))
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score: trained on the documents with
     crc32(doc_id) mod 3 other than 1, applied to all."""
     d = docs.select("doc_id", "lang", "text").withColumn("held_out", doc_bucket(F.col("doc_id"), 3) == 1)
-    tree = fit(d.filter(~F.col("held_out")))
-    return predict(d, tree, ["doc_id", "held_out"])
+    best = with_best(d.select("doc_id", "held_out", "text"), d.filter(~F.col("held_out")))
+    known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)) & F.col("__lang").isNotNull()
+    return best.select("doc_id", "held_out", F.when(known, F.col("__lang")).otherwise(UNKNOWN).alias("lang_pred"),
+                       F.when(known, 1.0 / F.col("__total")).otherwise(0.0).alias("score"))
