@@ -52,7 +52,7 @@ def training_sample(docs: DataFrame) -> DataFrame:
                                           F.min(F.struct("b", "h")).alias("shortest")), "ppm-languages")
     small = F.broadcast if per.count() <= BROADCAST_LANGS else (lambda side: side)
     # a first cut by the hash, so that no more than a few thousand rows a language are ranked
-    in_share = F.shiftrightunsigned("h", 11) * F.col("n_short") < 4.0 * SAMPLE_DOCS * float(1 << 53)
+    in_share = F.shiftrightunsigned("h", 11).cast("double") * F.col("n_short") < 4.0 * SAMPLE_DOCS * float(1 << 53)
     only = (F.col("n_short") == 0) & (F.struct("b", "h") == F.col("shortest"))
     thin = thin.join(small(per), "lang").filter((short & in_share) | only).select("lang", "doc_id", "h", "b").distinct()
     first = Window.partitionBy("lang").orderBy("h", "doc_id", "b")
