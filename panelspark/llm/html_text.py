@@ -1,8 +1,9 @@
 """HTML main text: flat text blocks classified by a decision tree.
 
 A page is cut into text blocks at block-level tags.  Each block has its word
-count and link density, those of its neighbours, and flags from the markup
-around it.  A decision tree (Spark ML) trained on a small labelled table of
+count and link density, those of its neighbours (the next ones, and the most unlinked
+words of a block within ``REACH`` blocks, itself included), and flags from the markup around it (``headline``: a
+heading right before an article's first block).  A decision tree (Spark ML) trained on a small labelled table of
 pages (``LABELLED_PAGES``) tells article blocks from the rest; its splits become
 one Column expression, so blocks never leave their page's row.
 
@@ -41,9 +42,14 @@ FURNITURE_WORDS = frozenset("nav navbar navigation menu footer foot sidebar asid
 NO_ARTICLE_WORDS = frozenset("comment comments reply replies related recommended promo ad ads advert sponsored teaser".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
 CONTENT_WORDS = frozenset("article post entry story content main body text".split())
+# a class or id of several words marks furniture by its last word once these are taken off ("share-price" does not)
+LAYOUT_WORDS = frozenset("box bar wrapper wrap container list links link block section buttons button area slot panel top bottom left "
+                         "right inner outer unit item items thread row col column group icons form site page global main".split())
+QUOTES = frozenset("blockquote pre dd dt figcaption".split())      # their own class says nothing about furniture
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FEATURES = ("words", "links", "prev_words", "prev_links", "next_words", "next_links", "furniture", "article",
-            "heading", "has_article")
+            "heading", "has_article", "near_words", "headline")
+REACH = 3                   # blocks before and after that count as near
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -63,7 +69,11 @@ def _kind(tag: str, attr: str, in_article: bool) -> tuple[bool, bool, bool]:
     names: set = set()
     if attr and "=" in attr:
         for m in _NAMED.finditer(attr):
-            names.update(_WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
+            for name in (m[1] or m[2] or m[3] or "").lower().split():
+                said = _WORDS.findall(name)
+                while len(said) > 1 and (said[-1] in LAYOUT_WORDS or said[-1].isdigit()):
+                    said.pop()
+                names.update(said[-1:])
     words = NO_ARTICLE_WORDS if tag == "article" else frozenset() if tag in ("body", "main") else FURNITURE_WORDS
     furniture = tag in FURNITURE_TAGS or bool(names & words)
     header = tag == "header" or bool(names & HEADER_WORDS)
@@ -149,6 +159,8 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
         if tag in INLINE:
             if tag == "a":
                 in_link = not m["end"]
+                if link_parts:
+                    link_parts.append(" ")
             elif tag in ("img", "input"):
                 pass
             continue
@@ -158,7 +170,7 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
         elif tag not in IN_HEAD:
             in_head = False
         # a paragraph, list item or heading may be marked itself
-        own_furniture = (not m["end"] and tag not in CONTAINERS and bool(m["attr"]) and _kind(tag, m["attr"], True)[0])
+        own_furniture = (not m["end"] and tag not in CONTAINERS and tag not in QUOTES and bool(m["attr"]) and _kind(tag, m["attr"], True)[0])
         if tag in HEADINGS:
             heading = not m["end"]
         elif tag in CONTAINERS:
@@ -181,8 +193,11 @@ def blocks_of(page: str) -> list[tuple[str, list[float]]]:
     for i, (text, words, links, furniture, article, head) in enumerate(out):
         pw, pl = out[i - 1][1:3] if i else (0, 0.0)
         nw, nl = out[i + 1][1:3] if i + 1 < len(out) else (0, 0.0)
+        near = max((o[1] * (1 - o[2]) for o in out[max(0, i - REACH):i + 1 + REACH] if not o[3]), default=0)
+        near = 0 if furniture else near                     # marked blocks have no part in the text around them
+        headline = head and not furniture and i + 1 < len(out) and out[i + 1][4] and not out[i + 1][3]
         rows.append((text, [float(words), float(links), float(pw), float(pl), float(nw), float(nl), float(furniture),
-                            float(article), float(head), float(has_article)]))
+                            float(article), float(head), float(has_article), float(near), float(headline)]))
     return rows
 
 
@@ -202,7 +217,7 @@ LABELLED_PAGES = (
     ("no article tag 2", "01100", """<body><table><tr><td><a href=1>Index of pages</a></td><td><p>Wood has been used for houses since people first built them, and it is still one of the best materials that we have for small homes.</p><p>It is light, strong and easy to work, it keeps the heat well and, if it is kept dry, it lasts for many hundreds of years.</p></td><td><a href=2>Next page</a></td></tr></table><div><a href=3>Copyright of the owner</a></div></body>"""),
     ("forms", "011000", """<body><nav><a href=1>Home</a></nav><article><h2>Letters</h2><p>Yes.</p></article><form><p>Sign up for our letter and get the news of the week in your mail each Sunday.</p><label>Your mail</label></form><div id="share">Share this with all of your friends and family</div></body>"""),
     ("short", "0110", """<body><nav><ul><li><a href=1>der</a></li></ul></nav><article><h1>Kurz</h1><p>Von.</p></article><footer>&copy; m.example.net</footer></body>"""),
-    ("lists", "00111110", """<body><div class="breadcrumb"><a href=1>Home</a> / <a href=2>Food</a></div><div class="ad">The best knives of the year are on sale now, only here.</div><article><header><h1>Bread</h1></header><ul><li>Flour</li><li>Water</li></ul><p>Mix it all and wait for a night, then bake it in a hot oven until it is brown and sounds hollow.</p><p><a href=3>A longer recipe</a></p></article><div class="related"><a href=4>More bread</a></div></body>"""),
+    ("lists", "00111100", """<body><div class="breadcrumb"><a href=1>Home</a> / <a href=2>Food</a></div><div class="ad">The best knives of the year are on sale now, only here.</div><article><header><h1>Bread</h1></header><ul><li>Flour</li><li>Water</li></ul><p>Mix it all and wait for a night, then bake it in a hot oven until it is brown and sounds hollow.</p><p><a href=3>A longer recipe</a></p></article><div class="related"><a href=4>More bread</a></div></body>"""),
     ("banner in article", "010110", """<body><header class="site-header">All about gardens and the people who love them</header><article><p>Roses need sun, water and a little care in spring, when the old wood is cut back and the new shoots begin to grow.</p><div class="advert">New shears for every garden, now with a free pair of gloves for all who order today.</div><p>Good luck.</p><p>Then wait for June, and enjoy what the warm days bring to you and to your guests.</p></article><footer>About us</footer></body>"""),
     ("no article tag 3", "000111110", """<body><div class="notice">This page is no longer kept up to date, and some of what it says may be wrong by now, so please look at the new page before you do what it tells you to do.</div><div id="menu"><a href=1>A</a> <a href=2>B</a></div><div class="banner">Read the paper for four weeks at half the price, and get a bag with our name on it as well, if you order it before the end of the month.</div>
       <div><p>The old mill stands at the end of the village, where the road turns towards the hills, and it has not been used since the war, when the last miller left it to his sister and went to live by the sea with his three sons and a dog.</p><p>It was sold in spring.</p><p>The new owner, who came from the city, wants to turn it into a house for painters, with room for six of them at a time, a garden and a kitchen that they all can use.</p><p>Work has begun on the roof, which had let in the rain for years, and on the great wheel, which is to turn again when the stream is full, as it did a hundred years ago.</p><p>All are welcome to come and see it on the first day of May.</p></div><div class="comments"><p>My mother was born in that house and told us about the wheel and the noise it made at night, so I am glad that it will turn again at last, and I will come to see it.</p></div></body>"""),
@@ -216,13 +231,16 @@ PATTERNS = ((1, 1, 40, 2, 60, 1), (3, 90, 1, 1, 1, 25), (7, 30, 30, 2, 2, 120),
             (1,), (15, 8, 8, 33, 4, 70, 1, 1), (9, 45, 12, 3, 28, 6))
 
 
-def patterned_pages() -> list[tuple[str, str, str]]:
-    """Labelled pages whose paragraphs have the lengths of ``PATTERNS``: the
+def patterned_pages(patterns=PATTERNS) -> list[tuple[str, str, str]]:
+    """Labelled pages whose paragraphs have the lengths of ``patterns``: the
     article in its element, between furniture with text of like length, with a
-    loose block beside it; and the longer ones without an article element."""
+    loose block beside it, with lists of links and half linked paragraphs inside, with
+    its headline right before it, among unmarked short blocks and far headings; and the longer
+    ones without an article element, between menus that only their links tell apart."""
     say = lambda n: " ".join(["word"] * n) + "."                         # noqa: E731
+    link = lambda n: f"<a href=1>{say(n)}</a>"                             # noqa: E731
     pages = []
-    for i, lengths in enumerate(PATTERNS):
+    for i, lengths in enumerate(patterns):
         body = "".join(f"<p>{say(n)}</p>" for n in lengths)
         side = f"<div class='ad'>{say(lengths[-1] + i)}</div>"
         loose = f"<div>{say(4 + 9 * i)}</div>"
@@ -231,6 +249,24 @@ def patterned_pages() -> list[tuple[str, str, str]]:
                       f"<nav><a href=1>{say(2)}</a></nav><article><h1>{say(3 + i)}</h1>{body}</article>{side}{foot}"))
         pages.append((f"pattern {i} ad first", "00" + "1" * len(lengths) + "0",
                       f"<header>{say(1 + i)}</header>{side}<main>{body}</main>{foot}"))
+        pages.append((f"pattern {i} links", "01" + "11" * len(lengths) + "000",
+                      f"<div>{link(1 + i)}</div><article><h1>{say(2 + i)}</h1>"
+                      + "".join(f"<p>{say(n)}</p><p>{say(1 + n // 3)} <b>{link(2 + 2 * (n // 3))}</b></p>" for n in lengths)
+                      + f"<ul><li>{link(2 + i)}</li><li>{link(3 + 9 * i)}</li></ul></article><div>{link(2)}</div>"))
+        pages.append((f"pattern {i} headline", "01" + "1" * len(lengths) + "0",
+                      f"<div>{say(3 + 4 * i)}</div><h1>{say(3 + i)}</h1><article>{body}</article>{foot}"))
+        pages.append((f"pattern {i} beside", "000" + "1" * len(lengths) + "0000",
+                      f"<h1>{say(1 + i)}</h1><div>{say(1 + i)}</div><div>{say(2 + 3 * i)}</div><article>{body}</article>"
+                      f"<div>{say(1 + 2 * i)}</div><h3>{say(2 + i)}</h3><p>{say(5 + 7 * i)}</p><div>{link(3)}</div>"))
+        if max(lengths) >= 25:
+            menu = "".join(f"<li>{link(n)}</li>" for n in (1, 2 + i, 1, 3))
+            pages.append((f"pattern {i} menus", "0000" + "0" + "0000" + "1" + "1" * len(lengths) + "0000" + "0" + "0000",
+                          f"{menu}<li>{say(2 + 2 * i)}</li>{menu}<h2>{say(4 + i)}</h2>{body}{menu}<li>{say(1 + i)}</li>{menu}"))
+            pages.append((f"pattern {i} plain", "1" + "1" * len(lengths), f"<h1>{say(2 + i)}</h1>{body}"))
+            pages.append((f"pattern {i} bare", "001" + "1" * len(lengths) + "11000",
+                          f"<div>{link(2 + i)}</div><div>{link(12)}</div><div><h1>{say(2 + i)}</h1>{body}"
+                          f"<p>{say(20 + 3 * i)} {link(1 + 2 * i)}</p><p>{say(4 + i)} {link(3 + i)} {say(9)}</p></div>"
+                          f"<div>{link(1 + 3 * i)}</div><div>{say(1)} {link(6 + 8 * i)}</div>{foot}"))
         pages.append((f"pattern {i} loose", "0" + "1" * len(lengths) + "0", f"{loose}<article>{body}</article>{foot}"))
     return pages
 
@@ -244,7 +280,7 @@ def train_tree(spark: SparkSession):
             raise ValueError(f"{name}: {len(blocks)} blocks, {len(labels)} labels")
         rows += [(float(y), Vectors.dense(x)) for y, (_, x) in zip(labels, blocks)]
     table = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)
-    return DecisionTreeClassifier(maxDepth=6, minInstancesPerNode=1, seed=7).fit(table)
+    return DecisionTreeClassifier(maxDepth=8, minInstancesPerNode=1, seed=7).fit(table)
 
 
 def tree_column(model, x: Column) -> Column:
