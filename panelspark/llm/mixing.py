@@ -10,7 +10,8 @@ is exactly its rounded target (its last block is cut short).
 
 Defined cases: a null text has size 0; a null source is a source of its own
 (ordered last); documents of size 0 take nothing; an empty table gives an
-empty result; repeated rows are separate documents; further columns of the
+empty result; repeated rows are separate documents; a very long text spans several blocks;
+a mix beyond ``MAX_SLOTS`` slots takes larger blocks; further columns of the
 input are ignored, whatever they are called.
 """
 
@@ -29,6 +30,7 @@ BLOCK_WORDS = 4096
 LINE_DIGITS = 3             # a source's line is laid in 16**3 shuffled ranges
 MAX_SOURCES = 100_000       # size up to which the table of sources is broadcast
 SALTS = 64
+MAX_SLOTS = 1 << 30         # beyond, blocks grow (a point times the number of slots must fit 63 bits)
 
 
 def _key(source: Column) -> Column:
@@ -100,8 +102,6 @@ def schedule(per: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     per = per.withColumn("lo", F.coalesce(F.sum("n_slots").over(over), F.lit(0)))
     total = per.agg(F.sum("n_slots")).first()[0] or 0
     bits = max(1, math.ceil(math.log2(max(total, 2))))
-    if bits > 31:
-        raise ValueError(f"{total} slots: raise block_words above {block_words}")
     width = 1024
     # point v of the sequence, scaled to the slots' total, falls in the source
     # whose [lo, lo + n_slots) holds it; an equi-join on cells of that axis finds it
@@ -125,6 +125,14 @@ def schedule(per: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return hit.filter(F.col("rank") < F.col("n_slots")).select("slot", "key", "rank")
 
 
+def block_size(per: DataFrame, block_words: int = BLOCK_WORDS) -> int:
+    """``block_words``, doubled until the mix of ``per`` has at most ``MAX_SLOTS`` slots (and one more a source)."""
+    words = per.agg(F.sum(F.round("target"))).first()[0] or 0
+    while words / block_words > MAX_SLOTS:
+        block_words *= 2
+    return block_words
+
+
 def mix_sources(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """Returns (documents, segments).
 
@@ -136,6 +144,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, block_words: i
                                word_count(F.col("text")).alias("size")), "mix-sizes")
     per = staged(source_targets(sized, weights, cap), "mix-sources")
     n_sources = per.count()
+    block_words = block_size(per, block_words)
     lines = _attach_sources(lay_lines(sized), per.drop("source"), n_sources)
     lines = staged(lines, "mix-lines")
     want = F.round("target").cast("long")

@@ -161,6 +161,22 @@ def test_op4_every_prefix_is_mixed(spark):
         assert abs(part / w - 0.5) < 0.05
 
 
+def test_op4_blocks_grow_with_the_mix(spark, monkeypatch):
+    d = spark.createDataFrame([(i, "w " * 40, f"s{i % 4}") for i in range(400)], "doc_id bigint, text string, source string")
+    monkeypatch.setattr(mixing, "MAX_SLOTS", 64)
+    lines, segments = mixing.mix_sources(d, block_words=1)
+    assert segments.agg(F.max("slot")).first()[0] < 2 * (64 + 4)
+    targets = {r["key"]: r.target for r in lines.select("key", "target").distinct().collect()}
+    for r in segments.groupBy("key").agg(F.sum("words").alias("w")).collect():
+        assert abs(r.w - targets[r["key"]]) <= 1
+
+
+def test_op4_salted_sources(docs, monkeypatch):
+    whole = sorted(map(repr, mixing.taken_words(docs).collect()))
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 0)
+    assert sorted(map(repr, mixing.taken_words(docs).collect())) == whole
+
+
 def test_op5(docs, empty):
     rows = language_id.identify(docs).collect()
     assert len(rows) == len(ROWS)
