@@ -12,12 +12,14 @@ Two exact strategies, chosen by a size check on the reference side:
   is an upper limit ``tau`` for the k-th neighbour overall, and by the triangle inequality a cell whose pivot is farther than
   ``tau`` plus its radius (or farther than the own pivot by more than ``2 tau``) can hold none: the query visits the other cells only.
   Inside a cell, rows lie in order of their distance to the pivot, and only the ring ``tau`` around the query's own distance is scored.
-  This holds for every Minkowski order from 1 on.  Large cells are dealt into blocks of
-  ``max_block_bytes``, many queries of one cell into blocks of their own, and every pair of blocks
-  meets once in an ``applyInPandas`` co-group, so no cell is hot.
+  This holds for every Minkowski order from 1 on.  Neighbouring cells are packed into shards of ``SHARD_BYTES``
+  (a larger cell is dealt over several), a query travels once to every shard that holds a cell it must visit,
+  many queries of one shard are dealt into blocks of their own, and every pair of query block and shard
+  meets once in an ``applyInPandas`` co-group, so no cell is hot.  There the cells are scored in blocks of ``max_block_bytes``
+  against all queries that must visit them, and only rows within a query's limit become candidates; the limit falls as they are found.
 
 Either way a task emits k rows per query, never all pairs, and the winners of the visited
-blocks are reduced to the final k with a window per query.  Ties are broken by
+shards are reduced to the final k with a window per query.  Ties are broken by
 reference id: the result is exact and deterministic.  ``probe`` turns the second strategy
 into the approximate join: a query visits its ``probe`` nearest cells and no others.
 """
@@ -204,85 +206,213 @@ def _upper_limit(D: np.ndarray, size: np.ndarray, radius: np.ndarray, k: int) ->
     return np.where(enough.any(axis=1), at, np.inf)
 
 
+def _shards(P: np.ndarray, size: np.ndarray, shard_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """First shard and number of shards of every cell: cells along the pivots' widest direction are packed
+    up to ``shard_rows`` rows, a larger cell has shards of its own."""
+    centred = P - P.mean(axis=0) if len(P) else P
+    along = centred @ np.linalg.svd(centred, full_matrices=False)[2][0] if len(P) > 1 else np.zeros(len(P))
+    first, parts = np.zeros(len(P), np.int64), np.maximum(1, -(-size // shard_rows))
+    shard, held = -1, shard_rows
+    for c in np.argsort(along, kind="stable"):
+        if held + size[c] > shard_rows:
+            shard, held = shard + 1, 0
+        first[c] = shard
+        if parts[c] > 1:
+            shard, held = shard + parts[c] - 1, shard_rows
+        else:
+            held += size[c]
+    return first, parts
+
+
+def _candidates(Q, q_ids, R, r_ids, limit: np.ndarray, k: int, p: int, exclude_self: bool):
+    """(query, row, distance) of all pairs within the query's limit that can be among its k nearest,
+    distances by the exact difference formula."""
+    if p != 2:
+        D = _minkowski(Q, R, p)
+        qi, ri = np.nonzero(D <= limit[:, None])
+        dist = D[qi, ri]
+    else:
+        qn, rn = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", R, R)
+        D2 = Q @ R.T
+        D2 *= -2.0
+        D2 += qn[:, None]
+        D2 += rn[None, :]
+        # the margin is far above the rounding error of the product (see ``_topk_euclid``)
+        margin = 1e-9 * (qn + rn.max(initial=0.0)) + 1e-300
+        near = D2 <= (limit * limit * (1 + 1e-9) + margin)[:, None]
+        if k < D2.shape[1] and np.count_nonzero(near) > 4 * k * len(Q):         # a loose limit: the block's own k-th
+            if exclude_self:
+                D2[q_ids[:, None] == r_ids[None, :]] = np.inf
+            near &= D2 <= (np.partition(D2, k - 1, axis=1)[:, k - 1] + margin)[:, None]
+        qi, ri = np.nonzero(near)
+        dist = np.empty(len(qi))
+        step = max(1, _CHUNK_ELEMS // max(1, Q.shape[1]))
+        for a in range(0, len(qi), step):
+            diff = Q[qi[a:a + step]] - R[ri[a:a + step]]
+            dist[a:a + step] = np.sqrt((diff * diff).sum(axis=1))
+    keep = (dist <= limit[qi]) & np.isfinite(dist)
+    if exclude_self:
+        keep &= q_ids[qi] != r_ids[ri]
+    return qi[keep], ri[keep], dist[keep]
+
+
+class _Best:
+    """The k nearest rows of every query so far, by (distance, id), and the distance that a further one may not exceed."""
+
+    def __init__(self, limit: np.ndarray, k: int):
+        self.k, self.limit = k, limit.copy()
+        self.distance = np.full((len(limit), k), np.inf)
+        self.ids = np.zeros((len(limit), k), np.int64)
+        self.row = np.full((len(limit), k), -1)
+
+    def take(self, q: np.ndarray, distance: np.ndarray, ids: np.ndarray, row: np.ndarray) -> None:
+        last = self.distance[q, -1]
+        new = (distance < last) | ((distance == last) & (ids < self.ids[q, -1]))
+        q, distance, ids, row = q[new], distance[new], ids[new], row[new]
+        if not len(q):
+            return
+        which = np.unique(q)
+        old = np.repeat(which, self.k)
+        q, distance = np.concatenate([old, q]), np.concatenate([self.distance[which].ravel(), distance])
+        ids, row = np.concatenate([self.ids[which].ravel(), ids]), np.concatenate([self.row[which].ravel(), row])
+        order = np.lexsort((ids, distance, q))
+        nth = np.arange(len(q)) - np.searchsorted(q[order], which).repeat(np.unique(q, return_counts=True)[1])
+        order = order[nth < self.k]
+        for kept, v in ((self.distance, distance), (self.ids, ids), (self.row, row)):
+            kept[which] = v[order].reshape(len(which), self.k)
+        self.limit[which] = np.minimum(self.limit[which], self.distance[which, -1])
+
+
+SHARD_BYTES = 16 * 1024 * 1024
+STEP = 2048                 # queries whose distances to all pivots a task holds at a time
+
+
 def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_self, n_ref, dim, block_rows, out_schema, probe, stats):
     P = _pivots(ref, rid, fcols, features, n_ref, dim)
     types = dict(ref.select(*fcols).dtypes)
     spec = ", ".join(f"`{c}` {types[c]}" for c in fcols)
 
-    def assign(it):
+    def steps(it):
         for pdf in it:
-            D = _distances(_matrix(pdf, features), P, p)
-            own = D.argmin(axis=1) if len(D) else np.zeros(0, int)
+            for a in range(0, len(pdf), STEP):
+                part = pdf.iloc[a:a + STEP]
+                X = _matrix(part, features)
+                yield part, X, _distances(X, P, p)
+
+    def assign(it):
+        for pdf, X, D in steps(it):
+            own = D.argmin(axis=1)
             yield pdf.assign(__cell=own.astype(np.int32), __at=D[np.arange(len(D)), own])
     rows = ref.select(F.col(rid).cast("long").alias(rid), *fcols, *[F.col(c).cast("double").alias(c) for c in carry])
     rows = cut_lineage(rows.mapInPandas(assign, f"`{rid}` long, {spec}" + "".join(f", `{c}` double" for c in carry) + ", __cell int, __at double"))
     size, radius = np.zeros(len(P), np.int64), np.full(len(P), -np.inf)
     for r in rows.groupBy("__cell").agg(F.count(F.lit(1)).alias("n"), F.max("__at").alias("r")).collect():       # one row a pivot
         size[r["__cell"]], radius[r["__cell"]] = r["n"], r["r"]
-    blocks = np.maximum(1, -(-size // block_rows))
-    need = k + (1 if exclude_self else 0)
+    shard_rows = max(block_rows, SHARD_BYTES // (8 * (dim + 2 + len(carry))))
+    first, parts = _shards(P, size, shard_rows)
+    # rows that share the query's id are no neighbours
+    need = k + (int(rows.groupBy(rid).count().agg(F.max("count")).first()[0] or 0) if exclude_self else 0)
     first_visits = probe or 1
 
+    def spread(pdf, qi, ci, tau):
+        """A row per query and shard of a cell to visit; ``__one``: no other cell is visited there."""
+        n = parts[ci]
+        at = np.repeat(np.arange(len(qi)), n)
+        part = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        return pdf.iloc[qi[at]].assign(__cell=ci[at].astype(np.int32), __tau=tau[at], __shard=(first[ci][at] + part).astype(np.int32),
+                                       __one=True, __pairs=np.where(part == 0, size[ci][at], 0))
+
     def open_visits(it):
-        """The query's nearest cells, with its distance to their pivots and a first limit."""
-        for pdf in it:
-            X = _matrix(pdf, features)
-            if not len(X):
-                continue
-            D = np.where(size[None, :] > 0, _distances(X, P, p), np.inf)
+        """The query's nearest cells and a first limit."""
+        for pdf, X, D in steps(it):
+            D = np.where(size[None, :] > 0, D, np.inf)
             tau = _upper_limit(D, size, radius, need) + _slack(X, P)
             n = min(first_visits, int((size > 0).sum()))
-            near = np.argsort(D, axis=1, kind="stable")[:, :n]
+            near = np.argsort(D, axis=1, kind="stable")[:, :n].ravel()
             at = np.repeat(np.arange(len(X)), n)
-            yield pdf.iloc[at].assign(__cell=near.ravel().astype(np.int32), __at=D[at, near.ravel()],
-                                      __tau=np.inf if probe else tau[at])
+            yield spread(pdf, at, near, np.full(len(at), np.inf) if probe else tau[at])
+
+    def may_hold(D, own, tau, slack):
+        """Cells other than the one visited first that can hold a row within the limit."""
+        bound = np.maximum(D - radius[None, :], (D - D[np.arange(len(D)), own][:, None]) / 2)
+        may = (bound <= tau[:, None] + slack) & (size[None, :] > 0)
+        may[np.arange(len(D)), own] = False
+        return may
 
     def other_visits(it):
-        """All cells that can hold a row within the limit, but for the one visited first."""
-        for pdf in it:
-            X = _matrix(pdf, features)
-            if not len(X):
-                continue
-            D, slack = _distances(X, P, p), _slack(X, P)
+        """The shards of all those cells, each once."""
+        n_shards = int((first + parts).max(initial=1))
+        for pdf, X, D in steps(it):
             own, tau = pdf["__cell"].to_numpy(), pdf["__tau"].to_numpy(dtype=float)
-            bound = np.maximum(D - radius[None, :], (D - D[np.arange(len(X)), own][:, None]) / 2)
-            may = (bound <= tau[:, None] + slack) & (size[None, :] > 0)
-            may[np.arange(len(X)), own] = False
-            qi, ci = np.nonzero(may)
-            yield pdf.iloc[qi].assign(__cell=ci.astype(np.int32), __at=D[qi, ci], __tau=tau[qi] + slack)
-
-    visit_schema = f"`{qid}` long, {spec}, __cell int, __at double, __tau double"
+            slack = _slack(X, P)
+            may = may_hold(D, own, tau, slack)
+            pairs = np.zeros((len(X), n_shards), np.int64)
+            to = np.zeros((len(X), n_shards), bool)
+            for c in np.flatnonzero(may.any(axis=0)):
+                to[:, first[c]:first[c] + parts[c]] |= may[:, c:c + 1]
+                pairs[:, first[c]] += np.where(may[:, c], size[c], 0)
+            qi, si = np.nonzero(to)
+            for a in range(0, len(qi), 4 * STEP):            # some MB of an Arrow batch
+                q, sh = qi[a:a + 4 * STEP], si[a:a + 4 * STEP]
+                yield pdf.iloc[q].assign(__shard=sh.astype(np.int32), __one=False, __tau=tau[q] + slack, __pairs=pairs[q, sh])
+
+    visit_schema = f"`{qid}` long, {spec}, __cell int, __tau double, __shard int, __one boolean, __pairs long"
 
     def pair(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({c: pd.Series(dtype="float64" if c not in (qid, rid) else "int64") for c in [qid, rid, "distance", *carry]})
         if not len(qpdf) or not len(rpdf):
             return none
-        rpdf, qpdf = rpdf.sort_values("__at", kind="stable"), qpdf.sort_values("__at", kind="stable")
-        ring, q_at, tau = rpdf["__at"].to_numpy(), qpdf["__at"].to_numpy(), qpdf["__tau"].to_numpy()
+        rpdf = rpdf.sort_values(["__cell", "__at", rid], kind="stable")
+        cell, ring = rpdf["__cell"].to_numpy(), rpdf["__at"].to_numpy()
         R, r_ids = _matrix(rpdf, features), rpdf[rid].to_numpy(dtype=np.int64)
-        r_carry = {c: rpdf[c].to_numpy(dtype=float) for c in carry}
-        slack = _slack(R, P)
-        out = []
-        for s in range(0, len(qpdf), 64):
-            z = slice(s, s + 64)
-            lo = np.searchsorted(ring, (q_at[z] - tau[z]).min() - slack, "left")
-            hi = np.searchsorted(ring, (q_at[z] + tau[z]).max() + slack, "right")
-            got = _topk(qpdf.iloc[z], R[lo:hi], r_ids[lo:hi], {c: v[lo:hi] for c, v in r_carry.items()},
-                        qid, rid, features, carry, k, p, exclude_self) if hi > lo else None
-            if got is not None and len(got):
-                limit = pd.Series(tau[z], index=qpdf[qid].iloc[z].to_numpy(dtype=np.int64))
-                out.append(got[got["distance"].to_numpy() <= got[qid].map(limit[~limit.index.duplicated()]).to_numpy()])
-        return pd.concat(out, ignore_index=True) if out else none
+        cells, begin = np.unique(cell, return_index=True)
+        end = np.append(begin[1:], len(cell))
+        out = [none]
+        step = max(1, _CHUNK_ELEMS // len(cells))
+        for a in range(0, len(qpdf), step):
+            part = qpdf.iloc[a:a + step]
+            q_ids, best = nearest(part, R, r_ids, ring, cells, begin, end)
+            qi, nth = np.nonzero(best.row >= 0)
+            at = best.row[qi, nth]
+            out.append(pd.DataFrame({qid: q_ids[qi], rid: r_ids[at], "distance": best.distance[qi, nth],
+                                     **{c: rpdf[c].to_numpy(dtype=float)[at] for c in carry}}))
+        return pd.concat([x for x in out if len(x)] or out[:1], ignore_index=True)
+
+    def nearest(qpdf, R, r_ids, ring, cells, begin, end):
+        """The best rows of a shard, cell by cell, for a slice of its queries."""
+        Q, q_ids = _matrix(qpdf, features), qpdf[qid].to_numpy(dtype=np.int64)
+        own, one = qpdf["__cell"].to_numpy(), qpdf["__one"].to_numpy(dtype=bool)
+        best = _Best(qpdf["__tau"].to_numpy(dtype=float), k)
+        slack = _slack(Q, P) + _slack(R, P)
+        # distances to the pivots here and, for the queries that visit by limit, to the own one
+        D, d_own = _distances(Q, P[cells], p), np.zeros(len(Q))
+        for c in np.unique(own[~one]):
+            at = np.flatnonzero((own == c) & ~one)
+            d_own[at] = _distances(Q[at], P[c:c + 1], p)[:, 0]
+        for i in np.argsort(np.median(D, axis=0), kind="stable"):
+            c = cells[i]
+            bound = np.maximum(D[:, i] - radius[c], (D[:, i] - d_own) / 2)
+            q = np.flatnonzero(np.where(one, own == c, (own != c) & (bound <= best.limit + slack)))
+            for a in range(begin[i], end[i], block_rows):
+                z = slice(a, min(a + block_rows, end[i]))
+                # the block's part of the ring: only queries whose limit reaches it
+                reach = best.limit[q] + slack
+                asked = q[(D[q, i] + reach >= ring[a]) & (D[q, i] - reach <= ring[z.stop - 1])]
+                step = max(1, _CHUNK_ELEMS // ((z.stop - a) * (1 if p == 2 else max(1, R.shape[1]))))
+                for s in range(0, len(asked), step):
+                    some = asked[s:s + step]
+                    qi, ri, dist = _candidates(Q[some], q_ids[some], R[z], r_ids[z], best.limit[some], k, p, exclude_self)
+                    best.take(some[qi], dist, r_ids[z][ri], a + ri)
+        return q_ids, best
 
     def visited(visits: DataFrame) -> DataFrame:
-        many = visits.groupBy("__cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("__qb"))
-        rb = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("__cell") + 1)
-        # one row a cell: at most MAX_PIVOTS
-        q = visits.join(F.broadcast(many), "__cell").withColumn("__qblock", F.pmod(F.xxhash64(F.lit(1), qid), F.col("__qb")).cast("int")) \
-            .withColumn("__rblock", F.explode(F.sequence(F.lit(0), rb - 1))).drop("__qb")
-        r = rows.join(F.broadcast(many), "__cell").withColumn("__rblock", F.pmod(F.xxhash64(F.lit(2), rid), rb).cast("int")) \
-            .withColumn("__qblock", F.explode(F.sequence(F.lit(0), F.col("__qb") - 1))).drop("__qb")
-        return q.groupBy("__cell", "__qblock", "__rblock").cogroup(r.groupBy("__cell", "__qblock", "__rblock")).applyInPandas(pair, out_schema)
+        many = visits.groupBy("__shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("__qb"))
+        of = lambda v: F.element_at(F.array(*[F.lit(int(x)) for x in v]), F.col("__cell") + 1)
+        # one row a shard
+        q = visits.join(F.broadcast(many), "__shard").withColumn("__qblock", F.pmod(F.xxhash64(F.lit(1), qid), F.col("__qb")).cast("int")).drop("__qb")
+        r = rows.withColumn("__shard", (of(first) + F.pmod(F.xxhash64(F.lit(2), rid), of(parts))).cast("int")) \
+            .join(F.broadcast(many), "__shard").withColumn("__qblock", F.explode(F.sequence(F.lit(0), F.col("__qb") - 1))).drop("__qb")
+        return q.groupBy("__shard", "__qblock").cogroup(r.groupBy("__shard", "__qblock")).applyInPandas(pair, out_schema)
 
     qs = queries.select(F.col(qid).cast("long").alias(qid), *fcols)
     visits = cut_lineage(qs.mapInPandas(open_visits, visit_schema))
@@ -293,13 +423,13 @@ def _by_pivots(queries, ref, qid, rid, fcols, features, carry, k, p, exclude_sel
         # k rows of the first cell limit the rest
         w = Window.partitionBy(qid).orderBy("distance", rid)
         kth = found.withColumn("__nth", F.row_number().over(w)).where(F.col("__nth") == k).select(qid, F.col("distance").alias("__kth"))
-        limits = visits.join(kth, qid, "left").withColumn("__tau", F.least("__tau", F.coalesce("__kth", F.lit(float("inf")))))
+        limits = visits.where(F.col("__shard") == F.element_at(F.array(*[F.lit(int(x)) for x in first]), F.col("__cell") + 1)) \
+            .join(kth, qid, "left").withColumn("__tau", F.least("__tau", F.coalesce("__kth", F.lit(float("inf")))))
         others = cut_lineage(limits.select(qid, *fcols, "__cell", "__tau").mapInPandas(other_visits, visit_schema))
         found = found.unionByName(visited(others))
     if stats is not None:
-        n_cell = F.element_at(F.array(*[F.lit(int(n)) for n in size]), F.col("__cell") + 1)
         both = visits if others is None else visits.unionByName(others)
-        stats["pairs"] = int(both.agg(F.sum(n_cell)).first()[0] or 0)
+        stats["pairs"] = int(both.agg(F.sum("__pairs")).first()[0] or 0)
         stats["all"] = queries.count() * n_ref
     return found
 

@@ -99,3 +99,33 @@ def test_pivots_with_few_rows(spark):
     assert got.count() == 40 * 39
     assert knn.knn_join(df.limit(0).withColumnRenamed("id", "q"), df.withColumnRenamed("id", "r"), "q", "r", "v",
                         max_block_bytes=200).count() == 0
+
+
+def test_pivots_send_a_query_once_to_a_shard(spark, monkeypatch):
+    """Rows without structure, small blocks: every cell is visited, yet a query travels once per shard, not once
+    per cell and block, and the result stays exact."""
+    rng = np.random.default_rng(11)
+    X = rng.normal(size=(600, 24)).astype(np.float32).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(600), "v": list(X)}), "id long, v array<double>")
+    sent = []
+    monkeypatch.setattr(knn, "cut_lineage", lambda d, cut=knn.cut_lineage: sent.append(cut(d)) or sent[-1])
+    got = knn.knn_join(df.withColumnRenamed("id", "q"), df.withColumnRenamed("id", "r"), "q", "r", "v", k=5, exclude_self=True,
+                       max_block_bytes=16 * 26 * 8).toPandas()
+    D = np.sqrt(((X[:, None, :] - X[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(D, np.inf)
+    for i in range(600):
+        assert list(got[got.q == i].sort_values("rank").r) == list(np.lexsort((np.arange(600), D[i]))[:5])
+    visits = [d.count() for d in sent if "q" in d.columns and "r" not in d.columns]
+    assert max(visits) <= 600                            # one shard holds all cells
+
+
+def test_pivots_over_many_shards_with_a_hot_cell(spark, monkeypatch):
+    """Shards smaller than a cell of equal rows: the cell is dealt over several; ids that repeat stay exact."""
+    monkeypatch.setattr(knn, "SHARD_BYTES", 1)
+    rng = np.random.default_rng(3)
+    X = np.vstack([np.zeros((200, 3)), rng.normal(size=(300, 3))])
+    ids = np.concatenate([np.arange(490), np.arange(10)])
+    df = spark.createDataFrame(pd.DataFrame({"id": ids, "v": list(X)}), "id long, v array<double>")
+    args = (df.where("id >= 10").withColumnRenamed("id", "q"), df.withColumnRenamed("id", "r"), "q", "r", "v")
+    rows = lambda d: sorted((r.q, r["rank"], r.r, round(r.distance, 9)) for r in d.collect())
+    assert rows(knn.knn_join(*args, k=4, exclude_self=True, max_block_bytes=40 * 24)) == rows(knn.knn_join(*args, k=4, exclude_self=True))
