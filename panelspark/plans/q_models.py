@@ -55,18 +55,21 @@ def model_data(spark, sf, test_periods: int = 8, complete: bool = True):
 CURVE = {"alpha": 0.1, "l1_ratio": 0.5, "max_iter": 1000}      # elastic net of the learning curve
 
 
-def _run(spark, sf, name):
-    """One family, fitted once per session and table folder (the queries below show sides of one run)."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _RUNS:
-        train, test = model_data(spark, sf)
-        _RUNS[key] = models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter", models=[name],
-                                      fixed_params=FIXED, key_cols=["c_nationkey", "quarter"])[0]
-    return _RUNS[key]
+def _runs(spark, sf, names=tuple(models.SPACES), data=None):
+    """The families' runs, each fitted once per session and table folder (the queries below show sides of one run);
+    the panel, the only step that reads the tables, is built once for all that are still to be fitted."""
+    key = lambda name: (spark.sparkContext.applicationId, sf, name)
+    todo = [name for name in names if key(name) not in _RUNS]
+    if todo:
+        train, test = data or model_data(spark, sf)
+        for name in todo:
+            _RUNS[key(name)] = models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter", models=[name],
+                                                fixed_params=FIXED, key_cols=["c_nationkey", "quarter"])[0]
+    return [_RUNS[key(name)] for name in names]
 
 
-def _runs(spark, sf, names=tuple(models.SPACES)):
-    return [_run(spark, sf, name) for name in names]
+def _run(spark, sf, name):
+    return _runs(spark, sf, [name])[0]
 
 
 # ---------------------------------------------------------------- exact KNN on embeddings
@@ -191,9 +194,10 @@ def q_coefficients(spark, sf):
 @query("model_predictions")
 def q_model_predictions(spark, sf):
     """Predictions keep the entity and time keys of every test row."""
-    _, test = model_data(spark, sf)
+    data = model_data(spark, sf)
+    test = data[1]
     out = None
-    for r in _runs(spark, sf):
+    for r in _runs(spark, sf, data=data):
         if r.fitted is None:
             continue
         p = r.fitted.predict(test).select(F.lit(r.model).alias("model"), "c_nationkey", "quarter",

@@ -160,3 +160,17 @@ def test_train_all_reports_errors(spark, reg):
     assert tbl["nonexistent"].error is not None and tbl["nonexistent"].r2 is None
     assert tbl["elastic_net"].error is None and tbl["elastic_net"].r2 > 0.9
     assert 0 <= tbl["elastic_net"].f_pvalue <= 1
+
+
+def test_queries_build_the_panel_once(spark, monkeypatch):
+    from panelspark.plans import q_models
+    built, run_of = [], models.ModelRun
+    panel = spark.createDataFrame([(q, 1.0 * q, 1.0, 2.0, 3.0, 4.0) for q in range(20)],
+                                  "quarter int, avg_price double, n_orders double, avg_acctbal double, avg_qty double, avg_disc double")
+    monkeypatch.setattr(q_models, "panel_nation", lambda *a, **k: built.append(a) or panel)
+    monkeypatch.setattr(q_models, "_RUNS", {})
+    monkeypatch.setattr(q_models.models, "train_all", lambda train, test, *a, models, **k: [run_of(models[0], None, None, 0.0, None, 0.0)])
+    assert [r.model for r in q_models._runs(spark, "x")] == list(models.SPACES)
+    assert len(built) == 1
+    q_models._runs(spark, "x")
+    assert len(built) == 1
