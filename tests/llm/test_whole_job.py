@@ -83,3 +83,11 @@ def test_op1_items_with_a_shared_prompt():
     found = {(d, k): (v[0], -v[1]) for d, own in got.items() for k, v in own.items()}
     assert all(want[p] == v for p, v in found.items())
     assert len(found) >= 0.99 * len(want)
+
+
+def test_op7_holds_a_chunk_s_paths_in_narrow_integers():
+    own, other = lm_score.followed(lm_score._small(np.array([[0, 2]] * 8 + [[5, 1 << 20]])))
+    assert own.dtype == other.dtype == np.int32 and own[:, 0].tolist() == [5] * 9
+    assert own[0, 1] == (1 << 20) + 16 and other[7].tolist() == [0, 2]
+    own, _ = lm_score.followed(lm_score._small(np.full((9, 1), 1 << 28)))
+    assert own.dtype == np.int64 and own[0, 0] == 9 << 28
