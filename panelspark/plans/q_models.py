@@ -19,7 +19,7 @@ from panelspark.operators.splits import sample_fraction
 from panelspark.plans.panels import NATION_FEATURES, NATION_TARGET, panel_nation, table
 from panelspark.plans.q_prep import _NP_SQL
 from panelspark.plans.registry import query, rnd, rounded
-from panelspark.session import cut_lineage
+from panelspark.session import cut_lineage, dealt_by_rows
 
 K = 5
 FIXED = {
@@ -42,8 +42,8 @@ def model_data(spark, sf, test_periods: int = 8, complete: bool = True):
     quarters of the calendar.  ``complete`` keeps the rows that have the
     target and every feature (B8): models train and score on a panel without
     missing values (a quarter whose orders have no line items has no mean
-    quantity or discount)."""
-    p = panel_nation(spark, sf, materialize=True)
+    quantity or discount).  The panel comes in partitions by its own rows, not by the size of the tables."""
+    p = dealt_by_rows(panel_nation(spark, sf, materialize=True))
     cut = p.agg((F.max("quarter") - test_periods + 1).alias("c")).first()["c"]
     if complete:
         p = p.na.drop(subset=NATION_FEATURES + [NATION_TARGET])

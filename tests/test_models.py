@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from panelspark import session
 from panelspark.operators import models
 
 
@@ -174,3 +175,16 @@ def test_queries_build_the_panel_once(spark, monkeypatch):
     assert len(built) == 1
     q_models._runs(spark, "x")
     assert len(built) == 1
+
+
+@pytest.mark.parametrize("rows_a_task,parts", [(1 << 15, 1), (50, 2), (1, 40)])
+def test_model_data_is_dealt_by_its_own_rows(spark, monkeypatch, rows_a_task, parts):
+    from panelspark.plans import q_models
+    rows = [(n, q, 1.0 * q, 1.0, 2.0, 3.0, 4.0) for n in range(5) for q in range(20)]
+    panel = spark.createDataFrame(rows, "c_nationkey int, quarter int, avg_price double, n_orders double, avg_acctbal double, "
+                                        "avg_qty double, avg_disc double").repartition(40).localCheckpoint()
+    monkeypatch.setattr(q_models, "panel_nation", lambda *a, **k: panel)
+    monkeypatch.setattr(q_models, "dealt_by_rows", lambda df: session.dealt_by_rows(df, rows_a_task))
+    train, test = q_models.model_data(spark, "x")
+    assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == parts
+    assert sorted(map(tuple, train.union(test).collect())) == sorted(rows)
