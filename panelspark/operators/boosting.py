@@ -337,7 +337,7 @@ def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = RE
     params = {j: e.params for j, e in enumerate(ensembles)}
     for t in range(rounds):
         if t - since >= refresh:
-            blocks = _written(blocks.mapInArrow(_refreshed(ensembles, since, k), BLOCK), "margins")
+            blocks = _written(blocks.mapInArrow(_refreshed(_since(ensembles, since), 0, k), BLOCK), "margins")
             since = t
         active = [j for j, e in enumerate(ensembles) if int(e.params.get("n_estimators", 100)) > t]
         current = {j: Tree() for j in active}
@@ -345,8 +345,9 @@ def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = RE
             current[j].add(0.0)
         frontier = {j: [0] for j in active}
         depth = 0
+        late = _since(ensembles, since)
         while frontier:
-            rows = _level(blocks, one_task, _histograms(ensembles, since, t, current, frontier, k), _splits(params)).collect()
+            rows = _level(blocks, one_task, _histograms(late, 0, t, current, frontier, k), _splits(params)).collect()
             per: dict = {}
             for r in rows:
                 per.setdefault((r["job"], r["node"]), []).append(r)
@@ -367,7 +368,12 @@ def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = RE
         for j in active:
             current[j].prune(float(ensembles[j].params.get("gamma", 0.0)))
             ensembles[j].trees.append(current[j])
-    return _written(blocks.mapInArrow(_refreshed(ensembles, since, k), BLOCK), "margins")
+    return _written(blocks.mapInArrow(_refreshed(_since(ensembles, since), 0, k), BLOCK), "margins")
+
+
+def _since(ensembles: list[Ensemble], since: int) -> list[Ensemble]:
+    """The ensembles with the trees that the blocks' predictions lack: all that a task needs of them."""
+    return [Ensemble(e.params, e.until, e.base, e.trees[since:]) for e in ensembles]
 
 
 def _base_values(blocks: DataFrame, k: int, untils: list) -> list[float]:
@@ -456,12 +462,15 @@ def fit(train: DataFrame, features: Sequence[str], label: str, params: dict, key
 
 
 def walk_forward_scores(train: DataFrame, features: Sequence[str], label: str, period: str, folds: list, params: list[dict],
-                        key_cols: Sequence[str] = (), max_bins: int = MAX_BINS) -> list[list[float]]:
+                        key_cols: Sequence[str] = (), max_bins: int = MAX_BINS, refit: dict | None = None):
     """R2 per parameter set and fold (train end, first and last validation period): all ensembles
-    grow on the same blocks, one job a level for all of them."""
+    grow on the same blocks, one job a level for all of them.  With parameters ``refit`` an ensemble on all
+    rows, the one of ``fit``, grows beside them: returns (scores, ensemble, borders)."""
     borders = bin_borders(train, features, max_bins)
     blocks = row_blocks(train, features, label, borders, period, key_cols)
     ensembles = [Ensemble(dict(p), float(end)) for p in params for end, _, _ in folds]
     windows = [(float(lo), float(hi)) for _ in params for _, lo, hi in folds]
-    got = fold_scores(grow(blocks, len(features), ensembles), len(features), windows)
-    return [got[i * len(folds):(i + 1) * len(folds)] for i in range(len(params))]
+    whole = [] if refit is None else [Ensemble(dict(refit))]
+    got = fold_scores(grow(blocks, len(features), ensembles + whole), len(features), windows)
+    scores = [got[i * len(folds):(i + 1) * len(folds)] for i in range(len(params))]
+    return scores if refit is None else (scores, whole[0], borders)

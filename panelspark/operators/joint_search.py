@@ -168,10 +168,10 @@ def neighbour_scores(train: DataFrame, features: Sequence[str], label: str, time
 
 # ---------------------------------------------------------------- boosting
 def boosting_scores(train: DataFrame, features: Sequence[str], label: str, time: str, folds: list, params: list[dict],
-                    key_cols: Sequence[str] = ()) -> list[list[float]]:
+                    key_cols: Sequence[str] = (), refit: dict | None = None):
     from panelspark.operators import boosting
     rows = train.na.drop(subset=[label])
-    return boosting.walk_forward_scores(rows, features, label, time, folds, params, key_cols)
+    return boosting.walk_forward_scores(rows, features, label, time, folds, params, key_cols, refit=refit)
 
 
 SCORERS = {"elastic_net": elastic_net_scores, "knn": neighbour_scores, "boosted_trees": boosting_scores}

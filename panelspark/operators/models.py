@@ -488,8 +488,12 @@ def _knn_model(params: dict, features: list[str], label: str, stats: dict, ref:
 
 def _fit_boosted(params: dict, train: DataFrame, features: list[str], label: str, key_cols: Sequence[str] = ()) -> Fitted:
     from panelspark.operators import boosting
-    e, borders = boosting.fit(train, features, label, params, key_cols)
-    return _boosted_model(params, features, label, boosting.to_state(e, borders), boosting.importances(e, len(features)))
+    return _boosted_of(params, features, label, *boosting.fit(train, features, label, params, key_cols))
+
+
+def _boosted_of(params: dict, features: list[str], label: str, e, borders) -> Fitted:
+    from panelspark.operators import boosting
+    return _boosted_model(params, list(features), label, boosting.to_state(e, borders), boosting.importances(e, len(features)))
 
 
 def _boosted_model(params: dict, features: list[str], label: str, state: dict, importances) -> Fitted:
@@ -547,20 +551,29 @@ def time_folds(df: DataFrame, time: str, min_train: int, valid: int = 1) -> list
 
 
 def cross_validate(name: str, params: dict, train: DataFrame, features: list[str], label: str, time: str, cv: int = 5,
-                   workers: int = 4, key_cols: Sequence[str] = ()) -> list[float]:
-    """Walk-forward R2 of one parameter set, fold by fold (see ``search`` for the folds)."""
+                   workers: int = 4, key_cols: Sequence[str] = (), refit: bool = False):
+    """Walk-forward R2 of one parameter set, fold by fold (see ``search`` for the folds).
+
+    ``refit`` also fits the parameters on all rows, beside the folds, and returns (scores, fitted): boosting
+    in the folds' lockstep (if every row has a label: its bins count rows without), the others in the folds' pool."""
     from panelspark.operators.joint_search import SCORERS as joint
     from panelspark.operators.splits import default_min_train
     train = cut_lineage(train)
     windows = time_folds(train, time, default_min_train(train.select(time).distinct().count(), cv))
+    if name == "boosted_trees" and refit and train.where(F.col(label).isNull()).isEmpty():
+        scores, e, borders = joint[name](train, features, label, time, windows, [params], key_cols, refit=params)
+        return scores[0], _boosted_of(params, features, label, e, borders)
     if name in joint:
-        return joint[name](train, features, label, time, windows, [params], key_cols)[0]
+        scores = joint[name](train, features, label, time, windows, [params], key_cols)[0]
+        return (scores, fit(name, params, train, features, label, key_cols)) if refit else scores
 
     def run_fold(w):
         m = fit(name, params, train.where(F.col(time) <= F.lit(w[0])), features, label, key_cols)
         return r2_score(m.predict(train.where(F.col(time).between(F.lit(w[1]), F.lit(w[2])))), label)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        return list(pool.map(run_fold, windows))
+        whole = pool.submit(fit, name, params, train, features, label, key_cols) if refit else None
+        scores = list(pool.map(run_fold, windows))
+        return (scores, whole.result()) if refit else scores
 
 
 @dataclass
@@ -696,12 +709,12 @@ def train_all(train: DataFrame, test: DataFrame, features: list[str], label: str
             if fixed_params and name in fixed_params:
                 sr = None
                 params = fixed_params[name]
-                scores = cross_validate(name, params, train, features, label, time, cv, key_cols=key_cols)
+                scores, m = cross_validate(name, params, train, features, label, time, cv, key_cols=key_cols, refit=True)
             else:
                 scores = None
                 sr = search(name, train, features, label, time, n_trials=n_trials, cv=cv, key_cols=key_cols)
                 params = sr.best_params
-            m = fit(name, params, train, features, label, key_cols)
+                m = fit(name, params, train, features, label, key_cols)
             tr_score = r2_score(m.predict(train), label)
             met = regression_metrics(m.predict(test), label, "y_pred", len(features), with_pvalue=True).first().asDict()
             runs.append(ModelRun(name, m, sr, tr_score, met, _time.time() - t0, fold_scores=scores))

@@ -10,6 +10,7 @@ fixed, moderate parameters, cross-validated on the same folds.
 from __future__ import annotations
 
 import functools
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,14 +58,19 @@ CURVE = {"alpha": 0.1, "l1_ratio": 0.5, "max_iter": 1000}      # elastic net of
 
 def _runs(spark, sf, names=tuple(models.SPACES), data=None):
     """The families' runs, each fitted once per session and table folder (the queries below show sides of one run);
-    the panel, the only step that reads the tables, is built once for all that are still to be fitted."""
+    the panel, the only step that reads the tables, is built once for all that are still to be fitted, and these are
+    fitted at the same time: their many jobs have a task or a few each and would leave most cores idle one by one."""
     key = lambda name: (spark.sparkContext.applicationId, sf, name)
     todo = [name for name in names if key(name) not in _RUNS]
     if todo:
         train, test = data or model_data(spark, sf)
-        for name in todo:
-            _RUNS[key(name)] = models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter", models=[name],
-                                                fixed_params=FIXED, key_cols=["c_nationkey", "quarter"])[0]
+
+        def run(name):
+            return models.train_all(train, test, NATION_FEATURES, NATION_TARGET, "quarter", models=[name],
+                                    fixed_params=FIXED, key_cols=["c_nationkey", "quarter"])[0]
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for name, done in zip(todo, pool.map(run, todo)):
+                _RUNS[key(name)] = done
     return [_RUNS[key(name)] for name in names]
 
 

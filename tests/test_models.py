@@ -188,3 +188,48 @@ def test_model_data_is_dealt_by_its_own_rows(spark, monkeypatch, rows_a_task, pa
     train, test = q_models.model_data(spark, "x")
     assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == parts
     assert sorted(map(tuple, train.union(test).collect())) == sorted(rows)
+
+
+def test_a_small_panel_is_fitted_without_exchanges(spark):
+    rows = spark.range(0, 60, 1, 3).selectExpr("id", "id % 5 AS n", "1.0 * id AS y").repartition(3, "id").localCheckpoint()
+    for df in (rows, rows.coalesce(1).rdd.toDF().localCheckpoint()):            # several partitions, or one that Spark knows nothing of
+        few = session.cut_lineage(session.dealt_by_rows(df))
+        plan = few.where("y > 3").groupBy("n").sum("y")._jdf.queryExecution().executedPlan().toString()
+        assert few.rdd.getNumPartitions() == 1 and "hashpartitioning" not in plan
+    many = session.cut_lineage(session.dealt_by_rows(rows, rows_together=59))
+    assert many.count() == 60 and "hashpartitioning" in many.groupBy("n").sum("y")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_families_are_fitted_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    from panelspark.plans import q_models
+    met, run_of = threading.Barrier(len(models.SPACES), timeout=60), models.ModelRun
+    panel = spark.createDataFrame([(q, 1.0 * q, 1.0, 2.0, 3.0, 4.0) for q in range(20)],
+                                  "quarter int, avg_price double, n_orders double, avg_acctbal double, avg_qty double, avg_disc double")
+    monkeypatch.setattr(q_models, "panel_nation", lambda *a, **k: panel)
+    monkeypatch.setattr(q_models, "_RUNS", {})
+
+    def train_all(train, test, *a, models, **k):
+        met.wait()
+        return [run_of(models[0], None, None, 0.0, None, 0.0)]
+    monkeypatch.setattr(q_models.models, "train_all", train_all)
+    assert [r.model for r in q_models._runs(spark, "x")] == list(models.SPACES)
+
+
+@pytest.mark.parametrize("null_label", [False, True])
+def test_boosting_refit_grows_beside_its_folds(spark, monkeypatch, null_label):
+    from panelspark.operators import boosting
+    rng = np.random.default_rng(5)
+    rows = [(i, i // 10, float(rng.normal()), float(rng.normal())) for i in range(120)]
+    rows = [(i, t, a, b, None if null_label and i == 7 else 2 * a - b) for i, t, a, b in rows]
+    df = spark.createDataFrame(rows, "k int, t int, a double, b double, y double").coalesce(1)
+    p = {"n_estimators": 3, "max_depth": 2, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 1.0}
+    levels, level = [], boosting._level
+    monkeypatch.setattr(boosting, "_level", lambda *a: levels.append(1) or level(*a))
+    run = models.train_all(df, df.where("t >= 10"), ["a", "b"], "y", "t", models=["boosted_trees"],
+                           fixed_params={"boosted_trees": p}, key_cols=["k"])[0]
+    assert run.error is None and len(levels) == (12 if null_label else 6)        # 3 trees of 2 levels
+    assert run.fold_scores == models.cross_validate("boosted_trees", p, df, ["a", "b"], "y", "t", key_cols=["k"])
+    alone = models.fit("boosted_trees", p, df, ["a", "b"], "y", ["k"])
+    assert run.fitted.state == alone.state and run.fitted.importances == alone.importances
