@@ -191,13 +191,14 @@ def test_model_data_is_dealt_by_its_own_rows(spark, monkeypatch, rows_a_task, pa
 
 
 def test_a_small_panel_is_fitted_without_exchanges(spark):
-    rows = spark.range(0, 60, 1, 3).selectExpr("id", "id % 5 AS n", "1.0 * id AS y").repartition(3, "id").localCheckpoint()
-    for df in (rows, rows.coalesce(1).rdd.toDF().localCheckpoint()):            # several partitions, or one that Spark knows nothing of
-        few = session.cut_lineage(session.dealt_by_rows(df))
-        plan = few.where("y > 3").groupBy("n").sum("y")._jdf.queryExecution().executedPlan().toString()
-        assert few.rdd.getNumPartitions() == 1 and "hashpartitioning" not in plan
-    many = session.cut_lineage(session.dealt_by_rows(rows, rows_together=59))
-    assert many.count() == 60 and "hashpartitioning" in many.groupBy("n").sum("y")._jdf.queryExecution().executedPlan().toString()
+    rows = spark.range(0, 60, 1, 3).selectExpr("id", "id % 5 AS n", "1.0D * id AS y").repartition(3, "id").localCheckpoint()
+    one = spark.createDataFrame(rows.coalesce(1).rdd, rows.schema).localCheckpoint()        # Spark does not know it is one
+
+    def exchanged(df):
+        assert df.rdd.getNumPartitions() == 1
+        return "hashpartitioning" in session.cut_lineage(df).where("y > 3").groupBy("n").sum("y")._jdf.queryExecution().executedPlan().toString()
+    assert exchanged(one) and exchanged(session.dealt_by_rows(one, rows_together=59))
+    assert not exchanged(session.dealt_by_rows(one)) and not exchanged(session.dealt_by_rows(rows))
 
 
 def test_families_are_fitted_at_the_same_time(spark, monkeypatch):
