@@ -15,12 +15,13 @@ of its own and goes to the side where it gains more.
 on the same blocks: one Spark job a level for all of them.  Tasks turn their blocks into sparse
 histograms per (ensemble, node, feature), these are dealt out by that key, summed and scanned for
 the feature's best split, and the driver sees one row per (ensemble, node, feature), whatever the number of
-rows.  Every ``REFRESH`` trees the predictions are written beside the blocks, so a
+rows.  Ensembles whose rows fill one block at most are dealt out to tasks, which grow them whole.  Every ``REFRESH`` trees the predictions are written beside the blocks, so a
 task never evaluates more than that many trees and lineage stays short.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -37,6 +38,8 @@ from panelspark.session import checkpoint_dir
 BLOCK_ROWS = 1 << 15
 MAX_BINS = 256
 REFRESH = 16
+TREES_A_WRITE = 1024        # trees sent to a task that writes predictions
+TREES_A_JOB = 1 << 14       # trees that a job sends to the driver
 MIN_GAIN = 1e-6             # a split must gain more than rounding noise
 SEED = 42
 HISTOGRAM = "job int, node int, feature int, src long, bins array<int>, g array<double>, h array<double>"
@@ -325,49 +328,97 @@ def _level(blocks: DataFrame, one_task: bool, histograms, splits) -> DataFrame:
     return blocks.mapInArrow(histograms, HISTOGRAM).repartition("job", "node", "feature").mapInArrow(splits, SPLIT)
 
 
+def _one_tree(ensembles: list[Ensemble], t: int, level) -> None:
+    """Tree ``t`` of every ensemble that has one, level by level; ``level(current, frontier)`` gives the best splits
+    of the frontier's nodes, a row per (ensemble, node, feature)."""
+    active = [j for j, e in enumerate(ensembles) if int(e.params.get("n_estimators", 100)) > t]
+    current = {j: Tree() for j in active}
+    for j in active:
+        current[j].add(0.0)
+    frontier = {j: [0] for j in active}
+    depth = 0
+    while frontier:
+        per: dict = {}
+        for r in level(current, frontier):
+            per.setdefault((r["job"], r["node"]), []).append(r)
+        depth += 1
+        following: dict = {}
+        for (j, node), options in per.items():
+            p, tree = ensembles[j].params, current[j]
+            best = min(options, key=lambda r: (-r["gain"], r["feature"]))
+            if node == 0:
+                tree.weight[0] = leaf_weight(best["g"], best["h"], p)
+            if best["gain"] > MIN_GAIN:
+                gr, hr = best["g"] - best["gl"], best["h"] - best["hl"]
+                made = tree.split(node, best["feature"], best["bin"], best["missing_left"], best["gain"],
+                                  leaf_weight(best["gl"], best["hl"], p), leaf_weight(gr, hr, p))
+                if depth < int(p.get("max_depth", 6)):
+                    following.setdefault(j, []).extend(made)
+        frontier = following
+    for j in active:
+        current[j].prune(float(ensembles[j].params.get("gamma", 0.0)))
+        ensembles[j].trees.append(current[j])
+
+
+def _whole(ensembles: list[Ensemble], k: int):
+    """(job, the only block) -> (job, its trees): every tree of an ensemble, predictions kept beside the block."""
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                j = r.pop("job")
+                own = [Ensemble(ensembles[j].params, ensembles[j].until, ensembles[j].base)]
+                params = {0: own[0].params}
+                bins = next(_open(pa.RecordBatch.from_pylist([r]), k))[0]
+                margin = np.full(len(bins), own[0].base)
+                for t in range(int(own[0].params.get("n_estimators", 100))):
+                    block = pa.RecordBatch.from_pylist([{**r, "margin": margin.tobytes()}])
+
+                    def level(current, frontier):
+                        grown = _histograms(own, t, t, current, frontier, k)([block])
+                        return [row for part in _splits(params)(grown) for row in part.to_pylist()]
+                    _one_tree(own, t, level)
+                    margin += own[0].trees[-1].values(bins)
+                yield pa.RecordBatch.from_arrays([pa.array([j], pa.int32()), pa.array([json.dumps(_tree_lists(own[0]))])],
+                                                 ["job", "trees"])
+    return run
+
+
 def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = REFRESH) -> DataFrame:
     """Grow all ensembles in lockstep; returns the blocks with their final predictions.
 
+    Rows that fill no more than one block have nothing to be summed over tasks: there the ensembles are dealt out
+    instead, and a task grows all trees of its own, in one job for all of them instead of one a level.
     Base value: the mean label of the ensemble's training rows."""
     for e, mean in zip(ensembles, _base_values(blocks, k, [e.until for e in ensembles])):
         e.base, e.trees = mean, []
+    rounds = max((int(e.params.get("n_estimators", 100)) for e in ensembles), default=0)
     since = 0
+    if blocks.limit(2).count() == 1:
+        spark = blocks.sparkSession
+        bare = [Ensemble(e.params, e.until, e.base) for e in ensembles]
+        count = np.cumsum([int(e.params.get("n_estimators", 100)) for e in ensembles]) // TREES_A_JOB
+        for some in [np.flatnonzero(count == c).tolist() for c in np.unique(count)]:
+            jobs = spark.range(some[0], some[-1] + 1, 1, min(len(some), 4 * spark.sparkContext.defaultParallelism))
+            dealt = jobs.select(F.col("id").cast("int").alias("job")).crossJoin(F.broadcast(blocks))
+            for r in dealt.mapInArrow(_whole(bare, k), "job int, trees string").collect():
+                ensembles[r["job"]].trees = _trees_of(json.loads(r["trees"]))
+        step = max(refresh, TREES_A_WRITE // max(1, len(ensembles)))
+        for since in range(0, rounds - step, step):
+            part = [Ensemble(e.params, e.until, e.base, e.trees[since:since + step]) for e in ensembles]
+            blocks = _written(blocks.mapInArrow(_refreshed(part, 0, k), BLOCK), "margins")
+        since = len(range(0, rounds - step, step)) * step
+        return _written(blocks.mapInArrow(_refreshed(_since(ensembles, since), 0, k), BLOCK), "margins")
     one_task = blocks.rdd.getNumPartitions() == 1       # its histograms are whole already
-    rounds = max((int(e.params.get("n_estimators", 100)) for e in ensembles), default=0)
     params = {j: e.params for j, e in enumerate(ensembles)}
     for t in range(rounds):
         if t - since >= refresh:
             blocks = _written(blocks.mapInArrow(_refreshed(_since(ensembles, since), 0, k), BLOCK), "margins")
             since = t
-        active = [j for j, e in enumerate(ensembles) if int(e.params.get("n_estimators", 100)) > t]
-        current = {j: Tree() for j in active}
-        for j in active:
-            current[j].add(0.0)
-        frontier = {j: [0] for j in active}
-        depth = 0
         late = _since(ensembles, since)
-        while frontier:
-            rows = _level(blocks, one_task, _histograms(late, 0, t, current, frontier, k), _splits(params)).collect()
-            per: dict = {}
-            for r in rows:
-                per.setdefault((r["job"], r["node"]), []).append(r)
-            depth += 1
-            following: dict = {}
-            for (j, node), options in per.items():
-                p, tree = ensembles[j].params, current[j]
-                best = min(options, key=lambda r: (-r["gain"], r["feature"]))
-                if node == 0:
-                    tree.weight[0] = leaf_weight(best["g"], best["h"], p)
-                if best["gain"] > MIN_GAIN:
-                    gr, hr = best["g"] - best["gl"], best["h"] - best["hl"]
-                    made = tree.split(node, best["feature"], best["bin"], best["missing_left"], best["gain"],
-                                      leaf_weight(best["gl"], best["hl"], p), leaf_weight(gr, hr, p))
-                    if depth < int(p.get("max_depth", 6)):
-                        following.setdefault(j, []).extend(made)
-            frontier = following
-        for j in active:
-            current[j].prune(float(ensembles[j].params.get("gamma", 0.0)))
-            ensembles[j].trees.append(current[j])
+
+        def level(current, frontier):
+            return _level(blocks, one_task, _histograms(late, 0, t, current, frontier, k), _splits(params)).collect()
+        _one_tree(ensembles, t, level)
     return _written(blocks.mapInArrow(_refreshed(_since(ensembles, since), 0, k), BLOCK), "margins")
 
 
@@ -431,15 +482,21 @@ def importances(e: Ensemble, k: int) -> list[float]:
     return (mean / mean.sum() if mean.sum() > 0 else mean).tolist()
 
 
+def _tree_lists(e: Ensemble) -> list[dict]:
+    return [{f: list(map(float if f in ("weight", "gain") else int, getattr(t, f))) for f in t.__dataclass_fields__}
+            for t in e.trees]
+
+
+def _trees_of(lists: list[dict]) -> list[Tree]:
+    return [Tree(**{**t, "missing_left": [bool(x) for x in t["missing_left"]]}) for t in lists]
+
+
 def to_state(e: Ensemble, borders: list[np.ndarray]) -> dict:
-    return {"base": e.base, "borders": [b.tolist() for b in borders],
-            "trees": [{f: list(map(float if f in ("weight", "gain") else int, getattr(t, f))) for f in t.__dataclass_fields__}
-                      for t in e.trees]}
+    return {"base": e.base, "borders": [b.tolist() for b in borders], "trees": _tree_lists(e)}
 
 
 def from_state(state: dict, params: dict) -> tuple[Ensemble, list[np.ndarray]]:
-    trees = [Tree(**{**t, "missing_left": [bool(x) for x in t["missing_left"]]}) for t in state["trees"]]
-    return Ensemble(params, None, state["base"], trees), [np.array(b, float) for b in state["borders"]]
+    return Ensemble(params, None, state["base"], _trees_of(state["trees"])), [np.array(b, float) for b in state["borders"]]
 
 
 def predict(df: DataFrame, features: Sequence[str], e: Ensemble, borders: list[np.ndarray], out: str = "y_pred") -> DataFrame:

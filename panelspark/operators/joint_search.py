@@ -152,10 +152,9 @@ def neighbour_scores(train: DataFrame, features: Sequence[str], label: str, time
         near = knn_join(asked.select("__qid", *scaled), ref, "__qid", "__rid", features, k=ks[-1], p=p, carry=["__y"])
         ranked = near.groupBy("__qid").agg(F.array_sort(F.collect_list(F.struct("rank", F.col("__y").alias("v")))).alias("l"))
 
-        def mean_of(k):
-            total = F.aggregate(F.slice("l", 1, k), F.lit(0.0), lambda acc, x: acc + x["v"])
-            return F.struct(F.lit(k).alias("k"), (total / F.least(F.lit(k), F.size("l"))).alias("pred"))
-        pred = ranked.select("__qid", F.inline(F.array(*[mean_of(k) for k in ks])))
+        # one expression for all orders: as a column each, they would cost the driver thousands of calls a join
+        pred = ranked.selectExpr("__qid", f"inline(transform(array({', '.join(map(str, ks))}), k -> struct(k AS k, "
+                                 "aggregate(slice(l, 1, k), 0D, (acc, x) -> acc + x.v) / least(k, size(l)) AS pred)))")
         got = asked.select("__qid", "__y").join(pred, "__qid").groupBy("k").agg(
             F.sum((F.col("__y") - F.col("pred")) ** 2).alias("sse"), (F.var_pop("__y") * F.count("__y")).alias("sst")).collect()
         return {r["k"]: 1 - r["sse"] / r["sst"] if r["sst"] else float("nan") for r in got}

@@ -21,6 +21,7 @@ concurrently in a small thread pool) and the median rule prunes weak trials.
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 import time as _time
@@ -220,6 +221,18 @@ def _tree_strategy(v) -> str:
     return str(v) if isinstance(v, float) else {"sqrt": "sqrt", "log2": "log2"}.get(v, "all")
 
 
+@functools.cache
+def _lazy_trees(estimator: type) -> type:
+    """A Spark ML tree ensemble whose fitted model wraps its trees for Python only when they are asked for.
+
+    A Python model lists its parameters by reading all its attributes, the cached list of its trees among
+    them but no plain property: some hundred calls to the JVM a tree, for every fit."""
+    from pyspark.ml import regression
+    base = getattr(regression, estimator.__name__.replace("Regressor", "RegressionModel"))
+    model = type(base.__name__, (base,), {"trees": property(lambda self: base.trees.__get__(self))})
+    return type(estimator.__name__, (estimator,), {"_create_model": lambda self, java_model: model(java_model)})
+
+
 def _fit_spark(name: str, params: dict, train: DataFrame, features: list[str], label: str) -> Fitted:
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
@@ -238,14 +251,14 @@ def _fit_spark(name: str, params: dict, train: DataFrame, features: list[str], l
     common = dict(featuresCol="__features", labelCol="__label", predictionCol="__pred")
     if name == "random_forest":
         leaf = int(params["min_samples_leaf"])
-        est = RandomForestRegressor(
+        est = _lazy_trees(RandomForestRegressor)(
             numTrees=int(params["n_estimators"]), maxDepth=min(int(params["max_depth"]), 30),
             minInstancesPerNode=max(leaf, math.ceil(int(params["min_samples_split"]) / 2)),
             featureSubsetStrategy=_tree_strategy(params["max_features"]),
             minInfoGain=float(params["min_impurity_decrease"]), seed=SEED, **common)
     elif name == "gradient_boosting":
         leaf = int(params["min_samples_leaf"])
-        est = GBTRegressor(
+        est = _lazy_trees(GBTRegressor)(
             maxIter=int(params["n_estimators"]), stepSize=float(params["learning_rate"]),
             maxDepth=int(params["max_depth"]),
             minInstancesPerNode=max(leaf, math.ceil(int(params["min_samples_split"]) / 2)),
@@ -536,7 +549,7 @@ def fit(name: str, params: dict, train: DataFrame, features: list[str], label: s
 
 # ---------------------------------------------------------------- search
 def r2_score(df: DataFrame, label: str, pred: str = "y_pred") -> float:
-    return float(regression_metrics(df, label, pred, 0).first()["r2"])
+    return float(regression_metrics(df, label, pred, 0).select("r2").first()["r2"])
 
 
 def time_folds(df: DataFrame, time: str, min_train: int, valid: int = 1) -> list[tuple[int, int, int]]:
@@ -551,8 +564,9 @@ def time_folds(df: DataFrame, time: str, min_train: int, valid: int = 1) -> list
 
 
 def cross_validate(name: str, params: dict, train: DataFrame, features: list[str], label: str, time: str, cv: int = 5,
-                   workers: int = 4, key_cols: Sequence[str] = (), refit: bool = False):
-    """Walk-forward R2 of one parameter set, fold by fold (see ``search`` for the folds).
+                   workers: int | None = None, key_cols: Sequence[str] = (), refit: bool = False):
+    """Walk-forward R2 of one parameter set, fold by fold (see ``search`` for the folds), ``workers`` folds at a time
+    (None: as many as the session has cores, at least 4; a fold's jobs wait for each other and keep one core busy).
 
     ``refit`` also fits the parameters on all rows, beside the folds, and returns (scores, fitted): boosting
     in the folds' lockstep (if every row has a label: its bins count rows without), the others in the folds' pool."""
@@ -570,6 +584,8 @@ def cross_validate(name: str, params: dict, train: DataFrame, features: list[str
     def run_fold(w):
         m = fit(name, params, train.where(F.col(time) <= F.lit(w[0])), features, label, key_cols)
         return r2_score(m.predict(train.where(F.col(time).between(F.lit(w[1]), F.lit(w[2])))), label)
+    if workers is None:
+        workers = max(4, train.sparkSession.sparkContext.defaultParallelism)
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         whole = pool.submit(fit, name, params, train, features, label, key_cols) if refit else None
         scores = list(pool.map(run_fold, windows))

@@ -134,3 +134,27 @@ def test_walk_forward_in_lockstep(spark):
     e, borders = boosting.fit(df.where(f"t <= {end}"), FEATS, "y", P, ["k"], max_bins=512)
     one = models.r2_score(boosting.predict(df.where(f"t between {lo} and {hi}"), FEATS, e, borders), "y")
     assert got[0][2] == pytest.approx(one, abs=1e-6)
+
+
+def test_ensembles_of_one_block_grow_whole(spark, monkeypatch):
+    """Rows of one block: one job grows all trees, the same ones as level by level; more blocks go level by level."""
+    df = spark.createDataFrame([(i, float(i % 10), None if i % 17 == 0 else float(i * 7 % 23), float(i % 6) - i / 40) for i in range(120)],
+                               "k long, a double, b double, y double").coalesce(1)
+    p = P | {"n_estimators": 20, "subsample": 0.8, "colsample_bytree": 0.6}
+    levels, plain = [], boosting._level
+    monkeypatch.setattr(boosting, "_level", lambda *a: levels.append(1) or plain(*a))
+
+    def grown(df=df):
+        borders = boosting.bin_borders(df, ["a", "b"])
+        ensembles = [boosting.Ensemble(p, 60.0), boosting.Ensemble(p | {"n_estimators": 5, "max_depth": 2}), boosting.Ensemble(p, -1.0)]
+        blocks = boosting.row_blocks(df, ["a", "b"], "y", borders, "k", ["k"])
+        margins = sorted((r["rid"], r["margin"]) for r in boosting.grow(blocks, 2, ensembles).collect())
+        return [boosting.to_state(e, borders) for e in ensembles], margins
+    whole = grown()
+    assert not levels and len(whole[0][0]["trees"]) == 20 and len(whole[0][1]["trees"]) == 5
+    monkeypatch.setattr(boosting, "TREES_A_JOB", 3)
+    monkeypatch.setattr(boosting, "TREES_A_WRITE", 1)
+    assert grown() == whole and not levels
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 40)
+    many = grown(df.repartition(3, "k"))
+    assert levels and [[t["feature"] for t in e["trees"]] for e in many[0][:2]] == [[t["feature"] for t in e["trees"]] for e in whole[0][:2]]

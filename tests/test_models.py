@@ -234,3 +234,30 @@ def test_boosting_refit_grows_beside_its_folds(spark, monkeypatch, null_label):
     assert run.fold_scores == models.cross_validate("boosted_trees", p, df, ["a", "b"], "y", "t", key_cols=["k"])
     alone = models.fit("boosted_trees", p, df, ["a", "b"], "y", ["k"])
     assert run.fitted.state == alone.state and run.fitted.importances == alone.importances
+
+
+@pytest.mark.parametrize("name", ["random_forest", "gradient_boosting"])
+def test_tree_models_do_not_wrap_their_trees_unasked(spark, tmp_path, name):
+    """A fit, its predictions and its importances need no Python object for each tree."""
+    df = spark.createDataFrame([(float(i), float(i % 5), float(i % 7 + i // 10)) for i in range(60)], "a double, b double, y double")
+    params = {"n_estimators": 7, "max_depth": 3, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": 0.7,
+              "min_impurity_decrease": 0.0, "learning_rate": 0.1, "subsample": 0.8}
+    m = models.fit(name, params, df, ["a", "b"], "y")
+    want = [r["y_pred"] for r in m.predict(df).orderBy("a").collect()]
+    last = m.spark_model.stages[-1]
+    assert sum(m.importances) == pytest.approx(1.0) and "trees" not in vars(last)
+    assert len(last.trees) == 7 and last.trees[0].numNodes > 1
+    m.save(str(tmp_path))
+    assert [r["y_pred"] for r in models.load_fitted(spark, str(tmp_path)).predict(df).orderBy("a").collect()] == want
+
+
+def test_folds_run_on_all_cores(spark, monkeypatch):
+    """Folds wait for their own jobs, so as many run at a time as there are cores; a number given is kept."""
+    df = spark.createDataFrame([(i, i % 9, float(i), float(i % 4)) for i in range(45)], "k long, t int, a double, y double")
+    asked, pool = [], models.ThreadPoolExecutor
+    monkeypatch.setattr(models, "ThreadPoolExecutor", lambda max_workers: asked.append(max_workers) or pool(max_workers))
+    monkeypatch.setattr(spark.sparkContext.__class__, "defaultParallelism", property(lambda self: 7))
+    monkeypatch.setattr(models, "fit", lambda *a, **k: models.Fitted("f", {}, ["a"], "y", lambda d: d.withColumn("y_pred", d["y"])))
+    first = models.cross_validate("random_forest", {}, df, ["a"], "y", "t")
+    assert models.cross_validate("random_forest", {}, df, ["a"], "y", "t", workers=2) == first
+    assert asked == [7, 2]
