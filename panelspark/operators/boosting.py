@@ -15,7 +15,7 @@ of its own and goes to the side where it gains more.
 on the same blocks: one Spark job a level for all of them.  Tasks turn their blocks into sparse
 histograms per (ensemble, node, feature), these are dealt out by that key, summed and scanned for
 the feature's best split, and the driver sees one row per (ensemble, node, feature), whatever the number of
-rows.  Ensembles whose rows fill one block at most are dealt out to tasks, which grow them whole.  Every ``REFRESH`` trees the predictions are written beside the blocks, so a
+rows.  Longer ensembles whose rows fill one block at most are dealt out to tasks, which grow them whole.  Every ``REFRESH`` trees the predictions are written beside the blocks, so a
 task never evaluates more than that many trees and lineage stays short.
 """
 
@@ -386,14 +386,14 @@ def _whole(ensembles: list[Ensemble], k: int):
 def grow(blocks: DataFrame, k: int, ensembles: list[Ensemble], refresh: int = REFRESH) -> DataFrame:
     """Grow all ensembles in lockstep; returns the blocks with their final predictions.
 
-    Rows that fill no more than one block have nothing to be summed over tasks: there the ensembles are dealt out
-    instead, and a task grows all trees of its own, in one job for all of them instead of one a level.
+    Rows that fill no more than one block have nothing to be summed over tasks: there ensembles of more than ``refresh``
+    trees are dealt out instead, and a task grows all trees of its own, in one job for all of them instead of one a level.
     Base value: the mean label of the ensemble's training rows."""
     for e, mean in zip(ensembles, _base_values(blocks, k, [e.until for e in ensembles])):
         e.base, e.trees = mean, []
     rounds = max((int(e.params.get("n_estimators", 100)) for e in ensembles), default=0)
     since = 0
-    if blocks.limit(2).count() == 1:
+    if rounds > refresh and blocks.limit(2).count() == 1:
         spark = blocks.sparkSession
         bare = [Ensemble(e.params, e.until, e.base) for e in ensembles]
         count = np.cumsum([int(e.params.get("n_estimators", 100)) for e in ensembles]) // TREES_A_JOB
