@@ -712,7 +712,8 @@ def train_all(train: DataFrame, test: DataFrame, features: list[str], label: str
               fixed_params: dict | None = None, key_cols: Sequence[str] = ()) -> list[ModelRun]:
     """Search -> refit on all train rows (I10) -> test metrics.
 
-    A failing model becomes a row with ``error`` instead of stopping the run.
+    A failing model becomes a row with ``error`` instead of stopping the run; what is made of the
+    runs without that column takes them through ``complete``.
     ``fixed_params[model]`` skips the search for that model; its parameters are
     cross-validated on the same folds, so that every model has a CV score and gap.
     """
@@ -739,6 +740,14 @@ def train_all(train: DataFrame, test: DataFrame, features: list[str], label: str
     return runs
 
 
+def complete(runs: Sequence[ModelRun]) -> list[ModelRun]:
+    """The runs, all of them; raises if a model failed, whose rows would be missing without a word."""
+    failed = [f"{r.model} ({r.error})" for r in runs if r.error is not None]
+    if failed:
+        raise RuntimeError("models failed: " + "; ".join(failed))
+    return list(runs)
+
+
 def results_table(spark: SparkSession, runs: Sequence[ModelRun]) -> DataFrame:
     """One row per model with train, CV and test scores."""
     rows = []

@@ -261,3 +261,33 @@ def test_folds_run_on_all_cores(spark, monkeypatch):
     first = models.cross_validate("random_forest", {}, df, ["a"], "y", "t")
     assert models.cross_validate("random_forest", {}, df, ["a"], "y", "t", workers=2) == first
     assert asked == [7, 2]
+
+
+@pytest.mark.parametrize("query", ["cv_fold_scores", "overfit_cv", "search_space", "search_trials", "feature_importance",
+                                   "importance_table", "top_features", "model_predictions", "coefficients"])
+def test_a_failed_family_is_no_shorter_result(spark, monkeypatch, query):
+    """Queries without a column for errors fail with the family's error; only fitted families are kept for the next query."""
+    from panelspark.plans import q_models
+    from panelspark.plans.registry import QUERIES
+    panel = spark.createDataFrame([(n, q, 1.0 * q, 1.0, 2.0, 3.0, 4.0) for n in range(2) for q in range(20)],
+                                  "c_nationkey int, quarter int, avg_price double, n_orders double, avg_acctbal double, "
+                                  "avg_qty double, avg_disc double")
+    trial = {"trial": 0, "params": {}, "fold_scores": [0.5], "mean_score": 0.5, "pruned": False}
+
+    def train_all(train, test, *a, models, **k):
+        fitted = q_models.models.Fitted(models[0], {"n": 1}, ["n_orders"], "avg_price", lambda d: d.withColumn("y_pred", d["avg_price"]),
+                                        importances=[1.0], coefficients=[1.0])
+        found = q_models.models.SearchResult(models[0], {"n": 1}, 0.5, [trial]) if models[0] in q_models.SEARCHED else None
+        if models[0] in broken:
+            return [run_of(models[0], None, None, None, None, 0.0, "ValueError: no luck")]
+        return [run_of(models[0], fitted, found, 0.9, {}, 0.0, fold_scores=None if found else [0.5])]
+    run_of, broken = models.ModelRun, {"elastic_net", "svr"}
+    monkeypatch.setattr(q_models, "panel_nation", lambda *a, **k: panel)
+    monkeypatch.setattr(q_models, "_RUNS", {})
+    monkeypatch.setattr(q_models.models, "train_all", train_all)
+    with pytest.raises(RuntimeError, match=r"elastic_net \(ValueError: no luck\)"):
+        QUERIES[query](spark, "x")
+    errors = {r.model: r.error for r in QUERIES["train_all_results"](spark, "x").collect()}
+    assert errors == {m: "ValueError: no luck" if m in broken else None for m in models.SPACES}
+    broken.clear()
+    assert QUERIES[query](spark, "x").count() > 0
