@@ -1,6 +1,7 @@
 """The operators do the whole job where they once did less."""
 
 import collections
+import zlib
 
 import numpy as np
 
@@ -91,3 +92,67 @@ def test_op7_holds_a_chunk_s_paths_in_narrow_integers():
     assert own[0, 1] == (1 << 20) + 16 and other[7].tolist() == [0, 2]
     own, _ = lm_score.followed(lm_score._small(np.full((9, 1), 1 << 28)))
     assert own.dtype == np.int64 and own[0, 0] == 9 << 28
+
+
+def test_op7_contexts_reach_over_words(spark, monkeypatch):
+    """Every symbol of every text is counted and coded once, in the last 1, 2, 3 and 5 bytes before it, over closing bytes too."""
+    prepare(spark)
+    monkeypatch.setattr(lm_score, "BUCKET_KEYS", 1 << 6)
+    monkeypatch.setattr(lm_score, "CHUNK_SYMBOLS", 200)
+    rng = np.random.default_rng(3)
+    some = [bytes(rng.integers(97, 100, rng.integers(1, 8)).tolist()).decode() for _ in range(60)] + ["é€x", "A"]
+    texts = ["", " ", "a", None] + [" \n".join(rng.choice(some, rng.integers(1, 30))) for _ in range(30)]
+    rows = [(bool(i % 4 == 0), t) for i, t in enumerate(texts)]
+    rows.append(rows[-1])
+    vocab = lm_score.units(spark.createDataFrame(rows, "held_out boolean, text string").repartition(3)).cache()
+
+    split = [(h, [w.lower().encode() for w in (t or "").split()]) for h, t in rows]
+    count = collections.Counter(w for h, ws in split if not h for w in ws)
+    want, coded = collections.Counter(), collections.Counter()
+    for held, ws in split:
+        flow = b" "
+        for w in ws + [b""]:
+            for i, c in enumerate(w + b" "):
+                for k, width in enumerate(lm_score.CONTEXT_BYTES):
+                    x = (k, flow[-width:] if width else w[:i])
+                    n = 1 if width or not w or count[w] >= lm_score.PREFIX_MIN else 0
+                    for j in range(9 if not held else 0):
+                        want[x, j, c >> (8 - j)] += n
+                coded[flow[-5:] if i < 4 else w[:i], i, c] += 1
+                flow += bytes([c])
+    got = collections.Counter()
+    rows = lm_score.context_counts(vocab, 9000).collect()
+    assert {r.kind for r in rows} == {lm_score.WORDS, lm_score.HEADS} and len(rows) > 9
+    for r in map(lambda r: r.asDict(), rows):
+        units, left, _, both = lm_score._unpack(r)
+        starts, (own, other, at) = lm_score._counted(r)
+        for q, u in enumerate(units.to_pylist()):
+            w = u[left[q]:]
+            todo = range(min(4, len(w) + 1)) if r["kind"] == lm_score.HEADS else range(4, len(w) + 1)
+            assert starts[q + 1] - starts[q] == len(todo)
+            for s, i in zip(range(starts[q], starts[q + 1]), todo):
+                c = (w + b" ")[i]
+                assert at[-1][s] == c
+                got[(u[:left[q]] + w[:i])[-5:] if i < 4 else w[:i], i, c] += both[q]
+                for k, width in enumerate(lm_score.CONTEXT_BYTES):
+                    x = (k, (u[:left[q]] + w[:i])[-width:] if width else w[:i])
+                    for j in range(8):
+                        mine = want[x, j + 1, c >> (7 - j)]
+                        assert (own[j + 1][at[k][s]], other[j][at[k][s]]) == (mine, want[x, j, c >> (8 - j)] - mine)
+    assert got == coded
+
+
+def test_op7_order_of_words_counts(spark):
+    """The same words in an order never seen score lower; white space does not matter."""
+    prepare(spark)
+    words = "wood rain salt fire leaf iron dust moon".split()
+    rng = np.random.default_rng(7)
+    ids = range(1000)
+    held = [i for i in ids if zlib.crc32(str(i).encode()) % 10 == 0][:12]
+    train = [i for i in ids if zlib.crc32(str(i).encode()) % 10][:60]
+    rows = [(i, " ".join(words * 6)) for i in train] + [(held[0], " ".join(words * 5)), (held[1], "\n " + " \t".join(words * 5))]
+    rows += [(i, " ".join(rng.permutation(words * 5))) for i in held[2:]]
+    got = {r.doc_id: r for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]].held_out and abs(got[held[0]].score - got[held[1]].score) < 1e-9
+    assert all(abs(got[i].base_score - got[held[0]].base_score) < 1e-9 for i in held)
+    assert all(got[held[0]].score > 0.5 * got[i].score and got[held[0]].score > got[i].score + 5 for i in held[2:])
